@@ -1,0 +1,82 @@
+"""End-to-end plans: range production, level flags and hierarchy.
+
+Each returns lazy DataFrames; nothing is collected. The callers decide whether
+to write (``salesguard.sources.sinks``) or to compare.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from salesguard.functions.scalar import flag, r6
+from salesguard.operators import sales as S
+from salesguard.operators import segments as G
+from salesguard.sources.tables import Catalog
+
+RANGE_KEYS = ["facility_id", "item_id"]
+FLAG_KEYS = {"store": ["city_name", "facility_id", "item_id"], "city": ["city_name", "item_id"],
+             "country": ["item_id"]}
+FLAG_COL = {"store": "outlier_store_item", "city": "outlier_city_item", "country": "outlier_pan_item"}
+PRODUCTION_COLS = ["date_", "city_name", "facility_id", "item_id", "item_name", "sales_quantity",
+                   "sales_value", "sales_value_mrp", "ipc"]
+
+
+def range_input(cat: Catalog, as_of: str | None, days: int | None, min_carts: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Store-level daily rows of the production script and its sparse keys."""
+    lines = S.sales_lines(cat, as_of, days)
+    daily = S.daily_sales(cat, "store", lines=lines).select(*PRODUCTION_COLS).dropna("any")
+    sparse = S.sparse_keys(lines, "store", min_carts)
+    return daily, sparse
+
+
+def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90, drop_sparse: bool = False,
+                   transform: str = "boxcox", impute: bool = False, midpoint: bool = False,
+                   updated_at: str | None = None, min_carts: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Range table and error table of the production range script.
+
+    ``drop_sparse=False`` reproduces the reference as it runs (its sparse filter
+    is overwritten, SURVEY Q1): sparse keys still get a range and also an
+    error row. ``True`` applies the filter the reference intended.
+    """
+    daily, sparse = range_input(cat, as_of, days, min_carts)
+    src = daily.join(sparse.select(*RANGE_KEYS), RANGE_KEYS, "left_anti") if drop_sparse else daily
+    seg = G.segment(src, RANGE_KEYS, transform, impute)
+    ranges = G.range_table(seg, RANGE_KEYS, midpoint=midpoint, updated_at=updated_at)
+    errors = G.range_errors(seg, RANGE_KEYS, sparse.join(daily.select(*RANGE_KEYS).distinct(), RANGE_KEYS,
+                                                          "left_semi"))
+    return ranges, errors
+
+
+def level_flags(cat: Catalog, level: str, as_of: str | None = None, days: int | None = 90,
+                transform: str = "boxcox", impute: bool | None = None) -> DataFrame:
+    """M10 per level: daily rows with transformed sales, cluster and 0/1 flag.
+
+    Default imputation follows the reference: only the country level imputes
+    medians before clustering (SURVEY Q20).
+    """
+    impute = (level == "country") if impute is None else impute
+    keys = FLAG_KEYS[level]
+    daily = S.daily_sales(cat, level, as_of, days)
+    seg = G.segment(daily, keys, transform, impute)
+    return seg.select("date_", *keys, "p_type", "item_name", "sales_quantity", r6("Sales").alias("Sales"),
+                      "cluster", flag(F.col("cluster").isin(1, 3)).alias(FLAG_COL[level]))
+
+
+def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
+    """Store-level outlier that is not an outlier in its city nor in the country.
+
+    Left joins on date and item (and city); a missing parent counts as "not 0",
+    so the row is not flagged (NULL never equals 0).
+    """
+    c = city.select("date_", "city_name", "item_id", "item_name",
+                    F.col("sales_quantity").alias("sales_quantity_city"), FLAG_COL["city"])
+    p = country.select("date_", "item_id", "item_name",
+                       F.col("sales_quantity").alias("sales_quantity_pan"), FLAG_COL["country"])
+    j = (store.select("date_", "city_name", "facility_id", "item_id", "item_name", "sales_quantity",
+                      FLAG_COL["store"])
+              .join(c, ["date_", "city_name", "item_id", "item_name"], "left")
+              .join(p, ["date_", "item_id", "item_name"], "left"))
+    cond = ((F.col(FLAG_COL["store"]) == 1) & (F.col(FLAG_COL["city"]) == 0)
+            & (F.col(FLAG_COL["country"]) == 0))
+    return j.withColumn("outlier_flag", flag(cond))

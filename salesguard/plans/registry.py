@@ -69,3 +69,80 @@ SELECT s.cart_id, s.item_id, CAST(SUM(s.sales_quantity) AS BIGINT) AS item_quant
 FROM sales s JOIN cart_data c ON c.cart_id = s.cart_id WHERE s.sales_quantity > 0 GROUP BY ALL"""))
 def q_cart_share(spark, sf_dir):
     return S.cart_share(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+# ---------------------------------------------------------------- ranges
+from salesguard.operators import boxcox as B  # noqa: E402
+from salesguard.plans import pipelines as PL  # noqa: E402
+
+UPDATED_AT = "2001-08-01 05:30:00"   # as_of + 5.5 h, fixed so results are comparable
+
+
+@register("boxcox_lambda", O.with_ctes({**O.base_ctes(), **O.boxcox_ctes("bx", "daily_country", ["item_id"])},
+                                       "SELECT item_id, lam, llf FROM bx_lam"))
+def q_boxcox_lambda(spark, sf_dir):
+    d = S.daily_sales(_cat(spark, sf_dir), "country", P.AS_OF, P.DAYS)
+    return B.boxcox_lambda(d, ["item_id"])
+
+
+@register("boxcox_lambda_store", O.with_ctes(
+    {**O.base_ctes(), **O.boxcox_ctes("bx", "daily_store", ["city_name", "facility_id", "item_id"])},
+    "SELECT city_name, facility_id, item_id, lam, llf FROM bx_lam"))
+def q_boxcox_lambda_store(spark, sf_dir):
+    d = S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS)
+    return B.boxcox_lambda(d, ["city_name", "facility_id", "item_id"])
+
+
+_RANGE_SELECT = """
+SELECT CAST(facility_id AS INTEGER) AS facility_id, CAST(item_id AS INTEGER) AS item_id,
+       round_even(AVG(CASE WHEN cluster = 1 THEN CAST(sales_quantity AS DOUBLE) END), 2) AS "min",
+       round_even(AVG(CASE WHEN cluster = 3 THEN CAST(sales_quantity AS DOUBLE) END), 2) AS "max",
+       TIMESTAMP '{ts}' AS updated_at
+FROM rg_seg WHERE cluster IS NOT NULL GROUP BY ALL""".format(ts=UPDATED_AT)
+
+
+@register("range_table", O.with_ctes(O.range_ctes(False), _RANGE_SELECT))
+def q_range_table(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, updated_at=UPDATED_AT)[0]
+
+
+@register("range_table_intended", O.with_ctes(O.range_ctes(True), _RANGE_SELECT))
+def q_range_table_intended(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT)[0]
+
+
+@register("range_errors", O.with_ctes(O.range_ctes(False), """
+SELECT CAST(a.facility_id AS INTEGER) AS facility_id, CAST(a.item_id AS INTEGER) AS item_id,
+       1.0 AS "min", 1.0 AS "max", 'Less Than 2 carts per month' AS error_reason
+FROM (SELECT DISTINCT facility_id, item_id FROM rg_seg) a
+SEMI JOIN sparse_store s ON s.facility_id = a.facility_id AND s.item_id = a.item_id
+UNION ALL
+SELECT CAST(facility_id AS INTEGER), CAST(item_id AS INTEGER),
+       round_even(MIN(CAST(sales_quantity AS DOUBLE)), 2), round_even(MAX(CAST(sales_quantity AS DOUBLE)), 2),
+       'Breaking at Boxcox Transformation'
+FROM rg_seg GROUP BY facility_id, item_id HAVING MAX(CAST(bc_ok AS INTEGER)) = 0
+UNION ALL
+SELECT CAST(facility_id AS INTEGER), CAST(item_id AS INTEGER),
+       round_even(MIN(CAST(sales_quantity AS DOUBLE)), 2), round_even(MAX(CAST(sales_quantity AS DOUBLE)), 2),
+       'Breaking at K Means '
+FROM rg_seg GROUP BY facility_id, item_id HAVING MAX(cluster) IS NULL"""))
+def q_range_errors(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, updated_at=UPDATED_AT)[1]
+
+
+for _lvl in ("store", "city", "country"):
+    def _mkf(lvl):
+        def q(spark, sf_dir):
+            return PL.level_flags(_cat(spark, sf_dir), lvl, P.AS_OF, P.DAYS)
+        return q
+    register(f"{_lvl}_flags", O.with_ctes({**O.base_ctes(), **O.flag_ctes(_lvl)},
+                                          f"SELECT * FROM flags_{_lvl}"))(_mkf(_lvl))
+
+
+def hierarchy(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    lv = {lvl: PL.level_flags(cat, lvl, P.AS_OF, P.DAYS) for lvl in ("store", "city", "country")}
+    return PL.hierarchical_outliers(lv["store"], lv["city"], lv["country"])
+
+
+register("hierarchical_outliers", O.with_ctes(O.hierarchy_ctes(), "SELECT * FROM hier"))(hierarchy)
