@@ -32,13 +32,14 @@ def is_workday(d) -> Column:
 
 
 def money(c, digits: int = 2) -> Column:
-    """Half-even rounding, as numpy's ``round`` on the values used here."""
-    return F.bround(col(c), digits)
+    """Half-even rounding of ``x * 10^d`` (numpy's ``round``: binary, not decimal text)."""
+    m = float(10 ** digits)
+    return F.bround(col(c) * m, 0) / m
 
 
 def r6(c) -> Column:
-    """Output rounding for derived doubles, so results compare across engines."""
-    return F.round(col(c), 6)
+    """Output rounding of derived doubles: half away from zero on ``x * 1e6``."""
+    return F.round(col(c) * 1e6, 0) / 1e6
 
 
 def safe_div(a, b) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from salesguard.functions.scalar import flag, r6
 from salesguard.operators import sales as S
 from salesguard.operators import segments as G
+from salesguard.plans.materialize import materialize
 from salesguard.sources.tables import Catalog
 
 RANGE_KEYS = ["facility_id", "item_id"]
@@ -41,7 +42,7 @@ def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90
     """
     daily, sparse = range_input(cat, as_of, days, min_carts)
     src = daily.join(sparse.select(*RANGE_KEYS), RANGE_KEYS, "left_anti") if drop_sparse else daily
-    seg = G.segment(src, RANGE_KEYS, transform, impute)
+    seg = materialize(G.segment(materialize(src), RANGE_KEYS, transform, impute))
     ranges = G.range_table(seg, RANGE_KEYS, midpoint=midpoint, updated_at=updated_at)
     errors = G.range_errors(seg, RANGE_KEYS, sparse.join(daily.select(*RANGE_KEYS).distinct(), RANGE_KEYS,
                                                           "left_semi"))
@@ -57,9 +58,9 @@ def level_flags(cat: Catalog, level: str, as_of: str | None = None, days: int |
     """
     impute = (level == "country") if impute is None else impute
     keys = FLAG_KEYS[level]
-    daily = S.daily_sales(cat, level, as_of, days)
-    seg = G.segment(daily, keys, transform, impute)
-    return seg.select("date_", *keys, "p_type", "item_name", "sales_quantity", r6("Sales").alias("Sales"),
+    daily = materialize(S.daily_sales(cat, level, as_of, days))
+    seg = materialize(G.segment(daily, keys, transform, impute))
+    return seg.select("date_", *keys, "p_type", "item_name", "sales_quantity", "ipc", r6("Sales").alias("Sales"),
                       "cluster", flag(F.col("cluster").isin(1, 3)).alias(FLAG_COL[level]))
 
 
@@ -80,3 +81,38 @@ def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame)
     cond = ((F.col(FLAG_COL["store"]) == 1) & (F.col(FLAG_COL["city"]) == 0)
             & (F.col(FLAG_COL["country"]) == 0))
     return j.withColumn("outlier_flag", flag(cond))
+
+
+# ------------------------------------------------------------ attribution
+def report_base(cat: Catalog, as_of: str | None = None, days: int | None = 90) -> DataFrame:
+    """Hierarchy rows with the item's product type (input of every T rule)."""
+    from salesguard.operators.attribution import with_p_type
+    lv = {lvl: level_flags(cat, lvl, as_of, days) for lvl in ("store", "city", "country")}
+    h = hierarchical_outliers(lv["store"], lv["city"], lv["country"])
+    return materialize(with_p_type(h.select("date_", "city_name", "facility_id", "item_id", "item_name",
+                                            "sales_quantity", "outlier_flag"), cat))
+
+
+def search_levels(cat: Catalog, min_total: int = 100, min_pair: int = 10, share_cat: float = 0.1,
+                  share_kw: float = 10, start: str | None = None, end: str | None = None):
+    from salesguard.operators import search as SR
+    atc = SR.keyword_atc(cat, start, end)
+    kwmap = SR.keyword_category_map(atc, min_total, min_pair, share_cat, share_kw)
+    cs = SR.category_searches(cat, SR.searches(cat, start, end), kwmap)
+    return SR.avg_searches(cat, cs)
+
+
+def attribution_report(cat: Catalog, as_of: str | None = None, days: int | None = 90,
+                       surge_days: int | None = 7, kw: dict | None = None,
+                       require_event: bool = False) -> DataFrame:
+    """The final report, one row per store-day-item with the six cause flags."""
+    from salesguard.operators import attribution as A
+    rep = report_base(cat, as_of, days)
+    rep = A.event_flag(rep, cat.calendar, require_event)
+    st, ct = search_levels(cat, **(kw or {}))
+    rep = A.seasonality_flag(rep, st, ct)
+    rep = A.hfs_flag(rep)
+    rep = A.bulk_flag(rep)
+    rep = A.surge_flag(rep, A.surge_penetration(cat, as_of, surge_days))
+    rep = A.cannibalization_flag(rep)
+    return rep.select(*A.REPORT_COLS)

@@ -146,3 +146,214 @@ def hierarchy(spark, sf_dir):
 
 
 register("hierarchical_outliers", O.with_ctes(O.hierarchy_ctes(), "SELECT * FROM hier"))(hierarchy)
+
+
+# ---------------------------------------------------------------- attribution
+from salesguard.functions.scalar import r6  # noqa: E402
+from salesguard.operators import attribution as A  # noqa: E402
+from salesguard.operators import search as SR  # noqa: E402
+
+REP = ["date_", "city_name", "facility_id", "p_type", "item_id", "item_name", "sales_quantity", "outlier_flag"]
+REP_SQL = ", ".join(REP)
+KW = dict(min_total=P.KW_MIN_TOTAL, min_pair=P.KW_MIN_PAIR, share_cat=P.KW_MIN_SHARE_OF_CATEGORY,
+          share_kw=P.KW_MIN_SHARE_OF_KEYWORD)
+
+
+def _att(body: str, require_event: bool = False) -> str:
+    return O.with_ctes(O.attribution_ctes(require_event), body)
+
+
+def _rep(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    return cat, PL.report_base(cat, P.AS_OF, P.DAYS)
+
+
+@register("event_flag", _att(f"SELECT {REP_SQL}, event_flag FROM r_ev"))
+def q_event_flag(spark, sf_dir):
+    cat, rep = _rep(spark, sf_dir)
+    return A.event_flag(rep, cat.calendar).select(*REP, "event_flag")
+
+
+@register("event_flag_strict", _att(f"SELECT {REP_SQL}, event_flag FROM r_ev", require_event=True))
+def q_event_flag_strict(spark, sf_dir):
+    cat, rep = _rep(spark, sf_dir)
+    return A.event_flag(rep, cat.calendar, require_event=True).select(*REP, "event_flag")
+
+
+@register("keyword_atc", _att("SELECT * FROM kw_atc"))
+def q_keyword_atc(spark, sf_dir):
+    return SR.keyword_atc(_cat(spark, sf_dir))
+
+
+@register("searches", _att("SELECT * FROM srch"))
+def q_searches(spark, sf_dir):
+    return SR.searches(_cat(spark, sf_dir))
+
+
+@register("keyword_category_map", _att(f"""
+SELECT l2_category_id, keyword, CAST(key_tot_atc AS BIGINT) AS key_tot_atc, CAST(l0_tot_atc AS BIGINT) AS l0_tot_atc,
+       CAST(key_l0_atc AS BIGINT) AS key_l0_atc, round(l0_in_key, 6) AS l0_in_key, round(key_in_l0, 6) AS key_in_l0
+FROM kw_l0 WHERE key_in_l0 >= {P.KW_MIN_SHARE_OF_CATEGORY} AND l0_in_key >= {P.KW_MIN_SHARE_OF_KEYWORD}"""))
+def q_keyword_category_map(spark, sf_dir):
+    atc = SR.keyword_atc(_cat(spark, sf_dir))
+    return SR.keyword_category_map(atc, P.KW_MIN_TOTAL, P.KW_MIN_PAIR, P.KW_MIN_SHARE_OF_CATEGORY,
+                                   P.KW_MIN_SHARE_OF_KEYWORD, with_stats=True)
+
+
+@register("keyword_top_k", _att("""
+SELECT l2_category_id, keyword, CAST(key_l0_atc AS BIGINT) AS key_l0_atc, keyword_rank_in_l0 FROM (
+  SELECT *, row_number() OVER (PARTITION BY l2_category_id ORDER BY key_l0_atc DESC, keyword) AS keyword_rank_in_l0
+  FROM kw_l0) WHERE keyword_rank_in_l0 <= 3"""))
+def q_keyword_top_k(spark, sf_dir):
+    atc = SR.keyword_atc(_cat(spark, sf_dir))
+    return SR.top_keywords(atc, 3, P.KW_MIN_TOTAL, P.KW_MIN_PAIR)
+
+
+def _cat_searches(cat):
+    atc = SR.keyword_atc(cat)
+    kwmap = SR.keyword_category_map(atc, P.KW_MIN_TOTAL, P.KW_MIN_PAIR, P.KW_MIN_SHARE_OF_CATEGORY,
+                                    P.KW_MIN_SHARE_OF_KEYWORD)
+    return SR.category_searches(cat, SR.searches(cat), kwmap)
+
+
+@register("category_searches", _att("SELECT * FROM cat_srch"))
+def q_category_searches(spark, sf_dir):
+    return _cat_searches(_cat(spark, sf_dir))
+
+
+@register("avg_searches_store", _att(
+    "SELECT facility_id, item_id, round(store_searches, 6) AS store_searches FROM store_srch"))
+def q_avg_searches_store(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    st, _ = SR.avg_searches(cat, _cat_searches(cat))
+    return st.select("facility_id", "item_id", r6("store_searches").alias("store_searches"))
+
+
+@register("avg_searches_city", _att(
+    "SELECT city_name, item_id, round(city_searches, 6) AS city_searches FROM city_srch"))
+def q_avg_searches_city(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    _, ct = SR.avg_searches(cat, _cat_searches(cat))
+    return ct.select("city_name", "item_id", r6("city_searches").alias("city_searches"))
+
+
+@register("search_seasonality", _att(f"""
+SELECT {REP_SQL}, round(store_searches, 6) AS store_searches, round(city_searches, 6) AS city_searches,
+       store_seasonality_flag, city_seasonality_flag, seasonality_flag FROM r_seas2"""))
+def q_search_seasonality(spark, sf_dir):
+    cat, rep = _rep(spark, sf_dir)
+    st, ct = PL.search_levels(cat, **KW)
+    return (A.seasonality_flag(rep, st, ct)
+            .select(*REP, r6("store_searches").alias("store_searches"), r6("city_searches").alias("city_searches"),
+                    "store_seasonality_flag", "city_seasonality_flag", "seasonality_flag"))
+
+
+@register("hfs_flag", _att(f"SELECT {REP_SQL}, round(hfs_bump_value, 6) AS hfs_bump_value, hfs_flag FROM r_hfs"))
+def q_hfs_flag(spark, sf_dir):
+    _, rep = _rep(spark, sf_dir)
+    return A.hfs_flag(rep).select(*REP, r6("hfs_bump_value").alias("hfs_bump_value"), "hfs_flag")
+
+
+@register("bulk_flag", _att(f"""
+SELECT {REP_SQL}, round(outlier_bump_value, 6) AS outlier_bump_value,
+       round(outlier_bump_value_new, 6) AS outlier_bump_value_new, bulk_buying_flag, bulk_buying_flag_new
+FROM r_bulk"""))
+def q_bulk_flag(spark, sf_dir):
+    _, rep = _rep(spark, sf_dir)
+    return A.bulk_flag(rep).select(*REP, r6("outlier_bump_value").alias("outlier_bump_value"),
+                                   r6("outlier_bump_value_new").alias("outlier_bump_value_new"),
+                                   "bulk_buying_flag", "bulk_buying_flag_new")
+
+
+@register("surge_penetration", _att("SELECT * FROM surge_f"))
+def q_surge_penetration(spark, sf_dir):
+    return A.surge_penetration(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+@register("surge_days", _att("SELECT * FROM surge_d"))
+def q_surge_days(spark, sf_dir):
+    return A.surge_days(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+@register("surge_flag", _att(f"SELECT {REP_SQL}, surge_flag FROM r_surge"))
+def q_surge_flag(spark, sf_dir):
+    cat, rep = _rep(spark, sf_dir)
+    return A.surge_flag(rep, A.surge_penetration(cat, P.AS_OF, P.DAYS)).select(*REP, "surge_flag")
+
+
+@register("cannibalization", _att(f"""
+SELECT {REP_SQL}, round(cannibalization_value, 6) AS cannibalization_value,
+       round(average_cannibalization_value, 6) AS average_cannibalization_value, cannibalization_flag
+FROM r_final"""))
+def q_cannibalization(spark, sf_dir):
+    _, rep = _rep(spark, sf_dir)
+    return A.cannibalization_flag(rep).select(
+        *REP, r6("cannibalization_value").alias("cannibalization_value"),
+        r6("average_cannibalization_value").alias("average_cannibalization_value"), "cannibalization_flag")
+
+
+@register("attribution_report", _att("""
+SELECT date_, city_name, facility_id, p_type, item_id, item_name, sales_quantity, outlier_flag, event_flag,
+       seasonality_flag, hfs_flag, bulk_buying_flag, surge_flag, cannibalization_flag FROM r_final"""))
+def q_attribution_report(spark, sf_dir):
+    return PL.attribution_report(_cat(spark, sf_dir), P.AS_OF, P.DAYS, surge_days=P.DAYS, kw=KW)
+
+
+# store-notebook variants on the store-level clusters
+def _store_seg(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    return cat, PL.level_flags(cat, "store", P.AS_OF, P.DAYS)
+
+
+SEG = ["date_", "city_name", "facility_id", "item_id", "sales_quantity", "cluster"]
+SEG_SQL = ", ".join(SEG)
+
+
+@register("hfs_flag_top_cluster", _att(f"""
+SELECT s.date_, s.city_name, s.facility_id, s.item_id, s.sales_quantity, s.cluster,
+       round((m.hfs / m.non) * m.non, 6) AS hfs_bump_value,
+       CASE WHEN day(s.date_) IN {O.HFS} AND CAST(s.sales_quantity AS DOUBLE) >= (m.hfs / m.non) * m.non
+                 AND s.cluster = 3 THEN 1 ELSE 0 END AS hfs_flag
+FROM flags_store s LEFT JOIN (
+  SELECT city_name, facility_id, item_id,
+         AVG(CASE WHEN day(date_) NOT IN {O.HFS} THEN CAST(sales_quantity AS DOUBLE) END) AS non,
+         AVG(CASE WHEN day(date_) IN {O.HFS} THEN CAST(sales_quantity AS DOUBLE) END) AS hfs
+  FROM flags_store GROUP BY ALL) m
+ON m.city_name = s.city_name AND m.facility_id = s.facility_id AND m.item_id = s.item_id"""))
+def q_hfs_flag_top_cluster(spark, sf_dir):
+    _, seg = _store_seg(spark, sf_dir)
+    return A.hfs_flag_top_cluster(seg).select(*SEG, r6("hfs_bump_value").alias("hfs_bump_value"), "hfs_flag")
+
+
+@register("bulk_flag_ipc", _att("""
+SELECT s.date_, s.city_name, s.facility_id, s.item_id, s.sales_quantity, s.cluster, s.ipc,
+       round((m.top_q / NULLIF(m.mid_q, 0)) * m.mid_ipc, 6) AS bulk_buying_value,
+       CASE WHEN s.ipc >= (m.top_q / NULLIF(m.mid_q, 0)) * m.mid_ipc AND s.cluster = 3 THEN 1 ELSE 0 END AS bulk_flag
+FROM flags_store s LEFT JOIN (
+  SELECT city_name, facility_id, item_id,
+         AVG(CASE WHEN cluster = 2 THEN CAST(sales_quantity AS DOUBLE) END) AS mid_q,
+         AVG(CASE WHEN cluster = 3 THEN CAST(sales_quantity AS DOUBLE) END) AS top_q,
+         AVG(CASE WHEN cluster = 2 THEN ipc END) AS mid_ipc
+  FROM flags_store GROUP BY ALL) m
+ON m.city_name = s.city_name AND m.facility_id = s.facility_id AND m.item_id = s.item_id"""))
+def q_bulk_flag_ipc(spark, sf_dir):
+    _, seg = _store_seg(spark, sf_dir)
+    return A.bulk_flag_ipc(seg).select(*SEG, "ipc", r6("bulk_buying_value").alias("bulk_buying_value"), "bulk_flag")
+
+
+@register("surge_flag_days", _att(f"""
+SELECT {', '.join('s.' + c for c in SEG)},
+       CASE WHEN s.cluster IN (1, 3) AND d.facility_id IS NOT NULL THEN 1 ELSE 0 END AS surge_flag
+FROM flags_store s LEFT JOIN surge_d d ON d.date_ = s.date_ AND d.facility_id = s.facility_id"""))
+def q_surge_flag_days(spark, sf_dir):
+    cat, seg = _store_seg(spark, sf_dir)
+    return A.surge_flag_days(seg, A.surge_days(cat, P.AS_OF, P.DAYS)).select(*SEG, "surge_flag")
+
+
+@register("ptype_store_day", _att("""
+SELECT date_, city_name, facility_id, p_type, round(AVG(CAST(sales_quantity AS DOUBLE)), 6) AS ptype_mean_quantity,
+       round(AVG(ipc), 6) AS ptype_mean_ipc, CAST(COUNT(*) AS BIGINT) AS items
+FROM flags_store GROUP BY ALL"""))
+def q_ptype_store_day(spark, sf_dir):
+    _, seg = _store_seg(spark, sf_dir)
+    return A.ptype_store_day(seg)
