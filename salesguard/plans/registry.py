@@ -357,3 +357,134 @@ FROM flags_store GROUP BY ALL"""))
 def q_ptype_store_day(spark, sf_dir):
     _, seg = _store_seg(spark, sf_dir)
     return A.ptype_store_day(seg)
+
+
+# ---------------------------------------------------------------- seasonality
+from salesguard.operators import demand as D  # noqa: E402
+from salesguard.operators import seasonality as SE  # noqa: E402
+
+
+def _seas(body: str) -> str:
+    return O.with_ctes(O.season_ctes(), body)
+
+
+@register("net_invoice_sales", O.with_ctes({**O.base_ctes(), **{
+    "inv": f"""
+  SELECT CAST(f.checkout_ts AS DATE) AS order_date, CASE WHEN f.return_flag = 'R' THEN 2 ELSE 1 END AS invoice_type_id,
+         f.cart_id AS order_id, f.outlet_id, im.item_id, f.procured AS quantity, f.unit_price AS selling_price,
+         f.unit_mrp AS variant_mrp
+  FROM fact_items f JOIN item_mapping im ON im.product_id = f.product_id
+  WHERE f.order_status = 'DELIVERED' AND f.order_type NOT ILIKE '%internal%'
+    AND {O.window_sql('f.checkout_ts', P.AS_OF, P.DAYS)}""",
+    "ret": """SELECT order_id, item_id, SUM(quantity) AS rq, SUM(quantity * selling_price) AS rsp,
+               SUM(quantity * variant_mrp) AS rmrp
+        FROM inv WHERE invoice_type_id IN (2, 8) GROUP BY ALL""",
+    "sal": """SELECT a.order_date AS date_, a.order_id, a.outlet_id, a.item_id, COALESCE(b.rq, 0) AS rq,
+               COALESCE(b.rsp, 0.0) AS rsp, COALESCE(b.rmrp, 0.0) AS rmrp, SUM(a.quantity) AS sq,
+               SUM(a.quantity * a.selling_price) AS ssp, SUM(a.quantity * a.variant_mrp) AS smrp
+        FROM inv a LEFT JOIN ret b ON b.order_id = a.order_id AND b.item_id = a.item_id
+        WHERE a.invoice_type_id IN (1, 7) GROUP BY 1, 2, 3, 4, 5, 6, 7"""}}, """
+SELECT s.date_, so.city_name, s.outlet_id, s.item_id, n.item_name, ic.l2 AS category,
+       CAST(SUM(s.sq - s.rq) AS BIGINT) AS sales_quantity, round_even(SUM(s.ssp - s.rsp), 2) AS sales_value,
+       round_even(SUM(s.smrp - s.rmrp), 2) AS sales_mrp
+FROM sal s JOIN item_categories ic ON ic.item_id = s.item_id JOIN item_names n ON n.item_id = s.item_id
+JOIN store_outlets so ON so.outlet_id = s.outlet_id GROUP BY ALL"""))
+def q_net_invoice_sales(spark, sf_dir):
+    return D.net_invoice_sales(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+@register("category_demand", _seas("SELECT * FROM cat_dem"))
+def q_category_demand(spark, sf_dir):
+    return D.category_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+@register("product_demand", _seas("SELECT * FROM prod_dem"))
+def q_product_demand(spark, sf_dir):
+    return D.product_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+
+
+def _factors(cat):
+    cd = D.category_demand(cat, P.AS_OF, P.DAYS)
+    weekly = SE.seasonal_index(cd, ["l2_category"], "date", "qty", 7, "dow", "weekly_seasonal")
+    monthly = SE.seasonal_index(cd, ["l2_category"], "date", "qty", 30, "dom", "monthly_seasonal")
+    return weekly, monthly
+
+
+@register("seasonal_decompose_weekly", _seas(
+    "SELECT date, l2_category, qty, round(trend, 6) AS trend, phase, seasonal FROM dw_d"))
+def q_seasonal_decompose_weekly(spark, sf_dir):
+    cd = D.category_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+    d = SE.seasonal_decompose(cd, ["l2_category"], "date", "qty", 7)
+    return d.select("date", "l2_category", "qty", SE.r6_col("trend"), "phase", "seasonal")
+
+
+@register("seasonal_weekly", _seas("SELECT * FROM sw"))
+def q_seasonal_weekly(spark, sf_dir):
+    return _factors(_cat(spark, sf_dir))[0]
+
+
+@register("seasonal_monthly", _seas("SELECT * FROM sm"))
+def q_seasonal_monthly(spark, sf_dir):
+    return _factors(_cat(spark, sf_dir))[1]
+
+
+def _deseasonalised(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    weekly, monthly = _factors(cat)
+    pdm = D.product_demand(cat, P.AS_OF, P.DAYS)
+    return SE.deseasonalise(pdm, monthly, weekly)
+
+
+DES_COLS = "date, wom, dom, dow, l2_category, product_id, qty"
+
+
+@register("deseasonalised", _seas(f"SELECT {DES_COLS}, round(adjusted, 6) AS adjusted FROM des"))
+def q_deseasonalised(spark, sf_dir):
+    d = _deseasonalised(spark, sf_dir)
+    return d.select(*DES_COLS.split(", "), SE.r6_col("adjusted"))
+
+
+@register("rolling_spikes", _seas(f"""
+SELECT {DES_COLS}, round(adjusted, 6) AS adjusted, round(rolling_median, 6) AS rolling_median,
+       round(rolling_75, 6) AS rolling_75, round(rolling_25, 6) AS rolling_25, round(IQR, 6) AS IQR,
+       CASE WHEN adjusted > (1.5 * IQR) + rolling_75 OR adjusted < rolling_25 - (1.5 * IQR) THEN 1 ELSE 0 END AS spike
+FROM rq2"""))
+def q_rolling_spikes(spark, sf_dir):
+    d = SE.rolling_iqr_spike(_deseasonalised(spark, sf_dir), ["product_id"], "date")
+    return d.select(*DES_COLS.split(", "), *[SE.r6_col(c) for c in
+                    ("adjusted", "rolling_median", "rolling_75", "rolling_25", "IQR")], "spike")
+
+
+@register("robust_z", _seas(f"""
+SELECT {DES_COLS}, round(adjusted, 6) AS adjusted,
+       round((adjusted - rolling_median) / NULLIF(IQR, 0), 6) AS zscore,
+       CASE WHEN (adjusted - rolling_median) / NULLIF(IQR, 0) >= 3 THEN 1 ELSE 0 END AS spike
+FROM rq2"""))
+def q_robust_z(spark, sf_dir):
+    d = SE.robust_z(_deseasonalised(spark, sf_dir), ["product_id"], "date")
+    return d.select(*DES_COLS.split(", "), SE.r6_col("adjusted"), SE.r6_col("zscore"), "spike")
+
+
+@register("mean_ratio", _seas(f"""
+SELECT {DES_COLS}, round(adjusted, 6) AS adjusted, round(rolling_mean, 6) AS rolling_mean,
+       round(adjusted / NULLIF(rolling_mean, 0), 6) AS ratio,
+       CASE WHEN adjusted / NULLIF(rolling_mean, 0) IS NOT NULL
+                 AND (abs(adjusted / NULLIF(rolling_mean, 0)) < 0.85
+                      OR abs(adjusted / NULLIF(rolling_mean, 0)) > 1.15) THEN 1 ELSE 0 END AS spike
+FROM rq2"""))
+def q_mean_ratio(spark, sf_dir):
+    d = SE.mean_ratio(_deseasonalised(spark, sf_dir), ["product_id"], "date")
+    return d.select(*DES_COLS.split(", "), SE.r6_col("adjusted"), SE.r6_col("rolling_mean"), SE.r6_col("ratio"),
+                    "spike")
+
+
+@register("zscore", O.with_ctes(O.base_ctes(), """
+SELECT date_, city_name, facility_id, item_id, sales_quantity,
+       round((sales_quantity - AVG(sales_quantity) OVER w) / NULLIF(STDDEV_POP(sales_quantity) OVER w, 0), 6) AS zscore,
+       CASE WHEN abs((sales_quantity - AVG(sales_quantity) OVER w) / NULLIF(STDDEV_POP(sales_quantity) OVER w, 0)) >= 3
+            THEN 1 ELSE 0 END AS z_flag
+FROM daily_store WINDOW w AS (PARTITION BY city_name, facility_id, item_id)"""))
+def q_zscore(spark, sf_dir):
+    d = S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS)
+    z = SE.zscore(d, ["city_name", "facility_id", "item_id"], "sales_quantity")
+    return z.select("date_", "city_name", "facility_id", "item_id", "sales_quantity", SE.r6_col("zscore"), "z_flag")
