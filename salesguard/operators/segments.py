@@ -144,8 +144,8 @@ def range_table(seg: DataFrame, keys: list[str], value: str = "sales_quantity",
     lo, hi = F.col("_lo"), F.col("_hi")
     if midpoint:
         lo, hi = (lo + F.col("_mid")) / 2, (hi + F.col("_mid")) / 2
-    ts = (F.to_timestamp(F.lit(updated_at)) if updated_at
-          else F.from_utc_timestamp(F.current_timestamp(), "Asia/Kolkata"))
+    ts = (F.lit(updated_at).cast("timestamp_ntz") if updated_at
+          else F.from_utc_timestamp(F.current_timestamp(), "Asia/Kolkata").cast("timestamp_ntz"))
     return g.select(*[F.col(k).cast("int").alias(k) if k.endswith("_id") else F.col(k) for k in keys],
                     money(lo).alias("min"), money(hi).alias("max"), ts.alias("updated_at"))
 

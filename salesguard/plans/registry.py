@@ -488,3 +488,182 @@ def q_zscore(spark, sf_dir):
     d = S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS)
     z = SE.zscore(d, ["city_name", "facility_id", "item_id"], "sales_quantity")
     return z.select("date_", "city_name", "facility_id", "item_id", "sales_quantity", SE.r6_col("zscore"), "z_flag")
+
+
+# ---------------------------------------------------------------- stats and small detectors
+from salesguard.operators import stats as ST  # noqa: E402
+from salesguard.sources import sinks as SK  # noqa: E402
+
+UPDATED_AT_NEW = "2001-08-02 05:30:00"
+_Q = "CAST(sales_quantity AS DOUBLE)"
+
+
+def _country(spark, sf_dir):
+    return S.daily_sales(_cat(spark, sf_dir), "country", P.AS_OF, P.DAYS)
+
+
+@register("profile_stats", O.with_ctes(O.base_ctes(), f"""
+SELECT item_id, COUNT({_Q}) AS n, SUM(CASE WHEN sales_quantity IS NULL THEN 1 ELSE 0 END) AS nulls,
+       MIN({_Q}) AS "min", MAX({_Q}) AS "max", round(AVG({_Q}), 6) AS mean, round(STDDEV_SAMP({_Q}), 6) AS std,
+       round(CASE WHEN VAR_POP({_Q}) > 0 THEN skewness({_Q}) END, 6) AS skew,
+       round(CASE WHEN VAR_POP({_Q}) > 0 THEN kurtosis({_Q}) END, 6) AS kurt,
+       round(quantile_cont({_Q}, 0.25), 6) AS q25, round(quantile_cont({_Q}, 0.5), 6) AS median,
+       round(quantile_cont({_Q}, 0.75), 6) AS q75,
+       round(quantile_cont({_Q}, 0.75) - quantile_cont({_Q}, 0.25), 6) AS iqr
+FROM daily_country GROUP BY item_id"""))
+def q_profile_stats(spark, sf_dir):
+    return ST.profile_stats(_country(spark, sf_dir), ["item_id"], "sales_quantity")
+
+
+_DS_COLS = ["date_", "city_name", "facility_id", "p_type", "item_id", "item_name", "sales_quantity", "sales_value",
+            "sales_value_mrp", "ipc"]
+
+
+@register("null_counts", O.with_ctes(O.base_ctes(), "SELECT " + ", ".join(
+    f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c in _DS_COLS) + " FROM daily_store"))
+def q_null_counts(spark, sf_dir):
+    return ST.null_counts(S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS).select(*_DS_COLS))
+
+
+@register("cluster_counts", O.with_ctes({**O.base_ctes(), **O.flag_ctes("country")},
+                                        "SELECT cluster, COUNT(*) AS count FROM flags_country GROUP BY cluster"))
+def q_cluster_counts(spark, sf_dir):
+    return ST.value_counts(PL.level_flags(_cat(spark, sf_dir), "country", P.AS_OF, P.DAYS), "cluster")
+
+
+@register("median_impute", O.with_ctes(O.base_ctes(), f"""
+SELECT d.date_, d.item_id, d.sales_quantity,
+       CASE WHEN {_Q} > q.qq[3] + 1.5 * (q.qq[3] - q.qq[1]) OR {_Q} < q.qq[1] - 1.5 * (q.qq[3] - q.qq[1])
+            THEN round(q.qq[2], 6) ELSE {_Q} END AS sales_imputed
+FROM daily_country d LEFT JOIN (
+  SELECT item_id, quantile_cont({_Q}, [0.25, 0.5, 0.75]) AS qq FROM daily_country GROUP BY item_id) q
+ON q.item_id = d.item_id"""))
+def q_median_impute(spark, sf_dir):
+    d = _country(spark, sf_dir).withColumn("_x", F.col("sales_quantity").cast("double"))
+    from salesguard.operators.segments import median_impute
+    m = median_impute(d, ["item_id"], "_x", out="sales_imputed")
+    return m.select("date_", "item_id", "sales_quantity", r6("sales_imputed").alias("sales_imputed"))
+
+
+@register("standardise", O.with_ctes(O.base_ctes(), f"""
+SELECT date_, item_id, sales_quantity, ipc,
+       round(({_Q} - AVG({_Q}) OVER w) / NULLIF(STDDEV_POP({_Q}) OVER w, 0), 6) AS sales_quantity_std,
+       round((ipc - AVG(ipc) OVER w) / NULLIF(STDDEV_POP(ipc) OVER w, 0), 6) AS ipc_std
+FROM daily_country WINDOW w AS (PARTITION BY item_id)"""))
+def q_standardise(spark, sf_dir):
+    d = _country(spark, sf_dir).withColumn("sales_q", F.col("sales_quantity").cast("double"))
+    z = ST.standardise(d, ["item_id"], ["sales_q", "ipc"])
+    return z.select("date_", "item_id", "sales_quantity", "ipc", r6("sales_q_std").alias("sales_quantity_std"),
+                    r6("ipc_std").alias("ipc_std"))
+
+
+DB_EPS, DB_MIN = 2, 3
+
+
+def _dbscan_sql(src: str, key: str, x: str) -> dict[str, str]:
+    o = f"PARTITION BY {key} ORDER BY {x}"
+    cx = f"CASE WHEN core THEN {x} END"
+    return {
+        "db0": f"SELECT *, COUNT(*) OVER ({o} RANGE BETWEEN {DB_EPS} PRECEDING AND {DB_EPS} FOLLOWING) >= {DB_MIN} "
+               f"AS core FROM {src}",
+        "db1": f"SELECT *, last_value({cx} IGNORE NULLS) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+               f"AS prev_core FROM db0",
+        "db2": f"SELECT *, CASE WHEN core AND (prev_core IS NULL OR {x} - prev_core > {DB_EPS}) THEN 1 ELSE 0 END "
+               f"AS st FROM db1",
+        "db3": f"SELECT *, CASE WHEN core THEN SUM(st) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 "
+               f"END AS cid FROM db2",
+        "db4": f"""SELECT *,
+  last_value({cx} IGNORE NULLS) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lo_x,
+  last_value(cid IGNORE NULLS) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lo_c,
+  first_value({cx} IGNORE NULLS) OVER ({o} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi_x,
+  first_value(cid IGNORE NULLS) OVER ({o} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi_c FROM db3""",
+        "db5": f"""SELECT *, CAST(CASE WHEN core THEN cid
+  WHEN lo_x IS NOT NULL AND {x} - lo_x <= {DB_EPS}
+       AND (NOT (hi_x IS NOT NULL AND hi_x - {x} <= {DB_EPS}) OR {x} - lo_x <= hi_x - {x}) THEN lo_c
+  WHEN hi_x IS NOT NULL AND hi_x - {x} <= {DB_EPS} THEN hi_c ELSE -1 END AS INTEGER) AS dbscan_label,
+  CAST(core AS INTEGER) AS dbscan_core FROM db4""",
+    }
+
+
+@register("dbscan_1d", O.with_ctes({**O.base_ctes(), **_dbscan_sql("daily_country", "item_id", "sales_quantity")},
+                                   "SELECT date_, item_id, sales_quantity, dbscan_label, dbscan_core FROM db5"))
+def q_dbscan_1d(spark, sf_dir):
+    d = ST.dbscan_1d(_country(spark, sf_dir), ["item_id"], "sales_quantity", DB_EPS, DB_MIN)
+    return d.select("date_", "item_id", "sales_quantity", "dbscan_label", "dbscan_core")
+
+
+Z_VOTE = 2.0
+
+
+def _detectors(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    fl = PL.level_flags(cat, "country", P.AS_OF, P.DAYS)
+    z = SE.zscore(fl, ["item_id"], "sales_quantity", Z_VOTE)
+    db = ST.dbscan_1d(z, ["item_id"], "sales_quantity", DB_EPS, DB_MIN)
+    db = db.withColumn("dbscan_flag", F.when(F.col("dbscan_label") == -1, 1).otherwise(0))
+    return ST.vote(db, ["outlier_pan_item", "z_flag", "dbscan_flag"], 2)
+
+
+def _detectors_sql() -> dict[str, str]:
+    c = {**O.base_ctes(), **O.flag_ctes("country")}
+    c["zc"] = f"""SELECT *, CASE WHEN abs(({_Q} - AVG({_Q}) OVER w) / NULLIF(STDDEV_POP({_Q}) OVER w, 0)) >= {Z_VOTE}
+  THEN 1 ELSE 0 END AS z_flag FROM flags_country WINDOW w AS (PARTITION BY item_id)"""
+    c.update(_dbscan_sql("zc", "item_id", "sales_quantity"))
+    c["vt"] = """SELECT *, CASE WHEN dbscan_label = -1 THEN 1 ELSE 0 END AS dbscan_flag,
+  outlier_pan_item + z_flag + CASE WHEN dbscan_label = -1 THEN 1 ELSE 0 END AS votes FROM db5"""
+    c["vt2"] = "SELECT *, CASE WHEN votes >= 2 THEN 1 ELSE 0 END AS vote_flag FROM vt"
+    return c
+
+
+@register("vote", O.with_ctes(_detectors_sql(), """
+SELECT date_, item_id, sales_quantity, outlier_pan_item, z_flag, dbscan_flag, votes, vote_flag FROM vt2"""))
+def q_vote(spark, sf_dir):
+    return _detectors(spark, sf_dir).select("date_", "item_id", "sales_quantity", "outlier_pan_item", "z_flag",
+                                            "dbscan_flag", "votes", "vote_flag")
+
+
+def _eval_sql(col: str) -> str:
+    tp, fp = f"COUNT_IF({col} = 1 AND vote_flag = 1)", f"COUNT_IF({col} = 1 AND vote_flag <> 1)"
+    fn, tn = f"COUNT_IF({col} <> 1 AND vote_flag = 1)", f"COUNT_IF({col} <> 1 AND vote_flag <> 1)"
+    prec = f"CAST({tp} AS DOUBLE) / NULLIF(CAST({tp} + {fp} AS DOUBLE), 0)"
+    rec = f"CAST({tp} AS DOUBLE) / NULLIF(CAST({tp} + {fn} AS DOUBLE), 0)"
+    return (f"SELECT '{col}' AS detector, {tp} AS tp, {fp} AS fp, {fn} AS fn, {tn} AS tn, round({prec}, 6) AS precision, "
+            f"round({rec}, 6) AS recall, round(2 * ({prec}) * ({rec}) / NULLIF(({prec}) + ({rec}), 0), 6) AS f1 FROM vt2")
+
+
+@register("evaluate", O.with_ctes(_detectors_sql(), " UNION ALL ".join(
+    _eval_sql(c) for c in ("outlier_pan_item", "z_flag", "dbscan_flag"))))
+def q_evaluate(spark, sf_dir):
+    d = _detectors(spark, sf_dir)
+    parts = [ST.evaluate(d, c, "vote_flag").select(F.lit(c).alias("detector"), "*")
+             for c in ("outlier_pan_item", "z_flag", "dbscan_flag")]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+@register("within_range", O.with_ctes({**O.range_ctes(False), "rt": O.range_select("rg", UPDATED_AT)}, """
+SELECT d.date_, d.facility_id, d.item_id, d.sales_quantity, r."min" AS range_min, r."max" AS range_max,
+       CASE WHEN CAST(d.sales_quantity AS DOUBLE) < r."min" OR CAST(d.sales_quantity AS DOUBLE) > r."max"
+            THEN 1 ELSE 0 END AS out_of_range
+FROM prod_daily d LEFT JOIN rt r ON r.facility_id = d.facility_id AND r.item_id = d.item_id"""))
+def q_within_range(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    ranges, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, updated_at=UPDATED_AT)
+    daily, _ = PL.range_input(cat, P.AS_OF, P.DAYS)
+    return (ST.within_range(daily, ranges, ["facility_id", "item_id"])
+            .select("date_", "facility_id", "item_id", "sales_quantity", "range_min", "range_max", "out_of_range"))
+
+
+@register("upsert_latest", O.with_ctes({**O.range_ctes(False), **O.range_ctes(True, p="rk"),
+                                        "old_r": O.range_select("rg", UPDATED_AT),
+                                        "new_r": O.range_select("rk", UPDATED_AT_NEW)}, """
+SELECT facility_id, item_id, "min", "max", updated_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY facility_id, item_id ORDER BY updated_at DESC, src DESC) AS rn
+  FROM (SELECT *, 0 AS src FROM old_r UNION ALL SELECT *, 1 AS src FROM new_r)) WHERE rn = 1"""))
+def q_upsert_latest(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    old, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, updated_at=UPDATED_AT)
+    new, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT_NEW)
+    return SK.upsert_latest(old, new, ["facility_id", "item_id"], "updated_at")
