@@ -667,3 +667,64 @@ def q_upsert_latest(spark, sf_dir):
     old, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, updated_at=UPDATED_AT)
     new, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT_NEW)
     return SK.upsert_latest(old, new, ["facility_id", "item_id"], "updated_at")
+
+
+# ---------------------------------------------------------------- model detectors (rows-only checks)
+from salesguard.functions.scalar import is_workday  # noqa: E402
+from salesguard.operators import models as M  # noqa: E402
+
+
+def _country_features(spark, sf_dir):
+    fl = PL.level_flags(_cat(spark, sf_dir), "country", P.AS_OF, P.DAYS)
+    return fl.withColumn("workday", is_workday("date_").cast("double"))
+
+
+def _store_features(spark, sf_dir):
+    d = S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS)
+    return d.select("date_", "city_name", "facility_id", "item_id", F.col("sales_quantity").cast("double")
+                    .alias("sales_quantity"), "ipc").dropna()
+
+
+STORE_KEYS = ["date_", "city_name", "facility_id", "item_id"]
+
+
+@register("kmeans_2d")
+def q_kmeans_2d(spark, sf_dir):
+    d = _country_features(spark, sf_dir).select("date_", "item_id", "sales_quantity", "Sales", "workday")
+    return M.kmeans_2d(d, ["item_id"], ["Sales", "workday"]).select(
+        "date_", "item_id", "sales_quantity", "cluster", "kmeans_flag")
+
+
+@register("elbow")
+def q_elbow(spark, sf_dir):
+    return M.kmeans_elbow(_country_features(spark, sf_dir), ["Sales", "workday"])
+
+
+@register("silhouette")
+def q_silhouette(spark, sf_dir):
+    return M.silhouette(_country_features(spark, sf_dir), ["Sales", "workday"])
+
+
+@register("gmm")
+def q_gmm(spark, sf_dir):
+    d = _country_features(spark, sf_dir).select("date_", "item_id", "Sales", "workday")
+    return M.gmm(d, ["Sales", "workday"]).select("date_", "item_id", "prediction", "probability")
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf_dir):
+    d = M.isolation_forest(_store_features(spark, sf_dir), STORE_KEYS, ["sales_quantity", "ipc"],
+                           n_trees=100, max_samples=256, contamination=0.01)
+    return d.select(*STORE_KEYS, r6("iforest_score").alias("iforest_score"), "iforest_flag")
+
+
+@register("elliptic_envelope")
+def q_elliptic_envelope(spark, sf_dir):
+    d = M.elliptic_envelope(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], 0.01)
+    return d.select(*STORE_KEYS, r6("robust_distance").alias("robust_distance"), "envelope_flag")
+
+
+@register("one_class_svm")
+def q_one_class_svm(spark, sf_dir):
+    d = M.one_class(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], nu=0.01)
+    return d.select(*STORE_KEYS, r6("oc_score").alias("oc_score"), "oc_flag")
