@@ -7,13 +7,18 @@ The profile log-likelihood of Box and Cox (1964) for positive x is
 Each group is evaluated on a coarse lambda grid ([-5, 5], step 0.2) and then
 on a fine grid (+-0.2 around the coarse optimum, step 0.005). Grid points are
 generated per row with ``explode(sequence(..))`` (a constant fan-out, no join),
-the likelihood terms are ordinary grouped aggregates (partial aggregation
-before the shuffle), and the optimum is picked with ``max_by``. The
-log-likelihood is rounded to 6 digits and ties go to the smaller lambda, so the
-result is deterministic across engines and partitionings.
-
-Groups whose values are constant or not all positive have no transform (the
-reference raises there); they are absent from the output.
+the likelihood terms are ordinary grouped aggregates, and the optimum is
+picked with ``max_by``.
+
+Plan: the rows are hash-partitioned by the group keys once (a group holds one
+row per day, so no partition is hot). Constant groups (variance 0) and groups
+with non-positive values drop out inside the grid aggregate, so no
+eligibility join is needed; the grid aggregates, the argmax and the join of
+the coarse optimum back to the rows then run without another shuffle.
+
+The log-likelihood is rounded to 6 digits and ties go to the smaller lambda,
+so the result is deterministic across engines and partitionings. Groups that
+cannot be transformed (the reference raises there) are absent from the output.
 """
 
 from __future__ import annotations
@@ -27,30 +32,32 @@ COARSE_N, COARSE_STEP = 51, 0.2     # lambda = (i - 25) * 0.2, i = 0..50
 FINE_N, FINE_DIV = 81, 200.0        # lambda = lam0 + (k - 40) / 200, k = 0..80
 
 
+def by_keys(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Hash-partition by the group keys once, so per-key steps need no further shuffle."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def _llf_argmax(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     y = boxcox(F.col(x), F.col("lam"))
     agg = (df.groupBy(*keys, "lam")
-             .agg(F.var_pop(y).alias("v"), F.sum(F.ln(F.col(x))).alias("sl"), F.count(F.lit(1)).alias("n")))
+             .agg(F.var_pop(y).alias("v"), F.sum(F.ln(F.col(x))).alias("sl"), F.count(F.lit(1)).alias("n"),
+                  F.min(F.col(x)).alias("mn")))
     llf = (F.col("lam") - 1) * F.col("sl") - F.col("n") / 2.0 * F.ln(F.col("v"))
-    return (agg.filter(F.col("v") > 0)
+    return (agg.filter((F.col("v") > 0) & (F.col("mn") > 0))
                .withColumn("llf", F.round(llf, 6))
                .groupBy(*keys)
                .agg(F.max_by(F.col("lam"), F.struct(F.col("llf"), -F.col("lam"))).alias("lam"),
                     F.max("llf").alias("llf")))
 
 
-def eligible(df: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """Rows of groups that can be transformed: >= 2 distinct values, all > 0."""
-    ok = (df.groupBy(*keys)
-            .agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
-            .filter((F.col("_mn") > 0) & (F.col("_mx") > F.col("_mn")))
-            .select(*keys))
-    return df.join(ok, keys, "left_semi")
-
+def boxcox_lambda(df: DataFrame, keys: list[str], x: str = "sales_quantity", partitioned: bool = False) -> DataFrame:
+    """One row per transformable group: keys, lam (3 decimals), llf.
 
-def boxcox_lambda(df: DataFrame, keys: list[str], x: str = "sales_quantity") -> DataFrame:
-    """One row per transformable group: keys, lam (3 decimals), llf."""
-    base = eligible(df.select(*keys, F.col(x).cast("double").alias("_x")), keys, "_x")
+    ``partitioned=True`` declares ``df`` already hash-partitioned by ``keys``.
+    """
+    src = df.select(*keys, F.col(x).cast("double").alias("_x"))
+    base = src if partitioned else by_keys(src, keys)
     coarse = (base.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(COARSE_N - 1))))
                   .withColumn("lam", (F.col("_g") - (COARSE_N - 1) // 2) * COARSE_STEP))
     best = _llf_argmax(coarse, keys, "_x").select(*keys, F.col("lam").alias("_lam0"))
@@ -60,8 +67,9 @@ def boxcox_lambda(df: DataFrame, keys: list[str], x: str = "sales_quantity") ->
     return _llf_argmax(fine, keys, "_x")
 
 
-def apply_boxcox(df: DataFrame, keys: list[str], x: str = "sales_quantity", out: str = "Sales") -> DataFrame:
+def apply_boxcox(df: DataFrame, keys: list[str], x: str = "sales_quantity", out: str = "Sales",
+                 partitioned: bool = False) -> DataFrame:
     """Add the transformed value ``out`` (NULL for non-transformable groups) and ``lam``."""
-    lam = boxcox_lambda(df, keys, x).select(*keys, "lam")
+    lam = boxcox_lambda(df, keys, x, partitioned).select(*keys, "lam")
     return (df.join(lam, keys, "left")
               .withColumn(out, boxcox(F.col(x).cast("double"), F.col("lam"))))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesguard.functions.scalar import flag, money
-from salesguard.operators.boxcox import apply_boxcox
+from salesguard.operators.boxcox import apply_boxcox, by_keys
 
 # Error reasons of the range pipeline (text as the reference writes it).
 REASON_SPARSE = "Less Than 2 carts per month"
@@ -69,18 +69,17 @@ def best_three_cuts(y: np.ndarray, w: np.ndarray) -> tuple[int, int] | None:
     return best
 
 
-def _segment_fn(keys: list[str]):
+def _segment_fn(value: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one key: rows = distinct raw values q with transformed value z and weight w
-        bins = pdf.groupby("z", sort=True)["w"].sum()
+        # one key's daily rows; clustering input ``Sales``; identical values share a bin
+        bins = pdf.groupby("Sales", sort=True).size()
         cuts = best_three_cuts(bins.index.to_numpy(dtype=np.float64), bins.to_numpy(dtype=np.float64))
         if cuts is None:
-            return pdf.iloc[0:0][keys + ["q"]].assign(cluster=pd.Series(dtype="int32"))
+            return pdf.assign(cluster=pd.Series([None] * len(pdf), dtype="Int32"))
         i, j = cuts
         lo_max, hi_min = bins.index[i], bins.index[j + 1]
-        z = pdf["z"].to_numpy()
-        cluster = np.where(z <= lo_max, 1, np.where(z >= hi_min, 3, 2)).astype("int32")
-        return pdf[keys + ["q"]].assign(cluster=cluster)
+        z = pdf["Sales"].to_numpy()
+        return pdf.assign(cluster=np.where(z <= lo_max, 1, np.where(z >= hi_min, 3, 2)).astype("int32"))
     return fn
 
 
@@ -102,9 +101,12 @@ def median_impute(df: DataFrame, keys: list[str], col: str, k: float = 1.5, out:
 
 def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
                 value: str = "sales_quantity") -> DataFrame:
-    """Daily rows plus ``Sales`` (the clustering input) and ``bc_ok`` (transform succeeded)."""
+    """Daily rows plus ``Sales`` (the clustering input) and ``bc_ok`` (transform succeeded).
+
+    ``daily`` must be hash-partitioned by ``keys`` (see ``segment``).
+    """
     if transform == "boxcox":
-        d = apply_boxcox(daily, keys, value, "_bc")
+        d = apply_boxcox(daily, keys, value, "_bc", partitioned=True)
         d = (d.withColumn("bc_ok", F.col("_bc").isNotNull())
               .withColumn("Sales", F.coalesce(F.col("_bc"), F.col(value).cast("double")))
               .drop("_bc", "lam"))
@@ -118,17 +120,17 @@ def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", im
 
 
 def segment(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
-            value: str = "sales_quantity") -> DataFrame:
+            value: str = "sales_quantity", partitions: int | None = None) -> DataFrame:
     """Daily rows with ``Sales`` and ``cluster`` (1 low, 2 middle, 3 high; NULL if
-    the key has fewer than three distinct values)."""
-    t = transformed(daily, keys, transform, impute, value)
-    hist = (t.groupBy(*keys, F.col(value).alias("q"))
-              .agg(F.first("Sales").alias("z"), F.count(F.lit(1)).alias("w")))
-    key_fields = [t.schema[k] for k in keys]
-    schema = T.StructType(key_fields + [T.StructField("q", t.schema[value].dataType),
-                                        T.StructField("cluster", T.IntegerType())])
-    labels = hist.groupBy(*keys).applyInPandas(_segment_fn(keys), schema)
-    return t.join(labels.withColumnRenamed("q", value), keys + [value], "left")
+    the key has fewer than three distinct values).
+
+    One exchange: the rows are hash-partitioned by ``keys``; the Box-Cox grid,
+    the joins on ``keys``, imputation and the per-key segmentation then all
+    run inside those partitions.
+    """
+    t = transformed(by_keys(daily, keys, partitions), keys, transform, impute, value)
+    schema = T.StructType(t.schema.fields + [T.StructField("cluster", T.IntegerType())])
+    return t.groupBy(*keys).applyInPandas(_segment_fn(value), schema)
 
 
 def range_table(seg: DataFrame, keys: list[str], value: str = "sales_quantity", midpoint: bool = False,
