@@ -52,17 +52,21 @@ def standardise(df: DataFrame, keys: list[str], cols: list[str], suffix: str = "
     return out
 
 
-def dbscan_1d(df: DataFrame, keys: list[str], x: str, eps: float = 2.0, min_samples: int = 3) -> DataFrame:
+def dbscan_1d(df: DataFrame, keys: list[str], x: str, eps: int = 2, min_samples: int = 3) -> DataFrame:
     """DBSCAN on one feature per key, with RANGE frames instead of a distance matrix.
 
-    core: at least ``min_samples`` values within +-eps (itself included);
+    Works on each key's distinct values (weight = number of rows), so the
+    window order is total and ties cannot change the result:
+    core: at least ``min_samples`` rows within +-eps (itself included);
     clusters: runs of core values with gaps <= eps (gaps-and-islands);
     border: non-core value within eps of a core value joins the nearest core's
     cluster (ties: lower); noise: -1. Cluster ids are 0-based in value order.
+    ``eps`` is an integer (Spark RANGE frame offsets).
     """
+    h = df.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_w"))
     order = Window.partitionBy(*keys).orderBy(F.col(x))
     rng = order.rangeBetween(-eps, eps)
-    d = df.withColumn("_cnt", F.count(F.lit(1)).over(rng)).withColumn("_core", F.col("_cnt") >= min_samples)
+    d = h.withColumn("_core", F.sum("_w").over(rng) >= min_samples)
     core_x = F.when(F.col("_core"), F.col(x))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_prev_core", F.last(core_x, ignorenulls=True).over(before))
@@ -83,9 +87,9 @@ def dbscan_1d(df: DataFrame, keys: list[str], x: str, eps: float = 2.0, min_samp
               .when(lo_ok & (~hi_ok | (dlo <= dhi)), F.col("_lo_c"))
               .when(hi_ok, F.col("_hi_c"))
               .otherwise(F.lit(-1)))
-    return (d.withColumn("dbscan_label", label.cast("int"))
-             .withColumn("dbscan_core", F.col("_core").cast("int"))
-             .drop("_cnt", "_core", "_prev_core", "_start", "_cid", "_lo_x", "_lo_c", "_hi_x", "_hi_c"))
+    labels = d.select(*keys, x, label.cast("int").alias("dbscan_label"),
+                      F.col("_core").cast("int").alias("dbscan_core"))
+    return df.join(labels, keys + [x], "left")
 
 
 def vote(df: DataFrame, flags: list[str], quorum: int, out: str = "vote_flag") -> DataFrame:

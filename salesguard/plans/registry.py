@@ -140,9 +140,7 @@ for _lvl in ("store", "city", "country"):
 
 
 def hierarchy(spark, sf_dir):
-    cat = _cat(spark, sf_dir)
-    lv = {lvl: PL.level_flags(cat, lvl, P.AS_OF, P.DAYS) for lvl in ("store", "city", "country")}
-    return PL.hierarchical_outliers(lv["store"], lv["city"], lv["country"])
+    return PL.hierarchy(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
 
 
 register("hierarchical_outliers", O.with_ctes(O.hierarchy_ctes(), "SELECT * FROM hier"))(hierarchy)
@@ -564,8 +562,9 @@ def _dbscan_sql(src: str, key: str, x: str) -> dict[str, str]:
     o = f"PARTITION BY {key} ORDER BY {x}"
     cx = f"CASE WHEN core THEN {x} END"
     return {
-        "db0": f"SELECT *, COUNT(*) OVER ({o} RANGE BETWEEN {DB_EPS} PRECEDING AND {DB_EPS} FOLLOWING) >= {DB_MIN} "
-               f"AS core FROM {src}",
+        "dbh": f"SELECT {key}, {x}, COUNT(*) AS w FROM {src} GROUP BY ALL",
+        "db0": f"SELECT *, SUM(w) OVER ({o} RANGE BETWEEN {DB_EPS} PRECEDING AND {DB_EPS} FOLLOWING) >= {DB_MIN} "
+               f"AS core FROM dbh",
         "db1": f"SELECT *, last_value({cx} IGNORE NULLS) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
                f"AS prev_core FROM db0",
         "db2": f"SELECT *, CASE WHEN core AND (prev_core IS NULL OR {x} - prev_core > {DB_EPS}) THEN 1 ELSE 0 END "
@@ -577,11 +576,13 @@ def _dbscan_sql(src: str, key: str, x: str) -> dict[str, str]:
   last_value(cid IGNORE NULLS) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lo_c,
   first_value({cx} IGNORE NULLS) OVER ({o} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi_x,
   first_value(cid IGNORE NULLS) OVER ({o} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi_c FROM db3""",
-        "db5": f"""SELECT *, CAST(CASE WHEN core THEN cid
+        "dbl": f"""SELECT {key}, {x}, CAST(CASE WHEN core THEN cid
   WHEN lo_x IS NOT NULL AND {x} - lo_x <= {DB_EPS}
        AND (NOT (hi_x IS NOT NULL AND hi_x - {x} <= {DB_EPS}) OR {x} - lo_x <= hi_x - {x}) THEN lo_c
   WHEN hi_x IS NOT NULL AND hi_x - {x} <= {DB_EPS} THEN hi_c ELSE -1 END AS INTEGER) AS dbscan_label,
   CAST(core AS INTEGER) AS dbscan_core FROM db4""",
+        "db5": f"SELECT s.*, l.dbscan_label, l.dbscan_core FROM {src} s LEFT JOIN dbl l "
+               f"ON l.{key} = s.{key} AND l.{x} = s.{x}",
     }
 
 
