@@ -135,3 +135,12 @@ def r6_col(name: str):
     """Round a named column to 6 digits (output form used for comparison)."""
     from salesguard.functions.scalar import r6
     return r6(F.col(name)).alias(name)
+
+
+def rolling_mean_std(df: DataFrame, keys: list[str], date: str, x: str, window: int = 21) -> DataFrame:
+    """Mean and sample standard deviation of the ``window`` rows before each
+    row (NULL until ``window`` earlier values exist)."""
+    w = Window.partitionBy(*keys).orderBy(date).rowsBetween(-window, -1)
+    full = F.count(F.col(x)).over(w) == window
+    return (df.withColumn("rolling_mean", F.when(full, F.avg(F.col(x)).over(w)))
+              .withColumn("rolling_std", F.when(full, F.stddev_samp(F.col(x)).over(w))))

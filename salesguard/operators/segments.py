@@ -110,10 +110,12 @@ def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", im
         d = (d.withColumn("bc_ok", F.col("_bc").isNotNull())
               .withColumn("Sales", F.coalesce(F.col("_bc"), F.col(value).cast("double")))
               .drop("_bc", "lam"))
-    elif transform == "none":
-        d = daily.withColumn("bc_ok", F.lit(True)).withColumn("Sales", F.col(value).cast("double"))
+    elif transform in ("none", "log", "sqrt"):            # F16 variants
+        v = F.col(value).cast("double")
+        fn = {"none": v, "log": F.ln(v), "sqrt": F.sqrt(v)}[transform]
+        d = daily.withColumn("bc_ok", F.lit(True)).withColumn("Sales", F.coalesce(fn, v))
     else:
-        raise ValueError("transform must be 'boxcox' or 'none'")
+        raise ValueError("transform must be 'boxcox', 'log', 'sqrt' or 'none'")
     if impute:
         d = median_impute(d, keys, "Sales")
     return d

@@ -116,3 +116,10 @@ def within_range(daily: DataFrame, ranges: DataFrame, keys: list[str], x: str =
     j = daily.join(r, keys, "left")
     v = F.col(x).cast("double")
     return j.withColumn("out_of_range", flag((v < F.col("range_min")) | (v > F.col("range_max"))))
+
+
+def distinct_orders(lines: DataFrame, keys: list[str], min_orders: int) -> DataFrame:
+    """Distinct carts per key, kept when above ``min_orders`` (Spark splits
+    the distinct count by cart first, so a hot key is spread before the final count)."""
+    return (lines.groupBy(*keys).agg(F.countDistinct("cart_id").alias("orders"))
+                 .filter(F.col("orders") > min_orders))

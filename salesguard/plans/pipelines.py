@@ -50,16 +50,18 @@ def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90
 
 
 def level_flags(cat: Catalog, level: str, as_of: str | None = None, days: int | None = 90,
-                transform: str = "boxcox", impute: bool | None = None, daily: DataFrame | None = None) -> DataFrame:
+                transform: str = "boxcox", impute: bool | None = None, daily: DataFrame | None = None,
+                cut: bool = True) -> DataFrame:
     """M10 per level: daily rows with transformed sales, cluster and 0/1 flag.
 
     Default imputation follows the reference: only the country level imputes
-    medians before clustering (SURVEY Q20).
+    medians before clustering (SURVEY Q20). ``cut=False`` skips the checkpoint
+    when the caller consumes the result once and cuts further down.
     """
     impute = (level == "country") if impute is None else impute
     keys = FLAG_KEYS[level]
     daily = daily if daily is not None else materialize(S.daily_sales(cat, level, as_of, days))
-    seg = materialize(G.segment(daily, keys, transform, impute))
+    seg = materialize(G.segment(daily, keys, transform, impute), enabled=cut)
     return seg.select("date_", *keys, "p_type", "item_name", "sales_quantity", "ipc", r6("Sales").alias("Sales"),
                       "cluster", flag(F.col("cluster").isin(1, 3)).alias(FLAG_COL[level]))
 
@@ -83,10 +85,10 @@ def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame)
     return j.withColumn("outlier_flag", flag(cond))
 
 
-def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90) -> DataFrame:
+def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90, cut: bool = True) -> DataFrame:
     """M15 end to end: the three grains come from one grouping-sets pass."""
     levels = materialize(S.daily_sales_levels(cat, as_of, days))
-    lv = {lvl: level_flags(cat, lvl, as_of, days, daily=S.level_rows(levels, lvl))
+    lv = {lvl: level_flags(cat, lvl, as_of, days, daily=S.level_rows(levels, lvl), cut=cut)
           for lvl in ("store", "city", "country")}
     return hierarchical_outliers(lv["store"], lv["city"], lv["country"])
 
@@ -95,7 +97,7 @@ def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90) ->
 def report_base(cat: Catalog, as_of: str | None = None, days: int | None = 90) -> DataFrame:
     """Hierarchy rows with the item's product type (input of every T rule)."""
     from salesguard.operators.attribution import with_p_type
-    h = hierarchy(cat, as_of, days)
+    h = hierarchy(cat, as_of, days, cut=False)
     return materialize(with_p_type(h.select("date_", "city_name", "facility_id", "item_id", "item_name",
                                             "sales_quantity", "outlier_flag"), cat))
 

@@ -729,3 +729,39 @@ def q_elliptic_envelope(spark, sf_dir):
 def q_one_class_svm(spark, sf_dir):
     d = M.one_class(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], nu=0.01)
     return d.select(*STORE_KEYS, r6("oc_score").alias("oc_score"), "oc_flag")
+
+
+# ---------------------------------------------------------------- commented-out reference variants
+MIN_ORDERS = 5
+
+
+@register("distinct_orders", O.with_ctes(O.base_ctes(), f"""
+SELECT product_id, city_name, COUNT(DISTINCT cart_id) AS orders FROM sales GROUP BY ALL
+HAVING COUNT(DISTINCT cart_id) > {MIN_ORDERS}"""))
+def q_distinct_orders(spark, sf_dir):
+    lines = S.sales_lines(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+    return ST.distinct_orders(lines, ["product_id", "city_name"], MIN_ORDERS)
+
+
+@register("boxcox_standardised", O.with_ctes(
+    {**O.base_ctes(), **O.segment_ctes("bs", "daily_country", ["item_id"], "boxcox", False)}, """
+SELECT date_, item_id, sales_quantity, round(Sales, 6) AS Sales,
+       round((Sales - AVG(Sales) OVER w) / NULLIF(STDDEV_POP(Sales) OVER w, 0), 6) AS sales_std
+FROM bs_t WINDOW w AS (PARTITION BY item_id)"""))
+def q_boxcox_standardised(spark, sf_dir):
+    from salesguard.operators.segments import transformed
+    from salesguard.operators.boxcox import by_keys
+    d = transformed(by_keys(_country(spark, sf_dir), ["item_id"]), ["item_id"], "boxcox")
+    z = ST.standardise(d, ["item_id"], ["Sales"])
+    return z.select("date_", "item_id", "sales_quantity", r6("Sales").alias("Sales"), r6("Sales_std").alias("sales_std"))
+
+
+@register("rolling_mean_std", _seas("""
+SELECT date, product_id, qty,
+       CASE WHEN COUNT(qty) OVER w = 21 THEN round(AVG(qty) OVER w, 6) END AS rolling_mean,
+       CASE WHEN COUNT(qty) OVER w = 21 THEN round(STDDEV_SAMP(qty) OVER w, 6) END AS rolling_std
+FROM prod_dem WINDOW w AS (PARTITION BY product_id ORDER BY date ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING)"""))
+def q_rolling_mean_std(spark, sf_dir):
+    pdm = D.product_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+    d = SE.rolling_mean_std(pdm, ["product_id"], "date", "qty")
+    return d.select("date", "product_id", "qty", SE.r6_col("rolling_mean"), SE.r6_col("rolling_std"))
