@@ -31,7 +31,7 @@ def build(master: str | None = None, shuffle_partitions: int = 8, app: str = "sa
         builder = builder.master(master)
     conf = dict(DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("SALESGUARD_DRIVER_MEMORY", "8g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("SALESGUARD_DRIVER_MEMORY", "4g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
