@@ -113,7 +113,7 @@ def q_range_table_intended(spark, sf_dir):
 
 @register("range_errors", O.with_ctes(O.range_ctes(False), """
 SELECT CAST(a.facility_id AS INTEGER) AS facility_id, CAST(a.item_id AS INTEGER) AS item_id,
-       1.0 AS "min", 1.0 AS "max", 'Less Than 2 carts per month' AS error_reason
+       CAST(1.0 AS DOUBLE) AS "min", CAST(1.0 AS DOUBLE) AS "max", 'Less Than 2 carts per month' AS error_reason
 FROM (SELECT DISTINCT facility_id, item_id FROM rg_seg) a
 SEMI JOIN sparse_store s ON s.facility_id = a.facility_id AND s.item_id = a.item_id
 UNION ALL
@@ -200,7 +200,8 @@ def q_keyword_category_map(spark, sf_dir):
 
 @register("keyword_top_k", _att("""
 SELECT l2_category_id, keyword, CAST(key_l0_atc AS BIGINT) AS key_l0_atc, keyword_rank_in_l0 FROM (
-  SELECT *, row_number() OVER (PARTITION BY l2_category_id ORDER BY key_l0_atc DESC, keyword) AS keyword_rank_in_l0
+  SELECT *, CAST(row_number() OVER (PARTITION BY l2_category_id ORDER BY key_l0_atc DESC, keyword) AS INTEGER)
+         AS keyword_rank_in_l0
   FROM kw_l0) WHERE keyword_rank_in_l0 <= 3"""))
 def q_keyword_top_k(spark, sf_dir):
     atc = SR.keyword_atc(_cat(spark, sf_dir))
@@ -501,7 +502,7 @@ def _country(spark, sf_dir):
 
 
 @register("profile_stats", O.with_ctes(O.base_ctes(), f"""
-SELECT item_id, COUNT({_Q}) AS n, SUM(CASE WHEN sales_quantity IS NULL THEN 1 ELSE 0 END) AS nulls,
+SELECT item_id, COUNT({_Q}) AS n, CAST(SUM(CASE WHEN sales_quantity IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls,
        MIN({_Q}) AS "min", MAX({_Q}) AS "max", round(AVG({_Q}), 6) AS mean, round(STDDEV_SAMP({_Q}), 6) AS std,
        round(CASE WHEN VAR_POP({_Q}) > 0 THEN skewness({_Q}) END, 6) AS skew,
        round(CASE WHEN VAR_POP({_Q}) > 0 THEN kurtosis({_Q}) END, 6) AS kurt,
@@ -624,8 +625,10 @@ def q_vote(spark, sf_dir):
 
 
 def _eval_sql(col: str) -> str:
-    tp, fp = f"COUNT_IF({col} = 1 AND vote_flag = 1)", f"COUNT_IF({col} = 1 AND vote_flag <> 1)"
-    fn, tn = f"COUNT_IF({col} <> 1 AND vote_flag = 1)", f"COUNT_IF({col} <> 1 AND vote_flag <> 1)"
+    tp, fp = (f"CAST(COUNT_IF({col} = 1 AND vote_flag = 1) AS BIGINT)",
+              f"CAST(COUNT_IF({col} = 1 AND vote_flag <> 1) AS BIGINT)")
+    fn, tn = (f"CAST(COUNT_IF({col} <> 1 AND vote_flag = 1) AS BIGINT)",
+              f"CAST(COUNT_IF({col} <> 1 AND vote_flag <> 1) AS BIGINT)")
     prec = f"CAST({tp} AS DOUBLE) / NULLIF(CAST({tp} + {fp} AS DOUBLE), 0)"
     rec = f"CAST({tp} AS DOUBLE) / NULLIF(CAST({tp} + {fn} AS DOUBLE), 0)"
     return (f"SELECT '{col}' AS detector, {tp} AS tp, {fp} AS fp, {fn} AS fn, {tn} AS tn, round({prec}, 6) AS precision, "
