@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesguard.functions.scalar import flag
+from salesguard.plans.materialize import materialize
 
 # ------------------------------------------------------------------ M6
 KMEANS_RESTARTS, KMEANS_ITER = 20, 100
@@ -164,7 +165,12 @@ NODE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
 
 def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees: int = 100, max_samples: int = 256,
                      contamination: float = 0.01, seed: int = 42) -> DataFrame:
-    """Isolation forest; adds ``iforest_score`` (higher = more anomalous) and ``iforest_flag``."""
+    """Isolation forest; adds ``iforest_score`` (higher = more anomalous) and ``iforest_flag``.
+
+    The input is read several times (count, sample, score, cut-off), so it is
+    checkpointed first.
+    """
+    df = materialize(df)
     n = df.count()
     if n == 0:
         return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn("iforest_flag", F.lit(0))
@@ -247,6 +253,7 @@ def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.
     ``contamination`` share with the largest robust distance. Each step is one
     aggregation and one approximate quantile over all rows; only the mean and
     the small covariance matrix return to the driver."""
+    df = materialize(df)                     # read once per concentration step
     n = df.count()
     h = (n + len(feats) + 1) / (2.0 * max(n, 1))
     mean, cov = _moments(df, feats)
@@ -272,6 +279,7 @@ def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int
     equal-weight one-class decision function. The ``nu`` share with the
     lowest score is flagged. This is an approximation, not an SVM solver.
     """
+    df = materialize(df)                     # read by the moments, the embedding mean and the cut-off
     stats = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(feats)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
     zs = [(F.col(c) - float(stats[f"a{i}"] or 0.0)) / float(stats[f"s{i}"] or 1.0) for i, c in enumerate(feats)]
