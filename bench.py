@@ -1,4 +1,4 @@
-"""Benchmark: headline pipelines at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is run to completion (full collect-free materialisation through a

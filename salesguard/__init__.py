@@ -5,7 +5,7 @@ Sub-packages
 sources    readers, the canonical input views, sinks (CSV/parquet/upsert)
 functions  column expressions (calendar buckets, rounding, Box-Cox, moments)
 operators  datasets, detectors and attribution rules; DataFrame in, DataFrame out
-plans      the three end-to-end pipelines and the query registry
+plans      the three end-to-end flows and the query registry
 streaming  Structured Streaming scorer (daily tumbling sales vs. range table)
 """
 

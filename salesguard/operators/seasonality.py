@@ -71,11 +71,12 @@ def deseasonalise(demand: DataFrame, monthly: DataFrame, weekly: DataFrame, x: s
                   key: str = "l2_category", mode: str = "divide") -> DataFrame:
     """X / (monthly(dom) * weekly(dow)), missing factors count as 1.
 
-    Factor tables have at most (categories x 31) rows, so they are broadcast.
+    Factor tables have (categories x 31) rows at most; AQE turns these joins
+    into broadcasts at run time from their measured size, so no hint is given.
     ``mode="subtract"`` removes additive factors instead of dividing (Q10).
     """
-    j = (demand.join(F.broadcast(monthly), [key, "dom"], "left")
-               .join(F.broadcast(weekly), [key, "dow"], "left"))
+    j = (demand.join(monthly, [key, "dom"], "left")
+               .join(weekly, [key, "dow"], "left"))
     m, wk = F.coalesce("monthly_seasonal", F.lit(1.0)), F.coalesce("weekly_seasonal", F.lit(1.0))
     if mode == "divide":
         adj = safe_div(F.col(x) * 1.00, m * wk)
