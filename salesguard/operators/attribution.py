@@ -189,3 +189,52 @@ def ptype_store_day(seg: DataFrame) -> DataFrame:
 REPORT_COLS = ["date_", "city_name", "facility_id", "p_type", "item_id", "item_name", "sales_quantity",
                "outlier_flag", "event_flag", "seasonality_flag", "hfs_flag", "bulk_buying_flag", "surge_flag",
                "cannibalization_flag"]
+
+
+def fused_report(report: DataFrame, calendar: DataFrame, store_searches: DataFrame, city_searches: DataFrame,
+                 pen: DataFrame, require_event: bool = False, bulk_days: list[int] | None = HFS_DAYS) -> DataFrame:
+    """T1, T3, T4, T6, T9, T11 in one plan with fewer passes over the report.
+
+    Same rules as the single-flag functions above, but every per-store-key
+    statistic (start-of-month means, outlier means, overall mean) comes from
+    one aggregate and the store-day-type totals from another, so the large
+    report frame is joined with 5-6 small statistic tables instead of a dozen.
+    """
+    q, hfs, out = _q(), _is_hfs_day(), F.col("outlier_flag")
+    st = report.groupBy(*STORE).agg(
+        F.avg(F.when(~hfs, q)).alias("_non_hfs"), F.avg(F.when(hfs, q)).alias("_hfs"),
+        F.avg(F.when(out == 0, q)).alias("_non_out"), F.avg(F.when(out == 1, q)).alias("_out"),
+        F.avg(q).alias("avg_3m_sales"))
+    tday = report.groupBy(*STORE_TYPE_DAY).agg(F.sum("sales_quantity").alias("total_sales_ptype"))
+    cpd = (tday.groupBy("city_name", "facility_id", "p_type")
+               .agg(F.avg("total_sales_ptype").alias("_cpd")))
+    tday = tday.join(cpd, ["city_name", "facility_id", "p_type"], "left")
+    if require_event:
+        days = calendar.select(F.col("event_date").alias("date_")).distinct().withColumn("_ev", F.lit(True))
+        tday = tday.join(days, "date_", "left").withColumn(
+            "_cpd", F.when(F.col("_ev"), F.col("_cpd"))).drop("_ev")
+    r = (report.join(st, STORE, "left")
+               .join(tday, STORE_TYPE_DAY, "left")
+               .join(store_searches, ["facility_id", "item_id"], "left")
+               .join(city_searches, ["city_name", "item_id"], "left")
+               .join(pen.select("date_", "facility_id", F.col("surge_flag").alias("_sf")),
+                     ["date_", "facility_id"], "left"))
+    is_out = out == 1
+    hfs_bump = F.when(F.col("_non_hfs").isNotNull() & F.col("_hfs").isNotNull(),
+                      (F.col("_hfs") / F.col("_non_hfs")) * F.col("_non_hfs"))
+    bulk_bump = F.when(F.col("_non_out").isNotNull(), (F.col("_out") / F.col("_non_out")) * F.col("_non_out"))
+    day_ok = F.dayofmonth("date_").isin(*bulk_days) if bulk_days else F.lit(True)
+    p = safe_div(q, F.col("total_sales_ptype").cast("double"))
+    g = safe_div(q - F.col("avg_3m_sales"), q)
+    r = (r.withColumn("event_flag", flag((q >= EVENT_LIFT * F.col("_cpd")) & is_out))
+          .withColumn("seasonality_flag", flag(
+              (F.col("store_searches") > 0.3 * q + 0.7 * F.col("store_searches"))
+              & (F.col("city_searches") > 0.3 * q + 0.7 * F.col("city_searches")) & is_out))
+          .withColumn("hfs_flag", flag(hfs & (q >= hfs_bump) & is_out))
+          .withColumn("bulk_buying_flag", flag(day_ok & (q >= bulk_bump) & is_out))
+          .withColumn("surge_flag", flag((F.col("_sf") == 1) & is_out))
+          .withColumn("cannibalization_value", (p + p * g) - g))
+    av = r.groupBy(*STORE_TYPE_DAY).agg(F.avg("cannibalization_value").alias("_avg_v"))
+    r = r.join(av, STORE_TYPE_DAY, "left")
+    return r.withColumn("cannibalization_flag",
+                        flag((F.col("cannibalization_value") > F.col("_avg_v")) & is_out))

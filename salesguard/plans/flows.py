@@ -117,11 +117,6 @@ def attribution_report(cat: Catalog, as_of: str | None = None, days: int | None
     """The final report, one row per store-day-item with the six cause flags."""
     from salesguard.operators import attribution as A
     rep = report_base(cat, as_of, days)
-    rep = A.event_flag(rep, cat.calendar, require_event)
     st, ct = search_levels(cat, **(kw or {}))
-    rep = A.seasonality_flag(rep, st, ct)
-    rep = A.hfs_flag(rep)
-    rep = A.bulk_flag(rep)
-    rep = A.surge_flag(rep, A.surge_penetration(cat, as_of, surge_days))
-    rep = A.cannibalization_flag(rep)
-    return rep.select(*A.REPORT_COLS)
+    pen = A.surge_penetration(cat, as_of, surge_days)
+    return A.fused_report(rep, cat.calendar, st, ct, pen, require_event).select(*A.REPORT_COLS)
