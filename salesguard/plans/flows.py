@@ -62,8 +62,9 @@ def level_flags(cat: Catalog, level: str, as_of: str | None = None, days: int |
     keys = FLAG_KEYS[level]
     daily = daily if daily is not None else materialize(S.daily_sales(cat, level, as_of, days))
     seg = materialize(G.segment(daily, keys, transform, impute), enabled=cut)
-    return seg.select("date_", *keys, "p_type", "item_name", "sales_quantity", "ipc", r6("Sales").alias("Sales"),
-                      "cluster", flag(F.col("cluster").isin(1, 3)).alias(FLAG_COL[level]))
+    flagged = G.cluster_flag(seg, FLAG_COL[level])
+    return flagged.select("date_", *keys, "p_type", "item_name", "sales_quantity", "ipc", r6("Sales").alias("Sales"),
+                          "cluster", FLAG_COL[level])
 
 
 def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:

@@ -768,3 +768,16 @@ def q_rolling_mean_std(spark, sf_dir):
     pdm = D.product_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
     d = SE.rolling_mean_std(pdm, ["product_id"], "date", "qty")
     return d.select("date", "product_id", "qty", SE.r6_col("rolling_mean"), SE.r6_col("rolling_std"))
+
+
+# ---------------------------------------------------------------- dimensions seen in sales
+@register("item_category_seen", O.with_ctes(O.base_ctes(), """
+SELECT * FROM item_categories WHERE item_id IN (SELECT item_id FROM daily_store)"""))
+def q_item_category_seen(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    return S.item_category(cat, S.daily_sales(cat, "store", P.AS_OF, P.DAYS))
+
+
+@register("item_type_dim", O.with_ctes(O.base_ctes(), "SELECT DISTINCT p_type, item_id, item_name FROM daily_store"))
+def q_item_type_dim(spark, sf_dir):
+    return S.item_type_dim(S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS))
