@@ -68,3 +68,21 @@ def sample_kurtosis(x, n) -> Column:
     """Bias-adjusted excess kurtosis G2 from Spark's population ``kurtosis``."""
     n = col(n).cast("double")
     return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(col(x)) + 6))
+
+
+def after_date(c, value: str, fmt: str = "yyyy-MM-dd") -> Column:
+    """Rows after a date given as text in an explicit format."""
+    return col(c) > F.to_date(F.lit(value), fmt)
+
+
+def ist(ts) -> Column:
+    """shift a UTC timestamp by +5:30 (interval arithmetic, no time-zone table)."""
+    return col(ts) + F.expr("INTERVAL '5:30' HOUR TO MINUTE")
+
+
+def calendar_features(d) -> list[Column]:
+    """hour, ISO week, day, month, weekday (Monday = 0) and workday flag."""
+    c = col(d)
+    return [F.hour(c.cast("timestamp_ntz")).alias("hours"), F.weekofyear(c).alias("week"),
+            F.dayofmonth(c).alias("day"), F.month(c).alias("month"), F.weekday(c).alias("DayOfTheWeek"),
+            is_workday(c).alias("WeekDay")]
