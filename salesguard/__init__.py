@@ -10,3 +10,18 @@ streaming  Structured Streaming scorer (daily tumbling sales vs. range table)
 """
 
 __all__ = ["session"]
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value in Python UDF closures, so
+    executors run them without having the package installed or on their path."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except (ImportError, AttributeError, ValueError):
+        pass
+
+
+_ship_by_value()

@@ -33,7 +33,12 @@ FINE_N, FINE_DIV = 81, 200.0        # lambda = lam0 + (k - 40) / 200, k = 0..80
 
 
 def by_keys(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
-    """Hash-partition by the group keys once, so per-key steps need no further shuffle."""
+    """Hash-partition by the group keys once, so per-key steps need no further shuffle.
+
+    The count is explicit (default ``spark.sql.shuffle.partitions``): the rows
+    fan out x132 on the lambda grid after this exchange, so letting AQE
+    coalesce it by its pre-fan-out size would starve the grid of parallelism.
+    """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
 
