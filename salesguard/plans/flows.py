@@ -86,7 +86,7 @@ def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame)
     return j.withColumn("outlier_flag", flag(cond))
 
 
-def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90, cut: bool = True) -> DataFrame:
+def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90, cut: bool = False) -> DataFrame:
     """M15 end to end: the three grains come from one grouping-sets pass."""
     levels = materialize(S.daily_sales_levels(cat, as_of, days))
     lv = {lvl: level_flags(cat, lvl, as_of, days, daily=S.level_rows(levels, lvl), cut=cut)
