@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesguard.llm import ann, chat, langid, mixing, packing, pii, rules, simhash, urls
+from salesguard.llm import ann, chat, langid, mixing, packing, pii, repeats, rules, simhash, urls
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
@@ -41,6 +41,13 @@ def op4_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.block_matrix_join(vectors.where("vec_id % 20 = 0"), vectors, k=20)
 
 
+def op5_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["b"] - s["a"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        "kept_sha256")
+
+
 def op6_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
     own = spark.range(2).select(
@@ -73,8 +80,8 @@ def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii_surrogates, op2_mixture_packing, op3_quality_rules, op4_block_matrix_join, op6_prefix_targets,
-    op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees)}
+    op1_pii_surrogates, op2_mixture_packing, op3_quality_rules, op4_block_matrix_join, op5_suffix_groups,
+    op6_prefix_targets, op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees)}
 
 ORACLE = {
     "op4_block_matrix_join": """
