@@ -185,7 +185,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", columns:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.dump() if model else b"")
-    added = ("lang_pred", "score", "rejected")
+    added = ("lang_pred", "score", "rejected", "_text")
     keep = [f for f in docs.schema.fields if f.name not in added and (columns is None or f.name in columns)]
     names = [f.name for f in keep]
     docs = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).alias("_text"))

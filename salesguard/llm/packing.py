@@ -7,9 +7,10 @@ source is served when its deficit reaches a slot, counters starting at half a
 slot. A source of weight w is thus served its slot i at virtual time
 (i + 1/2) / w, and the place of that slot among all is a sum of one whole
 number per source. So a task finds where its slots go, with the deficits all
-earlier windows and partitions left, without replaying them; every window is
-full and holds the target proportions to within a slot, and a queue that ends
-leaves its share to the others.
+earlier windows and partitions left, without replaying them. At any virtual
+time a source is within half a slot of its due, so after any number of windows
+one of share p among S is within 1/2 + p S / 2 slots of it. Every window is
+full, and a queue that ends leaves its share to the others.
 
 Tails shorter than a slot follow at the end, and what does not fill a last
 window goes to sequences of the powers of two it is the sum of: no padding.
