@@ -13,7 +13,6 @@ collected trees, whose size is bounded by trees x (2 x max_samples - 1) nodes.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -25,65 +24,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesguard.functions.scalar import flag
+from salesguard.operators.segments import ranked_three_means
 from salesguard.plans.materialize import materialize
 
 # ------------------------------------------------------------------ M6
-KMEANS_RESTARTS, KMEANS_ITER = 20, 100
-
-
-def _lloyd(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) -> tuple[float, np.ndarray]:
-    """Weighted k-means with k-means++ seeding; returns (inertia, labels)."""
-    n = len(x)
-    c = [x[rng.choice(n, p=w / w.sum())]]
-    for _ in range(1, k):
-        d2 = np.min(((x[:, None, :] - np.array(c)[None]) ** 2).sum(-1), axis=1) * w
-        c.append(x[rng.choice(n, p=d2 / d2.sum())] if d2.sum() > 0 else x[rng.integers(n)])
-    c = np.array(c, dtype=float)
-    lab = np.zeros(n, dtype=int)
-    for _ in range(KMEANS_ITER):
-        d = ((x[:, None, :] - c[None]) ** 2).sum(-1)
-        new = d.argmin(1)
-        for j in range(k):
-            m = new == j
-            if m.any():
-                c[j] = np.average(x[m], axis=0, weights=w[m])
-        if (new == lab).all() and _ > 0:
-            break
-        lab = new
-    inertia = float((((x - c[lab]) ** 2).sum(-1) * w).sum())
-    return inertia, lab
-
-
-def _kmeans2d_fn(keys: list[str], feats: list[str], k: int, seed: int):
+def _kmeans2d_fn(keys: list[str], feats: list[str]):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[feats].to_numpy(dtype=float)
-        w = pdf["w"].to_numpy(dtype=float)
-        if len(x) < k:
+        pdf = pdf.sort_values(feats)
+        clusters = ranked_three_means(pdf[feats].to_numpy(dtype=float), pdf["w"].to_numpy(dtype=float))
+        if clusters is None:
             return pdf[keys + feats].assign(cluster=pd.Series([None] * len(pdf), dtype="Int32"))
-        key_seed = zlib.crc32(repr(tuple(pdf.iloc[0][keys].tolist())).encode())
-        rng = np.random.default_rng(seed + key_seed)
-        best = min((_lloyd(x, w, k, rng) for _ in range(KMEANS_RESTARTS)), key=lambda t: t[0])
-        lab = best[1]
-        means = np.array([np.average(x[lab == j, 0], weights=w[lab == j]) if (lab == j).any() else np.inf
-                          for j in range(k)])
-        rank = np.empty(k, dtype=int)
-        rank[np.argsort(means, kind="stable")] = np.arange(1, k + 1)
-        return pdf[keys + feats].assign(cluster=rank[lab].astype("int32"))
+        return pdf[keys + feats].assign(cluster=clusters)
     return fn
 
 
-def kmeans_2d(df: DataFrame, keys: list[str], feats: list[str], k: int = 3, seed: int = 42) -> DataFrame:
-    """M6: per-key k-means on several features (e.g. transformed sales, workday flag).
+def kmeans_2d(df: DataFrame, keys: list[str], feats: list[str]) -> DataFrame:
+    """M6: per-key three-means on several features (e.g. transformed sales, workday flag).
 
     Rows are reduced to a weighted histogram of distinct feature vectors per
-    key (bounded by days), then clustered per key; clusters are ranked by
-    mean of the first feature (1 = lowest). Flag = lowest or highest cluster.
+    key (bounded by days), then clustered per key: Lloyd's iteration from the
+    exact cuts of the first feature, run until it settles, without random
+    restarts. Clusters are ranked by mean of the first feature (1 = lowest).
+    Flag = lowest or highest cluster. Fewer than three distinct points: no cluster.
     """
     hist = df.groupBy(*keys, *feats).agg(F.count(F.lit(1)).alias("w"))
     schema = T.StructType([df.schema[c] for c in keys + feats] + [T.StructField("cluster", T.IntegerType())])
-    lab = hist.groupBy(*keys).applyInPandas(_kmeans2d_fn(keys, feats, k, seed), schema)
+    lab = hist.groupBy(*keys).applyInPandas(_kmeans2d_fn(keys, feats), schema)
     return (df.join(lab, keys + feats, "left")
-              .withColumn("kmeans_flag", flag(F.col("cluster").isin(1, k))))
+              .withColumn("kmeans_flag", flag(F.col("cluster").isin(1, 3))))
 
 
 # ------------------------------------------------------------------ M12-M14

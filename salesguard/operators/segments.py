@@ -69,6 +69,65 @@ def best_three_cuts(y: np.ndarray, w: np.ndarray) -> tuple[int, int] | None:
     return best
 
 
+LLOYD_STEPS = 500
+
+
+def three_means_from(x: np.ndarray, w: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Weighted Lloyd iteration from given labels 0..2 until the centres stay.
+
+    Centres and squared distances are rounded to 9 digits, ties go to the
+    lower label and an emptied cluster keeps its centre, so any engine takes
+    the same steps. Raises if it does not settle.
+    """
+    centres = np.zeros((3, x.shape[1]))
+    for step in range(LLOYD_STEPS):
+        if step:
+            labels = np.round(((x[:, None, :] - centres[None]) ** 2).sum(-1), 9).argmin(1)
+        new = centres.copy()
+        for j in range(3):
+            m = labels == j
+            if m.any():
+                new[j] = np.round((x[m] * w[m, None]).sum(0) / w[m].sum(), 9)
+        if step and (new == centres).all():
+            return labels
+        centres = new
+    raise RuntimeError(f"three-means not settled after {LLOYD_STEPS} steps")
+
+
+def ranked_three_means(x: np.ndarray, w: np.ndarray) -> np.ndarray | None:
+    """Clusters 1 (lowest mean of the first feature) to 3 (highest) of the rows
+    of ``x``, which are distinct and sorted; None for fewer than three rows.
+
+    Starts from the exact cuts of the first feature, or with fewer than three
+    values of it from the first row, the last, and the rows between.
+    """
+    n = len(x)
+    if n < 3:
+        return None
+    y, first = np.unique(x[:, 0], return_inverse=True)
+    cuts = best_three_cuts(y, np.bincount(first, weights=w))
+    if cuts is None:
+        start = np.ones(n, dtype=int)
+        start[0], start[-1] = 0, 2
+    else:
+        start = (first > cuts[0]).astype(int) + (first > cuts[1])
+    labels = three_means_from(x, w, start)
+    means = np.array([np.round((x[labels == j, 0] * w[labels == j]).sum() / w[labels == j].sum(), 9)
+                      if (labels == j).any() else np.nan for j in range(3)])
+    return np.where(labels == np.nanargmin(means), 1, np.where(labels == np.nanargmax(means), 3, 2)).astype("int32")
+
+
+def _segment_weekday_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One key's daily rows clustered on (Sales, WeekDay), both as they are."""
+    x = np.column_stack([pdf["Sales"].to_numpy(dtype=np.float64),
+                         (pd.to_datetime(pdf["date_"]).dt.dayofweek < 5).to_numpy(dtype=np.float64)])
+    bins, of, w = np.unique(x, axis=0, return_inverse=True, return_counts=True)
+    clusters = ranked_three_means(bins, w.astype(np.float64))
+    if clusters is None:
+        return pdf.assign(cluster=pd.Series([None] * len(pdf), dtype="Int32"))
+    return pdf.assign(cluster=clusters[of.ravel()])
+
+
 def _segment_fn(value: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         # one key's daily rows; clustering input ``Sales``; identical values share a bin
@@ -122,9 +181,13 @@ def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", im
 
 
 def segment(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
-            value: str = "sales_quantity", partitions: int | None = None) -> DataFrame:
+            value: str = "sales_quantity", partitions: int | None = None, weekday: bool = False) -> DataFrame:
     """Daily rows with ``Sales`` and ``cluster`` (1 low, 2 middle, 3 high; NULL if
-    the key has fewer than three distinct values).
+    the key has fewer than three distinct points).
+
+    ``weekday`` clusters on (Sales, WeekDay), unscaled, as the level notebooks
+    do (WeekDay: 1 Monday to Friday, by ``date_``); else on Sales alone, as the
+    range script does.
 
     One exchange: the rows are hash-partitioned by ``keys``; the Box-Cox grid,
     the joins on ``keys``, imputation and the per-key segmentation then all
@@ -132,7 +195,7 @@ def segment(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute
     """
     t = transformed(by_keys(daily, keys, partitions), keys, transform, impute, value)
     schema = T.StructType(t.schema.fields + [T.StructField("cluster", T.IntegerType())])
-    return t.groupBy(*keys).applyInPandas(_segment_fn(value), schema)
+    return t.groupBy(*keys).applyInPandas(_segment_weekday_fn if weekday else _segment_fn(value), schema)
 
 
 def range_table(seg: DataFrame, keys: list[str], value: str = "sales_quantity", midpoint: bool = False,

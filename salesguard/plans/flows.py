@@ -1,7 +1,10 @@
 """End-to-end plans: range production, level flags and hierarchy.
 
-Each returns lazy DataFrames; nothing is collected. The callers decide whether
-to write (``salesguard.sources.sinks``) or to compare.
+Nothing is collected. A flow that reads a frame several times first writes it
+to the shared folder (``materialize``), which runs a job while the plan is
+built; the frames returned are lazy. The callers decide whether to write
+(``salesguard.sources.sinks``) or to compare, and may ``session.release`` the
+intermediate tables once they have.
 """
 
 from __future__ import annotations
@@ -51,17 +54,20 @@ def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90
 
 def level_flags(cat: Catalog, level: str, as_of: str | None = None, days: int | None = 90,
                 transform: str = "boxcox", impute: bool | None = None, daily: DataFrame | None = None,
-                cut: bool = True) -> DataFrame:
+                cut: bool = True, weekday: bool = True) -> DataFrame:
     """M10 per level: daily rows with transformed sales, cluster and 0/1 flag.
 
+    Clusters are on (Sales, WeekDay), as in the level notebooks; ``weekday=False``
+    takes Sales alone, as the range script does. The store notebook clusters
+    raw sales (``transform="none"``); Box-Cox is the default at every level.
     Default imputation follows the reference: only the country level imputes
-    medians before clustering (SURVEY Q20). ``cut=False`` skips the checkpoint
-    when the caller consumes the result once and cuts further down.
+    medians before clustering (SURVEY Q20). ``cut=False`` writes no
+    intermediate table, for a caller that consumes the result once.
     """
     impute = (level == "country") if impute is None else impute
     keys = FLAG_KEYS[level]
     daily = daily if daily is not None else materialize(S.daily_sales(cat, level, as_of, days))
-    seg = materialize(G.segment(daily, keys, transform, impute), enabled=cut)
+    seg = materialize(G.segment(daily, keys, transform, impute, weekday=weekday), enabled=cut)
     flagged = G.cluster_flag(seg, FLAG_COL[level])
     return flagged.select("date_", *keys, "p_type", "item_name", "sales_quantity", "ipc", r6("Sales").alias("Sales"),
                           "cluster", FLAG_COL[level])
@@ -86,19 +92,25 @@ def hierarchical_outliers(store: DataFrame, city: DataFrame, country: DataFrame)
     return j.withColumn("outlier_flag", flag(cond))
 
 
-def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90, cut: bool = False) -> DataFrame:
-    """M15 end to end: the three grains come from one grouping-sets pass."""
+def hierarchy(cat: Catalog, as_of: str | None = None, days: int | None = 90, cut: bool = False,
+              store_transform: str = "boxcox") -> DataFrame:
+    """M15 end to end: the three grains come from one grouping-sets pass.
+
+    ``store_transform="none"`` flags stores on raw sales, as the store notebook is written.
+    """
     levels = materialize(S.daily_sales_levels(cat, as_of, days))
-    lv = {lvl: level_flags(cat, lvl, as_of, days, daily=S.level_rows(levels, lvl), cut=cut)
+    lv = {lvl: level_flags(cat, lvl, as_of, days, daily=S.level_rows(levels, lvl), cut=cut,
+                           transform=store_transform if lvl == "store" else "boxcox")
           for lvl in ("store", "city", "country")}
     return hierarchical_outliers(lv["store"], lv["city"], lv["country"])
 
 
 # ------------------------------------------------------------ attribution
-def report_base(cat: Catalog, as_of: str | None = None, days: int | None = 90) -> DataFrame:
+def report_base(cat: Catalog, as_of: str | None = None, days: int | None = 90,
+                store_transform: str = "boxcox") -> DataFrame:
     """Hierarchy rows with the item's product type (input of every T rule)."""
     from salesguard.operators.attribution import with_p_type
-    h = hierarchy(cat, as_of, days, cut=False)
+    h = hierarchy(cat, as_of, days, cut=False, store_transform=store_transform)
     return materialize(with_p_type(h.select("date_", "city_name", "facility_id", "item_id", "item_name",
                                             "sales_quantity", "outlier_flag"), cat))
 
@@ -114,10 +126,10 @@ def search_levels(cat: Catalog, min_total: int = 100, min_pair: int = 10, share_
 
 def attribution_report(cat: Catalog, as_of: str | None = None, days: int | None = 90,
                        surge_days: int | None = 7, kw: dict | None = None,
-                       require_event: bool = False) -> DataFrame:
+                       require_event: bool = False, store_transform: str = "boxcox") -> DataFrame:
     """The final report, one row per store-day-item with the six cause flags."""
     from salesguard.operators import attribution as A
-    rep = report_base(cat, as_of, days)
+    rep = report_base(cat, as_of, days, store_transform)
     st, ct = search_levels(cat, **(kw or {}))
     pen = A.surge_penetration(cat, as_of, surge_days)
     return A.fused_report(rep, cat.calendar, st, ct, pen, require_event).select(*A.REPORT_COLS)

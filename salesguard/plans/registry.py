@@ -139,6 +139,24 @@ for _lvl in ("store", "city", "country"):
                                           f"SELECT * FROM flags_{_lvl}"))(_mkf(_lvl))
 
 
+@register("store_flags_raw", O.with_ctes({**O.base_ctes(), **O.flag_ctes("store", "none")}, "SELECT * FROM flags_store"))
+def q_store_flags_raw(spark, sf_dir):
+    """The store notebook's form: (raw sales, WeekDay)."""
+    return PL.level_flags(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS, transform="none")
+
+
+@register("city_flags_sales_only", O.with_ctes({**O.base_ctes(), **O.flag_ctes("city", weekday=False)}, "SELECT * FROM flags_city"))
+def q_city_flags_sales_only(spark, sf_dir):
+    """The option without WeekDay."""
+    return PL.level_flags(_cat(spark, sf_dir), "city", P.AS_OF, P.DAYS, weekday=False)
+
+
+@register("hierarchical_outliers_raw", O.with_ctes(O.hierarchy_ctes("none"), "SELECT * FROM hier"))
+def q_hierarchical_outliers_raw(spark, sf_dir):
+    """The hierarchy on the store notebook's form."""
+    return PL.hierarchy(_cat(spark, sf_dir), P.AS_OF, P.DAYS, store_transform="none")
+
+
 def hierarchy(spark, sf_dir):
     return PL.hierarchy(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
 
@@ -692,7 +710,21 @@ def _store_features(spark, sf_dir):
 STORE_KEYS = ["date_", "city_name", "facility_id", "item_id"]
 
 
-@register("kmeans_2d")
+def _kmeans_ctes():
+    c = {**O.base_ctes(), **O.flag_ctes("country"),
+         "km_pts": "SELECT item_id, Sales AS x, CASE WHEN dayofweek(date_) IN (0, 6) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS y, "
+                   "COUNT(*)::DOUBLE AS w FROM flags_country GROUP BY ALL",
+         "km_rows": "SELECT *, Sales AS v FROM flags_country"}
+    cuts = {n.replace("kc_", "km_"): q.replace("kc_", "km_")
+            for n, q in O.segment_ctes("kc", "km_rows", ["item_id"], "none", value="Sales").items() if n != "kc_seg"}
+    return {**c, **{n: q.replace("s.*, TRUE AS bc_ok, CAST(s.Sales AS DOUBLE) AS Sales", "s.*") for n, q in cuts.items()},
+            **O.lloyd_ctes("km", ["item_id"])}
+
+
+@register("kmeans_2d", O.with_ctes(_kmeans_ctes(), """
+SELECT f.date_, f.item_id, f.sales_quantity, l.cluster, CASE WHEN l.cluster IN (1, 3) THEN 1 ELSE 0 END AS kmeans_flag
+FROM flags_country f LEFT JOIN km_lab l ON l.item_id = f.item_id AND l.x = f.Sales
+ AND l.y = CASE WHEN dayofweek(f.date_) IN (0, 6) THEN 0 ELSE 1 END"""))
 def q_kmeans_2d(spark, sf_dir):
     d = _country_features(spark, sf_dir).select("date_", "item_id", "sales_quantity", "Sales", "workday")
     return M.kmeans_2d(d, ["item_id"], ["Sales", "workday"]).select(
