@@ -9,7 +9,7 @@ broadcast or split a skewed key at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesguard.functions.scalar import flag, r6, safe_div
@@ -124,10 +124,13 @@ def bulk_flag_ipc(seg: DataFrame) -> DataFrame:
     return r.withColumn("bulk_flag", flag((F.col("ipc") >= F.col("bulk_buying_value")) & (F.col("cluster") == 3)))
 
 
-def surge_lines(cat: Catalog, as_of: str | None = None, days: int | None = 7) -> DataFrame:
-    """Order lines of store outlets with a surge marker, filtered as sales lines."""
+def surge_lines(cat: Catalog, as_of: str | None = None, days: int | None = 7, active_only: bool = False) -> DataFrame:
+    """Order lines of store outlets with a surge marker, filtered as sales lines.
+    ``active_only`` keeps lines of active outlets."""
     f = cat.fact_items.filter(S.valid_line_filter(as_of, days))
     so = S.store_outlets(cat)
+    if active_only:
+        so = so.filter(F.col("active") == 1)
     return f.join(so, "outlet_id").select(
         F.to_date("checkout_ts").alias("date_"), "facility_id", "cart_id",
         F.when(F.col("slot_charge") > 0, 1).otherwise(0).alias("surge_charges"))
@@ -137,11 +140,11 @@ def surge_penetration(cat: Catalog, as_of: str | None = None, days: int | None =
     """D17 + T9: share of order lines with a slot charge per day x facility, and
     the flag "above the facility's unweighted mean share" (dates, SURVEY Q3)."""
     s = (surge_lines(cat, as_of, days).groupBy("date_", "facility_id")
-         .agg((F.sum("surge_charges") * 1.00 / F.count("cart_id")).alias("surge_cart_pentration")))
-    overall = s.groupBy("facility_id").agg(F.avg("surge_cart_pentration").alias("_overall"))
-    return (s.join(overall, "facility_id")
-             .select("date_", "facility_id", r6("surge_cart_pentration").alias("surge_cart_pentration"),
-                     flag(F.col("surge_cart_pentration") > F.col("_overall")).alias("surge_flag")))
+         .agg((F.sum("surge_charges") * 1.00 / F.count("cart_id")).alias("surge_share")))
+    overall = F.avg("surge_share").over(Window.partitionBy("facility_id"))
+    return (s.withColumn("_overall", overall)
+             .select("date_", "facility_id", r6("surge_share").alias("surge_share"),
+                     flag(F.col("surge_share") > F.col("_overall")).alias("surge_flag")))
 
 
 def surge_flag(report: DataFrame, pen: DataFrame) -> DataFrame:
@@ -152,8 +155,8 @@ def surge_flag(report: DataFrame, pen: DataFrame) -> DataFrame:
 
 
 def surge_days(cat: Catalog, as_of: str | None = None, days: int | None = 90) -> DataFrame:
-    """Distinct (date, facility) with any slot charge."""
-    return (surge_lines(cat, as_of, days).filter(F.col("surge_charges") == 1)
+    """Distinct (date, facility) with any slot charge at an active outlet."""
+    return (surge_lines(cat, as_of, days, active_only=True).filter(F.col("surge_charges") == 1)
             .select("date_", "facility_id").distinct())
 
 

@@ -4,12 +4,15 @@ The profile log-likelihood of Box and Cox (1964) for positive x is
 
     llf(l) = (l - 1) * sum(ln x) - n/2 * ln(var_pop(y_l)),  y_l = (x^l - 1)/l
 
-Each group is evaluated on three nested lambda grids of 21 points: [-5, 5]
-in steps of 0.5, then +-0.5 around that optimum in steps of 0.05, then +-0.05
-in steps of 0.005 (63 evaluations per row, final resolution 0.005). Grid points are
-generated per row with ``explode(sequence(..))`` (a constant fan-out, no join),
-the likelihood terms are ordinary grouped aggregates, and the optimum is
-picked with ``max_by``.
+Each group is evaluated on three nested lambda grids: [-5, 5] in steps of 0.5
+and +-10, 20, .. 160 beyond; then 21 points around that optimum, then 21 more.
+Up to +-5 these are in steps of 0.05 and 0.005; beyond, they multiply the
+optimum by powers of 2^(1/10) and 2^(1/100), which reach its neighbours on the
+first grid. A group whose likelihood still rises at the last point has no
+interior optimum: it gets no lambda and is reported with the groups that
+cannot be transformed. Grid points are generated per row with ``explode`` (a
+constant fan-out, no join), the likelihood terms are ordinary grouped
+aggregates, and the optimum is picked with ``max_by``.
 
 Plan: the rows are hash-partitioned by the group keys once (a group holds one
 row per day, so no partition is hot). Constant groups (variance 0) and groups
@@ -29,9 +32,12 @@ from pyspark.sql import functions as F
 
 from salesguard.functions.scalar import boxcox
 
-GRID_N = 21                          # points per stage, k = 0..20
-COARSE_STEP = 0.5                    # stage 1: lambda = (k - 10) * 0.5
+GRID_N = 21                          # points of a refining stage, k = 0..20
+COARSE = [k * 0.5 for k in range(-10, 11)] + [s * 10.0 * 2 ** j for j in range(5) for s in (-1, 1)]
+WIDEST = max(COARSE)
 REFINE_DIVS = (20.0, 200.0)          # stages 2, 3: lambda = round(prev + (k - 10) / div, 3)
+REFINE_POWERS = (10.0, 100.0)        # beyond 5: lambda = round(prev * 2 ^ ((k - 10) / power), 3)
+FINITE = 1e300                       # a variance above is an overflow
 
 
 def by_keys(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
@@ -51,7 +57,7 @@ def _llf_argmax(df: DataFrame, keys: list[str], x: str) -> DataFrame:
              .agg(F.var_pop(y).alias("v"), F.sum(F.ln(F.col(x))).alias("sl"), F.count(F.lit(1)).alias("n"),
                   F.min(F.col(x)).alias("mn")))
     llf = (F.col("lam") - 1) * F.col("sl") - F.col("n") / 2.0 * F.ln(F.col("v"))
-    return (agg.filter((F.col("v") > 0) & (F.col("mn") > 0))
+    return (agg.filter((F.col("v") > 0) & (F.col("v") < FINITE) & (F.col("mn") > 0))
                .withColumn("llf", F.round(llf, 6))
                .groupBy(*keys)
                .agg(F.max_by(F.col("lam"), F.struct(F.col("llf"), -F.col("lam"))).alias("lam"),
@@ -67,12 +73,14 @@ def boxcox_lambda(df: DataFrame, keys: list[str], x: str = "sales_quantity", par
     base = src if partitioned else by_keys(src, keys)
     half = (GRID_N - 1) // 2
     grid = F.explode(F.sequence(F.lit(0), F.lit(GRID_N - 1)))
-    stage = (base.withColumn("_k", grid).withColumn("lam", (F.col("_k") - half) * COARSE_STEP))
-    best = _llf_argmax(stage, keys, "_x")
-    for div in REFINE_DIVS:
+    best = _llf_argmax(base.withColumn("lam", F.explode(F.lit(COARSE))), keys, "_x")
+    best = best.filter(F.abs("lam") < WIDEST)
+    for div, power in zip(REFINE_DIVS, REFINE_POWERS, strict=True):
         prev = best.select(*keys, F.col("lam").alias("_lam0"))
+        near = F.col("_lam0") + (F.col("_k") - half) / div
+        far = F.col("_lam0") * F.pow(F.lit(2.0), (F.col("_k") - half) / power)
         stage = (base.join(prev, keys).withColumn("_k", grid)
-                     .withColumn("lam", F.round(F.col("_lam0") + (F.col("_k") - half) / div, 3)))
+                     .withColumn("lam", F.round(F.when(F.abs("_lam0") < 5, near).otherwise(far), 3)))
         best = _llf_argmax(stage, keys, "_x")
     return best
 

@@ -136,7 +136,8 @@ def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees:
     """Isolation forest; adds ``iforest_score`` (higher = more anomalous) and ``iforest_flag``.
 
     The input is read several times (count, sample, score, cut-off), so it is
-    checkpointed first.
+    written to the shared folder first. The sample of a tree is the rows with the
+    smallest 63-bit hashes. An empty input has no score; a single row scores 0.5.
     """
     df = materialize(df)
     n = df.count()
@@ -144,8 +145,9 @@ def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees:
         return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn("iforest_flag", F.lit(0))
     m = min(max_samples, n)
     p = min(1.0, 2.0 * m / n)                     # oversample, then keep the m smallest hashes per tree
-    u = lambda t: (F.abs(F.xxhash64(*[F.col(k) for k in keys], t, F.lit(seed))) % 1000000007) / 1000000007.0
-    picked = (df.select(*feats, F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < p).alias("_t"),
+    u = lambda t: F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], t, F.lit(seed)), 1)
+    below = min(2 ** 63 - 1, int(p * 2.0 ** 63))
+    picked = (df.select(*feats, F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) <= F.lit(below)).alias("_t"),
                         *[F.col(k) for k in keys])
                 .select(*feats, *keys, F.explode("_t").alias("tree")))
     picked = picked.withColumn("_u", u(F.col("tree")))
@@ -183,9 +185,10 @@ def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees:
                     go_left = x[np.arange(len(x)), np.maximum(fe[idx], 0)] < th[idx]
                     idx = np.where(inner, np.where(go_left, le[idx], ri[idx]), idx)
                 tot += de[idx] + adj[idx]
-            yield pdf.assign(iforest_score=np.power(2.0, -(tot / max(len(arrs), 1)) / cn))
+            # One row isolates nothing: its score is that of an average row.
+            yield pdf.assign(iforest_score=np.power(2.0, -(tot / max(len(arrs), 1)) / cn) if cn else 0.5)
 
-    scored = df.mapInPandas(score, out_schema)
+    scored = materialize(df.mapInPandas(score, out_schema))   # read by the cut-off and by the caller
     cut = scored.agg(F.percentile_approx("iforest_score", 1 - contamination, 10000)).first()[0]
     return scored.withColumn("iforest_flag", flag(F.col("iforest_score") >= F.lit(cut)))
 
@@ -215,23 +218,30 @@ def _mahalanobis(feats: list[str], mean: np.ndarray, cov: np.ndarray):
     return expr
 
 
-def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.01, c_steps: int = 10) -> DataFrame:
+def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.01, c_steps: int = 100) -> DataFrame:
     """Robust location/scatter by concentration steps (keep the half of the
     rows closest in Mahalanobis distance, re-estimate), then flag the
     ``contamination`` share with the largest robust distance. Each step is one
     aggregation and one approximate quantile over all rows; only the mean and
-    the small covariance matrix return to the driver."""
+    the small covariance matrix return to the driver. Steps go on until the
+    estimate stays; raises if ``c_steps`` are not enough. An empty input gives
+    an empty result."""
     df = materialize(df)                     # read once per concentration step
     n = df.count()
+    if n == 0:
+        return df.withColumn("robust_distance", F.lit(None).cast("double")).withColumn("envelope_flag", F.lit(0))
     h = (n + len(feats) + 1) / (2.0 * max(n, 1))
     mean, cov = _moments(df, feats)
     for _ in range(c_steps):
         d2 = _mahalanobis(feats, mean, cov)
         cut = df.select(d2.alias("d2")).agg(F.percentile_approx("d2", h, 10000)).first()[0]
         new_mean, new_cov = _moments(df, feats, d2 <= F.lit(cut))
-        if np.allclose(new_mean, mean) and np.allclose(new_cov, cov):
-            break
+        settled = np.allclose(new_mean, mean) and np.allclose(new_cov, cov)
         mean, cov = new_mean, new_cov
+        if settled:
+            break
+    else:
+        raise RuntimeError(f"the robust covariance did not settle in {c_steps} steps")
     scored = df.withColumn("robust_distance", _mahalanobis(feats, mean, cov))
     thr = scored.agg(F.percentile_approx("robust_distance", 1 - contamination, 10000)).first()[0]
     return scored.withColumn("envelope_flag", flag(F.col("robust_distance") > F.lit(thr)))
@@ -248,6 +258,8 @@ def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int
     lowest score is flagged. This is an approximation, not an SVM solver.
     """
     df = materialize(df)                     # read by the moments, the embedding mean and the cut-off
+    if df.isEmpty():
+        return df.withColumn("oc_score", F.lit(None).cast("double")).withColumn("oc_flag", F.lit(0))
     stats = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(feats)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
     zs = [(F.col(c) - float(stats[f"a{i}"] or 0.0)) / float(stats[f"s{i}"] or 1.0) for i, c in enumerate(feats)]
@@ -266,6 +278,6 @@ def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int
     score = F.lit(0.0)
     for k in range(n_features):
         score = score + F.col("_z")[k] * float(mu[f"u{k}"])
-    d = d.withColumn("oc_score", score).drop("_z")
+    d = materialize(d.withColumn("oc_score", score).drop("_z"))   # read by the cut-off and by the caller
     cut = d.agg(F.percentile_approx("oc_score", nu, 10000)).first()[0]
     return d.withColumn("oc_flag", flag(F.col("oc_score") <= F.lit(cut)))

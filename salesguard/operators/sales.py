@@ -9,6 +9,7 @@ aggregation, so a hot store or item is pre-aggregated before the exchange.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from salesguard.functions.scalar import money, r6, safe_div
@@ -63,12 +64,16 @@ def store_outlets(cat: Catalog) -> DataFrame:
 
 
 def time_window(ts_col: str, as_of: str | None, days: int | None):
-    """Half-open window [as_of - days, as_of + 1 day) on a timestamp column."""
-    if as_of is None:
+    """Half-open window [as_of - days, as_of + 1 day) on a timestamp column.
+
+    Without ``as_of`` the window ends today. ``days=None`` asks for the whole
+    history (up to ``as_of``, if given).
+    """
+    if as_of is None and days is None:
         return F.lit(True)
-    start = F.date_sub(F.to_date(F.lit(as_of)), int(days or 0)).cast("timestamp_ntz")
-    end = F.date_add(F.to_date(F.lit(as_of)), 1).cast("timestamp_ntz")
-    return (F.col(ts_col) >= start) & (F.col(ts_col) < end)
+    day = F.current_date() if as_of is None else F.to_date(F.lit(as_of))
+    until = F.col(ts_col) < F.date_add(day, 1).cast("timestamp_ntz")
+    return until if days is None else until & (F.col(ts_col) >= F.date_sub(day, int(days)).cast("timestamp_ntz"))
 
 
 def valid_line_filter(as_of: str | None = None, days: int | None = None):
@@ -111,6 +116,12 @@ def cart_totals(lines: DataFrame) -> DataFrame:
     return lines.groupBy("cart_id").agg(F.sum("sales_quantity").alias("order_quantity"))
 
 
+def with_cart_totals(lines: DataFrame) -> DataFrame:
+    """Lines with ``order_quantity``, the cart total (D6), from one exchange by
+    cart instead of a second pass over the fact; a cart is small."""
+    return lines.withColumn("order_quantity", F.sum("sales_quantity").over(W.partitionBy("cart_id")))
+
+
 def daily_sales(cat: Catalog, level: str = "store", as_of: str | None = None, days: int | None = None,
                 lines: DataFrame | None = None) -> DataFrame:
     """Net daily sales per level key and item, with items-per-cart share.
@@ -119,13 +130,11 @@ def daily_sales(cat: Catalog, level: str = "store", as_of: str | None = None, da
     net quantity enter the sums; the cart total counts every line.
     """
     lines = lines if lines is not None else sales_lines(cat, as_of, days)
-    carts = cart_totals(lines)
     names = item_names(cat)
     types = cat.item_types
     keys = level_keys(level)
-    j = (lines.filter(F.col("sales_quantity") > 0)
+    j = (with_cart_totals(lines).filter(F.col("sales_quantity") > 0)
               .join(names, "item_id")
-              .join(carts, "cart_id")
               .join(types, "item_id", "left"))
     share = safe_div(F.col("sales_quantity").cast("double"), F.col("order_quantity").cast("double"))
     return (j.groupBy(F.to_date("order_date").alias("date_"), *keys, "p_type", "item_id", "item_name")
@@ -141,10 +150,8 @@ def daily_sales_levels(cat: Catalog, as_of: str | None = None, days: int | None
     city and country grains (one scan and one shuffle instead of three).
     ``level`` tells the grain of each row; coarser grains have NULL keys."""
     lines = lines if lines is not None else sales_lines(cat, as_of, days)
-    carts = cart_totals(lines)
-    j = (lines.filter(F.col("sales_quantity") > 0)
+    j = (with_cart_totals(lines).filter(F.col("sales_quantity") > 0)
               .join(item_names(cat), "item_id")
-              .join(carts, "cart_id")
               .join(cat.item_types, "item_id", "left")
               .withColumn("date_", F.to_date("order_date")))
     share = safe_div(F.col("sales_quantity").cast("double"), F.col("order_quantity").cast("double"))
@@ -172,8 +179,7 @@ def level_rows(levels: DataFrame, level: str) -> DataFrame:
 def cart_share(cat: Catalog, as_of: str | None = None, days: int | None = None) -> DataFrame:
     """A5 on its own: per cart and item, the line's share of the cart quantity."""
     lines = sales_lines(cat, as_of, days)
-    carts = cart_totals(lines)
-    return (lines.filter(F.col("sales_quantity") > 0).join(carts, "cart_id")
+    return (with_cart_totals(lines).filter(F.col("sales_quantity") > 0)
             .groupBy("cart_id", "item_id")
             .agg(F.sum("sales_quantity").cast("long").alias("item_quantity"),
                  F.first("order_quantity").cast("long").alias("order_quantity"),

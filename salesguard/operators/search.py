@@ -18,21 +18,19 @@ from salesguard.sources.tables import Catalog
 BAD_RAW_KEYWORDS = ["-NA-", "#-NA", ""]
 BAD_KEYWORDS = ["", " ", "#-na"]
 SEARCH_PARENTS = ["type-to-search", "type_to_search"]
-EXCLUDED_USERS = [14647274, 9961423, 9709403, 13957980, 13605597, 3927621, 14740725, 4144617, 10045662]
 
 
 def _keyword() -> F.Column:
     return F.trim(F.lower(F.col("search_keyword")))
 
 
-def _event_filter(name: str, start: str | None, end: str | None):
+def _event_filter(name: str, start: str | None, end: str | None, excluded_users):
     c = ((F.col("name") == name)
          & F.col("search_keyword").isNotNull()
          & ~F.col("search_keyword").isin(*BAD_RAW_KEYWORDS)
          & F.col("search_keyword_parent").isin(*SEARCH_PARENTS)
          & F.col("user_id").isNotNull()
-         & ~F.col("user_id").isin(-1, 0)
-         & ~F.col("user_id").isin(*EXCLUDED_USERS)
+         & ~F.col("user_id").isin(-1, 0, *excluded_users)
          & F.col("city_id").isNotNull()
          & F.col("merchant_id").isNotNull()
          & F.col("merchant_name").isNotNull()
@@ -50,9 +48,9 @@ def _express_merchants(cat: Catalog) -> DataFrame:
     return m.filter(F.col("is_express_store") & F.col("is_current")).select("merchant_id", "facility_id")
 
 
-def keyword_atc(cat: Catalog, start: str | None = None, end: str | None = None) -> DataFrame:
+def keyword_atc(cat: Catalog, start: str | None = None, end: str | None = None, excluded_users=()) -> DataFrame:
     """Add-to-cart events per keyword x product x facility x category x day."""
-    ev = cat.mobile_events.filter(_event_filter("Product Added", start, end))
+    ev = cat.mobile_events.filter(_event_filter("Product Added", start, end, excluded_users))
     prod = (cat.products.filter(F.col("is_current") & F.col("is_product_enabled"))
             .select("product_id", "l2_category_id"))
     j = ev.join(prod, "product_id").join(_express_merchants(cat), "merchant_id")
@@ -61,9 +59,9 @@ def keyword_atc(cat: Catalog, start: str | None = None, end: str | None = None)
              .agg(F.count("device_uuid").alias("key_prod_atc")))
 
 
-def searches(cat: Catalog, start: str | None = None, end: str | None = None) -> DataFrame:
+def searches(cat: Catalog, start: str | None = None, end: str | None = None, excluded_users=()) -> DataFrame:
     """Distinct (day, facility, merchant, device, keyword) of search events."""
-    ev = cat.mobile_events.filter(_event_filter("Product Searched", start, end))
+    ev = cat.mobile_events.filter(_event_filter("Product Searched", start, end, excluded_users))
     j = ev.join(_express_merchants(cat), "merchant_id")
     return (j.select(F.col("at_date").alias("date_"), "facility_id", "merchant_id",
                      F.lower("device_uuid").alias("device_uuid"), _keyword().alias("keyword"))
@@ -71,17 +69,18 @@ def searches(cat: Catalog, start: str | None = None, end: str | None = None) ->
 
 
 def keyword_stats(atc: DataFrame, min_total: int = 100, min_pair: int = 10) -> DataFrame:
-    """D14 before the share filter: keyword-category pairs with totals and shares."""
-    kw = (atc.groupBy(F.col("keyword").alias("keyword1"))
-             .agg(F.sum("key_prod_atc").alias("key_tot_atc"))
-             .filter(F.col("key_tot_atc") >= min_total))
-    l0 = atc.groupBy("l2_category_id").agg(F.sum("key_prod_atc").alias("l0_tot_atc"))
-    j = atc.join(kw, atc.keyword == kw.keyword1).join(l0, "l2_category_id")
-    pair = (j.groupBy("keyword", "key_tot_atc", "l2_category_id", "l0_tot_atc")
-             .agg(F.sum("key_prod_atc").alias("key_l0_atc"))
-             .filter(F.col("key_l0_atc") > min_pair))
-    return (pair.withColumn("l0_in_key", F.col("key_l0_atc") * 100.0 / F.col("key_tot_atc"))
-                .withColumn("key_in_l0", F.col("key_l0_atc") * 100.00 / F.col("l0_tot_atc")))
+    """D14 before the share filter: keyword-category pairs with totals and shares.
+
+    The events are added up once, to (keyword, category); both totals are
+    window sums over those few rows, so no keyword or category is joined on.
+    """
+    pair = atc.groupBy("keyword", "l2_category_id").agg(F.sum("key_prod_atc").alias("pair_atc"))
+    totals = pair.withColumns({
+        "keyword_atc": F.sum("pair_atc").over(Window.partitionBy("keyword")),
+        "category_atc": F.sum("pair_atc").over(Window.partitionBy("l2_category_id"))})
+    return (totals.filter((F.col("keyword_atc") >= min_total) & (F.col("pair_atc") > min_pair))
+                  .withColumn("keyword_pct", F.col("pair_atc") * 100.0 / F.col("keyword_atc"))
+                  .withColumn("category_pct", F.col("pair_atc") * 100.0 / F.col("category_atc")))
 
 
 def keyword_category_map(atc: DataFrame, min_total: int = 100, min_pair: int = 10,
@@ -90,13 +89,12 @@ def keyword_category_map(atc: DataFrame, min_total: int = 100, min_pair: int = 1
     """Keep (category, keyword) when the keyword is frequent, the pair is
     frequent, the pair is >= 0.1 % of the category and >= 10 % of the keyword."""
     st = keyword_stats(atc, min_total, min_pair)
-    kept = st.filter((F.col("key_in_l0") >= min_share_of_category) & (F.col("l0_in_key") >= min_share_of_keyword))
+    kept = st.filter((F.col("category_pct") >= min_share_of_category) & (F.col("keyword_pct") >= min_share_of_keyword))
     if with_stats:
-        return kept.select("l2_category_id", "keyword", F.col("key_tot_atc").cast("long").alias("key_tot_atc"),
-                           F.col("l0_tot_atc").cast("long").alias("l0_tot_atc"),
-                           F.col("key_l0_atc").cast("long").alias("key_l0_atc"),
-                           r6("l0_in_key").alias("l0_in_key"), r6("key_in_l0").alias("key_in_l0"))
-    return kept.select("l2_category_id", "keyword").distinct()
+        return kept.select("l2_category_id", "keyword",
+                           *[F.col(c).cast("long").alias(c) for c in ("keyword_atc", "category_atc", "pair_atc")],
+                           r6("keyword_pct").alias("keyword_pct"), r6("category_pct").alias("category_pct"))
+    return kept.select("l2_category_id", "keyword")
 
 
 def top_keywords(atc: DataFrame, k: int, min_total: int = 100, min_pair: int = 10) -> DataFrame:
@@ -106,11 +104,11 @@ def top_keywords(atc: DataFrame, k: int, min_total: int = 100, min_pair: int = 1
     shuffle, so a large category never sorts all its keywords in one task.
     """
     st = keyword_stats(atc, min_total, min_pair)
-    w = Window.partitionBy("l2_category_id").orderBy(F.desc("key_l0_atc"), F.asc("keyword"))
-    return (st.withColumn("keyword_rank_in_l0", F.row_number().over(w))
-              .filter(F.col("keyword_rank_in_l0") <= k)
-              .select("l2_category_id", "keyword", F.col("key_l0_atc").cast("long").alias("key_l0_atc"),
-                      "keyword_rank_in_l0"))
+    w = Window.partitionBy("l2_category_id").orderBy(F.desc("pair_atc"), F.asc("keyword"))
+    return (st.withColumn("keyword_rank", F.row_number().over(w))
+              .filter(F.col("keyword_rank") <= k)
+              .select("l2_category_id", "keyword", F.col("pair_atc").cast("long").alias("pair_atc"),
+                      "keyword_rank"))
 
 
 def facility_city(cat: Catalog) -> DataFrame:
@@ -120,10 +118,16 @@ def facility_city(cat: Catalog) -> DataFrame:
 
 
 def category_searches(cat: Catalog, srch: DataFrame, kwmap: DataFrame) -> DataFrame:
-    """Searches of mapped keywords per day x city x facility x category x merchant."""
-    j = srch.join(kwmap, "keyword").join(facility_city(cat), "facility_id")
+    """Searches of mapped keywords per day x city x facility x category x merchant.
+
+    Searches are counted per keyword first, so that a popular keyword meets the
+    map as a few counts and not as all its devices.
+    """
+    counted = (srch.groupBy("date_", "facility_id", "merchant_id", "keyword")
+               .agg(F.count("device_uuid").alias("_n")))
+    j = counted.join(kwmap, "keyword").join(facility_city(cat), "facility_id")
     return (j.groupBy("date_", "city_name", "facility_id", "l2_category_id", "merchant_id")
-             .agg(F.count("device_uuid").alias("searches")))
+             .agg(F.sum("_n").alias("searches")))
 
 
 def avg_searches(cat: Catalog, cs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -90,10 +90,10 @@ def rolling_quantiles(df: DataFrame, keys: list[str], date: str, x: str, window:
     (NULL until ``window`` earlier non-null values exist)."""
     w = Window.partitionBy(*keys).orderBy(date).rowsBetween(-window, -1)
     full = F.count(F.col(x)).over(w) == window
-    q = lambda p: F.when(full, F.percentile(F.col(x), p).over(w))
-    return (df.withColumn("rolling_median", q(0.5)).withColumn("rolling_75", q(0.75))
-              .withColumn("rolling_25", q(0.25))
-              .withColumn("IQR", F.col("rolling_75") - F.col("rolling_25")))
+    q = F.percentile(F.col(x), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(w)
+    return (df.withColumn("_q", F.when(full, q))
+              .withColumns({"rolling_median": F.col("_q")[1], "rolling_75": F.col("_q")[2], "rolling_25": F.col("_q")[0]})
+              .drop("_q").withColumn("IQR", F.col("rolling_75") - F.col("rolling_25")))
 
 
 def rolling_iqr_spike(df: DataFrame, keys: list[str], date: str, x: str = "adjusted", factor: float = 1.5,
@@ -145,3 +145,15 @@ def rolling_mean_std(df: DataFrame, keys: list[str], date: str, x: str, window:
     full = F.count(F.col(x)).over(w) == window
     return (df.withColumn("rolling_mean", F.when(full, F.avg(F.col(x)).over(w)))
               .withColumn("rolling_std", F.when(full, F.stddev_samp(F.col(x)).over(w))))
+
+
+def rolling_ewm(df: DataFrame, keys: list[str], date: str, x: str, span: int = 21) -> DataFrame:
+    """Exponentially weighted mean of the ``span`` rows before each row, with
+    weights (1 - 2 / (span + 1)) ** age (NULL until ``span`` earlier values exist)."""
+    w = Window.partitionBy(*keys).orderBy(date).rowsBetween(-span, -1)
+    decay = 1.0 - 2.0 / (span + 1)
+    weights = [decay ** age for age in range(span - 1, -1, -1)]
+    total = F.aggregate(F.zip_with(F.col("_xs"), F.lit(weights), lambda v, k: v * k), F.lit(0.0), lambda a, v: a + v)
+    return (df.withColumn("_xs", F.when(F.count(F.col(x)).over(w) == span,
+                                        F.collect_list(F.col(x).cast("double")).over(w)))
+              .withColumn("rolling_ewm", total / sum(weights)).drop("_xs"))

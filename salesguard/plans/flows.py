@@ -27,25 +27,41 @@ PRODUCTION_COLS = ["date_", "city_name", "facility_id", "item_id", "item_name",
 
 
 def range_input(cat: Catalog, as_of: str | None, days: int | None, min_carts: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Store-level daily rows of the production script and its sparse keys."""
-    lines = S.sales_lines(cat, as_of, days)
+    """Store-level daily rows of the production script and its sparse keys, from one scan of the fact."""
+    lines = materialize(S.sales_lines(cat, as_of, days).select(
+        "order_date", "city_name", "facility_id", "item_id", "cart_id", "sales_quantity", "sales_value", "sales_value_mrp"))
     daily = S.daily_sales(cat, "store", lines=lines).select(*PRODUCTION_COLS).dropna("any")
     sparse = S.sparse_keys(lines, "store", min_carts)
     return daily, sparse
 
 
+def range_rows(daily: DataFrame, transform: str = "boxcox", impute: bool = False, midpoint: bool = False,
+               updated_at: str | None = None) -> DataFrame:
+    """The range table of daily rows."""
+    seg = materialize(G.segment(daily, RANGE_KEYS, transform, impute))
+    return G.range_table(seg, RANGE_KEYS, midpoint=midpoint, updated_at=updated_at)
+
+
 def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90, drop_sparse: bool = False,
                    transform: str = "boxcox", impute: bool = False, midpoint: bool = False,
-                   updated_at: str | None = None, min_carts: int = 3) -> tuple[DataFrame, DataFrame]:
+                   updated_at: str | None = None, min_carts: int = 3,
+                   exclude_cities=(), only: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Range table and error table of the production range script.
 
     ``drop_sparse=False`` reproduces the reference as it runs (its sparse filter
     is overwritten, SURVEY Q1): sparse keys still get a range and also an
     error row. ``True`` applies the filter the reference intended.
+    ``exclude_cities`` leaves cities out (P15), ``only`` keeps the rows with
+    the given values of key columns (P17), e.g. ``{"facility_id": 3}``.
     """
     daily, sparse = range_input(cat, as_of, days, min_carts)
+    if exclude_cities:
+        daily = daily.filter(~F.col("city_name").isin(*exclude_cities))
+    for key, value in (only or {}).items():
+        daily = daily.filter(F.col(key) == F.lit(value))
+    daily = materialize(daily)
     src = daily.join(sparse.select(*RANGE_KEYS), RANGE_KEYS, "left_anti") if drop_sparse else daily
-    seg = materialize(G.segment(materialize(src), RANGE_KEYS, transform, impute))
+    seg = materialize(G.segment(src, RANGE_KEYS, transform, impute))
     ranges = G.range_table(seg, RANGE_KEYS, midpoint=midpoint, updated_at=updated_at)
     errors = G.range_errors(seg, RANGE_KEYS, sparse.join(daily.select(*RANGE_KEYS).distinct(), RANGE_KEYS,
                                                           "left_semi"))
@@ -116,12 +132,12 @@ def report_base(cat: Catalog, as_of: str | None = None, days: int | None = 90,
 
 
 def search_levels(cat: Catalog, min_total: int = 100, min_pair: int = 10, share_cat: float = 0.1,
-                  share_kw: float = 10, start: str | None = None, end: str | None = None):
+                  share_kw: float = 10, start: str | None = None, end: str | None = None, excluded_users=()):
     from salesguard.operators import search as SR
-    atc = SR.keyword_atc(cat, start, end)
+    atc = SR.keyword_atc(cat, start, end, excluded_users)
     kwmap = SR.keyword_category_map(atc, min_total, min_pair, share_cat, share_kw)
-    cs = SR.category_searches(cat, SR.searches(cat, start, end), kwmap)
-    return SR.avg_searches(cat, cs)
+    cs = SR.category_searches(cat, SR.searches(cat, start, end, excluded_users), kwmap)
+    return SR.avg_searches(cat, materialize(cs))
 
 
 def attribution_report(cat: Catalog, as_of: str | None = None, days: int | None = 90,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from salesguard.operators import sales as S
 from salesguard.plans import oracle as O
 from salesguard.plans import params as P
+from salesguard.plans.materialize import materialize
 from salesguard.sources.tables import Catalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,7 +172,7 @@ from salesguard.operators import search as SR  # noqa: E402
 
 REP = ["date_", "city_name", "facility_id", "p_type", "item_id", "item_name", "sales_quantity", "outlier_flag"]
 REP_SQL = ", ".join(REP)
-KW = dict(min_total=P.KW_MIN_TOTAL, min_pair=P.KW_MIN_PAIR, share_cat=P.KW_MIN_SHARE_OF_CATEGORY,
+KW = dict(excluded_users=P.EXCLUDED_USERS, min_total=P.KW_MIN_TOTAL, min_pair=P.KW_MIN_PAIR, share_cat=P.KW_MIN_SHARE_OF_CATEGORY,
           share_kw=P.KW_MIN_SHARE_OF_KEYWORD)
 
 
@@ -198,39 +199,39 @@ def q_event_flag_strict(spark, sf_dir):
 
 @register("keyword_atc", _att("SELECT * FROM kw_atc"))
 def q_keyword_atc(spark, sf_dir):
-    return SR.keyword_atc(_cat(spark, sf_dir))
+    return SR.keyword_atc(_cat(spark, sf_dir), excluded_users=P.EXCLUDED_USERS)
 
 
 @register("searches", _att("SELECT * FROM srch"))
 def q_searches(spark, sf_dir):
-    return SR.searches(_cat(spark, sf_dir))
+    return SR.searches(_cat(spark, sf_dir), excluded_users=P.EXCLUDED_USERS)
 
 
 @register("keyword_category_map", _att(f"""
-SELECT l2_category_id, keyword, CAST(key_tot_atc AS BIGINT) AS key_tot_atc, CAST(l0_tot_atc AS BIGINT) AS l0_tot_atc,
-       CAST(key_l0_atc AS BIGINT) AS key_l0_atc, round(l0_in_key, 6) AS l0_in_key, round(key_in_l0, 6) AS key_in_l0
-FROM kw_l0 WHERE key_in_l0 >= {P.KW_MIN_SHARE_OF_CATEGORY} AND l0_in_key >= {P.KW_MIN_SHARE_OF_KEYWORD}"""))
+SELECT l2_category_id, keyword, CAST(keyword_atc AS BIGINT) AS keyword_atc, CAST(category_atc AS BIGINT) AS category_atc,
+       CAST(pair_atc AS BIGINT) AS pair_atc, round(keyword_pct, 6) AS keyword_pct, round(category_pct, 6) AS category_pct
+FROM kw_stat WHERE category_pct >= {P.KW_MIN_SHARE_OF_CATEGORY} AND keyword_pct >= {P.KW_MIN_SHARE_OF_KEYWORD}"""))
 def q_keyword_category_map(spark, sf_dir):
-    atc = SR.keyword_atc(_cat(spark, sf_dir))
+    atc = SR.keyword_atc(_cat(spark, sf_dir), excluded_users=P.EXCLUDED_USERS)
     return SR.keyword_category_map(atc, P.KW_MIN_TOTAL, P.KW_MIN_PAIR, P.KW_MIN_SHARE_OF_CATEGORY,
                                    P.KW_MIN_SHARE_OF_KEYWORD, with_stats=True)
 
 
 @register("keyword_top_k", _att("""
-SELECT l2_category_id, keyword, CAST(key_l0_atc AS BIGINT) AS key_l0_atc, keyword_rank_in_l0 FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY l2_category_id ORDER BY key_l0_atc DESC, keyword) AS INTEGER)
-         AS keyword_rank_in_l0
-  FROM kw_l0) WHERE keyword_rank_in_l0 <= 3"""))
+SELECT l2_category_id, keyword, CAST(pair_atc AS BIGINT) AS pair_atc, keyword_rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l2_category_id ORDER BY pair_atc DESC, keyword) AS INTEGER)
+         AS keyword_rank
+  FROM kw_stat) WHERE keyword_rank <= 3"""))
 def q_keyword_top_k(spark, sf_dir):
-    atc = SR.keyword_atc(_cat(spark, sf_dir))
+    atc = SR.keyword_atc(_cat(spark, sf_dir), excluded_users=P.EXCLUDED_USERS)
     return SR.top_keywords(atc, 3, P.KW_MIN_TOTAL, P.KW_MIN_PAIR)
 
 
 def _cat_searches(cat):
-    atc = SR.keyword_atc(cat)
+    atc = SR.keyword_atc(cat, excluded_users=P.EXCLUDED_USERS)
     kwmap = SR.keyword_category_map(atc, P.KW_MIN_TOTAL, P.KW_MIN_PAIR, P.KW_MIN_SHARE_OF_CATEGORY,
                                     P.KW_MIN_SHARE_OF_KEYWORD)
-    return SR.category_searches(cat, SR.searches(cat), kwmap)
+    return SR.category_searches(cat, SR.searches(cat, excluded_users=P.EXCLUDED_USERS), kwmap)
 
 
 @register("category_searches", _att("SELECT * FROM cat_srch"))
@@ -445,11 +446,11 @@ def q_seasonal_monthly(spark, sf_dir):
     return _factors(_cat(spark, sf_dir))[1]
 
 
-def _deseasonalised(spark, sf_dir):
+def _deseasonalised(spark, sf_dir, mode="divide"):
     cat = _cat(spark, sf_dir)
     weekly, monthly = _factors(cat)
     pdm = D.product_demand(cat, P.AS_OF, P.DAYS)
-    return SE.deseasonalise(pdm, monthly, weekly)
+    return SE.deseasonalise(pdm, monthly, weekly, mode=mode)
 
 
 DES_COLS = "date, wom, dom, dow, l2_category, product_id, qty"
@@ -672,8 +673,9 @@ SELECT d.date_, d.facility_id, d.item_id, d.sales_quantity, r."min" AS range_min
 FROM prod_daily d LEFT JOIN rt r ON r.facility_id = d.facility_id AND r.item_id = d.item_id"""))
 def q_within_range(spark, sf_dir):
     cat = _cat(spark, sf_dir)
-    ranges, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, updated_at=UPDATED_AT)
     daily, _ = PL.range_input(cat, P.AS_OF, P.DAYS)
+    daily = materialize(daily)
+    ranges = PL.range_rows(daily, updated_at=UPDATED_AT)
     return (ST.within_range(daily, ranges, ["facility_id", "item_id"])
             .select("date_", "facility_id", "item_id", "sales_quantity", "range_min", "range_max", "out_of_range"))
 
@@ -686,8 +688,11 @@ SELECT facility_id, item_id, "min", "max", updated_at FROM (
   FROM (SELECT *, 0 AS src FROM old_r UNION ALL SELECT *, 1 AS src FROM new_r)) WHERE rn = 1"""))
 def q_upsert_latest(spark, sf_dir):
     cat = _cat(spark, sf_dir)
-    old, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, updated_at=UPDATED_AT)
-    new, _ = PL.range_pipeline(cat, P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT_NEW)
+    daily, sparse = PL.range_input(cat, P.AS_OF, P.DAYS)
+    # A key's range hangs on its own rows alone, so the ranges without the sparse keys are those of the others.
+    old = PL.range_rows(materialize(daily), updated_at=UPDATED_AT)
+    new = (old.join(sparse.select(*PL.RANGE_KEYS), PL.RANGE_KEYS, "left_anti")
+              .withColumn("updated_at", F.lit(UPDATED_AT_NEW).cast("timestamp_ntz")))
     return SK.upsert_latest(old, new, ["facility_id", "item_id"], "updated_at")
 
 
@@ -802,6 +807,64 @@ def q_rolling_mean_std(spark, sf_dir):
     return d.select("date", "product_id", "qty", SE.r6_col("rolling_mean"), SE.r6_col("rolling_std"))
 
 
+@register("rolling_ewm", _seas(f"""
+SELECT date, product_id, qty, CASE WHEN n = 21 THEN round(list_sum(list_transform(xs, lambda v, i: v * power(20.0 / 22.0, 21 - i)))
+       / {sum((20.0 / 22.0) ** k for k in range(21))!r}, 6) END AS rolling_ewm
+FROM (SELECT date, product_id, qty, COUNT(qty) OVER w AS n, list(qty::DOUBLE) OVER w AS xs FROM prod_dem
+      WINDOW w AS (PARTITION BY product_id ORDER BY date ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING))"""))
+def q_rolling_ewm(spark, sf_dir):
+    pdm = D.product_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+    d = SE.rolling_ewm(pdm, ["product_id"], "date", "qty")
+    return d.select("date", "product_id", "qty", SE.r6_col("rolling_ewm"))
+
+
+@register("deseasonalised_subtract", _seas(f"""
+SELECT {DES_COLS}, round(qty - COALESCE(monthly_seasonal, 0) - COALESCE(weekly_seasonal, 0), 6) AS adjusted FROM des"""))
+def q_deseasonalised_subtract(spark, sf_dir):
+    d = _deseasonalised(spark, sf_dir, "subtract")
+    return d.select(*DES_COLS.split(", "), SE.r6_col("adjusted"))
+
+
+@register("range_midpoint", O.with_ctes(O.range_ctes(False), f"""
+SELECT CAST(facility_id AS INTEGER) AS facility_id, CAST(item_id AS INTEGER) AS item_id,
+       round_even((lo + mid) / 2, 2) AS "min", round_even((hi + mid) / 2, 2) AS "max",
+       CAST(TIMESTAMP '{UPDATED_AT}' AS TIMESTAMP) AS updated_at
+FROM (SELECT facility_id, item_id, AVG(CASE WHEN cluster = 1 THEN CAST(sales_quantity AS DOUBLE) END) AS lo,
+             AVG(CASE WHEN cluster = 2 THEN CAST(sales_quantity AS DOUBLE) END) AS mid,
+             AVG(CASE WHEN cluster = 3 THEN CAST(sales_quantity AS DOUBLE) END) AS hi
+      FROM rg_seg WHERE cluster IS NOT NULL GROUP BY ALL)"""))
+def q_range_midpoint(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, midpoint=True, updated_at=UPDATED_AT)[0]
+
+
+for _fn, _sql in (("log", "ln(CAST(sales_quantity AS DOUBLE))"), ("sqrt", "sqrt(CAST(sales_quantity AS DOUBLE))")):
+    def _mkt(fn):
+        def q(spark, sf_dir):
+            from salesguard.operators.segments import transformed
+            d = transformed(_country(spark, sf_dir), ["item_id"], fn)
+            return d.select("date_", "item_id", "sales_quantity", r6("Sales").alias("Sales"))
+        return q
+    register(f"{_fn}_sales", O.with_ctes(O.base_ctes(), f"""
+SELECT date_, item_id, sales_quantity, round({_sql}, 6) AS Sales FROM daily_country"""))(_mkt(_fn))
+
+
+@register("boxcox_skew", O.with_ctes(
+    {**O.base_ctes(), **O.segment_ctes("bk", "daily_country", ["item_id"], "boxcox", False)}, """
+SELECT item_id, COUNT(*) AS n, round(CASE WHEN var_pop(sales_quantity) > 0 THEN skewness(sales_quantity) END, 6) AS skew_before,
+       round(CASE WHEN var_pop(Sales) > 0 THEN skewness(Sales) END, 6) AS skew_after
+FROM bk_t GROUP BY ALL HAVING COUNT(*) >= 3"""))
+def q_boxcox_skew(spark, sf_dir):
+    """Bias-adjusted skewness of each item's sales before and after the transform."""
+    from salesguard.functions.scalar import sample_skewness
+    from salesguard.operators.boxcox import by_keys
+    from salesguard.operators.segments import transformed
+    d = transformed(by_keys(_country(spark, sf_dir), ["item_id"]), ["item_id"], "boxcox")
+    n = F.count(F.lit(1))
+    skew = lambda c: F.round(F.when(F.var_pop(c) > 0, sample_skewness(c, n)), 6)
+    return (d.groupBy("item_id").agg(n.alias("n"), skew("sales_quantity").alias("skew_before"), skew("Sales").alias("skew_after"))
+            .filter("n >= 3"))
+
+
 # ---------------------------------------------------------------- dimensions seen in sales
 @register("item_category_seen", O.with_ctes(O.base_ctes(), """
 SELECT * FROM item_categories WHERE item_id IN (SELECT item_id FROM daily_store)"""))

@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 
 # Declared output contracts (S9): name, type, description.
 RANGE_TABLE_SCHEMA = T.StructType([
-    T.StructField("facility_id", T.IntegerType(), metadata={"comment": "unique identifier for dark store"}),
-    T.StructField("item_id", T.IntegerType(), metadata={"comment": "unique identifier for item"}),
-    T.StructField("min", T.DoubleType(), metadata={"comment": "sales outlier range minimum sales"}),
-    T.StructField("max", T.DoubleType(), metadata={"comment": "sales outlier range maxiumum sales"}),
-    T.StructField("updated_at", T.TimestampType(), metadata={"comment": "updated time stamp in IST"}),
+    T.StructField("facility_id", T.IntegerType(), metadata={"comment": "facility the range holds for"}),
+    T.StructField("item_id", T.IntegerType(), metadata={"comment": "item the range holds for"}),
+    T.StructField("min", T.DoubleType(), metadata={"comment": "lowest usual daily quantity"}),
+    T.StructField("max", T.DoubleType(), metadata={"comment": "highest usual daily quantity"}),
+    T.StructField("updated_at", T.TimestampType(), metadata={"comment": "time of the computation, Indian Standard Time"}),
 ])
 RANGE_ERROR_SCHEMA = T.StructType([
     T.StructField("facility_id", T.IntegerType()), T.StructField("item_id", T.IntegerType()),

@@ -95,7 +95,7 @@ class Catalog:
                            F.col("n_regionkey").alias("location_id"),
                            F.when(F.col("s_suppkey") % 10 == 9, F.lit(1))
                             .otherwise(F.lit(STORE_BUSINESS_TYPE)).alias("business_type_id"),
-                           F.lit(1).alias("active")))
+                           F.when(F.col("s_suppkey") % 6 == 5, F.lit(0)).otherwise(F.lit(1)).alias("active")))
 
     @cached_property
     def locations(self) -> DataFrame:

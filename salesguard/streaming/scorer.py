@@ -4,8 +4,9 @@ Order lines arrive as files (or any streaming source); finished days are
 summed per store key with a tumbling 1-day event-time window and a watermark
 (state holds one row per key and open day, dropped once the watermark passes
 the window end), scored against the range table with a stream-static join, and
-written by ``foreachBatch`` into one folder per batch id, so a replayed batch
-overwrites its own output instead of duplicating it.
+the days out of range are merged by ``foreachBatch`` into the alert table: one
+row per day and key, the newest batch winning. A replayed batch merges the same
+rows again and changes nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesguard.functions.scalar import flag
+from salesguard.sources.sinks import upsert_to_path
 
 
 def daily_tumbling(stream: DataFrame, ts_col: str, keys: list[str], value: str,
@@ -39,10 +41,13 @@ def score(daily: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
                  .withColumn("out_of_range", flag((v < F.col("range_min")) | (v > F.col("range_max")))))
 
 
-def batch_writer(path: str, fmt: str = "parquet"):
-    """Idempotent per batch id: batch N always lands in ``path/batch_id=N``."""
+def alert_writer(path: str, keys: list[str], fmt: str = "parquet"):
+    """Upsert of a batch's out-of-range days into the versioned table at
+    ``path`` (see ``sinks.upsert_to_path``). A batch without any writes nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        alerts = batch.filter(F.col("out_of_range") == 1).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if not alerts.isEmpty():
+            upsert_to_path(batch.sparkSession, alerts, path, ["date_", *keys], "batch_id", fmt)
     return write
 
 
@@ -53,6 +58,6 @@ def start_scorer(spark: SparkSession, source: DataFrame, ranges: DataFrame, out_
     keys = list(keys)
     scored = score(daily_tumbling(source, ts_col, keys, value, watermark), ranges, keys)
     w = (scored.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-               .foreachBatch(batch_writer(out_path)))
+               .foreachBatch(alert_writer(out_path, keys)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
