@@ -86,10 +86,10 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op4_block_matrix_join": """
 WITH ok AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
   FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
