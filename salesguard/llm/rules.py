@@ -35,39 +35,38 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     by 64-bit hash.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn("_t", F.trim(t, F.lit(WHITE)))
-    df = df.withColumn("_w", F.when(F.col("_t") == "", F.array().cast("array<string>"))
-                       .otherwise(F.split("_t", _GAP + "+")))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x, F.lit(WHITE)) != "")
-    df = df.withColumn("_l", lines)
-    df = df.withColumn("_h", F.expr(
-        "CASE WHEN size(_w) < 3 THEN cast(array() AS array<struct<h:bigint,p:int>>) ELSE sort_array(transform("
-        "sequence(0, size(_w) - 3), i -> named_struct('h', xxhash64(_w[i], _w[i + 1], _w[i + 2]), 'p', i))) END"))
-    df = df.withColumn("_p", F.expr(
-        "sort_array(filter(transform(_h, (x, i) -> CASE WHEN (i > 0 AND _h[i - 1].h = x.h) OR "
-        "(i < size(_h) - 1 AND _h[i + 1].h = x.h) THEN x.p END), p -> p IS NOT NULL))"))
-    df = df.withColumn("_gaps", F.expr(
-        "zip_with(_p, slice(_p, 2, greatest(size(_p), 1)), (a, b) -> least(3, coalesce(b - a, 3)))"))
     without = lambda pattern: (F.length(t) - F.length(F.regexp_replace(t, pattern, ""))).cast("long")
+    # Each step keeps only what a later one needs: what it hands on is copied for every row.
+    df = df.withColumn("_t", F.trim(t, F.lit(WHITE)))
     df = df.withColumns({
-        "n_words": F.size("_w").cast("long"),
+        "_w": F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split("_t", _GAP + "+")),
+        "_l": F.filter(F.split(t, "\n"), lambda x: F.trim(x, F.lit(WHITE)) != ""),
         "word_chars": F.length(F.regexp_replace(t, _GAP + "+", "")).cast("long"),
-        "n_symbols": without("[#*$%&|<>]"),
+        "n_symbols": without("[#*$%&|<>]"), "_upper": without("[A-Z]"), "_marks": without("[!?;:]"),
+    })
+    df = df.withColumns({
+        "n_words": F.size("_w").cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-        # A filter on a statistic must not move below this step: the optimiser would write the arrays' expressions
-        # out in full inside each other's lambdas. It does not pass a step that asks for the partition.
-        "n_repeat_words": F.when(F.spark_partition_id() >= 0, F.aggregate(
-            "_gaps", F.lit(0), lambda a, x: a + x).cast("long")).otherwise(F.lit(0)),
-        "_upper": without("[A-Z]"), "_marks": without("[!?;:]"),
         "_lines": F.greatest(F.size("_l"), F.lit(1)),
+        "_h": F.expr(
+            "CASE WHEN size(_w) < 3 THEN cast(array() AS array<struct<h:bigint,p:int>>) ELSE sort_array(transform("
+            "sequence(0, size(_w) - 3), i -> named_struct('h', xxhash64(_w[i], _w[i + 1], _w[i + 2]), 'p', i))) END"),
     })
+    df = df.withColumn("_p", F.expr(
+        "sort_array(filter(transform(_h, (x, i) -> CASE WHEN (i > 0 AND _h[i - 1].h = x.h) OR "
+        "(i < size(_h) - 1 AND _h[i + 1].h = x.h) THEN x.p END), p -> p IS NOT NULL))"))
+    gaps = F.expr("zip_with(_p, slice(_p, 2, greatest(size(_p), 1)), (a, b) -> least(3, coalesce(b - a, 3)))")
+    # A filter on a statistic must not move below this step: the optimiser would write the arrays' expressions
+    # out in full inside each other's lambdas. It does not pass a step that asks for the partition.
+    df = df.withColumn("n_repeat_words", F.when(F.spark_partition_id() >= 0, F.aggregate(
+        gaps, F.lit(0), lambda a, x: a + x).cast("long")).otherwise(F.lit(0)))
     n, c = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
     return df.withColumns({
         "f_words": F.col("n_words").cast("double"), "f_word_chars": F.col("word_chars") / n,
         "f_symbols": F.col("n_symbols") / c, "f_dup_lines": F.col("n_dup_lines") / F.col("_lines"),
         "f_repeats": F.col("n_repeat_words") / n, "f_upper": F.col("_upper") / c, "f_marks": F.col("_marks") / c,
         "f_line_words": F.col("n_words") / F.col("_lines"),
-    }).drop("_t", "_w", "_l", "_h", "_p", "_gaps", "_upper", "_marks", "_lines")
+    }).drop("_t", "_w", "_l", "_h", "_p", "_upper", "_marks", "_lines")
 
 
 def base_failed() -> Column:
