@@ -230,7 +230,7 @@ def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.
     n = df.count()
     if n == 0:
         return df.withColumn("robust_distance", F.lit(None).cast("double")).withColumn("envelope_flag", F.lit(0))
-    h = (n + len(feats) + 1) / (2.0 * max(n, 1))
+    h = min(1.0, (n + len(feats) + 1) / (2.0 * n))
     mean, cov = _moments(df, feats)
     for _ in range(c_steps):
         d2 = _mahalanobis(feats, mean, cov)

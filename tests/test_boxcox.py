@@ -34,3 +34,16 @@ def test_transform_is_monotone(spark):
     t = sorted((r["v"], r["Sales"]) for r in B.apply_boxcox(df, ["k"], "v").collect())
     ys = [y for _, y in t]
     assert ys == sorted(ys)
+
+
+def test_optimum_beyond_five_is_found_and_an_open_end_is_not_clamped(spark):
+    rng = np.random.default_rng(3)
+    # x ** 9 is nearly symmetric, so the optimum is near 9
+    x = np.round((rng.normal(1.0, 0.05, 400) * 1e9) ** (1 / 9), 4)
+    df = spark.createDataFrame([(1, float(v)) for v in x] + [(2, math.e)] * 1000 + [(2, 1.0)], "k int, v double")
+    got = {r["k"]: r["lam"] for r in B.boxcox_lambda(df, ["k"], "v").collect()}
+    assert abs(got[1]) > 5.6
+    best = llf(x / x.mean(), got[1])
+    for other in (got[1] * 0.97, got[1] * 1.03):
+        assert best >= llf(x / x.mean(), other) - 1e-3
+    assert 2 not in got                                    # still rising at the last point: reported, not clamped

@@ -38,3 +38,20 @@ def test_kmeans_2d_ranks_clusters(spark):
     d = M.kmeans_2d(spark.createDataFrame(rows, "k int, s double, wd double"), ["k"], ["s", "wd"])
     by = {r["s"]: r["cluster"] for r in d.collect()}
     assert by[1.0] == 1 and by[10.0] == 2 and by[30.0] == 3
+
+
+def test_empty_and_single_rows(spark):
+    kind = "id int, q double, ipc double"
+    none, one = spark.createDataFrame([], kind), spark.createDataFrame([(1, 2.0, 0.5)], kind)
+    assert M.isolation_forest(none, ["id"], ["q", "ipc"]).collect() == []
+    assert M.elliptic_envelope(none, ["q", "ipc"]).collect() == []
+    assert M.one_class(none, ["q", "ipc"]).collect() == []
+    assert [r["iforest_score"] for r in M.isolation_forest(one, ["id"], ["q", "ipc"]).collect()] == [0.5]
+    assert M.elliptic_envelope(one, ["q", "ipc"]).count() == 1 and M.one_class(one, ["q", "ipc"]).count() == 1
+
+
+def test_kmeans_2d_does_not_hang_on_partitions(spark):
+    rows = [(k, float(v), float(v % 2)) for k in range(5) for v in (1, 2, 3, 9, 10, 11, 30, 31, 35)]
+    df = spark.createDataFrame(rows, "k int, s double, wd double")
+    a = sorted(tuple(r) for r in M.kmeans_2d(df, ["k"], ["s", "wd"]).collect())
+    assert a == sorted(tuple(r) for r in M.kmeans_2d(df.repartition(7, "s"), ["k"], ["s", "wd"]).collect())
