@@ -16,8 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,26 +58,86 @@ def _vec(df: DataFrame, feats: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip").transform(df)
 
 
-def kmeans_elbow(df: DataFrame, feats: list[str], ks=range(1, 6), seed: int = 42) -> DataFrame:
-    """Score (minus within-cluster sum of squares) per k; one distributed fit per k."""
-    v = _vec(df, feats).select("features").cache()
-    rows = []
-    for k in ks:
-        if k == 1:   # one centre: the total sum of squares (Spark's KMeans needs k >= 2)
-            r = df.agg(*[(F.var_pop(c) * F.count(c)).alias(c) for c in feats]).first()
-            rows.append((1, -float(sum(r[c] or 0.0 for c in feats))))
-            continue
-        m = KMeans(k=k, seed=seed, maxIter=100).fit(v)
-        rows.append((int(k), -float(m.summary.trainingCost)))
-    v.unpersist()
+LLOYD_STEPS = 1000
+
+
+def _nearest(feats: list[str], centres: list[list[float]]):
+    """(cluster number, squared distance) columns of the nearest centre, ties to the lower number."""
+    d = [F.round(sum(((F.col(f) - float(c[i])) * (F.col(f) - float(c[i])) for i, f in enumerate(feats)), F.lit(0.0)), 9)
+         for c in centres]
+    least = F.least(*d) if len(d) > 1 else d[0]
+    label = F.lit(len(d) - 1)
+    for j in reversed(range(len(d) - 1)):
+        label = F.when(d[j] == least, j).otherwise(label)
+    return label, least
+
+
+def _lloyd_frame(points: DataFrame, feats: list[str], k: int) -> list[list[float]]:
+    """Centres of Lloyd's iteration over all weighted points (columns ``feats``, ``w``).
+
+    Starts at the middles of k equal spans of the first feature (means of the
+    others); each step is one aggregation, of which only the k centres come
+    back. Runs until the centres, rounded to 9 digits, stay; raises if they
+    don't within ``LLOYD_STEPS``. An emptied cluster keeps its centre.
+    """
+    f0 = feats[0]
+    r = points.agg(F.min(f0).alias("lo"), F.max(f0).alias("hi"),
+                   *[F.round(F.sum(F.col(f) * F.col("w")) / F.sum("w"), 9).alias(f"m{i}") for i, f in enumerate(feats)]).first()
+    centres = [[round(r["lo"] + (r["hi"] - r["lo"]) * (j + 0.5) / k, 9), *(r[f"m{i}"] for i in range(1, len(feats)))]
+               for j in range(k)]
+    for _ in range(LLOYD_STEPS):
+        label, _d = _nearest(feats, centres)
+        inside = [F.when(F.col("j") == j, F.col("w")) for j in range(k)]
+        got = points.withColumn("j", label).agg(
+            *[F.round(F.sum(F.col(f) * x) / F.sum(x), 9) for x in inside for f in feats]).first()
+        means = [list(got[j * len(feats):(j + 1) * len(feats)]) for j in range(k)]
+        new = [c if m[0] is None else m for c, m in zip(centres, means, strict=True)]
+        if new == centres:
+            return centres
+        centres = new
+    raise RuntimeError(f"k-means not settled after {LLOYD_STEPS} steps")
+
+
+def _points(df: DataFrame, feats: list[str]) -> DataFrame:
+    """Distinct points without nulls, with their weight; written once, for the steps to read."""
+    named = df.select(*[F.col(f).cast("double").alias(f) for f in feats]).dropna()
+    return materialize(named.groupBy(*feats).agg(F.count(F.lit(1)).cast("double").alias("w")))
+
+
+def kmeans_elbow(df: DataFrame, feats: list[str], ks=range(1, 6)) -> DataFrame:
+    """Score (minus within-cluster sum of squares) per k. No row for an empty input."""
+    points, rows = _points(df, feats), []
+    if not points.isEmpty():
+        for k in ks:
+            _, d = _nearest(feats, _lloyd_frame(points, feats, k))
+            rows.append((int(k), -float(points.agg(F.sum(d * F.col("w"))).first()[0])))
     return df.sparkSession.createDataFrame(rows, "k int, score double")
 
 
-def silhouette(df: DataFrame, feats: list[str], k: int = 3, seed: int = 42) -> DataFrame:
-    """Silhouette of a k-means fit (Spark's squared-Euclidean form)."""
-    v = _vec(df, feats)
-    pred = KMeans(k=k, seed=seed).fit(v).transform(v)
-    s = ClusteringEvaluator().evaluate(pred)
+def silhouette(df: DataFrame, feats: list[str], k: int = 3) -> DataFrame:
+    """Mean silhouette of the k-means clusters, with squared Euclidean distances.
+
+    The mean squared distance from a point to a cluster follows from the
+    cluster's size, sums and sum of squares, so it takes one pass for those
+    and one for the mean. A point alone in its cluster counts 0, and so does
+    every point if there is one cluster only; no row for an empty input."""
+    points = _points(df, feats)
+    if points.isEmpty():
+        return df.sparkSession.createDataFrame([], "k int, silhouette double")
+    label, _ = _nearest(feats, _lloyd_frame(points, feats, k))
+    norm = sum((F.col(f) * F.col(f) for f in feats), F.lit(0.0))
+    p = points.withColumn("j", label)
+    stats = p.groupBy("j").agg(F.sum("w").alias("n"), F.sum(norm * F.col("w")).alias("q"),
+                               *[F.sum(F.col(f) * F.col("w")).alias(f"s{i}") for i, f in enumerate(feats)]).collect()
+    far = lambda r: (norm + r["q"] / r["n"] - sum((F.col(f) * (2.0 * r[f"s{i}"] / r["n"]) for i, f in enumerate(feats)), F.lit(0.0)))
+    worth = F.lit(0.0)
+    for r in stats:
+        if r["n"] > 1 and len(stats) > 1:
+            own = far(r) * (r["n"] / (r["n"] - 1))
+            others = [far(o) for o in stats if o["j"] != r["j"]]
+            b = F.least(*others) if len(others) > 1 else others[0]
+            worth = F.when(F.col("j") == r["j"], F.when(own == b, 0.0).otherwise((b - own) / F.greatest(own, b))).otherwise(worth)
+    s = p.agg(F.sum(worth * F.col("w")) / F.sum("w")).first()[0]
     return df.sparkSession.createDataFrame([(int(k), float(s))], "k int, silhouette double")
 
 
@@ -248,6 +307,12 @@ def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.
 
 
 # ------------------------------------------------------------------ M24
+def one_class_weights(n_in: int, n_features: int = 64, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """The random directions and phases of ``one_class``, the same for every run."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2 / n_in), size=(n_features, n_in)), rng.uniform(0, 2 * math.pi, size=n_features)
+
+
 def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int = 64, seed: int = 42) -> DataFrame:
     """M24 (approximate): RBF one-class scoring with random Fourier features.
 
@@ -263,10 +328,7 @@ def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int
     stats = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(feats)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
     zs = [(F.col(c) - float(stats[f"a{i}"] or 0.0)) / float(stats[f"s{i}"] or 1.0) for i, c in enumerate(feats)]
-    gamma = 1.0 / len(feats)
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_features, len(feats)))
-    b = rng.uniform(0, 2 * math.pi, size=n_features)
+    W, b = one_class_weights(len(feats), n_features, seed)
     comps = []
     for k in range(n_features):
         lin = F.lit(float(b[k]))

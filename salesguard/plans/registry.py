@@ -736,14 +736,32 @@ def q_kmeans_2d(spark, sf_dir):
         "date_", "item_id", "sales_quantity", "cluster", "kmeans_flag")
 
 
-@register("elbow")
+def _lloyd_sql(ks, body):
+    c = {**O.base_ctes(), **O.flag_ctes("country"),
+         "lp": "SELECT Sales AS x, CASE WHEN dayofweek(date_) IN (0, 6) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS y, "
+               "COUNT(*)::DOUBLE AS w FROM flags_country WHERE Sales IS NOT NULL GROUP BY ALL"}
+    for k in ks:
+        c.update(O.lloyd_k_ctes(f"l{k}", "lp", k))
+    return O.with_ctes(c, body)
+
+
+@register("elbow", _lloyd_sql(range(1, 6), " UNION ALL ".join(
+    f"SELECT {k}::INT AS k, round(-SUM(d * w), 3) AS score FROM l{k}_near" for k in range(1, 6))))
 def q_elbow(spark, sf_dir):
-    return M.kmeans_elbow(_country_features(spark, sf_dir), ["Sales", "workday"])
+    d = M.kmeans_elbow(_country_features(spark, sf_dir), ["Sales", "workday"])
+    return d.select("k", F.round("score", 3).alias("score"))
 
 
-@register("silhouette")
+@register("silhouette", _lloyd_sql([3], """
+SELECT 3::INT AS k, round(SUM(w * CASE WHEN n = 1 OR a = b THEN 0 ELSE (b - a) / greatest(a, b) END) / SUM(w), 6) AS silhouette FROM (
+  SELECT x, y, w, any_value(n) FILTER (own) AS n, MIN(md) FILTER (NOT own) AS b, any_value(md * n / (n - 1)) FILTER (own) AS a FROM (
+    SELECT p.x, p.y, p.w, c.lab = p.lab AS own, c.n,
+           p.x * p.x + p.y * p.y + c.q / c.n - p.x * (2 * c.sx / c.n) - p.y * (2 * c.sy / c.n) AS md
+    FROM l3_near p CROSS JOIN (SELECT lab, SUM(w) AS n, SUM((x * x + y * y) * w) AS q, SUM(x * w) AS sx, SUM(y * w) AS sy
+                               FROM l3_near GROUP BY lab) c) GROUP BY x, y, w)"""))
 def q_silhouette(spark, sf_dir):
-    return M.silhouette(_country_features(spark, sf_dir), ["Sales", "workday"])
+    d = M.silhouette(_country_features(spark, sf_dir), ["Sales", "workday"], 3)
+    return d.select("k", r6("silhouette").alias("silhouette"))
 
 
 @register("gmm")
@@ -765,7 +783,27 @@ def q_elliptic_envelope(spark, sf_dir):
     return d.select(*STORE_KEYS, r6("robust_distance").alias("robust_distance"), "envelope_flag")
 
 
-@register("one_class_svm")
+def _one_class_sql(nu=0.01):
+    """Kernel-mean score with the operator's drawn weights as literals."""
+    weights, phases = M.one_class_weights(2)
+    z = [f"cos({float(b)!r} + {float(w[0])!r} * zq + {float(w[1])!r} * zi) * sqrt(2.0::DOUBLE / {len(phases)})"
+         for w, b in zip(weights, phases, strict=True)]
+    return O.with_ctes({
+        **O.base_ctes(),
+        "oc_rows": f"SELECT {', '.join(STORE_KEYS)}, CAST(sales_quantity AS DOUBLE) AS q, ipc FROM daily_store "
+                   "WHERE sales_quantity IS NOT NULL AND ipc IS NOT NULL",
+        "oc_z": "SELECT r.*, (q - s.mq) / s.sq AS zq, (ipc - s.mi) / s.si AS zi FROM oc_rows r, (SELECT AVG(q) AS mq, "
+                "stddev_pop(q) AS sq, AVG(ipc) AS mi, stddev_pop(ipc) AS si FROM oc_rows) s",
+        "oc_c": f"SELECT *, [{', '.join(z)}] AS z FROM oc_z",
+        "oc_m": "SELECT [" + ", ".join(f"AVG(z[{k + 1}])" for k in range(len(phases))) + "] AS m FROM oc_c",
+        "oc_s": "SELECT c.*, list_dot_product(c.z, m.m) AS score FROM oc_c c, oc_m m",
+        "oc_cut": f"SELECT score AS cut FROM (SELECT score, row_number() OVER (ORDER BY score) AS rn, COUNT(*) OVER () AS n FROM oc_s) "
+                  f"WHERE rn = ceil({nu} * n)"},
+        f"SELECT {', '.join(STORE_KEYS)}, round(score, 6) AS oc_score, CASE WHEN score <= cut + 1e-12 THEN 1 ELSE 0 END AS oc_flag "
+        "FROM oc_s, oc_cut")
+
+
+@register("one_class_svm", _one_class_sql())
 def q_one_class_svm(spark, sf_dir):
     d = M.one_class(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], nu=0.01)
     return d.select(*STORE_KEYS, r6("oc_score").alias("oc_score"), "oc_flag")

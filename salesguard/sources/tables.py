@@ -169,6 +169,7 @@ class Catalog:
     @cached_property
     def mobile_events(self) -> DataFrame:
         ev = self.raw("events")
+        products = self.raw("part").select(F.count("*")).scalar()
         k = F.get_json_object(F.col("props"), "$.k").cast("int")
         name = (F.when(F.col("event_type").isin("click", "purchase"), F.lit("Product Added"))
                  .when(F.col("event_type") == "view", F.lit("Product Searched")))
@@ -177,7 +178,7 @@ class Catalog:
                     F.concat(F.lit(" KW"), k.cast("string"), F.lit(" ")).alias("search_keyword"),
                     F.when(F.col("event_id") % 10 == 0, F.lit("other"))
                      .otherwise(F.lit("type-to-search")).alias("search_keyword_parent"),
-                    ((k * 7 + F.col("user_id") * 13) % 200).alias("product_id"),
+                    ((k * 7 + F.col("user_id") * 13) % products).alias("product_id"),
                     F.col("user_id"),
                     (F.col("user_id") % 25).alias("merchant_id"),
                     F.concat(F.lit("M"), (F.col("user_id") % 25).cast("string")).alias("merchant_name"),
