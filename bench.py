@@ -19,7 +19,7 @@ from salesguard.plans.registry import QUERIES  # noqa: E402
 from salesguard.session import build  # noqa: E402
 
 HEADLINE = ["range_table", "attribution_report", "rolling_spikes", "daily_sales_store", "hierarchical_outliers",
-            "net_invoice_sales", "isolation_forest"]
+            "net_invoice_sales", "isolation_forest", "kmeans_2d", "elliptic_envelope", "one_class_svm"]
 
 
 def run(spark, name, sf_dir):
