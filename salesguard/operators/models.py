@@ -195,23 +195,30 @@ def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees:
     """Isolation forest; adds ``iforest_score`` (higher = more anomalous) and ``iforest_flag``.
 
     The input is read several times (count, sample, score, cut-off), so it is
-    written to the shared folder first. The sample of a tree is the rows with the
-    smallest 63-bit hashes. An empty input has no score; a single row scores 0.5.
+    written to the shared folder first. The trees' samples are the rows with the
+    smallest hashes: one sample dealt to all trees if there are rows enough, else
+    one for each. An empty input has no score; a single row scores 0.5.
     """
     df = materialize(df)
     n = df.count()
     if n == 0:
         return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn("iforest_flag", F.lit(0))
     m = min(max_samples, n)
-    p = min(1.0, 2.0 * m / n)                     # oversample, then keep the m smallest hashes per tree
-    u = lambda t: F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], t, F.lit(seed)), 1)
-    below = min(2 ** 63 - 1, int(p * 2.0 ** 63))
-    picked = (df.select(*feats, F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) <= F.lit(below)).alias("_t"),
-                        *[F.col(k) for k in keys])
-                .select(*feats, *keys, F.explode("_t").alias("tree")))
-    picked = picked.withColumn("_u", u(F.col("tree")))
-    w = Window.partitionBy("tree").orderBy("_u", *keys)
-    sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
+    if n >= n_trees * m:                          # enough rows: one hash-ordered sample, dealt to the trees
+        h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+        few = df.select(*feats, *keys, h.alias("_u")).orderBy("_u", *keys).limit(n_trees * m)
+        nth = F.row_number().over(Window.orderBy("_u", *keys))          # over that bounded sample
+        sample = few.withColumn("tree", F.pmod(nth, F.lit(n_trees)).cast("int"))
+    else:                                         # each tree draws its own, the m smallest of its hashes
+        p = min(1.0, 2.0 * m / n)
+        u = lambda t: F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], t, F.lit(seed)), 1)
+        below = min(2 ** 63 - 1, int(p * 2.0 ** 63))
+        picked = (df.select(*feats, F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) <= F.lit(below)).alias("_t"),
+                            *[F.col(k) for k in keys])
+                    .select(*feats, *keys, F.explode("_t").alias("tree")))
+        picked = picked.withColumn("_u", u(F.col("tree")))
+        w = Window.partitionBy("tree").orderBy("_u", *keys)
+        sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
     limit = int(math.ceil(math.log2(max(m, 2))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -23,6 +23,13 @@ def test_isolation_forest_finds_planted(planted):
     assert {1000, 1001, 1002, 1003} <= _flagged(d, "iforest_flag")
 
 
+def test_forest_dealt_from_one_sample_finds_planted(planted):
+    d = M.isolation_forest(planted, ["id"], ["q", "ipc"], n_trees=9, max_samples=64, contamination=0.01)
+    assert {1000, 1001, 1002, 1003} <= _flagged(d, "iforest_flag")
+    again = M.isolation_forest(planted.repartition(5), ["id"], ["q", "ipc"], n_trees=9, max_samples=64)
+    assert {(r.id, r.iforest_score) for r in d.collect()} == {(r.id, r.iforest_score) for r in again.collect()}
+
+
 def test_envelope_finds_planted(planted):
     d = M.elliptic_envelope(planted, ["q", "ipc"], contamination=0.01)
     assert {1000, 1001, 1002, 1003} <= _flagged(d, "envelope_flag")
