@@ -13,7 +13,7 @@ FAST = ["item_mapping", "daily_sales_store", "daily_sales_country", "sparse_keys
         "range_errors", "keyword_category_map", "category_searches", "surge_penetration", "category_demand",
         "seasonal_weekly", "rolling_spikes", "dbscan_1d", "profile_stats", "net_invoice_sales", "city_flags",
         "store_flags_raw", "city_flags_sales_only", "kmeans_2d", "hierarchical_outliers", "hierarchical_outliers_raw",
-        "attribution_report", "within_range", "upsert_latest", "surge_days", "top_keywords", "range_midpoint", "log_sales",
+        "attribution_report", "within_range", "upsert_latest", "surge_days", "keyword_top_k", "range_midpoint", "log_sales",
         "sqrt_sales", "boxcox_skew", "deseasonalised_subtract", "rolling_ewm", "keyword_atc"]
 
 
