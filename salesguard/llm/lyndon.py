@@ -121,36 +121,61 @@ class Batch:
         self.begin[ends] = start
 
     def emit(self) -> np.ndarray:
-        """Each group's order, from the suffixes already in place."""
+        """Each group's order, from the suffixes already in place.
+
+        What is in place of a text's next group is taken at once: the position
+        before each suffix and those up its pointers, as far as they are not in
+        place, follow in the order of the suffixes that lead to them.
+        """
         out = np.full(self.n, -1, np.int32)
-        placed = np.zeros(self.n, bool)
-        fill = np.zeros(self.n, np.int32)
-        ends = np.flatnonzero(self.letters == 0).astype(np.int32)
-        lo = self.bounds[:-1]
+        placed, seen = np.zeros(self.n, bool), np.zeros(self.n, np.int32)
+        fill = np.zeros(self.n + 1, np.int32)             # by a group's begin
+        letters, prev, group = self.letters, self.prev, self.group
+        lo, hi = self.bounds[:-1], self.bounds[1:]
+        ends = np.flatnonzero(letters == 0).astype(np.int32)
         of = np.searchsorted(lo, ends, side="right") - 1
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(ends) else np.empty(0, int)
-        nth = np.arange(len(ends)) - np.repeat(begin, np.diff(np.r_[begin, len(ends)]))
-        out[lo[of] + nth] = ends
+        many = np.diff(np.r_[begin, len(ends)])
+        out[lo[of] + np.arange(len(ends)) - np.repeat(begin, many)] = ends
         placed[ends] = True
-        live, size, step = np.arange(len(lo)), np.diff(self.bounds), 0
-        letters, prev, group = self.letters, self.prev, self.group
-        while True:
-            live = live[size[live] > step]
-            if not len(live):
-                return out
-            p = out[lo[live] + step] - 1
-            p = p[p >= lo[live]]
+        fill[lo[of[begin]]] = many
+        at, live = lo.copy(), np.flatnonzero(hi > lo)
+        while len(live):
+            start = at[live]
+            g = group[out[start]]
+            g[letters[out[start]] == 0] = lo[live][letters[out[start]] == 0]
+            stop = g + fill[g]
+            at[live] = stop
+            live = live[stop < hi[live]]
+            size = stop - start
+            first = np.cumsum(size) - size
+            p = out[np.repeat(start - first.astype(np.int32), size) + np.arange(size.sum(), dtype=np.int32)] - 1
+            by = np.arange(len(p), dtype=np.int32)
+            found, leads = [], []
             while True:
-                p = p[(p >= 0)]
-                p = p[~placed[p] & (letters[p] > 0)]
+                ok = p >= 0
+                ok[ok] = ~placed[p[ok]]                    # ends of strings are in place
+                p, by = p[ok], by[ok]
                 if not len(p):
                     break
-                g = group[p]
-                out[g + fill[g]] = p
-                fill[g] += 1
-                placed[p] = True
+                found.append(p)
+                leads.append(by)
                 p = prev[p]
-            step += 1
+            if not found:
+                continue
+            p = found[0] if len(found) == 1 else np.concatenate(found)[np.argsort(np.concatenate(leads), kind="stable")]
+            nth = np.arange(len(p), dtype=np.int32)
+            seen[p[::-1]] = nth[::-1]
+            p = p[seen[p] == nth]                          # the first way to a position counts
+            g = group[p]
+            order = np.argsort(g, kind="stable")
+            p, g = p[order], g[order]
+            new = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            count = np.diff(np.r_[new, len(p)]).astype(np.int32)
+            out[g + fill[g] + np.arange(len(p), dtype=np.int32) - np.repeat(new.astype(np.int32), count)] = p
+            fill[g[new]] += count
+            placed[p] = True
+        return out
 
 
 def batch_of(texts: list[list[bytes]]) -> tuple[Batch, np.ndarray]:

@@ -24,8 +24,8 @@ from salesguard.llm.lyndon import batch_of
 from salesguard.session import cut
 
 LENGTH, GRAM = 200, 50
-#: Bytes of a text hashed at a time, of groups sorted at a time, and of runs sent at a time.
-PIECE, BATCH, SEND = 1 << 18, 1_200_000, 1 << 23
+#: Bytes of a text hashed at a time, of groups held and sorted at a time, and of runs sent at a time.
+PIECE, HOLD, BATCH, SEND = 1 << 18, 1 << 24, 2_000_000, 1 << 23
 #: Runs of a marker from which it is split, and distances that share a part.
 COMMON, STEP = 2048, 16
 BASE = 0x9E3779B97F4A7C15
@@ -216,7 +216,16 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: in
         now, group, problems, full = None, {}, [], 0
 
         def spans():
-            out = [(t1, t2, lo + a, lo + z) for places, a, z in repeated(problems, length) for t1, t2, lo in set(places)]
+            # Groups of one size take about as many steps, so they are sorted together.
+            problems.sort(key=lambda p: (sum(map(len, p)), min(p)))
+            out, part, size = [], [], 0
+            for k, p in enumerate(problems):
+                part.append(p)
+                size += sum(map(len, p))
+                if size >= BATCH or k == len(problems) - 1:
+                    out += [(t1, t2, lo + a, lo + z) for places, a, z in repeated(part, length)
+                            for t1, t2, lo in set(places)]
+                    part, size = [], 0
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             columns = list(zip(*out, strict=True)) or [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)],
@@ -226,7 +235,7 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: in
             for key, t1, t2, lo, raw in zip(*(b.column(n).to_pylist() for n in range(5)), strict=True):
                 if key != now:
                     now, group = key, {}
-                    if full >= BATCH:
+                    if full >= HOLD:
                         yield spans()
                         problems, full = [], 0
                     problems.append(group)
