@@ -16,12 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKETS, DIM = 1 << 16, 16
-#: The fit reads at most so many texts of a language and of all, those with the smallest hash of the id,
-#: of at most so many bytes each.
+#: The fit reads about so many texts of a language, and at most so many of all, those with the smallest
+#: hash of the id, of at most so many bytes each.
 PER_LANG, IN_ALL, FIT_BYTES = 700, 6_000, 40_000
 UNKNOWN = "und"
 CHUNK = 1 << 20
@@ -156,9 +155,11 @@ def fit(docs: DataFrame, learn_from, text: str = "text", lang: str = "lang", id_
     """Trains on a bounded sample of the rows where ``learn_from`` (a column) holds."""
     ids = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()
                      & (F.octet_length(text) <= FIT_BYTES)).select(F.col(id_col).alias("_id"), F.col(lang).alias("_y"))
-    order = [F.xxhash64("_id", "_y"), F.col("_id")]
-    few = (ids.withColumn("_n", F.row_number().over(W.partitionBy("_y").orderBy(*order)))
-           .where(F.col("_n") <= per_lang).orderBy("_n", *order).limit(in_all).select("_id").distinct())
+    # Each language gives about as many as a share of its hashes holds; no language meets in one task.
+    counts = ids.groupBy("_y").agg(F.count("*").alias("_n"))
+    place = F.shiftrightunsigned(F.xxhash64("_id", "_y"), 1)
+    rank = place / 2.0 ** 63 * F.col("_n")                 # about the row's place in its language
+    few = ids.join(counts, "_y").where(rank <= per_lang).orderBy(rank, "_id", "_y").limit(in_all).select("_id").distinct()
     sample = (docs.where(learn_from & F.col(lang).isNotNull() & (F.octet_length(text) <= FIT_BYTES))
               .select(F.col(id_col).alias("_id"), F.col(text).alias("_x"), F.col(lang).alias("_y"))
               .join(F.broadcast(few), "_id").select("_x", "_y"))
