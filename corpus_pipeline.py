@@ -36,12 +36,16 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated, up to twice as often as large ones; every document stays."""
-    return mixing.mix(docs, max_repeats=2.0).select(*docs.columns)
+    """Small sources are repeated, up to twice as often as large ones; every
+    document stays. Rows come epoch by epoch, each epoch over many partitions,
+    in the order of its permutation of blocks."""
+    mixed = mixing.mix(docs, max_repeats=2.0)
+    return mixed.orderBy("mix_epoch", "mix_block", "mix_order").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path(queries.TOKENIZER))
+    """The queues run in the order in which the mixture was written."""
+    return packing.pack(docs, public_tokenizers.path(queries.TOKENIZER), as_written=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("pii_surrogates", surrogates),

@@ -26,7 +26,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -85,30 +86,49 @@ class Ids(dict):
         return b"".join([self.pack(self.fast.encode_ordinary(first)), *map(self.__getitem__, rest)])
 
 
-def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", source: str | None = "source") -> DataFrame:
-    """``id_col, source, chunk, before, n, wide, ids`` per row: its ids and an end
-    id, with the number of ids of its source before it in its chunk (partition)."""
+def file_order(docs: DataFrame) -> list[Column]:
+    """File and place in it of each row of a table read from files; empty for
+    other tables. Readers take files by size, so their partitions are not in the
+    order in which a sorted table was written: its part numbers are."""
+    name = F.col("_metadata.file_name")
+    at = [F.concat(F.lpad(F.regexp_extract(name, r"^part-(\d+)", 1), 12, "0"), name), F.col("_metadata.file_block_start")]
+    try:
+        docs.select(*at).schema  # noqa: B018  resolves the columns
+    except AnalysisException:
+        return []
+    return at
+
+
+def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", source: str | None = "source",
+             as_written: bool = False) -> DataFrame:
+    """``id_col, source, file, block, chunk, before, n, wide, ids`` per row: its ids
+    and an end id, with the number of ids of its source before it in its chunk
+    (partition) or, ``as_written``, in its part of a file within that."""
     kind = docs.schema[id_col].dataType.simpleString()
+    place = (file_order(docs) if as_written else []) or [F.lit(""), F.lit(0)]
     rows = docs.select(F.col(id_col), F.coalesce("text", F.lit("")),
-                       F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit(""))
+                       F.coalesce(F.col(source).cast("string"), F.lit("")) if source else F.lit(""),
+                       place[0].alias("file"), place[1].cast("long").alias("block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, chunk, queued = Ids(path), TaskContext.get().partitionId(), {}
         end = ids.pack([END_ID])
         for b in batches:
             blobs = [ids.encode(t) + end for t in b.column(1).to_pylist()]
-            sources, before = b.column(2).to_pylist(), []
+            before = []
             n = [len(x) // len(end) for x in blobs]
-            for s, k in zip(sources, n, strict=True):
-                before.append(queued.get(s, 0))
-                queued[s] = before[-1] + k
+            for *at, k in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), n, strict=True):
+                at = tuple(at)
+                before.append(queued.get(at, 0))
+                queued[at] = before[-1] + k
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array([chunk] * len(n), pa.int32()), pa.array(before, pa.int64()),
-                 pa.array(n, pa.int64()), pa.array([len(end) == 4] * len(n)), pa.array(blobs, pa.binary())],
-                [id_col, "source", "chunk", "before", "n", "wide", "ids"])
+                [b.column(0), b.column(2), b.column(3), b.column(4), pa.array([chunk] * len(n), pa.int32()),
+                 pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array([len(end) == 4] * len(n)),
+                 pa.array(blobs, pa.binary())],
+                [id_col, "source", "file", "block", "chunk", "before", "n", "wide", "ids"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, source string, chunk int, before long, n long, wide boolean, "
-                                "ids binary")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, source string, file string, block long, chunk int, before long, "
+                                "n long, wide boolean, ids binary")
 
 
 class Plan:
@@ -185,20 +205,21 @@ class Plan:
 
 
 def pack(docs: DataFrame, path: str, weights: dict[str, float] | None = None, id_col: str = "doc_id",
-         source: str | None = "source", window: int = WINDOW) -> DataFrame:
+         source: str | None = "source", window: int = WINDOW, as_written: bool = False) -> DataFrame:
     """Pieces ``id_col, source, start, length, doc_tokens, sequence_id, offset, ids``
     of every row's ids (little-endian unsigned 32-bit), each id in one piece.
 
     ``weights`` are target shares of the sources (missing: the least weight;
     default: the shares of ids, so that all queues end together). The totals
     of the sources come to the driver: one number for each source. A source's
-    queue runs in the order the table is read; null sources are one. Null and
+    queue runs in the order the table is read or, ``as_written``, in that of its
+    files' part numbers and the rows in them; null sources are one. Null and
     empty texts are the end id alone. Rows that repeat an id are packed each.
     Empty tables give no rows; extra columns are not read.
     """
-    rows = cut(tokenize(docs, path, id_col, source), "ids")
-    by = rows.groupBy("source", "chunk").agg(F.sum("n").alias("ids_in"))
-    upto = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    rows = cut(tokenize(docs, path, id_col, source, as_written), "ids")
+    by = rows.groupBy("source", "file", "block", "chunk").agg(F.sum("n").alias("ids_in"))
+    upto = W.partitionBy("source").orderBy("file", "block", "chunk").rowsBetween(W.unboundedPreceding, -1)
     by = by.withColumn("base", F.coalesce(F.sum("ids_in").over(upto), F.lit(0))).checkpoint()
     totals = {r["source"]: r["n"] for r in by.groupBy("source").agg(F.sum("ids_in").alias("n")).collect()}
     plan = Plan(totals, weights, window)
@@ -225,7 +246,7 @@ def pack(docs: DataFrame, path: str, weights: dict[str, float] | None = None, id
                     [b.column(0).take(pa.array(row)), b.column("source").take(pa.array(row)), pa.array(start),
                      pa.array(size), pa.array(n[row]), pa.array(seq), pa.array(offset), ids], names)
 
-    placed = rows.join(by.select("source", "chunk", "base"), ["source", "chunk"]).select(
+    placed = rows.join(by.select("source", "file", "block", "chunk", "base"), ["source", "file", "block", "chunk"]).select(
         id_col, "source", (F.col("base") + F.col("before")).alias("at"), "n", "wide", "ids")
     return placed.mapInArrow(run, f"`{id_col}` {kind}, source string, start long, length long, doc_tokens long, "
                                   "sequence_id long, offset long, ids binary")

@@ -89,3 +89,20 @@ def test_packed_ids(stages):
         ends[p.sequence_id] = ends.get(p.sequence_id, 0) + p.length
     assert all(n <= 1024 and n & (n - 1) == 0 for n in ends.values())
     assert rules.COUNTS
+
+
+def test_copies_of_a_document_are_an_epoch_apart(spark):
+    rows = [(k, f"big {k} " + "w " * (1 + k % 90), "big") for k in range(900)]
+    rows += [(1000 + k, f"small {k} " + "w " * (1 + k % 40), "small") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = cut(corpus_pipeline.source_mixture(spark, docs, SF), "tepochs")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert mixed.columns == docs.columns and len(mixed.inputFiles()) > 1
+    pieces = corpus_pipeline.packed(spark, mixed, SF).where("start = 0").collect()
+    queue = [p.doc_id for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)) if p.source == "small"]
+    assert len(queue) > 100 and len(set(queue[:60])) == 60 and len(set(queue[60:])) == len(queue) - 60
+    want = mixing.mix(docs, max_repeats=2.0).where("source = 'small'").orderBy("mix_epoch", "mix_block", "mix_order")
+    assert queue == [r.doc_id for r in want.collect()]
