@@ -6,6 +6,8 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, size=3, radius=2)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs.doc_id.eqNullSafe(first._first), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each SimHash group stays: the one with the least id, and of
+    rows that share it the one with the least hash of its text, then of all its
+    columns. Null ids are larger than others. Groups are named by that key of a
+    row, which is never null and has one text, so rows that repeat an id or have
+    none stand for their own group each."""
+    every = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    key = {"_none": F.col("doc_id").isNull(), "_id": F.col("doc_id"),
+           "_text": F.xxhash64("text", F.col("text").isNull()), "_row": F.xxhash64(*every)}
+    keyed = docs.withColumns(key)
+    groups = simhash.near_duplicates(keyed.select(F.struct(*key).alias("_key"), "text"), id_col="_key", size=3, radius=2)
+    first = groups.select("component_id").distinct().select(*[F.col(f"component_id.{k}").alias(f"_first{k}") for k in key])
+    same = [F.col(k).eqNullSafe(F.col(f"_first{k}")) for k in key]
+    kept = keyed.join(first, reduce(lambda x, y: x & y, same), "left_semi")
+    return kept.dropDuplicates([*key]).select(*docs.columns)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,3 +106,20 @@ def test_copies_of_a_document_are_an_epoch_apart(spark):
     assert len(queue) > 100 and len(set(queue[:60])) == 60 and len(set(queue[60:])) == len(queue) - 60
     want = mixing.mix(docs, max_repeats=2.0).where("source = 'small'").orderBy("mix_epoch", "mix_block", "mix_order")
     assert queue == [r.doc_id for r in want.collect()]
+
+
+def test_null_and_repeated_ids_stand_for_their_own_groups(spark):
+    def text(k):
+        return " ".join(f"w{k}x{j}" for j in range(60))
+
+    rows = [(None, text(1)), (None, text(2)), (None, text(2)), (None, text(3)), (7, text(3)), (5, text(4)), (5, text(5)),
+            (5, text(5)), (6, text(4)), (8, text(5)), (9, text(6)), (9, text(6)), (None, None), (10, "")]
+    docs = spark.createDataFrame([(*r, f"s{k % 3}" if k % 2 else None) for k, r in enumerate(rows)],
+                                 "doc_id long, text string, source string")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    want = [(None, text(1)), (None, text(2)), (7, text(3)), (5, text(4)), (5, text(5)), (9, text(6)), (10, "")]
+    assert got == sorted(want, key=str)
+    again = corpus_pipeline.near_duplicates(spark, docs.repartition(5), SF)
+    assert sorted(again.collect(), key=str) == sorted(out.collect(), key=str)
