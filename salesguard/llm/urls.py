@@ -20,7 +20,7 @@ from salesguard.llm.columns import ascii_lower, need
 FEATURES = ["n_chars", "n_host", "n_path", "n_rest", "depth", "n_labels", "digit_ratio", "host_digits", "entropy",
             "host_entropy", "n_params", "n_hyphens", "n_escapes", "is_https", "longest_label", "top_rate",
             "site_rate", "head_rate"]
-#: Rows used to fit the trees at most: the smallest by a hash of the URL among the labelled ones.
+#: Distinct labelled URLs used to fit the trees at most: the smallest by a hash of the URL.
 FIT_ROWS = 20_000
 
 
@@ -83,9 +83,10 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def suffix_rates(labelled: DataFrame, key: str, name: str, label: str = "label", prior: float = 4.0) -> DataFrame:
-    """Smoothed share of blocked URLs for each value of ``key`` among the labelled."""
-    total = labelled.agg(F.avg(label).alias("_base"))
-    by = labelled.groupBy(key).agg(F.sum(label).alias("_s"), F.count("*").alias("_n"))
+    """Smoothed share of blocked URLs for each value of ``key`` among the labelled.
+    A row of ``labelled`` stands for ``n`` URLs with the sum ``label``."""
+    total = labelled.agg((F.sum(label) / F.sum("n")).alias("_base"))
+    by = labelled.groupBy(key).agg(F.sum(label).alias("_s"), F.sum("n").alias("_n"))
     return by.crossJoin(F.broadcast(total)).select(
         key, ((F.col("_s") + prior * F.col("_base")) / (F.col("_n") + prior)).alias(name))
 
@@ -96,9 +97,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
     """``id_col, host, path, rule, verdict, p_block`` for every row of ``pages``.
 
     ``labelled`` has ``url`` and ``label`` (1: block); by default the URLs that
-    a rule decides serve. The trees are fitted on at most ``fit_rows`` labelled
-    URLs, those with the smallest hash (ties by URL). A rule's verdict wins over theirs;
-    elsewhere ``p_block >= 0.5`` blocks.
+    a rule decides serve. The suffix statistics are of all of them. The trees are
+    fitted on at most ``fit_rows`` distinct pairs of URL and label, those with the
+    smallest hash (ties by URL), weighted by their counts. A rule's verdict wins
+    over theirs; elsewhere ``p_block >= 0.5`` blocks.
 
     Null or odd URLs have an empty host and path and are judged by the trees.
     With no labelled URL, or labels of one class only, the score is the share
@@ -115,12 +117,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
         known = parts(need(labelled, "url", "label")).select("url", "host", "path",
                                                              F.col("label").cast("double").alias("label")) \
             .where("label is not null")
-    known = known.orderBy(F.xxhash64("url"), "url", "label").limit(fit_rows)
-    known = lexical(known).checkpoint()
-    rates = [(k, n, suffix_rates(known, k, n)) for k, n in
+    # A URL's copies become one row with a count before anything else is done with them.
+    known = known.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n")).checkpoint()
+    sums = (lexical(known).groupBy("top", "site", "head")
+            .agg(F.sum(F.col("label") * F.col("n")).alias("label"), F.sum("n").alias("n")).checkpoint())
+    rates = [(k, n, suffix_rates(sums, k, n)) for k, n in
              (("top", "top_rate"), ("site", "site_rate"), ("head", "head_rate"))]
-    seen = known.agg(F.avg("label").alias("a"), F.count("*").alias("n")).first()
+    seen = sums.agg((F.sum("label") / F.sum("n")).alias("a")).first()
     share = seen["a"] or 0.0
+    sample = lexical(known.orderBy(F.xxhash64("url"), "url", "label").limit(fit_rows)).withColumn(
+        "_weight", F.col("n").cast("double"))
 
     def with_rates(df: DataFrame) -> DataFrame:
         for key, name, rate in rates:
@@ -131,9 +137,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
     full = with_rates(lexical(base))
     if 0.0 < share < 1.0:
         model = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_class",
-                              maxIter=trees, maxDepth=depth,
+                              weightCol="_weight", maxIter=trees, maxDepth=depth,
                               stepSize=step, seed=seed, maxBins=32)
-        fitted = model.fit(vector.transform(with_rates(known)).select("_features", "label"))
+        fitted = model.fit(vector.transform(with_rates(sample)).select("_features", "label", "_weight"))
         scored = trees_column(fitted)
         full = full.withColumn("p_block", F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * scored)))
     else:

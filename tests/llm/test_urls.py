@@ -55,3 +55,23 @@ def test_no_labels_one_class_and_empty(spark):
     one = spark.createDataFrame([("http://b.net", 1), (None, 1), ("c", None)], "url string, label int")
     assert {r.verdict for r in urls.judge(pages, [], one).collect()} == {"block"}
     assert urls.judge(spark.createDataFrame([], kind), RULES).collect() == []
+
+
+def test_suffix_rates_are_of_all_labelled_urls(spark):
+    sites = [("".join(chr(97 + (k * 7919 + 13 * j * j + k * j) % 26) for j in range(8)) + f"{k:03d}", k * 2654435761 % 7 < 3)
+             for k in range(240)]
+    fit = [(f"http://{s}.net/p/{j}", int(y)) for s, y in sites for j in range(5)]
+    pages = spark.createDataFrame([(k, f"http://{s}.net/p/9") for k, (s, _) in enumerate(sites)], "page_id long, url string")
+    got = {r.page_id: r.verdict == "block" for r in
+           urls.judge(pages, [], spark.createDataFrame(fit, "url string, label int"), fit_rows=60).collect()}
+    assert sum(got[k] == y for k, (_, y) in enumerate(sites)) >= 235
+
+
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    rows = [(f"http://{'cheap-pills-' if k % 2 else 'news'}{k}.net/{'9' * 8 if k % 2 else 'story'}/{k}", k % 2) for k in range(300)]
+    hashed = spark.createDataFrame(rows, "url string, label int").where("label = 1").orderBy(F.xxhash64("url")).first()
+    fit = rows[:200] + [(hashed.url, 1)] * 400
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows[200:])], "page_id long, url string")
+    got = {r.page_id: r for r in
+           urls.judge(pages, [], spark.createDataFrame(fit, "url string, label int"), fit_rows=100).collect()}
+    assert sum((got[k].verdict == "block") == bool(y) for k, (_, y) in enumerate(rows[200:])) >= 98
