@@ -4,7 +4,8 @@ A scan finds entities. The distinct ones, and only they, are given surrogates:
 a keyed hash proposes one of the same type, script, gender and format; one
 that another entity took, or that is itself an entity of the texts, is
 proposed again. So two entities never get one surrogate, and an entity has the
-same one wherever it stands. A second scan writes them into the texts, in the
+same one wherever it stands; a surname is one under titles of any gender, and
+only its ending follows them. A second scan writes them into the texts, in the
 letter case and punctuation of each place.
 """
 
@@ -96,7 +97,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     ``kind`` holds what the surrogate must share: the type, and for names the
     part, script and gender. ``norm`` is the entity without letter case and
     punctuation. Name words after a title are entities of their own, the last
-    one a surname, so ``Mrs Anna Keller`` and ``Ms Keller`` share it.
+    one a surname, so ``Mrs Anna Keller`` and ``Ms Keller`` share it. Words that
+    a title introduces are found wherever else they stand in the text, as they
+    are or in capitals, with the kind of their first titled place.
     """
     out: list[tuple[int, int, str, str]] = []
     for kind, trigger, pattern in PATTERNS:
@@ -128,6 +131,18 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         k = bisect.bisect_left(chosen, e)
         if (k == 0 or chosen[k - 1][1] <= e[0]) and (k == len(chosen) or e[1] <= chosen[k][0]):
             chosen.insert(k, e)
+    names: dict[str, tuple[str, str]] = {}
+    for a, b, kind, norm in chosen:
+        if kind.startswith(("given:", "surname:")):
+            names.setdefault(text[a:b], (kind, norm))
+            names.setdefault(text[a:b].upper(), (kind, norm))
+    if names:
+        for m in re.finditer(r"\w+", text):
+            if m[0] in names:
+                e = (*m.span(), *names[m[0]])
+                k = bisect.bisect_left(chosen, e)
+                if (k == 0 or chosen[k - 1][1] <= e[0]) and (k == len(chosen) or e[1] <= chosen[k][0]):
+                    chosen.insert(k, e)
     return chosen
 
 
@@ -202,15 +217,60 @@ def write(kind: str, norm: str, original: str) -> str:
     return norm.upper() if original.isupper() else norm
 
 
-def surrogates(found: DataFrame, key: bytes, rounds: int = 400) -> DataFrame:
+def same_names(found: DataFrame) -> DataFrame:
+    """``kind, norm`` of the distinct entities, with ``as_kind, as_norm`` of the
+    entity they are, and ``feminine``: whether a surname has the female ending.
+
+    A surname is one entity under titles of any gender: by its script and, in
+    Cyrillic and Greek, its male form. A given name under a title without gender
+    is the one that a title with gender introduces, if any does.
+    """
+    each = found.select("kind", "norm").distinct()
+    part = F.split("kind", ":")
+    what, alphabet, gender = part[0], F.get(part, F.lit(1)), F.get(part, F.lit(2))
+    cyrillic = F.regexp_replace(F.regexp_replace("norm", "(ов|ев|ёв|ин|ын)а$", "$1"), "(с|ц)кая$", "$1кий")
+    plain = F.translate("norm", "άέήίόύώϊϋΐΰ", "αεηιουωιυιυ")
+    greek = F.regexp_replace(F.regexp_replace(plain, "δου$", "δης"), "ου$", "ος")
+    female = F.regexp_replace(F.regexp_replace(greek, "η$", "ης"), "α$", "ας")
+    stem = (F.when((alphabet == "cyrillic") & (gender != "m"), cyrillic)
+            .when((alphabet == "greek") & (gender != "m"), female).when(alphabet == "greek", greek).otherwise(F.col("norm")))
+    shown = F.when(alphabet == "greek", plain).otherwise(F.col("norm"))
+    known = (each.where((what == "given") & (gender != "n")).groupBy(F.col("norm").alias("_norm"))
+             .agg(F.min("kind").alias("_kind")))
+    each = each.join(known, (what == "given") & (gender == "n") & (F.col("norm") == F.col("_norm")), "left")
+    surname = F.concat(F.lit("surname:"), alphabet, F.when(alphabet == "latin", ":n").otherwise(":m"))
+    return each.select(
+        "kind", "norm", F.when(what == "surname", surname).otherwise(F.coalesce("_kind", "kind")).alias("as_kind"),
+        F.when(what == "surname", stem).otherwise(F.col("norm")).alias("as_norm"),
+        ((what == "surname") & ((gender == "f") | ((gender == "n") & (stem != shown)))).alias("feminine"))
+
+
+def coreferent(found: DataFrame, key: bytes) -> DataFrame:
+    """``kind, norm, surrogate``: one surrogate for all that is one entity, in the
+    form that the gender of the place asks for."""
+    entities = same_names(found).checkpoint()
+    # Neither form of a surrogate may be a surname of the texts.
+    surnames = entities.where(F.col("kind").startswith("surname:"))
+    male = F.regexp_replace(F.regexp_replace("norm", "ова$", "ов"), "ίδου$", "ίδης")
+    taken = surnames.select(F.lit("surname").alias("type"), F.explode(F.array("norm", male)).alias("surrogate"))
+    made = surrogates(entities.select(F.col("as_kind").alias("kind"), F.col("as_norm").alias("norm")), key, taken=taken)
+    made = made.select(F.col("kind").alias("as_kind"), F.col("norm").alias("as_norm"), "surrogate")
+    form = F.when(F.col("feminine"), F.regexp_replace(F.regexp_replace("surrogate", "ов$", "ова"), "ίδης$", "ίδου"))
+    return entities.join(made, ["as_kind", "as_norm"]).select("kind", "norm", F.coalesce(form, "surrogate").alias("surrogate"))
+
+
+def surrogates(found: DataFrame, key: bytes, rounds: int = 400, taken: DataFrame | None = None) -> DataFrame:
     """``kind, norm, surrogate`` for the distinct entities of ``found``.
 
     Each round proposes for the open entities; of those that propose one value
     the smallest gets it, unless it is taken or an entity itself. The kinds of
-    a type share one space of values. Raises if ``rounds`` leave any open.
+    a type share one space of values; those of ``taken`` (``type, surrogate``)
+    are not given. Raises if ``rounds`` leave any open.
     """
     entities = found.select("kind", "norm").distinct().withColumn("type", F.split("kind", ":")[0])
     entities = cut(entities, "entities")
+    closed = entities.select("type", F.col("norm").alias("surrogate"))
+    closed = (closed if taken is None else closed.unionByName(taken)).distinct()
     done, left, attempt = None, entities, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +284,7 @@ def surrogates(found: DataFrame, key: bytes, rounds: int = 400) -> DataFrame:
         many = 1 if attempt == 0 else 8
         tried = (left.select("kind", "norm", "type", F.explode(F.sequence(F.lit(attempt), F.lit(attempt + many - 1))).alias("at"))
                  .mapInArrow(run, "kind string, norm string, type string, surrogate string"))
-        tried = tried.join(entities.select("type", F.col("norm").alias("surrogate")).distinct(), ["type", "surrogate"], "left_anti")
+        tried = tried.join(closed, ["type", "surrogate"], "left_anti")
         if done is not None:
             tried = tried.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
         won = (tried.groupBy("type", "surrogate").agg(F.min(F.struct("norm", "kind")).alias("w"))
@@ -274,7 +334,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", id_col: str = "doc_
     hit = cut(docs.mapInArrow(scan(True), f"{schema}, pii_row long, pii_found {spans}"), "found")
     each = hit.select("pii_row", F.posexplode("pii_found").alias("pii_at", "pii_e"))
     each = each.select("pii_row", "pii_at", "pii_e.kind", "pii_e.norm")
-    given = (each.join(surrogates(each, key), ["kind", "norm"]).groupBy("pii_row")
+    given = (each.join(coreferent(each, key), ["kind", "norm"]).groupBy("pii_row")
              .agg(F.transform(F.array_sort(F.collect_list(F.struct("pii_at", "surrogate"))), lambda x: x["surrogate"])
                   .alias("pii_new")))
 

@@ -82,3 +82,17 @@ def test_empty(spark):
     assert pii.replace(spark.createDataFrame([], KIND), KEY).collect() == []
     clean = spark.createDataFrame([(1, "a"), (1, "a")], KIND)
     assert [r.text for r in pii.replace(clean, KEY).collect()] == ["a", "a"]
+
+
+def test_a_name_is_one_entity_under_any_title_and_without_one(spark):
+    rows = [(1, "Dr Keller, Mrs Keller and Mr Keller"), (2, "Mrs Anna Keller came. Keller said; KELLER'S word, Anna nodded; Kellerman too"),
+            (3, "г-н Петров, госпожа Петрова: Петрова"), (4, "Dr Anna Keller"), (5, "κύριος Ιωαννίδης, κυρία Ιωαννίδου"), (6, "Keller")]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(rows, KIND), KEY).collect()}
+    a, b, c = re.fullmatch(r"Dr (\w+), Mrs (\w+) and Mr (\w+)", got[1].text).groups()
+    assert a == b == c != "Keller"
+    given, *rest = re.fullmatch(r"Mrs (\w+) (\w+) came\. (\w+) said; (\w+)'S word, (\w+) nodded; Kellerman too", got[2].text).groups()
+    assert rest == [a, a, a.upper(), given] and given != "Anna" and got[2].n_entities == 5
+    m, f, bare = re.fullmatch(r"г-н (\w+), госпожа (\w+): (\w+)", got[3].text).groups()
+    assert f == bare == m + "а" and m != "Петров" and got[4].text == f"Dr {given} {a}" and got[6].text == "Keller"
+    m, f = re.fullmatch(r"κύριος (\w+), κυρία (\w+)", got[5].text).groups()
+    assert m.endswith("ίδης") and f == m[:-2] + "ου" and m != "Ιωαννίδης"
