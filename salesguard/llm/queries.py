@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesguard.llm import ann, chat, langid, mixing, packing, pii, repeats, rules, simhash, urls
+from salesguard.llm import ann, chat, langid, mixing, packing, pieces, pii, repeats, rules, simhash, urls
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
 #: The key of the surrogates; whoever runs this on data of their own passes another.
 KEY = b"surrogates of the registered query"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +80,18 @@ def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, public_tokenizers.path(PIECES), columns=["doc_id"], decoded=True)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_surrogates, op2_mixture_packing, op3_quality_rules, op4_block_matrix_join, op5_suffix_groups,
-    op6_prefix_targets, op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees)}
+    op6_prefix_targets, op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees,
+    op13_sentencepiece)}
 
 ORACLE = {
     "op4_block_matrix_join": """
