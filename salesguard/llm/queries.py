@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesguard.llm import ann, chat, langid, mixing, packing, pieces, pii, repeats, rules, simhash, urls
+from salesguard.llm import ann, chat, langid, mixing, packing, pieces, pii, repeats, rules, simhash, trie, urls
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
@@ -80,6 +80,12 @@ def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    ids = trie.numbers(conversations)
+    return trie.nodes(trie.rebuild(trie.turns(conversations), ids), ids)
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pieces.encode(docs, public_tokenizers.path(PIECES), columns=["doc_id"], decoded=True)
@@ -91,7 +97,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pii_surrogates, op2_mixture_packing, op3_quality_rules, op4_block_matrix_join, op5_suffix_groups,
     op6_prefix_targets, op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees,
-    op13_sentencepiece)}
+    op12_prefix_trie, op13_sentencepiece)}
 
 ORACLE = {
     "op4_block_matrix_join": """
