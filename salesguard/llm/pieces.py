@@ -9,12 +9,14 @@ another character, or a line feed, a text falls into units (blanks and the
 characters up to the next blank or line feed) that no merge crosses; a task
 keeps the result of each unit that repeats.
 
-The ids of every Arrow batch are compared with those of the ``sentencepiece``
-library, which raises if one differs (``check=False`` leaves it out).
+With every Arrow batch, the units that were merged for it are also encoded by the
+``sentencepiece`` library, and a difference raises; ``check="texts"`` has the library
+encode and decode the whole texts of the batch instead, ``check=None`` nothing.
 """
 
 from __future__ import annotations
 
+import array
 import heapq
 import re
 from collections.abc import Iterator
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 CACHED, LONGEST = 400_000, 64
+#: Up to so many symbols the agenda is a plain list.
+FEW, NEVER = 24, 1 << 30
 #: A batch handed on has about so many ids at most, or one text.
 BATCH_IDS = 1 << 21
 #: Kinds of pieces in the file's format.
@@ -49,7 +53,8 @@ class Vocabulary:
             raise ValueError("only merge-type vocabularies without normalization, user-defined or unused pieces")
         self.prefix = spec.normalizer_spec.add_dummy_prefix
         self.pieces = {p.piece: k for k, p in enumerate(spec.pieces) if p.type == NORMAL}
-        self.scores = {p.piece: p.score for p in spec.pieces if p.type == NORMAL}
+        places = {x: k for k, x in enumerate(sorted({-p.score for p in spec.pieces if p.type == NORMAL}))}
+        self.ranks = {p.piece: places[-p.score] for p in spec.pieces if p.type == NORMAL}
         self.bytes = [0] * 256
         self.unknown = next(k for k, p in enumerate(spec.pieces) if p.type == UNKNOWN)
         self.surface: list[bytes] = []
@@ -68,13 +73,32 @@ class Vocabulary:
         self.lead = {p[0] for p in self.pieces if len(p) > 1}
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """The symbols after all merges, by the agenda."""
-        n, scores = len(symbols), self.scores
+        """The symbols after all merges, by the agenda: for few symbols a list with
+        each place's pair, searched for the first of the best; else a heap."""
+        if len(symbols) > FEW:
+            return self._merge_many(symbols)
+        symbols, rank = symbols[:], self.ranks.get
+        agenda = [rank(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(symbols[i] + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + symbols[i], NEVER)
+        return symbols
+
+    def _merge_many(self, symbols: list[str]) -> list[str]:
+        n, ranks = len(symbols), self.ranks
         agenda = []
         for i in range(n - 1):
             both = symbols[i] + symbols[i + 1]
-            if both in scores:
-                agenda.append((-scores[both], i, i + 1, len(both)))
+            if both in ranks:
+                agenda.append((ranks[both], i, i + 1, len(both)))
         if not agenda:
             return symbols
         heapq.heapify(agenda)
@@ -90,20 +114,23 @@ class Vocabulary:
             if k < n:
                 before[k] = i
                 both = symbols[i] + symbols[k]
-                if both in scores:
-                    heapq.heappush(agenda, (-scores[both], i, k, len(both)))
+                if both in ranks:
+                    heapq.heappush(agenda, (ranks[both], i, k, len(both)))
             h = before[i]
             if h >= 0:
                 both = symbols[h] + symbols[i]
-                if both in scores:
-                    heapq.heappush(agenda, (-scores[both], h, i, len(both)))
+                if both in ranks:
+                    heapq.heappush(agenda, (ranks[both], h, i, len(both)))
         return [s for s in symbols if s]
 
     def ids(self, unit: str) -> list[int]:
         """Ids of a unit, blanks as blanks."""
+        symbols = self.merge(list(unit.replace(" ", BLANK)))
+        found = list(map(self.pieces.get, symbols))
+        if None not in found:
+            return found
         out = []
-        for s in self.merge(list(unit.replace(" ", BLANK))):
-            k = self.pieces.get(s)
+        for s, k in zip(symbols, found, strict=True):
             if k is not None:
                 out.append(k)
             elif self.fallback:
@@ -159,10 +186,13 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.kind = np.uint16 if len(vocabulary.surface) <= 1 << 16 else np.uint32
+        self.whole = vocabulary.whole or not vocabulary.fallback or not vocabulary.prefix
+        self.fresh: list[tuple[str, bytes]] = []
+        self.kind, self.code = (np.uint16, "H") if len(vocabulary.surface) <= 1 << 16 else (np.uint32, "I")
 
     def __missing__(self, key: str) -> bytes:
-        out = np.array(self.vocabulary.ids(key if key[:1] == "\n" else " " + key), self.kind).tobytes()
+        out = array.array(self.code, self.vocabulary.ids(key if key[:1] == "\n" else " " + key)).tobytes()
+        self.fresh.append((key, out))
         if len(key) <= LONGEST:
             if len(self) >= CACHED:
                 self.clear()
@@ -175,26 +205,36 @@ class Encoder(dict):
         if not text:
             return b""
         text = text.replace(BLANK, " ")
-        if v.whole or not v.fallback or not v.prefix:
+        if self.whole:
             return np.array(v.ids(" " * v.prefix + text), self.kind).tobytes()
         if text[0] == " " or "  " in text:
             keys = [u[1:] if u[0] == " " else u for u in _UNITS.findall(" " + text)]
         else:
             keys = text.replace("\n", " \n").split(" ")
-        return b"".join(map(self.__getitem__, keys))
+        return b"".join([self[k] for k in keys])
+
+
+def _same_units(library, encoder: Encoder) -> None:
+    """The library puts a blank in front of each unit that has none."""
+    blank = array.array(encoder.code, [library.piece_to_id(BLANK)]).tobytes()
+    want = library.encode([k for k, _ in encoder.fresh], num_threads=1)
+    for (key, own), ids in zip(encoder.fresh, want, strict=True):
+        if array.array(encoder.code, ids).tobytes() != (blank if key[:1] == "\n" else b"") + own and key:
+            raise AssertionError(f"ids differ from the library's for {key[:200]!r}")
+    encoder.fresh.clear()
 
 
-def _same(library, texts: list[str], blobs: list[bytes], kind, decoded: list[str] | None) -> None:
+def _same_texts(library, texts: list[str], blobs: list[bytes], code: str, decoded: list[str] | None) -> None:
     want = library.encode(texts, num_threads=1)
     for text, blob, ids in zip(texts, blobs, want, strict=True):
-        if blob != np.array(ids, kind).tobytes():
+        if blob != array.array(code, ids).tobytes():
             raise AssertionError(f"ids differ from the library's for {text[:200]!r}")
     if decoded is not None and library.decode(want, num_threads=1) != decoded:
         raise AssertionError("a decoded text differs from the library's")
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", columns: list[str] | None = None, decoded: bool = False,
-           check: bool = True) -> DataFrame:
+           check: str | None = "units") -> DataFrame:
     """Adds ``ids`` (array of int) to every row (of ``columns``, by default all)
     and, if asked, ``decoded``, the text that the ids decode to.
 
@@ -222,8 +262,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", columns: list[str] |
             ends = np.cumsum([0, *(len(x) // width for x in blobs)])
             back = [vocabulary.decode(ids[i:j]) if j > i else "" for i, j in zip(ends[:-1], ends[1:], strict=True)] \
                 if decoded else None
-            if library:
-                _same(library, texts, blobs, own.kind, back)
+            if check == "texts" or check and own.whole:
+                _same_texts(library, texts, blobs, own.code, back)
+            elif check:
+                _same_units(library, own)
+            own.fresh.clear()
             out = [*b.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
             return pa.RecordBatch.from_arrays(out + ([pa.array(back, pa.string())] if decoded else []), names + added)
 

@@ -75,9 +75,10 @@ def test_rows(spark, monkeypatch):
     assert len(got) == 5
     for r in got:
         assert r.ids == LIBRARY.encode(r.text or "") and r.decoded == (r.text or "")
+    assert sorted(pieces.encode(docs, PATH, decoded=True, check="texts").collect(), key=str) == got
     back = pieces.decode(out.drop("decoded"), PATH)
     assert sorted(back.collect(), key=str) == got
-    few = pieces.encode(docs, PATH, columns=["doc_id"], check=False)
+    few = pieces.encode(docs, PATH, columns=["doc_id"], check=None)
     assert few.columns == ["doc_id", "ids"] and few.count() == 5
     none = pieces.encode(docs.where("false"), PATH, decoded=True)
     assert none.collect() == [] and pieces.decode(none, PATH).collect() == []
@@ -93,7 +94,15 @@ def test_decode_rows(spark):
 
 def test_a_difference_is_an_error(spark, monkeypatch):
     with pytest.raises(AssertionError, match="differ"):
-        pieces._same(LIBRARY, ["one"], [b"\1\0"], np.uint16, None)
+        pieces._same_texts(LIBRARY, ["one"], [b"\1\0"], "H", None)
+    e = pieces.Encoder(VOCABULARY)
+    for key in ("one", "\none", "", " ", "  x", "\n", "\n\n", "é的😀", "x" * 100, "\t"):
+        assert e[key] is not None
+    pieces._same_units(LIBRARY, e)
+    assert not e.fresh
+    e.fresh.append(("one", b"\1\0"))
+    with pytest.raises(AssertionError, match="differ"):
+        pieces._same_units(LIBRARY, e)
 
 
 def test_other_models_are_refused(tmp_path):
