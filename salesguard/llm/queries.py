@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesguard.llm import ann, chat, langid, mixing, packing, pieces, pii, repeats, rules, simhash, trie, urls
+from salesguard.llm import ann, chat, langid, mixing, oracle, packing, pieces, pii, repair, repeats, rules, simhash, trie, urls
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
@@ -80,6 +80,11 @@ def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repaired_report(conversations, repair.damage(conversations), "n")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     ids = trie.numbers(conversations)
@@ -97,9 +102,11 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pii_surrogates, op2_mixture_packing, op3_quality_rules, op4_block_matrix_join, op5_suffix_groups,
     op6_prefix_targets, op7_temperature_mixing, op8_subword_language, op9_simhash, op10_url_trees,
-    op12_prefix_trie, op13_sentencepiece)}
+    op11_structure_repair, op12_prefix_trie, op13_sentencepiece)}
 
 ORACLE = {
+    "op11_structure_repair": oracle.OP11,
+    "op12_prefix_trie": oracle.OP12,
     "op4_block_matrix_join": """
 WITH ok AS (
   SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
