@@ -6,8 +6,10 @@ by score and then from the left; the first pair is merged, its new neighbours
 go on the agenda, until it is empty. A symbol that is no piece is written as
 its UTF-8 bytes, where the vocabulary has them. Where no piece has a blank after
 another character, or a line feed, a text falls into units (blanks and the
-characters up to the next blank or line feed) that no merge crosses; a task
-keeps the result of each unit that repeats.
+characters up to the next blank or line feed) that no merge crosses. A task
+keeps the result of each unit, and merges the new units of a group of texts side
+by side: in each round every unit's first pair of its agenda, in numpy. Long units
+have a heap of their own.
 
 With every Arrow batch, the units that were merged for it are also encoded by the
 ``sentencepiece`` library, and a difference raises; ``check="texts"`` has the library
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 CACHED, LONGEST = 400_000, 64
-#: Up to so many symbols the agenda is a plain list.
-FEW, NEVER = 24, 1 << 30
-#: A batch handed on has about so many ids at most, or one text.
+#: No merge; symbols that are no pieces are numbered by their character from the pieces' number on.
+NEVER, SHIFT = 1 << 30, 21
+#: The new units of texts of about so many characters are merged together.
+GROUP = 1 << 21
+#: A batch handed on has texts of about so many characters, or one text.
 BATCH_IDS = 1 << 21
 #: Kinds of pieces in the file's format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -70,29 +74,89 @@ class Vocabulary:
                 self.surface.append(b"" if p.type == CONTROL else p.piece.replace(BLANK, " ").encode())
         self.fallback = bool(self.raw.any())
         self.whole = any("\n" in p or BLANK in p.lstrip(BLANK) for p in self.pieces)
-        self.lead = {p[0] for p in self.pieces if len(p) > 1}
+        self.surfaces = pa.array(self.surface, pa.binary())
+        self.control = np.array([not x for x in self.surface])
+        self.blank = np.array([p.type == NORMAL and p.piece[:1] == BLANK for p in spec.pieces])
+        self.size = len(self.surface)
+        self.symbols = np.arange(0x110000, dtype=np.int32) + self.size
+        for p, k in self.pieces.items():
+            if len(p) == 1:
+                self.symbols[ord(p)] = k
+        if self.fallback:                                 # one byte each, as the pieces they are written as
+            for c in range(128):
+                if self.symbols[c] >= self.size:
+                    self.symbols[c] = self.bytes[c]
+        self.symbols[ord(" ")] = self.symbols[ord(BLANK)]
+        pairs = {}
+        for p, k in self.pieces.items():
+            for i in range(1, len(p)):
+                a, b = self._symbol(p[:i]), self._symbol(p[i:])
+                if a is not None and b is not None:
+                    pairs[a << SHIFT | b] = k
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.merged = np.array([pairs[x] for x in self.pairs.tolist()], np.int32)
+        self.order = np.full(self.size, NEVER, np.int32)
+        for p, k in self.pieces.items():
+            self.order[k] = self.ranks[p]
+
+    def _symbol(self, text: str) -> int | None:
+        return int(self.symbols[ord(text)]) if len(text) == 1 else self.pieces.get(text)
+
+    def _look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the score order, and merged piece, of pairs of symbols."""
+        key = a.astype(np.int64) << SHIFT | b
+        at = np.searchsorted(self.pairs, key)
+        at[at == len(self.pairs)] = 0
+        hit = self.pairs[at] == key
+        piece = self.merged[at]
+        return np.where(hit, self.order[piece], NEVER), piece
+
+    def merge_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of many units after all merges, and how many each has. Every
+        round takes, in all units that still have one, the first pair of the best
+        score, and looks up the pairs that the new symbol forms."""
+        size = np.array([len(u) for u in units], np.int64)
+        sym = self.symbols[np.frombuffer("".join(units).encode("utf-32-le"), "<u4")]
+        left = np.arange(len(units))
+        counts = size.copy()
+        rank, piece = np.full(len(sym), NEVER, np.int32), np.zeros(len(sym), np.int32)
+        rank[:-1], piece[:-1] = self._look(sym[:-1], sym[1:])
+        rank[np.cumsum(size) - 1] = NEVER                  # a pair does not reach into the next unit
+        done_sym, done_unit = [], []
+        while len(left):
+            start = np.cumsum(size) - size
+            best = np.minimum.reduceat(rank, start)
+            over = best == NEVER
+            if over.any():
+                rest = np.repeat(~over, size)
+                done_unit.append(np.repeat(left[over], size[over]))
+                done_sym.append(sym[~rest])
+                counts[left[over]] = size[over]
+                sym, rank, piece = sym[rest], rank[rest], piece[rest]
+                left, size, best = left[~over], size[~over], best[~over]
+                if not len(left):
+                    break
+            unit = np.repeat(np.arange(len(left)), size)
+            found = np.flatnonzero(rank == best[unit])
+            at = found[np.diff(unit[found], prepend=-1) > 0]
+            sym[at] = piece[at]
+            stay = np.ones(len(sym), bool)
+            stay[at + 1] = False
+            rank[at] = rank[at + 1]                        # to be looked up below, unless it ends the unit
+            sym, rank, piece, unit = sym[stay], rank[stay], piece[stay], unit[stay]
+            size = size - 1
+            at = at - np.arange(len(at))
+            ends = np.cumsum(size) - 1
+            begins = ends - size + 1
+            right, before = at[at < ends], at[at > begins] - 1
+            rank[ends] = NEVER
+            for x in (right, before):
+                rank[x], piece[x] = self._look(sym[x], sym[x + 1])
+        unit, sym = np.concatenate(done_unit or [left]), np.concatenate(done_sym or [sym])
+        return sym[np.argsort(unit, kind="stable")], counts
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """The symbols after all merges, by the agenda: for few symbols a list with
-        each place's pair, searched for the first of the best; else a heap."""
-        if len(symbols) > FEW:
-            return self._merge_many(symbols)
-        symbols, rank = symbols[:], self.ranks.get
-        agenda = [rank(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            symbols[i] += symbols.pop(i + 1)
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = rank(symbols[i] + symbols[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = rank(symbols[i - 1] + symbols[i], NEVER)
-        return symbols
-
-    def _merge_many(self, symbols: list[str]) -> list[str]:
+        """The symbols of one unit after all merges."""
         n, ranks = len(symbols), self.ranks
         agenda = []
         for i in range(n - 1):
@@ -156,6 +220,32 @@ class Vocabulary:
         return b"".join(out + parts[last:]).decode()
 
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of many lists of ids, which end at ``ends`` (the first is 0)."""
+        taken = self.surfaces.take(pa.array(ids))
+        data = taken.buffers()[2]
+        data = memoryview(data) if data else b""
+        at = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset:taken.offset + len(ids) + 1][ends].tolist()
+        bytes_in, controls = (np.diff(np.r_[0, np.cumsum(x[ids])][ends]) > 0 for x in (self.raw, self.control))
+        first = ids[np.minimum(ends[:-1], max(len(ids) - 1, 0))] if len(ids) else np.zeros(len(ends) - 1, int)
+        cut = self.blank[first] & self.prefix
+        out = []
+        for k, (a, z) in enumerate(zip(at[:-1], at[1:], strict=True)):
+            if ends[k] == ends[k + 1]:
+                out.append(b"")
+                continue
+            raw = bytes(data[a + int(cut[k]):z])
+            if bytes_in[k] or controls[k]:
+                try:
+                    if controls[k]:
+                        raise UnicodeError
+                    raw.decode()
+                except UnicodeError:
+                    raw = self.decode(ids[ends[k]:ends[k + 1]]).encode()
+            out.append(raw)
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+
 def _valid(raw: bytes) -> bytes:
     """Bytes outside whole characters become U+FFFD, each for itself."""
     try:
@@ -190,28 +280,60 @@ class Encoder(dict):
         self.fresh: list[tuple[str, bytes]] = []
         self.kind, self.code = (np.uint16, "H") if len(vocabulary.surface) <= 1 << 16 else (np.uint32, "I")
 
+    def learn(self, keys: set[str]) -> None:
+        """Merges the units that are not yet known side by side."""
+        new = [k for k in keys if k not in self and len(k) <= LONGEST]
+        if len(self) + len(new) > CACHED:
+            self.clear()
+            new = [k for k in keys if len(k) <= LONGEST]
+        if not new:
+            return
+        v = self.vocabulary
+        sym, counts = v.merge_units([k if k[:1] == "\n" else " " + k for k in new])
+        ends = np.cumsum(counts)
+        strange = set(np.searchsorted(ends, np.flatnonzero(sym >= v.size), side="right").tolist())
+        raw, width, last = sym.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
+        for k, (key, z) in enumerate(zip(new, (ends * width).tolist(), strict=True)):
+            self[key] = raw[last:z] if k not in strange else self._one(key)
+            last = z
+        self.fresh += [(k, self[k]) for k in new]
+
+    def _one(self, key: str) -> bytes:
+        return array.array(self.code, self.vocabulary.ids(key if key[:1] == "\n" else " " + key)).tobytes()
+
     def __missing__(self, key: str) -> bytes:
-        out = array.array(self.code, self.vocabulary.ids(key if key[:1] == "\n" else " " + key)).tobytes()
+        out = self._one(key)
         self.fresh.append((key, out))
-        if len(key) <= LONGEST:
-            if len(self) >= CACHED:
-                self.clear()
-            self[key] = out
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text, in the width of ``kind``."""
-        v = self.vocabulary
-        if not text:
-            return b""
-        text = text.replace(BLANK, " ")
-        if self.whole:
-            return np.array(v.ids(" " * v.prefix + text), self.kind).tobytes()
-        if text[0] == " " or "  " in text:
-            keys = [u[1:] if u[0] == " " else u for u in _UNITS.findall(" " + text)]
-        else:
-            keys = text.replace("\n", " \n").split(" ")
-        return b"".join([self[k] for k in keys])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, in the width of ``kind``."""
+        v, out, held, size = self.vocabulary, [], [], 0
+        for text in texts:
+            text = text.replace(BLANK, " ")
+            if not text:
+                out.append(b"")
+            elif self.whole:
+                out.append(np.array(v.ids(" " * v.prefix + text), self.kind).tobytes())
+            else:
+                if text[0] == " " or "  " in text:
+                    keys = [u[1:] if u[0] == " " else u for u in _UNITS.findall(" " + text)]
+                else:
+                    keys = text.replace("\n", " \n").split(" ")
+                held.append((len(out), keys))
+                out.append(b"")
+                size += len(text)
+                if size >= GROUP:
+                    self._fill(out, held)
+                    size = 0
+        self._fill(out, held)
+        return out
+
+    def _fill(self, out: list[bytes], held: list[tuple[int, list[str]]]) -> None:
+        self.learn(set().union(*(keys for _, keys in held)))
+        for k, keys in held:
+            out[k] = b"".join([self[x] for x in keys])
+        held.clear()
 
 
 def _same_units(library, encoder: Encoder) -> None:
@@ -260,27 +382,26 @@ def encode(docs: DataFrame, path: str, text: str = "text", columns: list[str] |
         def part(b: pa.RecordBatch, blobs: list[bytes], texts: list[str]) -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(blobs), own.kind).astype(np.int32)
             ends = np.cumsum([0, *(len(x) // width for x in blobs)])
-            back = [vocabulary.decode(ids[i:j]) if j > i else "" for i, j in zip(ends[:-1], ends[1:], strict=True)] \
-                if decoded else None
+            back = vocabulary.decode_all(ids, ends) if decoded else None
             if check == "texts" or check and own.whole:
-                _same_texts(library, texts, blobs, own.code, back)
+                _same_texts(library, texts, blobs, own.code, back.to_pylist() if decoded else None)
             elif check:
                 _same_units(library, own)
             own.fresh.clear()
             out = [*b.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
-            return pa.RecordBatch.from_arrays(out + ([pa.array(back, pa.string())] if decoded else []), names + added)
+            return pa.RecordBatch.from_arrays(out + ([back] if decoded else []), names + added)
 
         for b in batches:
-            texts, blobs, first, size = [], [], 0, 0
-            for k, t in enumerate(b.column(at).to_pylist()):
-                texts.append(t)
-                blobs.append(own.encode(t))
-                size += len(blobs[-1]) // width
-                if size >= BATCH_IDS:
-                    yield part(b.slice(first, k + 1 - first), blobs, texts)
-                    texts, blobs, first, size = [], [], k + 1, 0
-            if texts or not b.num_rows:
-                yield part(b.slice(first), blobs, texts)
+            texts = b.column(at).to_pylist()
+            first = size = 0
+            for k, t in enumerate(texts):                  # a text has about as many bytes as ids at most
+                size += len(t)
+                if size >= BATCH_IDS or k + 1 == len(texts):
+                    some = texts[first:k + 1]
+                    yield part(b.slice(first, k + 1 - first), own.encode(some), some)
+                    first, size = k + 1, 0
+            if not texts:
+                yield part(b, [], [])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in keep)
     return rows.mapInArrow(run, schema + "ids array<int>" + (", decoded string" if decoded else ""))
@@ -299,13 +420,11 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
         vocabulary = Vocabulary(path)
         for b in batches:
             lists = b.column(len(names))
-            texts = []
-            for k in range(b.num_rows):
-                x = lists[k].values.to_numpy(zero_copy_only=False)
-                if len(x) and not 0 <= x.min() <= x.max() < len(vocabulary.surface):
-                    raise ValueError("an id outside the vocabulary")
-                texts.append(vocabulary.decode(x) if len(x) else "")
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], pa.array(texts, pa.string())], [*names, out])
+            x = lists.flatten().to_numpy(zero_copy_only=False)
+            if len(x) and not 0 <= x.min() <= x.max() < vocabulary.size:
+                raise ValueError("an id outside the vocabulary")
+            ends = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], vocabulary.decode_all(x, ends)], [*names, out])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in keep)
     return take.mapInArrow(run, f"{schema}`{out}` string")

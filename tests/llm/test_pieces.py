@@ -17,13 +17,14 @@ PARTS = ["a", "the", "ing", "tion", "的", "é", "😀", "<s>", "<0x0A>", "\x00"
 
 
 def own(text):
-    return np.frombuffer(pieces.Encoder(VOCABULARY).encode(text), np.uint16)
+    return np.frombuffer(pieces.Encoder(VOCABULARY).encode([text])[0], np.uint16)
 
 
 def check(text):
     ids, want = own(text), LIBRARY.encode(text)
     assert ids.tolist() == want
-    assert VOCABULARY.decode(ids) == LIBRARY.decode(want) if want else text == ""
+    back = VOCABULARY.decode_all(ids.astype(np.int32), np.array([0, 0, len(ids), len(ids)])).to_pylist()
+    assert back == ["", LIBRARY.decode(want) if want else "", ""]
 
 
 @settings(max_examples=300, deadline=None)
@@ -55,13 +56,29 @@ def test_decode_of_any_ids():
         ids = [rng.choice([rng.randrange(3, 259), rng.randrange(0, 4), rng.randrange(0, 32_000), 259])
                for _ in range(rng.randrange(1, 8))]
         assert VOCABULARY.decode(np.array(ids)) == LIBRARY.decode(ids), ids
+        assert VOCABULARY.decode_all(np.array(ids * 2, np.int32), np.array([0, len(ids), 2 * len(ids)])).to_pylist() == [LIBRARY.decode(ids)] * 2
 
 
 def test_cache_may_run_over(monkeypatch):
-    monkeypatch.setattr(pieces, "CACHED", 3)
-    e = pieces.Encoder(VOCABULARY)
-    text = "one two three four five six one two three"
-    assert np.frombuffer(e.encode(text), np.uint16).tolist() == LIBRARY.encode(text) and len(e) <= 3
+    texts = ["one two three four five six one two three", "two  one\n\nseven 😀", "three " + "x" * 100]
+    for cached, group in ((3, 1), (0, 5), (400_000, 1), (400_000, 10_000)):
+        monkeypatch.setattr(pieces, "CACHED", cached)
+        monkeypatch.setattr(pieces, "GROUP", group)
+        e = pieces.Encoder(VOCABULARY)
+        assert [np.frombuffer(x, np.uint16).tolist() for x in e.encode(texts)] == LIBRARY.encode(texts)
+        pieces._same_units(LIBRARY, e)
+
+
+def test_units_side_by_side_and_one_by_one():
+    rng = random.Random(7)
+    units = ["".join(rng.choice("aeinrst▁ ée的😀\n1") for _ in range(rng.randrange(1, 20))) for _ in range(3000)]
+    symbols, counts = VOCABULARY.merge_units(units)
+    at = 0
+    for u, n in zip(units, counts.tolist()):
+        want = VOCABULARY.merge(list(u.replace(" ", "▁")))
+        got = symbols[at:at + n].tolist()
+        assert len(want) == n and [VOCABULARY.pieces.get(x, VOCABULARY.symbols[ord(x)] if len(x) == 1 else None) for x in want] == got
+        at += n
 
 
 def test_rows(spark, monkeypatch):
@@ -98,6 +115,7 @@ def test_a_difference_is_an_error(spark, monkeypatch):
     e = pieces.Encoder(VOCABULARY)
     for key in ("one", "\none", "", " ", "  x", "\n", "\n\n", "é的😀", "x" * 100, "\t"):
         assert e[key] is not None
+    e.learn({"two", "\ntwo", " two"})
     pieces._same_units(LIBRARY, e)
     assert not e.fresh
     e.fresh.append(("one", b"\1\0"))
