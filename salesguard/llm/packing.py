@@ -18,9 +18,7 @@ window goes to sequences of the powers of two it is the sum of: no padding.
 
 from __future__ import annotations
 
-import array
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,29 +29,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from salesguard.llm import units
 from salesguard.llm.columns import need
 from salesguard.session import cut
 
 WINDOW, SLOTS, END_ID = 1024, 8, 0
 #: Weights are rounded to millionths or so, that products with slot numbers fit 64 bits.
 UNIT = 1 << 20
-CACHED, LONGEST = 500_000, 48
 BATCH_IDS = 1 << 24
-#: White space other than single blanks and line feeds between other characters.
-_ODD = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-                  r"|[ \n]{2}|^[ \n]|[ \n]\Z")
 
 
-class Ids(dict):
+def plain(text: str) -> bool:
+    """Whether the text's white space is single blanks and line feeds between
+    other characters: as many runs of other characters as separators and one,
+    and no further white space."""
+    runs, parts = text.split(), text.count(" ") + text.count("\n")
+    return len(runs) == parts + 1 and sum(map(len, runs)) + parts == len(text)
+
+
+class Ids:
     """Token ids of texts by a byte-level BPE of the ``tokenizers`` file format.
 
-    Its pre-tokenizer never joins characters across single white space, so the
-    ids of ``" word"`` are cached. Texts with other white space are encoded
-    whole, and those with one of the file's special strings by ``tokenizers``.
+    Its pre-tokenizer never joins characters across single white space, so of a
+    group of texts each distinct ``" word"`` is encoded once, all of them as one
+    string, whose ids are cut where their bytes say. Texts with other white space
+    are encoded whole, and those with one of the file's special strings by
+    ``tokenizers``.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         import tiktoken
         from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
@@ -62,28 +66,53 @@ class Ids(dict):
         byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in
                                              enumerate(b for b in range(256) if b not in shown)}
         ranks = {bytes(byte[c] for c in w): n for w, n in spec["model"]["vocab"].items() if w not in self.special}
-        self.code = "H" if max(ranks.values()) < 1 << 16 else "I"
+        self.kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for raw, n in ranks.items():
+            self.sizes[n] = len(raw)
         pattern = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def pack(self, ids) -> bytes:
-        return array.array(self.code, ids).tobytes()
-
-    def __missing__(self, key: str) -> bytes:
-        out = self.pack(self.fast.encode_ordinary(key if key[:1] == "\n" else " " + key))
-        if len(key) <= LONGEST:
-            if len(self) >= CACHED:
-                self.clear()
-            self[key] = out
+        return np.array(ids, self.kind).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, in the width of ``kind``."""
+        out = [b""] * len(texts)
+        easy = []
+        for k, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[k] = self.pack(self.slow.encode(text, add_special_tokens=False).ids)
+            elif not plain(text):
+                out[k] = self.pack(self.fast.encode_ordinary(text))
+            else:
+                easy.append(k)
+        some = [texts[k] for k in easy]
+        for a, z in units.groups(some):
+            for k, raw in zip(easy[a:z], self._group(some[a:z]), strict=True):
+                out[k] = raw
         return out
 
-    def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.pack(self.slow.encode(text, add_special_tokens=False).ids)
-        if not text or _ODD.search(text):
-            return self.pack(self.fast.encode_ordinary(text))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return b"".join([self.pack(self.fast.encode_ordinary(first)), *map(self.__getitem__, rest)])
+    def _group(self, texts: list[str]) -> list[bytes]:
+        words, of, ends = units.split(texts)
+        first = np.r_[0, ends[:-1]]                        # no blank is in front of a text's first word
+        firsts = [self.fast.encode_ordinary(words[k]) for k in of[first].tolist()]
+        of[first] = len(words) + np.arange(len(texts))
+        # A line feed alone would join the one that begins the next word.
+        parts = ["" if w == "\n" else w if w[:1] == "\n" else " " + w for w in words]
+        ids = self.fast.encode_to_numpy("".join(parts), disallowed_special=()).astype(np.int64)
+        upto = np.r_[0, np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) for p in parts])) + 1]
+        empty = np.flatnonzero([not p for p in parts])
+        for k in empty:                                    # at most one
+            upto[k + 1] = upto[k]
+        extra = [*firsts, *(self.fast.encode_ordinary("\n") for _ in empty)]
+        size = np.array([len(x) for x in extra], np.int64)
+        begin, count = np.r_[upto[:-1], len(ids) + np.cumsum(size) - size], np.r_[np.diff(upto), size]
+        for k in empty:
+            begin[k], count[k] = begin[-1], count[-1]
+        every, stops = units.gather(np.r_[ids, np.concatenate([np.array(x, np.int64) for x in extra])], begin, count, of, ends)
+        raw, width = every.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        return [raw[a * width:z * width] for a, z in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
 
 def file_order(docs: DataFrame) -> list[Column]:
@@ -114,7 +143,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", source: str | N
         ids, chunk, queued = Ids(path), TaskContext.get().partitionId(), {}
         end = ids.pack([END_ID])
         for b in batches:
-            blobs = [ids.encode(t) + end for t in b.column(1).to_pylist()]
+            blobs = [x + end for x in ids.encode(b.column(1).to_pylist())]
             before = []
             n = [len(x) // len(end) for x in blobs]
             for *at, k in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), n, strict=True):

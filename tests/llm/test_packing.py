@@ -22,11 +22,29 @@ def slow():
     return Tokenizer.from_file(PATH)
 
 
-def test_ids_are_the_tokenizers(slow):
+def same(ids, slow, texts):
+    for t, got in zip(texts, ids.encode(texts), strict=True):
+        assert np.frombuffer(got, np.uint16).tolist() == slow.encode(t, add_special_tokens=False).ids, t
+
+
+@pytest.mark.parametrize("group", [1, 30, 1 << 22])
+def test_ids_are_the_tokenizers(slow, monkeypatch, group):
+    monkeypatch.setattr(packing.units, "GROUP", group)
+    ids = packing.Ids(PATH)
+    assert ids.encode([]) == []
+    for sep in (" ", "\n", "\n\n"):
+        same(ids, slow, TEXTS + [x + sep + y for x in TEXTS for y in TEXTS])
+
+
+def test_every_white_space(slow):
+    white = [chr(c) for c in range(0x11000) if chr(c).isspace()]
+    assert {"\x1c", "\x85", "\u2028", "\u3000"} < set(white)
     ids = packing.Ids(PATH)
-    for _ in range(2):                                     # the second time from the cache
-        for t in TEXTS + [x + " " + y for x in TEXTS for y in TEXTS]:
-            assert np.frombuffer(ids.encode(t), np.uint16).tolist() == slow.encode(t, add_special_tokens=False).ids, t
+    for w in white:
+        same(ids, slow, [w, f"a{w}b", f"a {w}b c", f"a{w} b", f"a{w}{w}b", f"{w}a", f"a{w}", f"a{w}b  c", f"a{w}b\n\nc", f"a{w}1's {w}"])
+    odd = [f"a{x}b{y}c" for x in [" ", "\n", "  ", "\t", " \t", "\u2003", ""] for y in [" ", "\n", " \n", "\t\t", "\x0b", ""]]
+    same(ids, slow, odd)
+    assert [t for t in odd if packing.plain(t)] == [f"a{x}b{y}c" for x in (" ", "\n", "") for y in (" ", "\n", "")]
 
 
 def test_place_is_a_permutation_that_keeps_the_mixture():
