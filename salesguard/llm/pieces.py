@@ -6,10 +6,9 @@ by score and then from the left; the first pair is merged, its new neighbours
 go on the agenda, until it is empty. A symbol that is no piece is written as
 its UTF-8 bytes, where the vocabulary has them. Where no piece has a blank after
 another character, or a line feed, a text falls into units (blanks and the
-characters up to the next blank or line feed) that no merge crosses. A task
-keeps the result of each unit, and merges the new units of a group of texts side
-by side: in each round every unit's first pair of its agenda, in numpy. Long units
-have a heap of their own.
+characters up to the next blank or line feed) that no merge crosses. The distinct
+units of a group of texts are merged side by side: in each round every unit's
+first pair of its agenda, in numpy. Long units have a heap of their own.
 
 With every Arrow batch, the units that were merged for it are also encoded by the
 ``sentencepiece`` library, and a difference raises; ``check="texts"`` has the library
@@ -18,22 +17,23 @@ encode and decode the whole texts of the batch instead, ``check=None`` nothing.
 
 from __future__ import annotations
 
-import array
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesguard.llm import units
+
 BLANK = "▁"
-CACHED, LONGEST = 400_000, 64
+#: Longer units are merged by a heap.
+LONGEST = 64
 #: No merge; symbols that are no pieces are numbered by their character from the pieces' number on.
 NEVER, SHIFT = 1 << 30, 21
-#: The new units of texts of about so many characters are merged together.
-GROUP = 1 << 21
 #: A batch handed on has texts of about so many characters, or one text.
 BATCH_IDS = 1 << 21
 #: Kinds of pieces in the file's format.
@@ -111,13 +111,13 @@ class Vocabulary:
         piece = self.merged[at]
         return np.where(hit, self.order[piece], NEVER), piece
 
-    def merge_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def merge_units(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of many units after all merges, and how many each has. Every
         round takes, in all units that still have one, the first pair of the best
         score, and looks up the pairs that the new symbol forms."""
-        size = np.array([len(u) for u in units], np.int64)
-        sym = self.symbols[np.frombuffer("".join(units).encode("utf-32-le"), "<u4")]
-        left = np.arange(len(units))
+        size = np.array([len(u) for u in words], np.int64)
+        sym = self.symbols[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        left = np.arange(len(words))
         counts = size.copy()
         rank, piece = np.full(len(sym), NEVER, np.int32), np.zeros(len(sym), np.int32)
         rank[:-1], piece[:-1] = self._look(sym[:-1], sym[1:])
@@ -269,87 +269,93 @@ def _valid(raw: bytes) -> bytes:
     return b"".join(out)
 
 
-class Encoder(dict):
-    """Ids (as bytes) by unit; a key is the unit less its first blank, or a unit
-    that begins with a line feed."""
+class Encoder:
+    """Ids of whole texts, and the units that were merged for them.
+
+    A key is a unit less its first blank, or a unit that begins with a line feed."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
         self.whole = vocabulary.whole or not vocabulary.fallback or not vocabulary.prefix
-        self.fresh: list[tuple[str, bytes]] = []
-        self.kind, self.code = (np.uint16, "H") if len(vocabulary.surface) <= 1 << 16 else (np.uint32, "I")
-
-    def learn(self, keys: set[str]) -> None:
-        """Merges the units that are not yet known side by side."""
-        new = [k for k in keys if k not in self and len(k) <= LONGEST]
-        if len(self) + len(new) > CACHED:
-            self.clear()
-            new = [k for k in keys if len(k) <= LONGEST]
-        if not new:
-            return
+        self.kind = np.uint16 if vocabulary.size <= 1 << 16 else np.uint32
+
+    def units(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units in a row, and where each begins (and the last ends)."""
         v = self.vocabulary
-        sym, counts = v.merge_units([k if k[:1] == "\n" else " " + k for k in new])
+        texts = [k if k[:1] == "\n" else " " + k for k in keys]
+        short = [k for k, u in enumerate(texts) if len(u) <= LONGEST]
+        sym, counts = v.merge_units([texts[k] for k in short])
         ends = np.cumsum(counts)
         strange = set(np.searchsorted(ends, np.flatnonzero(sym >= v.size), side="right").tolist())
-        raw, width, last = sym.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
-        for k, (key, z) in enumerate(zip(new, (ends * width).tolist(), strict=True)):
-            self[key] = raw[last:z] if k not in strange else self._one(key)
-            last = z
-        self.fresh += [(k, self[k]) for k in new]
-
-    def _one(self, key: str) -> bytes:
-        return array.array(self.code, self.vocabulary.ids(key if key[:1] == "\n" else " " + key)).tobytes()
-
-    def __missing__(self, key: str) -> bytes:
-        out = self._one(key)
-        self.fresh.append((key, out))
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, in the width of ``kind``."""
-        v, out, held, size = self.vocabulary, [], [], 0
-        for text in texts:
-            text = text.replace(BLANK, " ")
-            if not text:
-                out.append(b"")
-            elif self.whole:
-                out.append(np.array(v.ids(" " * v.prefix + text), self.kind).tobytes())
-            else:
-                if text[0] == " " or "  " in text:
-                    keys = [u[1:] if u[0] == " " else u for u in _UNITS.findall(" " + text)]
-                else:
-                    keys = text.replace("\n", " \n").split(" ")
-                held.append((len(out), keys))
-                out.append(b"")
-                size += len(text)
-                if size >= GROUP:
-                    self._fill(out, held)
-                    size = 0
-        self._fill(out, held)
-        return out
-
-    def _fill(self, out: list[bytes], held: list[tuple[int, list[str]]]) -> None:
-        self.learn(set().union(*(keys for _, keys in held)))
-        for k, keys in held:
-            out[k] = b"".join([self[x] for x in keys])
-        held.clear()
-
-
-def _same_units(library, encoder: Encoder) -> None:
+        if len(short) == len(texts) and not strange:
+            return sym, np.r_[0, ends]
+        plain = dict(zip(short, zip(ends - counts, ends, strict=True), strict=True))
+        odd = {short[k] for k in strange} | set(range(len(texts))).difference(short)
+        parts = [np.array(v.ids(texts[k]), np.int32) if k in odd else sym[slice(*plain[k])] for k in range(len(texts))]
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+    def encode(self, texts: list[str], library=None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each begins (and the last ends).
+        With ``library``, the units' ids are compared with its own."""
+        v = self.vocabulary
+        texts = [t.replace(BLANK, " ") for t in texts]
+        if self.whole:
+            parts = [v.ids(" " * v.prefix + t) if t else [] for t in texts]
+            return np.array([x for p in parts for x in p], np.int32), np.cumsum([0, *map(len, parts)])
+        found = [self._group(texts[a:z], library) for a, z in units.groups(texts)]
+        ids = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int32)
+        return ids, np.r_[0, np.cumsum(np.concatenate([n for _, n in found]))] if found else np.zeros(1, np.int64)
+
+    def _group(self, texts: list[str], library) -> tuple[np.ndarray, np.ndarray]:
+        easy = [k for k, t in enumerate(texts) if t and t[0] != " " and "  " not in t]
+        hard = [k for k, t in enumerate(texts) if t and (t[0] == " " or "  " in t)]
+        keys, of, ends = units.split([texts[k] for k in easy])
+        cut = [[u[1:] if u[0] == " " else u for u in _UNITS.findall(" " + texts[k])] for k in hard]
+        more, of_more = units.distinct(pa.array([u for c in cut for u in c], pa.string()))
+        of = np.r_[of, of_more + len(keys)]
+        ends = np.r_[ends, (ends[-1] if len(ends) else 0) + np.cumsum([len(c) for c in cut], dtype=np.int64)].astype(np.int64)
+        keys += more
+        if not keys:
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        ids, at = self.units(keys)
+        if library is not None:
+            _same_units(library, keys, ids, at)
+        every, stops = units.gather(ids, at[:-1], np.diff(at), of, ends)
+        size = np.zeros(len(texts), np.int64)
+        size[easy + hard] = np.diff(stops, prepend=0)
+        if hard:                                           # back into the order of the texts
+            begin = np.zeros(len(texts), np.int64)
+            begin[easy + hard] = np.r_[0, stops[:-1]]
+            every, _ = units.gather(every, begin, size, np.arange(len(texts)), np.arange(1, len(texts) + 1))
+        return every.astype(np.int32), size
+
+
+def _same_units(library, keys: list[str], ids: np.ndarray, at: np.ndarray) -> None:
     """The library puts a blank in front of each unit that has none."""
-    blank = array.array(encoder.code, [library.piece_to_id(BLANK)]).tobytes()
-    want = library.encode([k for k, _ in encoder.fresh], num_threads=1)
-    for (key, own), ids in zip(encoder.fresh, want, strict=True):
-        if array.array(encoder.code, ids).tobytes() != (blank if key[:1] == "\n" else b"") + own and key:
-            raise AssertionError(f"ids differ from the library's for {key[:200]!r}")
-    encoder.fresh.clear()
-
-
-def _same_texts(library, texts: list[str], blobs: list[bytes], code: str, decoded: list[str] | None) -> None:
+    want = library.encode(keys, num_threads=1)
+    size = np.fromiter(map(len, want), np.int64, len(want))
+    every = np.fromiter(chain.from_iterable(want), np.int64, int(size.sum()))
+    lone = np.array([not k for k in keys])                # the blank alone: an empty text has no ids there
+    feeds = np.array([k[:1] == "\n" for k in keys])
+    first = np.cumsum(size) - size
+    blank = library.piece_to_id(BLANK)
+    if not (every[first[feeds]] == blank).all():
+        raise AssertionError("the library has no blank before a line feed")
+    own, begin = np.diff(at), first + feeds
+    wrong = np.flatnonzero((size - feeds != own) & ~lone)
+    if not len(wrong):
+        some = np.flatnonzero(~lone)
+        theirs, _ = units.gather(every, begin, own, some, np.array([len(some)]))
+        mine, _ = units.gather(ids, at[:-1], own, some, np.array([len(some)]))
+        wrong = np.repeat(some, own[some])[theirs != mine]
+    if len(wrong):
+        raise AssertionError(f"ids differ from the library's for {keys[wrong[0]][:200]!r}")
+
+
+def _same_texts(library, texts: list[str], ids: np.ndarray, ends: np.ndarray, decoded: list[str] | None) -> None:
     want = library.encode(texts, num_threads=1)
-    for text, blob, ids in zip(texts, blobs, want, strict=True):
-        if blob != array.array(code, ids).tobytes():
+    for k, (text, theirs) in enumerate(zip(texts, want, strict=True)):
+        if ids[ends[k]:ends[k + 1]].tolist() != theirs:
             raise AssertionError(f"ids differ from the library's for {text[:200]!r}")
     if decoded is not None and library.decode(want, num_threads=1) != decoded:
         raise AssertionError("a decoded text differs from the library's")
@@ -377,17 +383,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", columns: list[str] |
         vocabulary = Vocabulary(path)
         own = Encoder(vocabulary)
         library = sentencepiece.SentencePieceProcessor(model_file=path) if check else None
-        width = np.dtype(own.kind).itemsize
+        by_text = check == "texts" or own.whole
 
-        def part(b: pa.RecordBatch, blobs: list[bytes], texts: list[str]) -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(blobs), own.kind).astype(np.int32)
-            ends = np.cumsum([0, *(len(x) // width for x in blobs)])
+        def part(b: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            ids, ends = own.encode(texts, None if by_text else library)
             back = vocabulary.decode_all(ids, ends) if decoded else None
-            if check == "texts" or check and own.whole:
-                _same_texts(library, texts, blobs, own.code, back.to_pylist() if decoded else None)
-            elif check:
-                _same_units(library, own)
-            own.fresh.clear()
+            if library and by_text:
+                _same_texts(library, texts, ids, ends, back.to_pylist() if decoded else None)
             out = [*b.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
             return pa.RecordBatch.from_arrays(out + ([back] if decoded else []), names + added)
 
@@ -397,11 +399,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", columns: list[str] |
             for k, t in enumerate(texts):                  # a text has about as many bytes as ids at most
                 size += len(t)
                 if size >= BATCH_IDS or k + 1 == len(texts):
-                    some = texts[first:k + 1]
-                    yield part(b.slice(first, k + 1 - first), own.encode(some), some)
+                    yield part(b.slice(first, k + 1 - first), texts[first:k + 1])
                     first, size = k + 1, 0
             if not texts:
-                yield part(b, [], [])
+                yield part(b, [])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in keep)
     return rows.mapInArrow(run, schema + "ids array<int>" + (", decoded string" if decoded else ""))

@@ -17,7 +17,7 @@ PARTS = ["a", "the", "ing", "tion", "的", "é", "😀", "<s>", "<0x0A>", "\x00"
 
 
 def own(text):
-    return np.frombuffer(pieces.Encoder(VOCABULARY).encode([text])[0], np.uint16)
+    return pieces.Encoder(VOCABULARY).encode([text], LIBRARY)[0]
 
 
 def check(text):
@@ -59,14 +59,15 @@ def test_decode_of_any_ids():
         assert VOCABULARY.decode_all(np.array(ids * 2, np.int32), np.array([0, len(ids), 2 * len(ids)])).to_pylist() == [LIBRARY.decode(ids)] * 2
 
 
-def test_cache_may_run_over(monkeypatch):
-    texts = ["one two three four five six one two three", "two  one\n\nseven 😀", "three " + "x" * 100]
-    for cached, group in ((3, 1), (0, 5), (400_000, 1), (400_000, 10_000)):
-        monkeypatch.setattr(pieces, "CACHED", cached)
-        monkeypatch.setattr(pieces, "GROUP", group)
-        e = pieces.Encoder(VOCABULARY)
-        assert [np.frombuffer(x, np.uint16).tolist() for x in e.encode(texts)] == LIBRARY.encode(texts)
-        pieces._same_units(LIBRARY, e)
+@pytest.mark.parametrize("group", [1, 25, 1 << 22])
+def test_groups_of_texts(monkeypatch, group):
+    texts = ["one two three four five six one two three", "", "two  one\n\nseven 😀", "three " + "x" * 100, " lead", "\n", "é", "a\nb c",
+             "tail ", "  ", "x" * 70 + " 😀"]
+    monkeypatch.setattr(pieces.units, "GROUP", group)
+    ids, ends = pieces.Encoder(VOCABULARY).encode(texts * 2, LIBRARY)
+    assert [ids[a:z].tolist() for a, z in zip(ends[:-1], ends[1:])] == LIBRARY.encode(texts * 2)
+    none, ends = pieces.Encoder(VOCABULARY).encode([])
+    assert len(none) == 0 and ends.tolist() == [0]
 
 
 def test_units_side_by_side_and_one_by_one():
@@ -109,18 +110,19 @@ def test_decode_rows(spark):
         pieces.decode(spark.createDataFrame([(1, [32_000])], "k int, ids array<int>"), PATH).collect()
 
 
-def test_a_difference_is_an_error(spark, monkeypatch):
+def test_a_difference_is_an_error():
     with pytest.raises(AssertionError, match="differ"):
-        pieces._same_texts(LIBRARY, ["one"], [b"\1\0"], "H", None)
-    e = pieces.Encoder(VOCABULARY)
-    for key in ("one", "\none", "", " ", "  x", "\n", "\n\n", "é的😀", "x" * 100, "\t"):
-        assert e[key] is not None
-    e.learn({"two", "\ntwo", " two"})
-    pieces._same_units(LIBRARY, e)
-    assert not e.fresh
-    e.fresh.append(("one", b"\1\0"))
+        pieces._same_texts(LIBRARY, ["one"], np.array([1]), np.array([0, 1]), None)
+    keys = ["one", "\none", "", " ", "  x", "\n", "\n\n", "é的😀", "x" * 100, "\t", "two"]
+    ids, at = pieces.Encoder(VOCABULARY).units(keys)
+    pieces._same_units(LIBRARY, keys, ids, at)
+    for k in (0, 1, 3, len(keys) - 1):
+        other = ids.copy()
+        other[at[k]] += 1
+        with pytest.raises(AssertionError, match="differ"):
+            pieces._same_units(LIBRARY, keys, other, at)
     with pytest.raises(AssertionError, match="differ"):
-        pieces._same_units(LIBRARY, e)
+        pieces._same_units(LIBRARY, keys, np.r_[ids, 5], np.r_[at[:-1], at[-1] + 1])
 
 
 def test_other_models_are_refused(tmp_path):
