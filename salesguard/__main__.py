@@ -4,8 +4,8 @@
     python -m salesguard report  --data DIR --out PATH [--as-of D --days N]
     python -m salesguard spikes  --data DIR --out PATH [--as-of D --days N]
 
-``range`` upserts the range table into ``PATH/ranges/version=N`` (latest per
-facility and item wins) and writes the error table next to it; ``report``
+``range`` upserts the range table at ``PATH/ranges`` (latest per facility and
+item wins; ``sinks.read_table`` reads it) and writes the error table next to it; ``report``
 writes the attribution report as CSV; ``spikes`` writes the rolling spike
 table as parquet partitioned by category.
 """
@@ -36,10 +36,10 @@ def main(argv=None) -> None:
     cat = Catalog(spark, a.data)
     if a.flow == "range":
         ranges, errors = flows.range_pipeline(cat, a.as_of, a.days, drop_sparse=a.drop_sparse)
-        path = sinks.upsert_to_path(spark, sinks.conform(ranges, sinks.RANGE_TABLE_SCHEMA), f"{a.out}/ranges",
+        version = sinks.upsert_to_path(spark, sinks.conform(ranges, sinks.RANGE_TABLE_SCHEMA), f"{a.out}/ranges",
                                     ["facility_id", "item_id"], "updated_at")
         sinks.write(sinks.conform(errors, sinks.RANGE_ERROR_SCHEMA).distinct(), f"{a.out}/errors")
-        print(path)
+        print(f"{a.out}/ranges version {version}")
     elif a.flow == "report":
         sinks.write(flows.attribution_report(cat, a.as_of, a.days), a.out, fmt="csv")
     else:

@@ -6,6 +6,8 @@ import sys
 
 from conftest import SF001
 
+from salesguard.sources import sinks
+
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -14,8 +16,7 @@ def test_range_flow_writes_versions(spark, scratch):
            "--as-of", "2001-08-01", "--days", "2405", "--master", "local[2]"]
     for _ in range(2):
         subprocess.run(cmd, cwd=REPO, check=True, capture_output=True, timeout=600)
-    v0 = spark.read.parquet(f"{scratch}/ranges/version=0")
-    v1 = spark.read.parquet(f"{scratch}/ranges/version=1")
+    v0, v1 = (sinks.read_table(spark, f"{scratch}/ranges", v) for v in (0, 1))
     assert v0.count() == v1.count() > 0
     assert set(v1.columns) == {"facility_id", "item_id", "min", "max", "updated_at"}
     assert spark.read.parquet(f"{scratch}/errors").count() > 0
