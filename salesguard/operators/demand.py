@@ -61,18 +61,18 @@ def net_invoice_sales(cat: Catalog, as_of: str | None = None, days: int | None =
     inv = invoice_lines(cat, as_of, days)
     q = F.col("quantity")
     ret = (inv.filter(F.col("invoice_type_id").isin(2, 8)).groupBy("order_id", "item_id")
-              .agg(F.sum(q).alias("return_quantity"), F.sum(q * F.col("selling_price")).alias("return_selling_price"),
-                   F.sum(q * F.col("variant_mrp")).alias("return_variant_mrp")))
+              .agg(F.sum(q).alias("back_q"), F.sum(q * F.col("selling_price")).alias("back_value"),
+                   F.sum(q * F.col("variant_mrp")).alias("back_mrp")))
     sal = (inv.filter(F.col("invoice_type_id").isin(1, 7))
               .groupBy(F.col("order_date").alias("date_"), "order_id", "outlet_id", "item_id")
-              .agg(F.sum(q).alias("sales_quantity"), F.sum(q * F.col("selling_price")).alias("sales_selling_price"),
-                   F.sum(q * F.col("variant_mrp")).alias("sales_variant_mrp"))
+              .agg(F.sum(q).alias("sales_quantity"), F.sum(q * F.col("selling_price")).alias("sold_value"),
+                   F.sum(q * F.col("variant_mrp")).alias("sold_mrp"))
               .join(ret, ["order_id", "item_id"], "left")
-              .fillna(0, ["return_quantity"]).fillna(0.0, ["return_selling_price", "return_variant_mrp"]))
+              .fillna(0, ["back_q"]).fillna(0.0, ["back_value", "back_mrp"]))
     cats = cat.item_categories.select("item_id", F.col("l2").alias("category"))
     so = S.store_outlets(cat).select("outlet_id", "city_name")
     j = sal.join(cats, "item_id").join(S.item_names(cat), "item_id").join(so, "outlet_id")
     return (j.groupBy("date_", "city_name", "outlet_id", "item_id", "item_name", "category")
-             .agg(F.sum(F.col("sales_quantity") - F.col("return_quantity")).cast("long").alias("sales_quantity"),
-                  money(F.sum(F.col("sales_selling_price") - F.col("return_selling_price"))).alias("sales_value"),
-                  money(F.sum(F.col("sales_variant_mrp") - F.col("return_variant_mrp"))).alias("sales_mrp")))
+             .agg(F.sum(F.col("sales_quantity") - F.col("back_q")).cast("long").alias("sales_quantity"),
+                  money(F.sum(F.col("sold_value") - F.col("back_value"))).alias("sales_value"),
+                  money(F.sum(F.col("sold_mrp") - F.col("back_mrp"))).alias("sales_mrp")))

@@ -1,24 +1,21 @@
-"""Model-based detectors.
+"""K-means detectors (M6, M12, M13) and what other models start from.
 
-The reference fits scikit-learn models on one in-memory frame. Here every fit
-is a Spark job: ``pyspark.ml`` where it has the model (k-means, GMM,
-silhouette), grouped ``applyInPandas`` on bounded per-key groups (2-D
-three-means), and plain aggregations iterated from the driver with only
-scalar state for the robust covariance. The isolation forest samples rows by
-hash (partitioning cannot change the sample), grows each tree in one task on
-at most ``max_samples`` rows, and scores all rows in Arrow batches against the
-collected trees, whose size is bounded by trees x (2 x max_samples - 1) nodes.
+The reference fits scikit-learn models on one in-memory frame. Here a fit is a
+Spark job: grouped ``applyInPandas`` on bounded per-key groups (2-D
+three-means), and plain aggregations iterated from the driver with only the
+centres as state. Mixture, forest, envelope and one-class machine have modules
+of their own.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,15 +50,11 @@ def kmeans_2d(df: DataFrame, keys: list[str], feats: list[str]) -> DataFrame:
               .withColumn("kmeans_flag", flag(F.col("cluster").isin(1, 3))))
 
 
-# ------------------------------------------------------------------ M12-M14
-def _vec(df: DataFrame, feats: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip").transform(df)
-
-
+# ------------------------------------------------------------------ M12, M13
 LLOYD_STEPS = 1000
 
 
-def _nearest(feats: list[str], centres: list[list[float]]):
+def nearest(feats: list[str], centres: list[list[float]]):
     """(cluster number, squared distance) columns of the nearest centre, ties to the lower number."""
     d = [F.round(sum(((F.col(f) - float(c[i])) * (F.col(f) - float(c[i])) for i, f in enumerate(feats)), F.lit(0.0)), 9)
          for c in centres]
@@ -72,7 +65,7 @@ def _nearest(feats: list[str], centres: list[list[float]]):
     return label, least
 
 
-def _lloyd_frame(points: DataFrame, feats: list[str], k: int) -> list[list[float]]:
+def lloyd_frame(points: DataFrame, feats: list[str], k: int) -> list[list[float]]:
     """Centres of Lloyd's iteration over all weighted points (columns ``feats``, ``w``).
 
     Starts at the middles of k equal spans of the first feature (means of the
@@ -86,7 +79,7 @@ def _lloyd_frame(points: DataFrame, feats: list[str], k: int) -> list[list[float
     centres = [[round(r["lo"] + (r["hi"] - r["lo"]) * (j + 0.5) / k, 9), *(r[f"m{i}"] for i in range(1, len(feats)))]
                for j in range(k)]
     for _ in range(LLOYD_STEPS):
-        label, _d = _nearest(feats, centres)
+        label, _d = nearest(feats, centres)
         inside = [F.when(F.col("j") == j, F.col("w")) for j in range(k)]
         got = points.withColumn("j", label).agg(
             *[F.round(F.sum(F.col(f) * x) / F.sum(x), 9) for x in inside for f in feats]).first()
@@ -98,7 +91,7 @@ def _lloyd_frame(points: DataFrame, feats: list[str], k: int) -> list[list[float
     raise RuntimeError(f"k-means not settled after {LLOYD_STEPS} steps")
 
 
-def _points(df: DataFrame, feats: list[str]) -> DataFrame:
+def distinct_points(df: DataFrame, feats: list[str]) -> DataFrame:
     """Distinct points without nulls, with their weight; written once, for the steps to read."""
     named = df.select(*[F.col(f).cast("double").alias(f) for f in feats]).dropna()
     return materialize(named.groupBy(*feats).agg(F.count(F.lit(1)).cast("double").alias("w")))
@@ -106,247 +99,70 @@ def _points(df: DataFrame, feats: list[str]) -> DataFrame:
 
 def kmeans_elbow(df: DataFrame, feats: list[str], ks=range(1, 6)) -> DataFrame:
     """Score (minus within-cluster sum of squares) per k. No row for an empty input."""
-    points, rows = _points(df, feats), []
+    points, rows = distinct_points(df, feats), []
     if not points.isEmpty():
         for k in ks:
-            _, d = _nearest(feats, _lloyd_frame(points, feats, k))
+            _, d = nearest(feats, lloyd_frame(points, feats, k))
             rows.append((int(k), -float(points.agg(F.sum(d * F.col("w"))).first()[0])))
     return df.sparkSession.createDataFrame(rows, "k int, score double")
 
 
-def silhouette(df: DataFrame, feats: list[str], k: int = 3) -> DataFrame:
-    """Mean silhouette of the k-means clusters, with squared Euclidean distances.
-
-    The mean squared distance from a point to a cluster follows from the
-    cluster's size, sums and sum of squares, so it takes one pass for those
-    and one for the mean. A point alone in its cluster counts 0, and so does
-    every point if there is one cluster only; no row for an empty input."""
-    points = _points(df, feats)
-    if points.isEmpty():
+#: Points of a block; a tile of two blocks is one task's distance matrix.
+BLOCK = 2048
+
+
+def _tiles(feats: list[str], k: int):
+    """Sums of distances from each point of two blocks to the other block's clusters."""
+    names, p = [*[f"f{i}" for i in range(len(feats))], "j", "w"], len(feats)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                near, far = (np.array([[*x.values()] for x in r[side]], float) for side in ("near", "far"))
+                d = np.sqrt(((near[:, None, :p] - far[None, :, :p]) ** 2).sum(-1))
+                sides = [(near, far, d)] if r["block"] == r["other"] else [(near, far, d), (far, near, d.T)]
+                for rows, cols, dist in sides:
+                    weight = np.zeros((len(cols), k))
+                    weight[np.arange(len(cols)), cols[:, p].astype(int)] = cols[:, p + 1]
+                    sums = dist @ weight
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(rows[:, i]) for i in range(p)], pa.array(rows[:, p].astype(np.int32)), pa.array(rows[:, p + 1]),
+                         *[pa.array(sums[:, c]) for c in range(k)]], names + [f"s{c}" for c in range(k)])
+
+    schema = ", ".join([*[f"f{i} double" for i in range(p)], "j int", "w double", *[f"s{c} double" for c in range(k)]])
+    return run, schema
+
+
+def silhouette(df: DataFrame, feats: list[str], k: int = 3, block: int = BLOCK) -> DataFrame:
+    """Mean silhouette of the k-means clusters, with Euclidean distances.
+
+    Distinct points, with their weights, are dealt to blocks of about ``block``;
+    every two blocks meet in one tile, which gives each of their points its summed
+    distances to the other block's clusters, one row a point. The work is that of
+    all distances, as the measure asks; a tile holds block x block of them. A point
+    alone in its cluster counts 0, and so does every point if there is one
+    cluster only; no row for an empty input."""
+    points = distinct_points(df, feats)
+    n = points.count()
+    if not n:
         return df.sparkSession.createDataFrame([], "k int, silhouette double")
-    label, _ = _nearest(feats, _lloyd_frame(points, feats, k))
-    norm = sum((F.col(f) * F.col(f) for f in feats), F.lit(0.0))
-    p = points.withColumn("j", label)
-    stats = p.groupBy("j").agg(F.sum("w").alias("n"), F.sum(norm * F.col("w")).alias("q"),
-                               *[F.sum(F.col(f) * F.col("w")).alias(f"s{i}") for i, f in enumerate(feats)]).collect()
-    far = lambda r: (norm + r["q"] / r["n"] - sum((F.col(f) * (2.0 * r[f"s{i}"] / r["n"]) for i, f in enumerate(feats)), F.lit(0.0)))
+    label, _ = nearest(feats, lloyd_frame(points, feats, k))
+    blocks = math.ceil(n / block)
+    dealt = points.select(F.pmod(F.xxhash64(*feats), F.lit(blocks)).cast("int").alias("block"),
+                          F.struct(*[F.col(f"`{f}`").alias(f"f{i}") for i, f in enumerate(feats)], label.cast("double").alias("j"), "w").alias("x"))
+    packed = materialize(dealt.groupBy("block").agg(F.collect_list("x").alias("near")))
+    meets = packed.withColumn("other", F.explode(F.sequence("block", F.lit(blocks - 1))))
+    pairs = meets.join(packed.select(F.col("block").alias("other"), F.col("near").alias("far")), "other")
+    run, schema = _tiles(feats, k)
+    tiles = pairs.select("block", "other", "near", "far").repartition("block", "other").mapInArrow(run, schema)
+    place = [f"f{i}" for i in range(len(feats))]
+    sums = materialize(tiles.groupBy(*place, "j", "w").agg(*[F.sum(f"s{c}").alias(f"s{c}") for c in range(k)]))
+    size = {r["j"]: r["n"] for r in sums.groupBy("j").agg(F.sum("w").alias("n")).collect()}
     worth = F.lit(0.0)
-    for r in stats:
-        if r["n"] > 1 and len(stats) > 1:
-            own = far(r) * (r["n"] / (r["n"] - 1))
-            others = [far(o) for o in stats if o["j"] != r["j"]]
-            b = F.least(*others) if len(others) > 1 else others[0]
-            worth = F.when(F.col("j") == r["j"], F.when(own == b, 0.0).otherwise((b - own) / F.greatest(own, b))).otherwise(worth)
-    s = p.agg(F.sum(worth * F.col("w")) / F.sum("w")).first()[0]
+    for j, m in size.items():
+        others = [F.col(f"s{c}") / F.lit(size[c]) for c in size if c != j]
+        if m > 1 and others:
+            own, b = F.col(f"s{j}") / F.lit(m - 1), F.least(*others) if len(others) > 1 else others[0]
+            worth = F.when(F.col("j") == j, F.when(own == b, 0.0).otherwise((b - own) / F.greatest(own, b))).otherwise(worth)
+    s = sums.agg(F.sum(worth * F.col("w")) / F.sum("w")).first()[0]
     return df.sparkSession.createDataFrame([(int(k), float(s))], "k int, silhouette double")
-
-
-def gmm(df: DataFrame, feats: list[str], k: int = 2, seed: int = 42) -> DataFrame:
-    """Gaussian mixture on the features (not on cluster ids, SURVEY Q12)."""
-    v = _vec(df, feats)
-    m = GaussianMixture(k=k, seed=seed).fit(v)
-    from pyspark.ml.functions import vector_to_array
-    return (m.transform(v).withColumn("probability", vector_to_array("probability"))
-             .drop("features"))
-
-
-# ------------------------------------------------------------------ M23
-def _c(n: float) -> float:
-    """Average path length of an unsuccessful BST search over n points."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
-
-
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int):
-    feat, thr, left, right, size, depth = [], [], [], [], [], []
-
-    def node(idx, d):
-        i = len(feat)
-        feat.append(-1), thr.append(0.0), left.append(-1), right.append(-1), size.append(len(idx)), depth.append(d)
-        if d >= limit or len(idx) <= 1:
-            return i
-        sub = x[idx]
-        lo, hi = sub.min(0), sub.max(0)
-        cand = np.flatnonzero(hi > lo)
-        if cand.size == 0:
-            return i
-        f = int(rng.choice(cand))
-        t = float(rng.uniform(lo[f], hi[f]))
-        feat[i], thr[i] = f, t
-        m = sub[:, f] < t
-        left[i] = node(idx[m], d + 1)
-        right[i] = node(idx[~m], d + 1)
-        return i
-
-    node(np.arange(len(x)), 0)
-    return feat, thr, left, right, size, depth
-
-
-NODE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("tree", T.IntegerType()), ("node", T.IntegerType()), ("feat", T.IntegerType()), ("thr", T.DoubleType()),
-    ("left", T.IntegerType()), ("right", T.IntegerType()), ("size", T.IntegerType()), ("depth", T.IntegerType())]])
-
-
-def isolation_forest(df: DataFrame, keys: list[str], feats: list[str], n_trees: int = 100, max_samples: int = 256,
-                     contamination: float = 0.01, seed: int = 42) -> DataFrame:
-    """Isolation forest; adds ``iforest_score`` (higher = more anomalous) and ``iforest_flag``.
-
-    The input is read several times (count, sample, score, cut-off), so it is
-    written to the shared folder first. The trees' samples are the rows with the
-    smallest hashes: one sample dealt to all trees if there are rows enough, else
-    one for each. An empty input has no score; a single row scores 0.5.
-    """
-    df = materialize(df)
-    n = df.count()
-    if n == 0:
-        return df.withColumn("iforest_score", F.lit(None).cast("double")).withColumn("iforest_flag", F.lit(0))
-    m = min(max_samples, n)
-    if n >= n_trees * m:                          # enough rows: one hash-ordered sample, dealt to the trees
-        h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-        few = df.select(*feats, *keys, h.alias("_u")).orderBy("_u", *keys).limit(n_trees * m)
-        nth = F.row_number().over(Window.orderBy("_u", *keys))          # over that bounded sample
-        sample = few.withColumn("tree", F.pmod(nth, F.lit(n_trees)).cast("int"))
-    else:                                         # each tree draws its own, the m smallest of its hashes
-        p = min(1.0, 2.0 * m / n)
-        u = lambda t: F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], t, F.lit(seed)), 1)
-        below = min(2 ** 63 - 1, int(p * 2.0 ** 63))
-        picked = (df.select(*feats, F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) <= F.lit(below)).alias("_t"),
-                            *[F.col(k) for k in keys])
-                    .select(*feats, *keys, F.explode("_t").alias("tree")))
-        picked = picked.withColumn("_u", u(F.col("tree")))
-        w = Window.partitionBy("tree").orderBy("_u", *keys)
-        sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
-    limit = int(math.ceil(math.log2(max(m, 2))))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values("_u")[feats].to_numpy(dtype=float)
-        f, th, le, ri, sz, de = _grow(x, np.random.default_rng(seed * 1_000_003 + t), limit)
-        k = len(f)
-        return pd.DataFrame({"tree": np.full(k, t, dtype="int32"), "node": np.arange(k, dtype="int32"),
-                             "feat": np.array(f, dtype="int32"), "thr": np.array(th, dtype=float),
-                             "left": np.array(le, dtype="int32"), "right": np.array(ri, dtype="int32"),
-                             "size": np.array(sz, dtype="int32"), "depth": np.array(de, dtype="int32")})
-
-    nodes = sample.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()   # <= trees x (2m - 1) rows
-    trees = [g.sort_values("node") for _, g in nodes.groupby("tree")]
-    arrs = [tuple(g[c].to_numpy() for c in ("feat", "thr", "left", "right", "size", "depth")) for g in trees]
-    leaf_adj = [np.array([_c(s) for s in a[4]]) for a in arrs]
-    cn = _c(m)
-    out_schema = T.StructType(df.schema.fields + [T.StructField("iforest_score", T.DoubleType())])
-
-    def score(it):
-        for pdf in it:
-            x = pdf[feats].to_numpy(dtype=float)
-            tot = np.zeros(len(x))
-            for (fe, th, le, ri, _sz, de), adj in zip(arrs, leaf_adj):
-                idx = np.zeros(len(x), dtype=int)
-                for _ in range(limit + 1):
-                    inner = fe[idx] >= 0
-                    if not inner.any():
-                        break
-                    go_left = x[np.arange(len(x)), np.maximum(fe[idx], 0)] < th[idx]
-                    idx = np.where(inner, np.where(go_left, le[idx], ri[idx]), idx)
-                tot += de[idx] + adj[idx]
-            # One row isolates nothing: its score is that of an average row.
-            yield pdf.assign(iforest_score=np.power(2.0, -(tot / max(len(arrs), 1)) / cn) if cn else 0.5)
-
-    scored = materialize(df.mapInPandas(score, out_schema))   # read by the cut-off and by the caller
-    cut = scored.agg(F.percentile_approx("iforest_score", 1 - contamination, 10000)).first()[0]
-    return scored.withColumn("iforest_flag", flag(F.col("iforest_score") >= F.lit(cut)))
-
-
-# ------------------------------------------------------------------ M25
-def _moments(df: DataFrame, feats: list[str], where=None):
-    d = df.filter(where) if where is not None else df
-    aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)]
-    aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}") for i, a in enumerate(feats) for j, b in enumerate(feats) if j >= i]
-    r = d.agg(*aggs).first()
-    k = len(feats)
-    mean = np.array([r[f"m{i}"] for i in range(k)], dtype=float)
-    cov = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-    return mean, cov
-
-
-def _mahalanobis(feats: list[str], mean: np.ndarray, cov: np.ndarray):
-    prec = np.linalg.pinv(cov)
-    diffs = [F.col(c) - float(mean[i]) for i, c in enumerate(feats)]
-    expr = F.lit(0.0)
-    for i in range(len(feats)):
-        for j in range(len(feats)):
-            expr = expr + diffs[i] * float(prec[i, j]) * diffs[j]
-    return expr
-
-
-def elliptic_envelope(df: DataFrame, feats: list[str], contamination: float = 0.01, c_steps: int = 100) -> DataFrame:
-    """Robust location/scatter by concentration steps (keep the half of the
-    rows closest in Mahalanobis distance, re-estimate), then flag the
-    ``contamination`` share with the largest robust distance. Each step is one
-    aggregation and one approximate quantile over all rows; only the mean and
-    the small covariance matrix return to the driver. Steps go on until the
-    estimate stays; raises if ``c_steps`` are not enough. An empty input gives
-    an empty result."""
-    df = materialize(df)                     # read once per concentration step
-    n = df.count()
-    if n == 0:
-        return df.withColumn("robust_distance", F.lit(None).cast("double")).withColumn("envelope_flag", F.lit(0))
-    h = min(1.0, (n + len(feats) + 1) / (2.0 * n))
-    mean, cov = _moments(df, feats)
-    for _ in range(c_steps):
-        d2 = _mahalanobis(feats, mean, cov)
-        cut = df.select(d2.alias("d2")).agg(F.percentile_approx("d2", h, 10000)).first()[0]
-        new_mean, new_cov = _moments(df, feats, d2 <= F.lit(cut))
-        settled = np.allclose(new_mean, mean) and np.allclose(new_cov, cov)
-        mean, cov = new_mean, new_cov
-        if settled:
-            break
-    else:
-        raise RuntimeError(f"the robust covariance did not settle in {c_steps} steps")
-    scored = df.withColumn("robust_distance", _mahalanobis(feats, mean, cov))
-    thr = scored.agg(F.percentile_approx("robust_distance", 1 - contamination, 10000)).first()[0]
-    return scored.withColumn("envelope_flag", flag(F.col("robust_distance") > F.lit(thr)))
-
-
-# ------------------------------------------------------------------ M24
-def one_class_weights(n_in: int, n_features: int = 64, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """The random directions and phases of ``one_class``, the same for every run."""
-    rng = np.random.default_rng(seed)
-    return rng.normal(0.0, math.sqrt(2 / n_in), size=(n_features, n_in)), rng.uniform(0, 2 * math.pi, size=n_features)
-
-
-def one_class(df: DataFrame, feats: list[str], nu: float = 0.01, n_features: int = 64, seed: int = 42) -> DataFrame:
-    """M24 (approximate): RBF one-class scoring with random Fourier features.
-
-    Features are standardised; gamma = 1 / n_features_in (sklearn's 'scale'
-    on standardised data). z(x) = sqrt(2/D) cos(Wx + b) approximates the RBF
-    kernel; the score is the kernel mean embedding z(x) . mean(z), i.e. the
-    equal-weight one-class decision function. The ``nu`` share with the
-    lowest score is flagged. This is an approximation, not an SVM solver.
-    """
-    df = materialize(df)                     # read by the moments, the embedding mean and the cut-off
-    if df.isEmpty():
-        return df.withColumn("oc_score", F.lit(None).cast("double")).withColumn("oc_flag", F.lit(0))
-    stats = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(feats)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
-    zs = [(F.col(c) - float(stats[f"a{i}"] or 0.0)) / float(stats[f"s{i}"] or 1.0) for i, c in enumerate(feats)]
-    W, b = one_class_weights(len(feats), n_features, seed)
-    comps = []
-    for k in range(n_features):
-        lin = F.lit(float(b[k]))
-        for i, z in enumerate(zs):
-            lin = lin + float(W[k, i]) * z
-        comps.append(F.cos(lin) * math.sqrt(2.0 / n_features))
-    d = df.withColumn("_z", F.array(*comps))
-    mu = d.agg(*[F.avg(F.col("_z")[k]).alias(f"u{k}") for k in range(n_features)]).first()
-    score = F.lit(0.0)
-    for k in range(n_features):
-        score = score + F.col("_z")[k] * float(mu[f"u{k}"])
-    d = materialize(d.withColumn("oc_score", score).drop("_z"))   # read by the cut-off and by the caller
-    cut = d.agg(F.percentile_approx("oc_score", nu, 10000)).first()[0]
-    return d.withColumn("oc_flag", flag(F.col("oc_score") <= F.lit(cut)))

@@ -40,18 +40,18 @@ def item_mapping(cat: Catalog) -> DataFrame:
     The product's own item wins and takes the multiplier of the matching offer;
     without an own item the offer's item and multiplier are used; default 1.
     """
-    ipr = cat.item_product_map.alias("ipr")
+    products = cat.item_product_map.alias("made")
     own = cat.offers.alias("own")
-    anyo = cat.offers.alias("anyo")
-    j = (ipr.join(own, (F.col("own.product_id") == F.col("ipr.product_id"))
-                  & (F.col("ipr.item_id") == F.col("own.item_id")), "left")
-            .join(anyo, F.col("anyo.product_id") == F.col("ipr.product_id"), "left"))
-    has_own = F.col("ipr.item_id").isNotNull()
+    any_offer = cat.offers.alias("any_offer")
+    j = (products.join(own, (F.col("own.product_id") == F.col("made.product_id"))
+                  & (F.col("made.item_id") == F.col("own.item_id")), "left")
+            .join(any_offer, F.col("any_offer.product_id") == F.col("made.product_id"), "left"))
+    has_own = F.col("made.item_id").isNotNull()
     return (j.select(
-                F.col("ipr.product_id").alias("product_id"),
-                F.when(has_own, F.col("ipr.item_id")).otherwise(F.col("anyo.item_id")).alias("item_id"),
+                F.col("made.product_id").alias("product_id"),
+                F.when(has_own, F.col("made.item_id")).otherwise(F.col("any_offer.item_id")).alias("item_id"),
                 F.when(has_own, F.coalesce(F.col("own.multiplier"), F.lit(1)))
-                 .otherwise(F.coalesce(F.col("anyo.multiplier"), F.lit(1))).alias("multiplier"))
+                 .otherwise(F.coalesce(F.col("any_offer.multiplier"), F.lit(1))).alias("multiplier"))
             .distinct())
 
 

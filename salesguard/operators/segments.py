@@ -3,16 +3,15 @@
 The reference clusters each key's daily sales (Box-Cox transformed) into three
 groups with k-means; its second feature (order hour) is always 0, so the
 problem is one-dimensional. In 1-D the optimal k-means clusters are contiguous
-runs of the sorted values (Wang and Song 2011), so the exact optimum is found
-by scanning all pairs of cut points over the key's *distinct* values.
+runs of the sorted values (Wang and Song 2011), and the best second cut never
+moves left as the first moves right, so the exact optimum is found by divide
+and conquer over the key's *distinct* values, in O(d log d).
 
-Distribution: the daily rows are first reduced to a histogram per key
-(distinct value, weight) with a grouped aggregate; one key's histogram has at
-most one row per distinct daily value, so it is bounded by the look-back days,
-not by the data volume. ``applyInPandas`` then solves each key independently
-(numpy, chunked, O(d^2) with d distinct values) and emits one cluster label per
-distinct value; labels are joined back to the daily rows and the range table
-is a conditional average, all in Spark.
+Distribution: the daily rows are hash-partitioned by key and sorted once; one
+Arrow pass then finds each key's lambda, transforms, imputes and cuts, for all
+keys of a batch side by side where numpy can (``keyed``). A key holds one row
+per day, so it is bounded by the look-back, not by the data volume. The range
+table is a conditional average, all in Spark.
 
 Determinism: the objective (sum over clusters of S^2/W on centred values) is
 rounded to 9 digits and ties go to the smallest (first cut, second cut), so the
@@ -22,27 +21,30 @@ result does not depend on partitioning or row order.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesguard.functions.scalar import flag, money
-from salesguard.operators.boxcox import apply_boxcox, by_keys
+from salesguard.operators import boxcox
+from salesguard.operators.keyed import add_per_key, by_keys, numbers
 
 # Error reasons of the range pipeline (text as the reference writes it).
 REASON_SPARSE = "Less Than 2 carts per month"
 REASON_BOXCOX = "Breaking at Boxcox Transformation"
 REASON_KMEANS = "Breaking at K Means "
 
-_CHUNK = 256
-
-
 def best_three_cuts(y: np.ndarray, w: np.ndarray) -> tuple[int, int] | None:
     """Exact 1-D three-means on sorted distinct values ``y`` with weights ``w``.
 
     Returns (i, j): cluster 1 = y[0..i], cluster 2 = y[i+1..j], cluster 3 = the
     rest; None when fewer than three distinct values exist.
+
+    For every first cut the best second one is found level by level: the middle
+    cut of each open stretch searches between the answers of its neighbours. Of
+    the cuts whose objective, rounded to 9 digits, is the greatest, the smallest
+    first and then the smallest second is taken.
     """
     d = len(y)
     if d < 3:
@@ -51,22 +53,30 @@ def best_three_cuts(y: np.ndarray, w: np.ndarray) -> tuple[int, int] | None:
     W = np.cumsum(w.astype(np.float64))
     S = np.cumsum(w * (y - mu))
     WT, ST = W[-1], S[-1]
-    best_obj, best = -np.inf, None
-    j = np.arange(1, d - 1)
-    for lo in range(0, d - 2, _CHUNK):
-        i = np.arange(lo, min(lo + _CHUNK, d - 2))[:, None]
-        jj = np.broadcast_to(j[None, :], (i.shape[0], j.size))
-        valid = jj > i
-        with np.errstate(divide="ignore", invalid="ignore"):
-            obj = (S[i] ** 2 / W[i]
-                   + (S[jj] - S[i]) ** 2 / (W[jj] - W[i])
-                   + (ST - S[jj]) ** 2 / (WT - W[jj]))
-        obj = np.where(valid, np.round(obj, 9), -np.inf)
-        k = int(np.argmax(obj))          # row-major: smallest i, then smallest j
-        v = obj.flat[k]
-        if v > best_obj:
-            best_obj, best = v, (int(i[k // j.size, 0]), int(jj.flat[k]))
-    return best
+
+    def worth(i, j):
+        return S[i] ** 2 / W[i] + (S[j] - S[i]) ** 2 / (W[j] - W[i]) + (ST - S[j]) ** 2 / (WT - W[j])
+
+    best = np.full(d - 2, -np.inf)
+    lo, hi, first, last = (np.array([x]) for x in (0, d - 3, 1, d - 2))       # first cuts, and where their second may lie
+    while len(lo):
+        i = (lo + hi) // 2
+        a, z = np.maximum(first, i + 1), np.maximum(last, i + 1)
+        n = z - a + 1
+        starts = np.cumsum(n) - n
+        of = np.repeat(np.arange(len(i)), n)
+        j = np.arange(len(of)) - starts[of] + a[of]
+        v = worth(i[of], j)
+        best[i] = np.maximum.reduceat(v, starts)
+        top = np.flatnonzero(v == best[i][of])
+        at = j[top[np.diff(of[top], prepend=-1) > 0]]
+        left, right = lo < i, i < hi
+        lo, hi, first, last = (np.concatenate(x) for x in (
+            (lo[left], i[right] + 1), (i[left] - 1, hi[right]), (first[left], at[right]), (at[left], last[right])))
+    goal = np.round(best, 9).max()
+    i = int(np.argmax(np.round(best, 9) == goal))
+    j = np.arange(i + 1, d - 1)
+    return i, int(j[np.argmax(np.round(worth(i, j), 9) == goal)])
 
 
 LLOYD_STEPS = 500
@@ -117,29 +127,49 @@ def ranked_three_means(x: np.ndarray, w: np.ndarray) -> np.ndarray | None:
     return np.where(labels == np.nanargmin(means), 1, np.where(labels == np.nanargmax(means), 3, 2)).astype("int32")
 
 
-def _segment_weekday_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One key's daily rows clustered on (Sales, WeekDay), both as they are."""
-    x = np.column_stack([pdf["Sales"].to_numpy(dtype=np.float64),
-                         (pd.to_datetime(pdf["date_"]).dt.dayofweek < 5).to_numpy(dtype=np.float64)])
-    bins, of, w = np.unique(x, axis=0, return_inverse=True, return_counts=True)
+def _weekday_clusters(z: np.ndarray, workday: np.ndarray) -> np.ndarray | None:
+    """Clusters of one key's days on (Sales, WeekDay), both as they are."""
+    bins, of, w = np.unique(np.column_stack([z, workday]), axis=0, return_inverse=True, return_counts=True)
     clusters = ranked_three_means(bins, w.astype(np.float64))
-    if clusters is None:
-        return pdf.assign(cluster=pd.Series([None] * len(pdf), dtype="Int32"))
-    return pdf.assign(cluster=clusters[of.ravel()])
+    return None if clusters is None else clusters[of.ravel()]
+
+
+def _clusters(z: np.ndarray) -> np.ndarray | None:
+    """Clusters of one key's days on Sales; identical values share a bin."""
+    bins, w = np.unique(z, return_counts=True)
+    cuts = best_three_cuts(bins, w.astype(np.float64))
+    if cuts is None:
+        return None
+    return np.where(z <= bins[cuts[0]], 1, np.where(z >= bins[cuts[1] + 1], 3, 2))
+
+
+def _impute(z: np.ndarray, starts: np.ndarray, k: float = 1.5) -> np.ndarray:
+    """Values outside a key's fences become its median; quantiles by linear interpolation."""
+    out = z.copy()
+    for a, b in zip(starts, np.r_[starts[1:], len(z)], strict=True):
+        v = z[a:b]
+        if np.isnan(v).all():
+            continue
+        q1, med, q3 = np.nanpercentile(v, [25, 50, 75])
+        out[a:b] = np.where((v > q3 + k * (q3 - q1)) | (v < q1 - k * (q3 - q1)), med, v)
+    return out
 
 
-def _segment_fn(value: str):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one key's daily rows; clustering input ``Sales``; identical values share a bin
-        bins = pdf.groupby("Sales", sort=True).size()
-        cuts = best_three_cuts(bins.index.to_numpy(dtype=np.float64), bins.to_numpy(dtype=np.float64))
-        if cuts is None:
-            return pdf.assign(cluster=pd.Series([None] * len(pdf), dtype="Int32"))
-        i, j = cuts
-        lo_max, hi_min = bins.index[i], bins.index[j + 1]
-        z = pdf["Sales"].to_numpy()
-        return pdf.assign(cluster=np.where(z <= lo_max, 1, np.where(z >= hi_min, 3, 2)).astype("int32"))
-    return fn
+TRANSFORMS = ("boxcox", "none", "log", "sqrt")
+
+
+def _sales(x: np.ndarray, starts: np.ndarray, transform: str, impute: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The clustering input, and whether the transform succeeded."""
+    ok = np.ones(len(x), bool)
+    with np.errstate(all="ignore"):
+        if transform == "boxcox":
+            lam = np.repeat(boxcox.optima(x, starts)[0], np.diff(np.r_[starts, len(x)]))
+            y = boxcox.transform(x, lam)
+            ok = ~np.isnan(y)
+        else:                                             # F16 variants
+            y = {"none": lambda: x, "log": lambda: np.where(x > 0, np.log(x), np.nan), "sqrt": lambda: np.sqrt(x)}[transform]()
+        y = np.where(np.isnan(y), x, y)
+    return (_impute(y, starts) if impute else y), ok
 
 
 def median_impute(df: DataFrame, keys: list[str], col: str, k: float = 1.5, out: str | None = None) -> DataFrame:
@@ -158,44 +188,52 @@ def median_impute(df: DataFrame, keys: list[str], col: str, k: float = 1.5, out:
     return j.withColumn(out, F.when(outside, med).otherwise(F.col(col))).drop("_q")
 
 
-def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
-                value: str = "sales_quantity") -> DataFrame:
-    """Daily rows plus ``Sales`` (the clustering input) and ``bc_ok`` (transform succeeded).
+def _pass(daily: DataFrame, keys: list[str], transform: str, impute: bool, value: str, clusters: str | None) -> DataFrame:
+    if transform not in TRANSFORMS:
+        raise ValueError(f"transform must be one of {TRANSFORMS}")
+    add = [T.StructField("bc_ok", T.BooleanType()), T.StructField("Sales", T.DoubleType())]
+    if clusters:
+        add.append(T.StructField("cluster", T.IntegerType()))
+
+    def fn(table: pa.Table, starts: np.ndarray) -> list[pa.Array]:
+        z, ok = _sales(numbers(table, value), starts, transform, impute)
+        out = [pa.array(ok), pa.array(z, mask=np.isnan(z))]
+        if not clusters:
+            return out
+        label, lost = np.zeros(len(z), np.int32), np.isnan(z)
+        if clusters == "weekday":
+            days = table.column("date_").cast(pa.date32()).cast(pa.int32()).to_numpy()
+            workday = ((days + 3) % 7 < 5).astype(np.float64)                 # 1 January 1970 was a Thursday
+        for a, b in zip(starts, np.r_[starts[1:], len(z)], strict=True):
+            there = ~lost[a:b]
+            got = (_weekday_clusters(z[a:b][there], workday[a:b][there]) if clusters == "weekday" else _clusters(z[a:b][there]))
+            if got is not None:
+                label[a:b][there] = got
+        return [*out, pa.array(label, mask=label == 0)]
+
+    return add_per_key(daily, keys, [], add, fn)
 
-    ``daily`` must be hash-partitioned by ``keys`` (see ``segment``).
-    """
-    if transform == "boxcox":
-        d = apply_boxcox(daily, keys, value, "_bc", partitioned=True)
-        d = (d.withColumn("bc_ok", F.col("_bc").isNotNull())
-              .withColumn("Sales", F.coalesce(F.col("_bc"), F.col(value).cast("double")))
-              .drop("_bc", "lam"))
-    elif transform in ("none", "log", "sqrt"):            # F16 variants
-        v = F.col(value).cast("double")
-        fn = {"none": v, "log": F.ln(v), "sqrt": F.sqrt(v)}[transform]
-        d = daily.withColumn("bc_ok", F.lit(True)).withColumn("Sales", F.coalesce(fn, v))
-    else:
-        raise ValueError("transform must be 'boxcox', 'log', 'sqrt' or 'none'")
-    if impute:
-        d = median_impute(d, keys, "Sales")
-    return d
+
+def transformed(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
+                value: str = "sales_quantity", partitions: int | None = None) -> DataFrame:
+    """Daily rows plus ``Sales`` (the clustering input) and ``bc_ok`` (transform succeeded);
+    values that cannot be transformed stay as they are."""
+    return _pass(by_keys(daily, keys, partitions), keys, transform, impute, value, None)
 
 
 def segment(daily: DataFrame, keys: list[str], transform: str = "boxcox", impute: bool = False,
             value: str = "sales_quantity", partitions: int | None = None, weekday: bool = False) -> DataFrame:
     """Daily rows with ``Sales`` and ``cluster`` (1 low, 2 middle, 3 high; NULL if
-    the key has fewer than three distinct points).
+    the key has fewer than three distinct points, and for rows without a value).
 
     ``weekday`` clusters on (Sales, WeekDay), unscaled, as the level notebooks
     do (WeekDay: 1 Monday to Friday, by ``date_``); else on Sales alone, as the
     range script does.
 
-    One exchange: the rows are hash-partitioned by ``keys``; the Box-Cox grid,
-    the joins on ``keys``, imputation and the per-key segmentation then all
-    run inside those partitions.
+    One exchange and one Arrow pass: lambda, transform, imputation and cuts of
+    a key are found where its rows are.
     """
-    t = transformed(by_keys(daily, keys, partitions), keys, transform, impute, value)
-    schema = T.StructType(t.schema.fields + [T.StructField("cluster", T.IntegerType())])
-    return t.groupBy(*keys).applyInPandas(_segment_weekday_fn if weekday else _segment_fn(value), schema)
+    return _pass(by_keys(daily, keys, partitions), keys, transform, impute, value, "weekday" if weekday else "sales")
 
 
 def range_table(seg: DataFrame, keys: list[str], value: str = "sales_quantity", midpoint: bool = False,
@@ -220,7 +258,10 @@ def range_table(seg: DataFrame, keys: list[str], value: str = "sales_quantity",
 def range_errors(seg: DataFrame, keys: list[str], sparse: DataFrame | None = None,
                  value: str = "sales_quantity") -> DataFrame:
     """(a) sparse keys (1.00, 1.00); (b) constant groups, no Box-Cox;
-    (c) fewer than three distinct values, no clustering. (b)/(c) carry min/max of the raw value."""
+    (c) fewer than three distinct values, no clustering. (b)/(c) carry min/max of the raw value.
+
+    ``sparse``: the sparse keys among the daily rows, whether ``seg`` still has
+    their rows or they were filtered out before."""
     v = F.col(value).cast("double")
     per = (seg.groupBy(*keys)
               .agg(F.min(v).alias("mn"), F.max(v).alias("mx"),
@@ -233,9 +274,8 @@ def range_errors(seg: DataFrame, keys: list[str], sparse: DataFrame | None = Non
                                                F.lit(REASON_KMEANS).alias("error_reason"))
     out = b.unionByName(c)
     if sparse is not None:
-        a = (seg.select(*keys).distinct().join(sparse.select(*keys), keys, "left_semi")
-                .select(*base, F.lit(1.0).alias("min"), F.lit(1.0).alias("max"),
-                        F.lit(REASON_SPARSE).alias("error_reason")))
+        a = sparse.select(*keys).distinct().select(*base, F.lit(1.0).alias("min"), F.lit(1.0).alias("max"),
+                                                   F.lit(REASON_SPARSE).alias("error_reason"))
         out = a.unionByName(out)
     return out
 

@@ -9,6 +9,8 @@ intermediate tables once they have.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +28,22 @@ PRODUCTION_COLS = ["date_", "city_name", "facility_id", "item_id", "item_name",
                    "sales_value", "sales_value_mrp", "ipc"]
 
 
-def range_input(cat: Catalog, as_of: str | None, days: int | None, min_carts: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Store-level daily rows of the production script and its sparse keys, from one scan of the fact."""
-    lines = materialize(S.sales_lines(cat, as_of, days).select(
-        "order_date", "city_name", "facility_id", "item_id", "cart_id", "sales_quantity", "sales_value", "sales_value_mrp"))
+def range_input(cat: Catalog, as_of: str | None, days: int | None, min_carts: int = 3,
+                where=None) -> tuple[DataFrame, DataFrame]:
+    """Store-level daily rows of the production script and its sparse keys, from one scan of the fact.
+
+    ``where`` (a condition on city, facility or item) is applied to the lines, before
+    they are written and summed; other lines stay only if they share a cart
+    with one that is kept, for its total."""
+    lines = S.sales_lines(cat, as_of, days).select(
+        "order_date", "city_name", "facility_id", "item_id", "cart_id", "sales_quantity", "sales_value", "sales_value_mrp")
+    if where is not None:
+        lines = lines.join(lines.where(where).select("cart_id").distinct(), "cart_id", "left_semi")
+    lines = materialize(lines)
     daily = S.daily_sales(cat, "store", lines=lines).select(*PRODUCTION_COLS).dropna("any")
-    sparse = S.sparse_keys(lines, "store", min_carts)
-    return daily, sparse
+    if where is not None:
+        lines, daily = lines.where(where), daily.where(where)
+    return daily, S.sparse_keys(lines, "store", min_carts)
 
 
 def range_rows(daily: DataFrame, transform: str = "boxcox", impute: bool = False, midpoint: bool = False,
@@ -51,20 +62,20 @@ def range_pipeline(cat: Catalog, as_of: str | None = None, days: int | None = 90
     ``drop_sparse=False`` reproduces the reference as it runs (its sparse filter
     is overwritten, SURVEY Q1): sparse keys still get a range and also an
     error row. ``True`` applies the filter the reference intended.
-    ``exclude_cities`` leaves cities out (P15), ``only`` keeps the rows with
-    the given values of key columns (P17), e.g. ``{"facility_id": 3}``.
+    The error table names the sparse keys either way. ``exclude_cities`` leaves
+    cities out (P15), ``only`` keeps the rows with the given values of key
+    columns (P17), e.g. ``{"facility_id": 3}``; both filter the lines.
     """
-    daily, sparse = range_input(cat, as_of, days, min_carts)
-    if exclude_cities:
-        daily = daily.filter(~F.col("city_name").isin(*exclude_cities))
-    for key, value in (only or {}).items():
-        daily = daily.filter(F.col(key) == F.lit(value))
+    kept = [~F.col("city_name").isin(*exclude_cities)] if exclude_cities else []
+    kept += [F.col(key) == F.lit(value) for key, value in (only or {}).items()]
+    where = reduce(lambda x, y: x & y, kept) if kept else None
+    daily, sparse = range_input(cat, as_of, days, min_carts, where)
     daily = materialize(daily)
-    src = daily.join(sparse.select(*RANGE_KEYS), RANGE_KEYS, "left_anti") if drop_sparse else daily
+    sparse = sparse.select(*RANGE_KEYS)
+    src = daily.join(sparse, RANGE_KEYS, "left_anti") if drop_sparse else daily
     seg = materialize(G.segment(src, RANGE_KEYS, transform, impute))
     ranges = G.range_table(seg, RANGE_KEYS, midpoint=midpoint, updated_at=updated_at)
-    errors = G.range_errors(seg, RANGE_KEYS, sparse.join(daily.select(*RANGE_KEYS).distinct(), RANGE_KEYS,
-                                                          "left_semi"))
+    errors = G.range_errors(seg, RANGE_KEYS, sparse.join(daily.select(*RANGE_KEYS).distinct(), RANGE_KEYS, "left_semi"))
     return ranges, errors
 
 

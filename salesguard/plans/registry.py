@@ -47,27 +47,21 @@ for _lvl in ("store", "city", "country"):
     register(f"daily_sales_{_lvl}", O.with_ctes(O.base_ctes(), f"SELECT * FROM daily_{_lvl}"))(_mk(_lvl))
 
 
-@register("sparse_keys", O.with_ctes(O.base_ctes(), f"""
-SELECT DISTINCT facility_id, item_id, 1 AS remove_flag FROM (
-  SELECT month(order_date) AS month, facility_id, item_id, COUNT(DISTINCT cart_id) AS total_carts
-  FROM sales GROUP BY ALL) WHERE total_carts < {P.SPARSE_MIN_CARTS}"""))
+@register("sparse_keys", O.with_ctes(
+    {**O.base_ctes(), "sparse": O.sparse_cte("facility_id", P.SPARSE_MIN_CARTS)}, "SELECT *, 1 AS remove_flag FROM sparse"))
 def q_sparse_keys(spark, sf_dir):
     return S.sparse_keys(S.sales_lines(_cat(spark, sf_dir), P.AS_OF, P.DAYS), "store", P.SPARSE_MIN_CARTS)
 
 
-@register("sparse_keys_city", O.with_ctes(O.base_ctes(), f"""
-SELECT DISTINCT city_name, item_id, 1 AS remove_flag FROM (
-  SELECT month(order_date) AS month, city_name, item_id, COUNT(DISTINCT cart_id) AS total_carts
-  FROM sales GROUP BY ALL) WHERE total_carts < {P.SPARSE_MIN_CARTS}"""))
+@register("sparse_keys_city", O.with_ctes(
+    {**O.base_ctes(), "sparse": O.sparse_cte("city_name", P.SPARSE_MIN_CARTS)}, "SELECT *, 1 AS remove_flag FROM sparse"))
 def q_sparse_keys_city(spark, sf_dir):
     return S.sparse_keys(S.sales_lines(_cat(spark, sf_dir), P.AS_OF, P.DAYS), "city", P.SPARSE_MIN_CARTS)
 
 
 @register("cart_share", O.with_ctes(O.base_ctes(), """
-SELECT s.cart_id, s.item_id, CAST(SUM(s.sales_quantity) AS BIGINT) AS item_quantity,
-       CAST(MIN(c.order_quantity) AS BIGINT) AS order_quantity,
-       round(AVG(CAST(s.sales_quantity AS DOUBLE) / NULLIF(CAST(c.order_quantity AS DOUBLE), 0)), 6) AS ipc
-FROM sales s JOIN cart_data c ON c.cart_id = s.cart_id WHERE s.sales_quantity > 0 GROUP BY ALL"""))
+SELECT cart_id, item_id, SUM(sales_quantity)::BIGINT AS item_quantity, any_value(cart_quantity)::BIGINT AS order_quantity,
+       round(AVG(share), 6) AS ipc FROM shares GROUP BY cart_id, item_id"""))
 def q_cart_share(spark, sf_dir):
     return S.cart_share(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
 
@@ -80,18 +74,28 @@ UPDATED_AT = "2001-08-01 05:30:00"   # as_of + 5.5 h, fixed so results are compa
 
 
 @register("boxcox_lambda", O.with_ctes({**O.base_ctes(), **O.boxcox_ctes("bx", "daily_country", ["item_id"])},
-                                       "SELECT item_id, lam, llf FROM bx_lam"))
+                                       "SELECT item_id, round(lam, 6) + 0.0 AS lam, round(llf, 6) AS llf FROM bx_lam"))
 def q_boxcox_lambda(spark, sf_dir):
     d = S.daily_sales(_cat(spark, sf_dir), "country", P.AS_OF, P.DAYS)
-    return B.boxcox_lambda(d, ["item_id"])
+    return B.boxcox_lambda(d, ["item_id"]).select("item_id", F.round("lam", 6).alias("lam"), F.round("llf", 6).alias("llf"))
 
 
 @register("boxcox_lambda_store", O.with_ctes(
     {**O.base_ctes(), **O.boxcox_ctes("bx", "daily_store", ["city_name", "facility_id", "item_id"])},
-    "SELECT city_name, facility_id, item_id, lam, llf FROM bx_lam"))
+    "SELECT city_name, facility_id, item_id, round(lam, 6) + 0.0 AS lam, round(llf, 6) AS llf FROM bx_lam"))
 def q_boxcox_lambda_store(spark, sf_dir):
     d = S.daily_sales(_cat(spark, sf_dir), "store", P.AS_OF, P.DAYS)
-    return B.boxcox_lambda(d, ["city_name", "facility_id", "item_id"])
+    return B.boxcox_lambda(d, ["city_name", "facility_id", "item_id"]).select(
+        "city_name", "facility_id", "item_id", F.round("lam", 6).alias("lam"), F.round("llf", 6).alias("llf"))
+
+
+@register("boxcox_frame", O.with_ctes(
+    {**O.base_ctes(), "bf_src": "SELECT 1 AS one, sales_quantity FROM daily_city", **O.boxcox_ctes("bf", "bf_src", ["one"])},
+    "SELECT round(lam, 6) + 0.0 AS lam, round(llf, 4) AS llf FROM bf_lam"))
+def q_boxcox_frame(spark, sf_dir):
+    """One lambda for a whole level, as the level notebooks transform it."""
+    d = S.daily_sales(_cat(spark, sf_dir), "city", P.AS_OF, P.DAYS)
+    return B.boxcox_lambda(d, []).select(F.round("lam", 6).alias("lam"), F.round("llf", 4).alias("llf"))
 
 
 _RANGE_SELECT = """
@@ -112,25 +116,36 @@ def q_range_table_intended(spark, sf_dir):
     return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT)[0]
 
 
-@register("range_errors", O.with_ctes(O.range_ctes(False), """
-SELECT CAST(a.facility_id AS INTEGER) AS facility_id, CAST(a.item_id AS INTEGER) AS item_id,
+_ERRORS = """
+SELECT CAST(facility_id AS INTEGER) AS facility_id, CAST(item_id AS INTEGER) AS item_id,
        CAST(1.0 AS DOUBLE) AS "min", CAST(1.0 AS DOUBLE) AS "max", 'Less Than 2 carts per month' AS error_reason
-FROM (SELECT DISTINCT facility_id, item_id FROM rg_seg) a
-SEMI JOIN sparse_store s ON s.facility_id = a.facility_id AND s.item_id = a.item_id
-UNION ALL
-SELECT CAST(facility_id AS INTEGER), CAST(item_id AS INTEGER),
-       round_even(MIN(CAST(sales_quantity AS DOUBLE)), 2), round_even(MAX(CAST(sales_quantity AS DOUBLE)), 2),
-       'Breaking at Boxcox Transformation'
-FROM rg_seg GROUP BY facility_id, item_id HAVING MAX(CAST(bc_ok AS INTEGER)) = 0
+FROM sparse_store WHERE (facility_id, item_id) IN (SELECT (facility_id, item_id) FROM prod_daily)
 UNION ALL
-SELECT CAST(facility_id AS INTEGER), CAST(item_id AS INTEGER),
-       round_even(MIN(CAST(sales_quantity AS DOUBLE)), 2), round_even(MAX(CAST(sales_quantity AS DOUBLE)), 2),
-       'Breaking at K Means '
-FROM rg_seg GROUP BY facility_id, item_id HAVING MAX(cluster) IS NULL"""))
+SELECT CAST(facility_id AS INTEGER), CAST(item_id AS INTEGER), low, high, unnest(list_filter(
+         [CASE WHEN NOT fits THEN 'Breaking at Boxcox Transformation' END, CASE WHEN groups = 0 THEN 'Breaking at K Means ' END],
+         lambda x: x IS NOT NULL))
+FROM (SELECT facility_id, item_id, bool_or(bc_ok) AS fits, COUNT(cluster) AS groups,
+             round_even(MIN(sales_quantity)::DOUBLE, 2) AS low, round_even(MAX(sales_quantity)::DOUBLE, 2) AS high
+      FROM rg_seg GROUP BY facility_id, item_id)"""
+
+
+@register("range_errors", O.with_ctes(O.range_ctes(False), _ERRORS))
 def q_range_errors(spark, sf_dir):
     return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, updated_at=UPDATED_AT)[1]
 
 
+@register("range_errors_intended", O.with_ctes(O.range_ctes(True), _ERRORS))
+def q_range_errors_intended(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, drop_sparse=True, updated_at=UPDATED_AT)[1]
+
+
+@register("range_table_some", O.with_ctes(
+    {n: q if n != "prod_daily" else q + " AND city_name <> 'ASIA' AND item_id = 23" for n, q in O.range_ctes(False).items()}, _RANGE_SELECT))
+def q_range_table_some(spark, sf_dir):
+    return PL.range_pipeline(_cat(spark, sf_dir), P.AS_OF, P.DAYS, updated_at=UPDATED_AT, exclude_cities=["ASIA"],
+                             only={"item_id": 23})[0]
+
+
 for _lvl in ("store", "city", "country"):
     def _mkf(lvl):
         def q(spark, sf_dir):
@@ -387,26 +402,22 @@ def _seas(body: str) -> str:
 
 
 @register("net_invoice_sales", O.with_ctes({**O.base_ctes(), **{
-    "inv": f"""
-  SELECT CAST(f.checkout_ts AS DATE) AS order_date, CASE WHEN f.return_flag = 'R' THEN 2 ELSE 1 END AS invoice_type_id,
-         f.cart_id AS order_id, f.outlet_id, im.item_id, f.procured AS quantity, f.unit_price AS selling_price,
-         f.unit_mrp AS variant_mrp
-  FROM fact_items f JOIN item_mapping im ON im.product_id = f.product_id
-  WHERE f.order_status = 'DELIVERED' AND f.order_type NOT ILIKE '%internal%'
-    AND {O.window_sql('f.checkout_ts', P.AS_OF, P.DAYS)}""",
-    "ret": """SELECT order_id, item_id, SUM(quantity) AS rq, SUM(quantity * selling_price) AS rsp,
-               SUM(quantity * variant_mrp) AS rmrp
-        FROM inv WHERE invoice_type_id IN (2, 8) GROUP BY ALL""",
-    "sal": """SELECT a.order_date AS date_, a.order_id, a.outlet_id, a.item_id, COALESCE(b.rq, 0) AS rq,
-               COALESCE(b.rsp, 0.0) AS rsp, COALESCE(b.rmrp, 0.0) AS rmrp, SUM(a.quantity) AS sq,
-               SUM(a.quantity * a.selling_price) AS ssp, SUM(a.quantity * a.variant_mrp) AS smrp
-        FROM inv a LEFT JOIN ret b ON b.order_id = a.order_id AND b.item_id = a.item_id
-        WHERE a.invoice_type_id IN (1, 7) GROUP BY 1, 2, 3, 4, 5, 6, 7"""}}, """
-SELECT s.date_, so.city_name, s.outlet_id, s.item_id, n.item_name, ic.l2 AS category,
-       CAST(SUM(s.sq - s.rq) AS BIGINT) AS sales_quantity, round_even(SUM(s.ssp - s.rsp), 2) AS sales_value,
-       round_even(SUM(s.smrp - s.rmrp), 2) AS sales_mrp
-FROM sal s JOIN item_categories ic ON ic.item_id = s.item_id JOIN item_names n ON n.item_id = s.item_id
-JOIN store_outlets so ON so.outlet_id = s.outlet_id GROUP BY ALL"""))
+    "signed": f"""
+SELECT cart_id, outlet_id, item_id, CAST(checkout_ts AS DATE) AS date_, return_flag IS DISTINCT FROM 'R' AS sold,
+       procured AS q, procured * unit_price AS v, procured * unit_mrp AS m
+FROM item_mapping JOIN fact_items f USING (product_id)
+WHERE order_status = 'DELIVERED' AND NOT contains(lower(order_type), 'internal') AND {O.window_sql('f.checkout_ts', P.AS_OF, P.DAYS)}""",
+    "netted": """
+SELECT date_, outlet_id, item_id, sold_q, sold_v, sold_m, SUM(back_q) OVER w AS back_q, SUM(back_v) OVER w AS back_v, SUM(back_m) OVER w AS back_m
+FROM (SELECT date_, cart_id, outlet_id, item_id,
+        SUM(q) FILTER (sold) AS sold_q, SUM(v) FILTER (sold) AS sold_v, SUM(m) FILTER (sold) AS sold_m,
+        SUM(q) FILTER (NOT sold) AS back_q, SUM(v) FILTER (NOT sold) AS back_v, SUM(m) FILTER (NOT sold) AS back_m
+      FROM signed GROUP BY date_, cart_id, outlet_id, item_id)
+WINDOW w AS (PARTITION BY cart_id, item_id)"""}}, """
+SELECT date_, city_name, outlet_id, item_id, item_name, l2 AS category, SUM(sold_q - COALESCE(back_q, 0))::BIGINT AS sales_quantity,
+       round_even(SUM(sold_v - COALESCE(back_v, 0)), 2) AS sales_value, round_even(SUM(sold_m - COALESCE(back_m, 0)), 2) AS sales_mrp
+FROM netted JOIN store_outlets USING (outlet_id) JOIN item_names USING (item_id) JOIN item_categories USING (item_id)
+WHERE sold_q IS NOT NULL GROUP BY ALL"""))
 def q_net_invoice_sales(spark, sf_dir):
     return D.net_invoice_sales(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
 
@@ -696,9 +707,14 @@ def q_upsert_latest(spark, sf_dir):
     return SK.upsert_latest(old, new, ["facility_id", "item_id"], "updated_at")
 
 
-# ---------------------------------------------------------------- model detectors (rows-only checks)
+# ---------------------------------------------------------------- model detectors
 from salesguard.functions.scalar import is_workday  # noqa: E402
+from salesguard.operators import envelope as EN  # noqa: E402
+from salesguard.operators import forest as FO  # noqa: E402
+from salesguard.operators import mixture as MX  # noqa: E402
 from salesguard.operators import models as M  # noqa: E402
+from salesguard.operators import oneclass as OC  # noqa: E402
+from salesguard.plans import oracle_models as OM  # noqa: E402
 
 
 def _country_features(spark, sf_dir):
@@ -752,60 +768,48 @@ def q_elbow(spark, sf_dir):
     return d.select("k", F.round("score", 3).alias("score"))
 
 
-@register("silhouette", _lloyd_sql([3], """
-SELECT 3::INT AS k, round(SUM(w * CASE WHEN n = 1 OR a = b THEN 0 ELSE (b - a) / greatest(a, b) END) / SUM(w), 6) AS silhouette FROM (
-  SELECT x, y, w, any_value(n) FILTER (own) AS n, MIN(md) FILTER (NOT own) AS b, any_value(md * n / (n - 1)) FILTER (own) AS a FROM (
-    SELECT p.x, p.y, p.w, c.lab = p.lab AS own, c.n,
-           p.x * p.x + p.y * p.y + c.q / c.n - p.x * (2 * c.sx / c.n) - p.y * (2 * c.sy / c.n) AS md
-    FROM l3_near p CROSS JOIN (SELECT lab, SUM(w) AS n, SUM((x * x + y * y) * w) AS q, SUM(x * w) AS sx, SUM(y * w) AS sy
-                               FROM l3_near GROUP BY lab) c) GROUP BY x, y, w)"""))
+@register("silhouette", _lloyd_sql([3], OM.SILHOUETTE))
 def q_silhouette(spark, sf_dir):
     d = M.silhouette(_country_features(spark, sf_dir), ["Sales", "workday"], 3)
     return d.select("k", r6("silhouette").alias("silhouette"))
 
 
-@register("gmm")
+def _gmm_sql():
+    c = {**O.base_ctes(), **O.flag_ctes("country"),
+         "lp": "SELECT Sales AS x, CASE WHEN dayofweek(date_) IN (0, 6) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS y, "
+               "COUNT(*)::DOUBLE AS w FROM flags_country WHERE Sales IS NOT NULL GROUP BY ALL",
+         **O.lloyd_k_ctes("l2", "lp", 2), **OM.mixture_ctes()}
+    return O.with_ctes(c, """
+SELECT f.date_, f.item_id, CASE WHEN r0 >= r1 THEN 0 ELSE 1 END AS prediction, round(r0, 6) AS p0, round(r1, 6) AS p1
+FROM flags_country f LEFT JOIN gm ON gm.x = f.Sales AND gm.y = CASE WHEN dayofweek(f.date_) IN (0, 6) THEN 0 ELSE 1 END""")
+
+
+@register("gmm", _gmm_sql())
 def q_gmm(spark, sf_dir):
     d = _country_features(spark, sf_dir).select("date_", "item_id", "Sales", "workday")
-    return M.gmm(d, ["Sales", "workday"]).select("date_", "item_id", "prediction", "probability")
+    return MX.gmm(d, ["Sales", "workday"]).select("date_", "item_id", "prediction", r6(F.col("probability")[0]).alias("p0"),
+                                                  r6(F.col("probability")[1]).alias("p1"))
 
 
-@register("isolation_forest")
+@register("isolation_forest", O.with_ctes({**O.base_ctes(), **OM.store_rows(), **OM.forest_ctes()}, f"""
+SELECT {', '.join(STORE_KEYS)}, round(score * 1e6) / 1e6 AS iforest_score, flag AS iforest_flag FROM if_scored"""))
 def q_isolation_forest(spark, sf_dir):
-    d = M.isolation_forest(_store_features(spark, sf_dir), STORE_KEYS, ["sales_quantity", "ipc"],
-                           n_trees=100, max_samples=256, contamination=0.01)
+    d = FO.isolation_forest(_store_features(spark, sf_dir), STORE_KEYS, ["sales_quantity", "ipc"],
+                            n_trees=100, max_samples=256, contamination=0.01)
     return d.select(*STORE_KEYS, r6("iforest_score").alias("iforest_score"), "iforest_flag")
 
 
-@register("elliptic_envelope")
+@register("elliptic_envelope", O.with_ctes({**O.base_ctes(), **OM.store_rows(), **OM.envelope_ctes()}, f"""
+SELECT {', '.join(STORE_KEYS)}, round(d * 1e4) / 1e4 AS robust_distance, flag AS envelope_flag FROM ee"""))
 def q_elliptic_envelope(spark, sf_dir):
-    d = M.elliptic_envelope(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], 0.01)
-    return d.select(*STORE_KEYS, r6("robust_distance").alias("robust_distance"), "envelope_flag")
-
-
-def _one_class_sql(nu=0.01):
-    """Kernel-mean score with the operator's drawn weights as literals."""
-    weights, phases = M.one_class_weights(2)
-    z = [f"cos({float(b)!r} + {float(w[0])!r} * zq + {float(w[1])!r} * zi) * sqrt(2.0::DOUBLE / {len(phases)})"
-         for w, b in zip(weights, phases, strict=True)]
-    return O.with_ctes({
-        **O.base_ctes(),
-        "oc_rows": f"SELECT {', '.join(STORE_KEYS)}, CAST(sales_quantity AS DOUBLE) AS q, ipc FROM daily_store "
-                   "WHERE sales_quantity IS NOT NULL AND ipc IS NOT NULL",
-        "oc_z": "SELECT r.*, (q - s.mq) / s.sq AS zq, (ipc - s.mi) / s.si AS zi FROM oc_rows r, (SELECT AVG(q) AS mq, "
-                "stddev_pop(q) AS sq, AVG(ipc) AS mi, stddev_pop(ipc) AS si FROM oc_rows) s",
-        "oc_c": f"SELECT *, [{', '.join(z)}] AS z FROM oc_z",
-        "oc_m": "SELECT [" + ", ".join(f"AVG(z[{k + 1}])" for k in range(len(phases))) + "] AS m FROM oc_c",
-        "oc_s": "SELECT c.*, list_dot_product(c.z, m.m) AS score FROM oc_c c, oc_m m",
-        "oc_cut": f"SELECT score AS cut FROM (SELECT score, row_number() OVER (ORDER BY score) AS rn, COUNT(*) OVER () AS n FROM oc_s) "
-                  f"WHERE rn = ceil({nu} * n)"},
-        f"SELECT {', '.join(STORE_KEYS)}, round(score, 6) AS oc_score, CASE WHEN score <= cut + 1e-12 THEN 1 ELSE 0 END AS oc_flag "
-        "FROM oc_s, oc_cut")
-
-
-@register("one_class_svm", _one_class_sql())
+    d = EN.elliptic_envelope(_store_features(spark, sf_dir), STORE_KEYS, ["sales_quantity", "ipc"], 0.01)
+    return d.select(*STORE_KEYS, (F.round(F.col("robust_distance") * 1e4, 0) / 1e4).alias("robust_distance"), "envelope_flag")
+
+
+@register("one_class_svm", O.with_ctes({**O.base_ctes(), **OM.store_rows(), **OM.one_class_ctes()}, f"""
+SELECT {', '.join(STORE_KEYS)}, round(score * 1e6) / 1e6 + 0.0 AS oc_score, flag AS oc_flag FROM oc"""))
 def q_one_class_svm(spark, sf_dir):
-    d = M.one_class(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], nu=0.01)
+    d = OC.one_class(_store_features(spark, sf_dir), ["sales_quantity", "ipc"], nu=0.01)
     return d.select(*STORE_KEYS, r6("oc_score").alias("oc_score"), "oc_flag")
 
 
@@ -828,8 +832,7 @@ SELECT date_, item_id, sales_quantity, round(Sales, 6) AS Sales,
 FROM bs_t WINDOW w AS (PARTITION BY item_id)"""))
 def q_boxcox_standardised(spark, sf_dir):
     from salesguard.operators.segments import transformed
-    from salesguard.operators.boxcox import by_keys
-    d = transformed(by_keys(_country(spark, sf_dir), ["item_id"]), ["item_id"], "boxcox")
+    d = transformed(_country(spark, sf_dir), ["item_id"], "boxcox")
     z = ST.standardise(d, ["item_id"], ["Sales"])
     return z.select("date_", "item_id", "sales_quantity", r6("Sales").alias("Sales"), r6("Sales_std").alias("sales_std"))
 
@@ -894,9 +897,8 @@ FROM bk_t GROUP BY ALL HAVING COUNT(*) >= 3"""))
 def q_boxcox_skew(spark, sf_dir):
     """Bias-adjusted skewness of each item's sales before and after the transform."""
     from salesguard.functions.scalar import sample_skewness
-    from salesguard.operators.boxcox import by_keys
     from salesguard.operators.segments import transformed
-    d = transformed(by_keys(_country(spark, sf_dir), ["item_id"]), ["item_id"], "boxcox")
+    d = transformed(_country(spark, sf_dir), ["item_id"], "boxcox")
     n = F.count(F.lit(1))
     skew = lambda c: F.round(F.when(F.var_pop(c) > 0, sample_skewness(c, n)), 6)
     return (d.groupBy("item_id").agg(n.alias("n"), skew("sales_quantity").alias("skew_before"), skew("Sales").alias("skew_after"))
