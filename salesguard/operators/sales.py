@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from salesguard.operators import sketches
 from salesguard.functions.scalar import money, r6, safe_div
 from salesguard.sources.tables import DELIVERED, STORE_BUSINESS_TYPE, Catalog
 
@@ -101,10 +102,13 @@ def sales_lines(cat: Catalog, as_of: str | None = None, days: int | None = None)
         q.alias("sales_quantity"), (q * price).alias("sales_value"), (q * mrp).alias("sales_value_mrp"))
 
 
-def sparse_keys(lines: DataFrame, level: str = "store", min_carts: int = 3) -> DataFrame:
+def sparse_keys(lines: DataFrame, level: str = "store", min_carts: int = 3, approximate: bool = False) -> DataFrame:
     """Keys with a calendar month (number; years merge) of fewer than
-    ``min_carts`` distinct carts. Months without carts produce no row."""
+    ``min_carts`` distinct carts. Months without carts produce no row.
+    ``approximate`` counts by merged day sketches (see ``sketches``)."""
     keys = (["facility_id"] if level == "store" else level_keys(level)) + ["item_id"]
+    if approximate:
+        return sketches.sparse_from(sketches.day_counts(lines, keys, "order_date", "cart_id"), keys, min_carts)
     per_month = (lines.groupBy(F.month("order_date").alias("month"), *keys)
                  .agg(F.countDistinct("cart_id").alias("total_carts")))
     return (per_month.filter(F.col("total_carts") < min_carts)

@@ -2,7 +2,9 @@
 
 Every window is partitioned by the series key (category or product) and
 ordered by date; a series has one row per date, so a partition is bounded by
-the number of days, never by the data volume.
+the number of days, never by the data volume. A frame that is one series of any
+length is numbered by chunks and cut into blocks whose edges are lent to their
+neighbours, so no window holds all of it.
 
 M16 follows the public definition of the additive two-sided
 ``seasonal_decompose``: trend = centred moving average (NULL where the frame
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesguard.functions.scalar import flag, safe_div
+from salesguard.plans.materialize import materialize
 
 
 def r9(c):
@@ -42,7 +45,10 @@ def centred_trend(x: str, w, period: int):
 def seasonal_decompose(series: DataFrame, keys: list[str], date: str, x: str, period: int,
                        min_rows: int = 60, out: str = "seasonal") -> DataFrame:
     """Add ``trend``, ``phase`` and the seasonal component ``out`` to series
-    that have at least ``min_rows`` rows (shorter series are dropped)."""
+    that have at least ``min_rows`` rows (shorter series are dropped). Without
+    ``keys`` the whole frame is one series."""
+    if not keys:
+        return _decompose_whole(series, date, x, period, min_rows, out)
     w = Window.partitionBy(*keys).orderBy(date)
     d = (series.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
                .filter(F.col("_n") >= min_rows)
@@ -55,6 +61,43 @@ def seasonal_decompose(series: DataFrame, keys: list[str], date: str, x: str, pe
     return d.join(ph, keys + ["phase"], "left").drop("_n", "_rn")
 
 
+#: Rows of a block of an unkeyed series.
+BLOCK = 1 << 16
+
+
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """W7 for a whole frame: the row's place (from 0) by ``order``, rows that tie as they are met.
+
+    The frame is range-partitioned, sorted and written; a row's place is its place in
+    its chunk and the sizes of the chunks before, one number for each."""
+    chunk, place = F.spark_partition_id().alias("_chunk"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at")
+    laid = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", chunk, place))
+    sizes = sorted(laid.groupBy("_chunk").agg(F.count("*")).collect())
+    before, total = [], 0
+    for c, n in sizes:
+        before.append((c, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(before, "_chunk int, _before long")
+    return laid.join(F.broadcast(starts), "_chunk").withColumn(out, F.col("_before") + F.col("_at")).drop("_chunk", "_at", "_before")
+
+
+def _decompose_whole(series: DataFrame, date: str, x: str, period: int, min_rows: int, out: str, block: int | None = None) -> DataFrame:
+    block, halo = block or BLOCK, period // 2
+    d = numbered(series, [date], "_rn")
+    home = F.floor(F.col("_rn") / block)
+    lent = F.array_distinct(F.array(F.floor((F.col("_rn") - halo) / block), home, F.floor((F.col("_rn") + halo) / block)))
+    w = Window.partitionBy("_block").orderBy("_rn")
+    d = (d.withColumns({"_home": home, "_block": F.explode(lent)}).withColumn("trend", centred_trend(x, w, period))
+          .where("_block = _home").drop("_block", "_home").withColumn("phase", (F.col("_rn") % period).cast("int")))
+    d = materialize(d.drop("_rn"))
+    if d.count() < min_rows:
+        return d.limit(0).withColumn(out, F.lit(None).cast("double"))
+    ph = d.groupBy("phase").agg(F.avg(F.col(x) - F.col("trend")).alias("_pavg"))
+    mean = ph.agg(F.avg("_pavg")).first()[0]                       # over ``period`` numbers
+    factors = ph.select("phase", r9(F.col("_pavg") - F.lit(mean).cast("double")).alias(out))
+    return d.join(factors, "phase", "left").select(*series.columns, "trend", "phase", out)
+
+
 def seasonal_index(series: DataFrame, keys: list[str], date: str, x: str, period: int, by: str,
                    out: str, min_rows: int = 60) -> DataFrame:
     """Mean seasonal component per (key, calendar bucket ``by``).

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesguard.functions.scalar import flag, money
-from salesguard.operators import boxcox
+from salesguard.operators import boxcox, sketches
 from salesguard.operators.keyed import add_per_key, by_keys, numbers
 
 # Error reasons of the range pipeline (text as the reference writes it).
@@ -172,15 +172,21 @@ def _sales(x: np.ndarray, starts: np.ndarray, transform: str, impute: bool) -> t
     return (_impute(y, starts) if impute else y), ok
 
 
-def median_impute(df: DataFrame, keys: list[str], col: str, k: float = 1.5, out: str | None = None) -> DataFrame:
+def median_impute(df: DataFrame, keys: list[str], col: str, k: float = 1.5, out: str | None = None,
+                  approximate_by: str | None = None) -> DataFrame:
     """M3: values outside [q1 - k*IQR, q3 + k*IQR] of their key become the key's median.
 
     Quantiles use linear interpolation (pandas/numpy default); exact per key
-    (``percentile`` keeps a value->count map, merged across partitions).
+    (``percentile`` keeps a value->count map, merged across partitions). With
+    ``approximate_by``, a date column, they come from merged day sketches of
+    bounded size (see ``sketches``), for keys without a bound.
     """
     out = out or col
-    qs = (df.groupBy(*keys)
-            .agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")))
+    if approximate_by:
+        qs = sketches.quantiles(sketches.day_values(df, keys, approximate_by, col), keys, [0.25, 0.5, 0.75], "_q")
+    else:
+        qs = (df.groupBy(*keys)
+                .agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")))
     j = df.join(qs, keys, "left")
     q1, med, q3 = F.col("_q")[0], F.col("_q")[1], F.col("_q")[2]
     iqr = q3 - q1

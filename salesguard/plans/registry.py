@@ -447,6 +447,28 @@ def q_seasonal_decompose_weekly(spark, sf_dir):
     return d.select("date", "l2_category", "qty", SE.r6_col("trend"), "phase", "seasonal")
 
 
+@register("seasonal_decompose_whole", O.with_ctes({
+    **O.season_ctes(), "whole_q": "SELECT date, SUM(qty) AS qty FROM cat_dem GROUP BY date",
+    "whole_t": "SELECT date, qty, CAST((row_number() OVER (ORDER BY date) - 1) % 7 AS INTEGER) AS phase, "
+               "CASE WHEN COUNT(qty) OVER w = 7 THEN AVG(qty) OVER w END AS trend FROM whole_q "
+               "WINDOW w AS (ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)",
+    "whole_p": "SELECT phase, AVG(qty - trend) AS m FROM whole_t GROUP BY phase"}, """
+SELECT date, qty, round(trend, 6) AS trend, phase, round(m - (SELECT AVG(m) FROM whole_p), 6) + 0.0 AS seasonal
+FROM whole_t JOIN whole_p USING (phase)"""))
+def q_seasonal_decompose_whole(spark, sf_dir):
+    """All categories' demand as one series, as the notebook decomposes its frame."""
+    cd = D.category_demand(_cat(spark, sf_dir), P.AS_OF, P.DAYS)
+    d = SE.seasonal_decompose(cd.groupBy("date").agg(F.sum("qty").alias("qty")), [], "date", "qty", 7)
+    return d.select("date", "qty", SE.r6_col("trend"), "phase", SE.r6_col("seasonal"))
+
+
+@register("sparse_keys_sketched", O.with_ctes(
+    {**O.base_ctes(), "sparse": O.sparse_cte("city_name", P.SPARSE_MIN_CARTS)}, "SELECT *, 1 AS remove_flag FROM sparse"))
+def q_sparse_keys_sketched(spark, sf_dir):
+    """From day sketches, which are exact for counts as small as these."""
+    return S.sparse_keys(S.sales_lines(_cat(spark, sf_dir), P.AS_OF, P.DAYS), "city", P.SPARSE_MIN_CARTS, approximate=True)
+
+
 @register("seasonal_weekly", _seas("SELECT * FROM sw"))
 def q_seasonal_weekly(spark, sf_dir):
     return _factors(_cat(spark, sf_dir))[0]

@@ -44,3 +44,38 @@ def test_spike_needs_21_previous_rows(spark):
 def test_zero_iqr_gives_no_robust_z(spark):
     df = series(spark, [5.0] * 21 + [6.0]).withColumnRenamed("qty", "adjusted")
     assert all(r["spike"] == 0 for r in SE.robust_z(df, ["k"], "date").collect())
+
+
+def test_a_whole_frame_is_decomposed_like_one_key(spark):
+    import random
+    rng = random.Random(3)
+    for period, n in ((7, 300), (30, 301), (2, 64)):
+        values = [rng.uniform(5, 20) if i % 41 else None for i in range(n)]
+        rows = [("A", dt.date(2024, 1, 1) + dt.timedelta(days=2 * i), v) for i, v in enumerate(values)]
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k string, date date, qty double").repartition(4)
+        keyed = {r.date: r for r in SE.seasonal_decompose(df, ["k"], "date", "qty", period).collect()}
+        for block in (16, 1 << 16):
+            whole = SE._decompose_whole(df, "date", "qty", period, 60, "seasonal", block)
+            assert "Window [" not in whole._jdf.queryExecution().optimizedPlan().toString()      # written before
+            got = whole.collect()
+            assert len(got) == n
+            for r in got:
+                k = keyed[r.date]
+                assert (r.phase, r.qty) == (k.phase, k.qty) and (r.trend is None) == (k.trend is None)
+                assert r.trend is None or abs(r.trend - k.trend) < 1e-9
+                assert abs(r.seasonal - k.seasonal) < 2e-9
+    assert SE.seasonal_decompose(series(spark, range(59)), [], "date", "qty", 7).collect() == []
+    assert SE.seasonal_decompose(series(spark, range(60)), [], "date", "qty", 7).count() == 60
+
+
+def test_places_over_many_chunks(spark):
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = SE.numbered(spark.range(1000).selectExpr("id * 7 % 1000 AS v"), ["v"], "at").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted((r.v, r["at"]) for r in got) == [(k, k) for k in range(1000)]
