@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS, DIM = 1 << 16, 16
-#: The fit reads about so many texts of a language, and at most so many of all, those with the smallest
-#: hash of the id, of at most so many bytes each.
-PER_LANG, IN_ALL, FIT_BYTES = 700, 6_000, 40_000
+#: The fit reads about so many labelled texts of a language, and at most so many of all: distinct pairs of
+#: id and text, those with the smallest hash.
+PER_LANG, IN_ALL = 700, 6_000
+#: Of a longer text the fit takes so many slices of so many bytes, at equal distances from its begin to its end.
+SLICES, SLICE = 40, 1_000
 UNKNOWN = "und"
 CHUNK = 1 << 20
 _SIZES = (2, 3, 4)
@@ -150,27 +152,45 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 6, rate: float = 0.4, see
     return model
 
 
+def spread_slices(raw: bytes) -> bytes:
+    """A text's bytes for the fit: all of them, or of a long text slices from all over it."""
+    if len(raw) <= SLICES * SLICE:
+        return raw
+    starts = np.linspace(0, len(raw) - SLICE, SLICES).astype(int)
+    return b" ".join(raw[a:a + SLICE] for a in starts.tolist())
+
+
 def fit(docs: DataFrame, learn_from, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
         per_lang: int = PER_LANG, in_all: int = IN_ALL) -> Model | None:
-    """Trains on a bounded sample of the rows where ``learn_from`` (a column) holds."""
-    ids = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()
-                     & (F.octet_length(text) <= FIT_BYTES)).select(F.col(id_col).alias("_id"), F.col(lang).alias("_y"))
+    """Trains on a bounded sample of the rows where ``learn_from`` (a column) holds and
+    the text has a letter.
+
+    The sample is of distinct (id, text) pairs, one row for each, so copies of a
+    row count once; texts of any length may be drawn. None if there is no such row."""
+    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).rlike("\\p{L}")).select(
+        F.col(id_col).alias("_id"), F.xxhash64(text).alias("_t"), F.col(lang).alias("_y"), F.col(text).alias("_x"))
+    pairs = rows.select("_id", "_t", "_y").distinct()
     # Each language gives about as many as a share of its hashes holds; no language meets in one task.
-    counts = ids.groupBy("_y").agg(F.count("*").alias("_n"))
-    place = F.shiftrightunsigned(F.xxhash64("_id", "_y"), 1)
-    rank = place / 2.0 ** 63 * F.col("_n")                 # about the row's place in its language
-    few = ids.join(counts, "_y").where(rank <= per_lang).orderBy(rank, "_id", "_y").limit(in_all).select("_id").distinct()
-    sample = (docs.where(learn_from & F.col(lang).isNotNull() & (F.octet_length(text) <= FIT_BYTES))
-              .select(F.col(id_col).alias("_id"), F.col(text).alias("_x"), F.col(lang).alias("_y"))
-              .join(F.broadcast(few), "_id").select("_x", "_y"))
+    counts = pairs.groupBy("_y").agg(F.count("*").alias("_n"))
+    place = F.shiftrightunsigned(F.xxhash64("_id", "_t", "_y"), 1)
+    rank = place / 2.0 ** 63 * F.col("_n")                 # about the pair's place in its language
+    few = pairs.join(counts, "_y").where(rank <= per_lang).orderBy(rank, "_id", "_t", "_y").limit(in_all).select("_id", "_t", "_y")
+    same = [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in ("_id", "_t", "_y")]
+    few = few.select(*[F.col(c).alias(f"{c}2") for c in few.columns])
+    sample = rows.join(F.broadcast(few), same[0] & same[1] & same[2], "left_semi").groupBy("_id", "_t", "_y").agg(F.min("_x").alias("_x"))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raws = [spread_slices(encode(x) or b"") for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(raws, pa.binary()), b.column(1)], ["_x", "_y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(encode(x), y) for b in batches for x, y in zip(*(b.column(n).to_pylist() for n in (0, 1)),
-                                                                strict=True)]
-        model = train(sorted((x, y) for x, y in rows if x is not None))
+        rows = [(x, y) for b in batches for x, y in zip(*(b.column(n).to_pylist() for n in (0, 1)), strict=True)]
+        model = train(sorted((x, y) for x, y in rows if x))
         yield pa.RecordBatch.from_arrays([pa.array([model.dump() if model else b""], pa.binary())], ["model"])
 
-    got = sample.repartition(1).mapInArrow(run, "model binary").first()
+    kind = docs.schema[lang].dataType.simpleString()
+    got = sample.select("_x", "_y").mapInArrow(slices, f"_x binary, _y {kind}").repartition(1).mapInArrow(run, "model binary").first()
     return Model.load(bytes(got[0])) if got and got[0] else None
 
 

@@ -41,3 +41,41 @@ def test_null_blank_and_clashing_columns(spark):
     assert [r.lang_pred for r in langid.identify(df, None).collect()] == ["und"] * 7
     none = df.limit(0)
     assert langid.identify(none, model).collect() == [] and langid.fit(none, F.lit(True)) is None
+
+
+ENGLISH = "the thing and what they thought of this weather there"
+GERMAN = "der ding und was sie dachten von diesem wetter dort"
+
+
+def test_long_texts_take_part(spark):
+    rows = [(k, " ".join(x.split()[(k + j) % 9] for j in range(8_000)), y) for k in range(30) for x, y in ((ENGLISH, "en"), (GERMAN, "de"))]
+    assert min(len(t) for _, t, _ in rows) > 40_000
+    df = spark.createDataFrame(rows, KIND)
+    got = langid.identify(df, langid.fit(df, F.lit(True))).collect()
+    assert all(r.lang_pred == r.lang and r.score > 0 for r in got) and len(got) == 60
+
+
+def test_slices_reach_from_begin_to_end():
+    raw = bytes(range(97, 123)) * 10_000
+    got = langid.spread_slices(raw)
+    assert len(got) < 50_000 and got.startswith(raw[:1000]) and got.endswith(raw[-1000:])
+    assert langid.spread_slices(raw[:40_000]) == raw[:40_000]
+
+
+def test_a_repeated_id_neither_fills_the_sample_nor_crowds_others_out(spark, monkeypatch):
+    copies = [(7, ENGLISH, "en")] * 3_000 + [(8, f"{GERMAN} {k}", "de") for k in range(3_000)]
+    others = [(100 + k, f"{ENGLISH} {'weather they'.split()[k % 2]} {k}", "en") for k in range(200)]
+    df = spark.createDataFrame(copies + others + [(None, ENGLISH, "en"), (None, GERMAN, "de")], KIND).repartition(4)
+    seen = []
+    real = langid.train
+    path = __import__("tempfile").mkdtemp() + "/seen"
+
+    def train(rows):
+        open(path, "w").write("\n".join(f"{y}" for _, y in rows))
+        return real(rows)
+
+    monkeypatch.setattr(langid, "train", train)
+    model = langid.fit(df, F.lit(True), per_lang=150, in_all=280)
+    seen = open(path).read().split()
+    assert len(seen) <= 280 and 100 <= seen.count("en") <= 201 and 100 <= seen.count("de") <= 200
+    assert model.predict(ENGLISH.encode())[0] == "en" and model.predict(GERMAN.encode())[0] == "de"
