@@ -127,8 +127,20 @@ def expand(segs: DataFrame) -> DataFrame:
 
 
 def read_back(segs: DataFrame) -> DataFrame:
-    """A digest of each conversation, parsed back from its rendered segments."""
+    """A digest of each conversation, parsed back from its segments and its examples.
+
+    Every example of ``examples`` meets the segments it is a prefix of, as they
+    go by: its context must be all earlier turns and it must end with its own,
+    else this raises; what is trained on is read under the example's mask, once
+    it is known to be that turn's text and nothing else. So the work is linear,
+    though a conversation's examples together are quadratic."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples"]
+    none = F.lit(None)
+    parts = segs.select("conv_id", "seq", F.lit(0).alias("kind"), "segment", "start", none.cast("long").alias("n_chars"),
+                        none.cast("long").alias("loss_start"), none.cast("long").alias("loss_end"))
+    masks = examples(segs).select("conv_id", "seq", F.lit(1).alias("kind"), none.cast("string").alias("segment"),
+                                  F.col("context_chars").alias("start"), "n_chars", "loss_start", "loss_end")
+    rows = parts.unionByName(masks).repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind")
 
     def digest(batches):
         state = None
@@ -146,24 +158,33 @@ def read_back(segs: DataFrame) -> DataFrame:
             done.clear()
             return batch
 
+        own = ""
         for b in batches:
-            for r in b.to_pylist():
-                if state is None or r["conv_id"] != state[0]:
+            for conv, _, kind, segment, start, n, lo, hi in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if state is None or conv != state[0]:
                     close()
-                    state = [r["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                role, text = parse(r["segment"])
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                state[5] += len(r["segment"])
-                if r["example"] is not None:
-                    shift = r["start"]
-                    reply = unescape(r["segment"][r["loss_start"] - shift:r["loss_end"] - shift])
-                    state[3] += len(reply)
-                    state[4].update(reply.encode())
-                    state[6] += 1
+                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                if kind == 0:                              # a turn; ``state[5]`` characters are before it
+                    if start != state[5]:
+                        raise AssertionError("a segment does not follow the one before")
+                    own = segment
+                    role, text = parse(segment)
+                    state[1] += 1
+                    state[2].update(f"{role}\n{text}\n".encode())
+                    state[5] += len(segment)
+                    continue
+                # An example: the prefix up to and with the turn that just went by.
+                if (start, n) != (state[5] - len(own), state[5]) or role != TARGET:
+                    raise AssertionError("an example's context is not all turns before its reply")
+                reply = unescape(own[lo - start:hi - start])
+                if reply != text or own[hi - start:] != END:
+                    raise AssertionError("an example's mask is not its reply")
+                state[3] += len(reply)
+                state[4].update(reply.encode())
+                state[6] += 1
             yield flush()
         close()
         yield flush()
 
-    return segs.mapInArrow(digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    return rows.mapInArrow(digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                    "loss_sha256 string, formatted_chars long, n_examples long")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesguard.llm import ann, chat, langid, mixing, oracle, packing, pieces, pii, repair, repeats, rules, simhash, trie, urls
+from salesguard.session import cut
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
@@ -55,7 +56,7 @@ def op6_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    return chat.read_back(chat.segments(rows))
+    return chat.read_back(cut(chat.segments(rows), "segments"))
 
 
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from salesguard.llm import chat
 
@@ -51,6 +52,24 @@ def test_examples_train_only_the_reply(spark):
         assert e.text[:refs[k].context_chars].count(chat.START) == (1, 3)[k]
 
 
+def test_a_wrong_example_is_an_error(spark, monkeypatch):
+    segs = chat.segments(convs(spark).where("conv_id = 1"))
+    real = chat.examples
+    for column, change in (("context_chars", 1), ("n_chars", -1), ("loss_start", -1), ("loss_end", 1)):
+        with monkeypatch.context() as m:
+            m.setattr(chat, "examples", lambda s, c=column, d=change: real(s).withColumn(c, F.col(c) + d))
+            with pytest.raises(Exception, match="example"):
+                chat.read_back(segs).collect()
+
+
+def test_long_turns_and_clashing_columns(spark):
+    long = "a<|b\\n" * 50_000
+    rows = spark.createDataFrame([(1, 0, "user", long, 9, "s"), (1, 1, "assistant", long, 9, "s")],
+                                 KIND + ", seq int, segment string")
+    r = chat.read_back(chat.segments(rows)).first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(long), hashlib.sha256(long.encode()).hexdigest())
+
+
 @pytest.mark.parametrize("n", [0])
 def test_empty(spark, n):
     empty = chat.segments(spark.createDataFrame([], KIND))
