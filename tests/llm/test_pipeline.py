@@ -108,6 +108,60 @@ def test_copies_of_a_document_are_an_epoch_apart(spark):
     assert queue == [r.doc_id for r in want.collect()]
 
 
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, _id int, row string, key string, mix_epoch int, `a b` int, kept string, _t int, n_words string, pii_row int, n_entities int"
+LONG = " ".join(f"w{k}" for k in range(30_000)) + " Write to anna.keller@example.org."
+
+
+def odd_documents(spark):
+    def row(i, text, lang="en", source="s"):
+        return (i, text, lang, source, None if text is None else len(text), 1, "r", "k", 2, 3, "x", 4, "y", 5, 6)
+
+    good = [" ".join(f"word{k}x{j}" for j in range(80)) for k in range(8)]
+    rows = [row(k, t) for k, t in enumerate(good)] + [row(3, good[3]), row(3, good[4]), row(None, good[5] + " more"), row(20, None),
+                                                      row(21, ""), row(22, " \n"), row(23, LONG, None, None)]
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def test_stages_on_odd_documents(spark):
+    docs = odd_documents(spark)
+    was = {(r.doc_id, r.text): r for r in docs.collect()}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if k < 4:
+            assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+            for r in out.collect():
+                if name != "pii_surrogates":
+                    assert r == was[r.doc_id, r.text]
+                else:
+                    assert r[5:14] == was[next(x for x in was if x[0] == r.doc_id)][5:14] and r.n_chars == (None if r.text is None else len(r.text))
+        else:
+            assert out.count() >= docs.count()
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()}
+    assert not any(i in (20, 21, 22) for i, _ in kept) and (23, LONG) in kept
+    hidden = {r.doc_id: r.text for r in corpus_pipeline.surrogates(spark, docs, SF).collect()}
+    assert "keller" not in hidden[23] and hidden[23].startswith("w0 w1 ") and hidden[20] is None
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels"])
+def test_empty_tables(spark, tmp_path, empty):
+    for name in ("documents", "labels"):
+        df = queries.table(spark, SF, name)
+        (df.limit(0) if name == empty else df).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = queries.table(spark, str(tmp_path), "documents")
+    if empty == "documents":
+        assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, str(tmp_path)).collect() == []
+    else:
+        kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+        want = set()
+        for r in docs.collect():
+            n, _, _, _, again = __import__("test_rules").plain(r.text)
+            if n >= 50 and 100 * again <= 50 * n:
+                want.add(r.doc_id)
+        assert kept == want
+
+
 def test_null_and_repeated_ids_stand_for_their_own_groups(spark):
     def text(k):
         return " ".join(f"w{k}x{j}" for j in range(60))
