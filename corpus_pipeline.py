@@ -1,63 +1,18 @@
 """From raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. What a stage does with nulls, ties,
+empty tables and other columns is said in ``salesguard.llm.stages``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from salesguard.llm import mixing, packing, pii, queries, rules, simhash
+from salesguard.llm import queries
+from salesguard.llm.stages import near_duplicates, packed, quality_rules, source_mixture, surrogates
 from salesguard.session import cut
 
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base or that a learned rule rejects go."""
-    judged = rules.judge(docs, queries.table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*docs.columns)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash group stays: the one with the least id, and of
-    rows that share it the one with the least hash of its text, then of all its
-    columns. Null ids are larger than others. Groups are named by that key of a
-    row, which is never null and has one text, so rows that repeat an id or have
-    none stand for their own group each."""
-    every = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    key = {"_none": F.col("doc_id").isNull(), "_id": F.col("doc_id"),
-           "_text": F.xxhash64("text", F.col("text").isNull()), "_row": F.xxhash64(*every)}
-    keyed = docs.withColumns(key)
-    groups = simhash.near_duplicates(keyed.select(F.struct(*key).alias("_key"), "text"), id_col="_key", size=3, radius=2)
-    first = groups.select("component_id").distinct().select(*[F.col(f"component_id.{k}").alias(f"_first{k}") for k in key])
-    same = [F.col(k).eqNullSafe(F.col(f"_first{k}")) for k in key]
-    kept = keyed.join(first, reduce(lambda x, y: x & y, same), "left_semi")
-    return kept.dropDuplicates([*key]).select(*docs.columns)
-
-
-def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced; ``n_chars`` follows the text."""
-    out = pii.replace(docs, queries.KEY)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
-
-
-def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated, up to twice as often as large ones; every
-    document stays. Rows come epoch by epoch, each epoch over many partitions,
-    in the order of its permutation of blocks."""
-    mixed = mixing.mix(docs, max_repeats=2.0)
-    return mixed.orderBy("mix_epoch", "mix_block", "mix_order").select(*docs.columns)
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The queues run in the order in which the mixture was written."""
-    return packing.pack(docs, public_tokenizers.path(queries.TOKENIZER), as_written=True)
-
-
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("pii_surrogates", surrogates),
           ("source_mixture", source_mixture), ("packing", packed)]
 
