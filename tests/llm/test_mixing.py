@@ -66,5 +66,66 @@ def test_explicit_budget_leaves_rows_out_only_beyond_it(spark):
     assert abs(sum(r.mix_tokens for r in got.collect()) - 5_000) < 150
 
 
+def plain(rows, max_repeats, budget=None, seed=17, blocks=16):
+    """Emissions by source, from the target weights alone: the exponent by a fine scan,
+    whole epochs and the rest of the budget in rows that begin before its end."""
+    totals = defaultdict(int)
+    for _, t, s in rows:
+        totals[s or ""] += tokens(t)
+    size = sum(totals.values())
+    for k in range(100_001):
+        up = {s: (n / size) ** (k / 100_000) for s, n in totals.items()}
+        per = [up[s] / totals[s] for s in totals]
+        if max(per) / min(per) <= max_repeats:
+            break
+    scale = budget / sum(up.values()) if budget else max(totals[s] / up[s] for s in totals)
+    return totals, {s: up[s] * scale for s in totals}
+
+
+def test_emissions_against_a_plain_count(spark):
+    df, rows = docs(spark)
+    totals, want = plain(rows, 3.0)
+    got = defaultdict(lambda: defaultdict(int))
+    sizes = defaultdict(int)
+    for r in mixing.mix(df.repartition(5), max_repeats=3.0, blocks=16).collect():
+        got[r.source or ""][r.doc_id, r.text] += 1
+        sizes[r.source or "", r.mix_epoch] += r.mix_tokens
+    given = defaultdict(int)
+    for i, t, s in rows:
+        given[s or "", (i, t)] += 1
+    for s, total in totals.items():
+        full, rest = divmod(want[s], total)
+        for (source, row), n in given.items():
+            if source == s:
+                assert got[s][row] in range(int(full + 1e-6) * n, (int(full + 1e-6) + 1) * n + 1)
+        assert all(sizes[s, e] == total for e in range(int(full + 1e-6)))
+        assert abs(sizes.get((s, int(full + 1e-6)), 0) - (rest if rest / total < 0.999 else 0)) < 50
+
+
+def test_the_end_of_a_budget_among_copies(spark):
+    """Copies are numbered, so no more of them pass than begin before the end."""
+    for budget, extra in ((500, 0), (500, 3), (1, 0), (1999, 1), (2000, 2), (2001, 0), (5000, 1)):
+        rows = [(1, "two words", "s")] * 1000
+        df = spark.createDataFrame(rows, KIND).withColumn("other", F.pmod(F.monotonically_increasing_id(), F.lit(extra + 1)))
+        got = mixing.mix(df, max_repeats=None, budget=budget).collect()
+        assert sum(r.mix_tokens for r in got) == -(-budget // 2) * 2
+
+
+def test_null_ids_spread_over_blocks(spark):
+    rows = [(None, f"text {k}", "s") for k in range(1000)] + [(5, f"other {k}", "s") for k in range(1000)]
+    got = mixing.mix(spark.createDataFrame(rows, KIND)).collect()
+    assert len(got) == 2000 and len({r.mix_block for r in got}) > 500
+
+
+def test_long_texts_and_a_tiny_source(spark):
+    rows = [(1, "w " * 200_000, "long"), (2, "a", "tiny"), (3, "b c", "tiny")]
+    got = mixing.mix(spark.createDataFrame(rows, KIND), max_repeats=1e9, budget=400_000).collect()
+    spent = defaultdict(int)
+    for r in got:
+        spent[r.source] += r.mix_tokens
+    assert spent["long"] == 200_000 and abs(spent["tiny"] - 200_000) <= 2
+    assert max(r.mix_epoch for r in got if r.source == "tiny") == 66_666
+
+
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], KIND)).collect() == []
