@@ -110,12 +110,13 @@ def listed(rules: list[Rule]) -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = FIT_ROWS) -> DataFrame:
     """Statistics of at most ``limit`` labelled rows that pass the base, with
     ``bad`` 1 for the unwanted class. Labels of one id are averaged; null ids
-    and labels are left out. The chosen ids are few by ``limit``, so they are
+    and labels are left out; of rows that repeat an id the least text counts. The chosen ids are few by ``limit``, so they are
     broadcast and the texts stay where they are read."""
     ids = (labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_y")).dropna()
            .groupBy("_id").agg((F.avg("_y") < 0.5).cast("int").alias("bad")))
     chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(limit)
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text")).join(F.broadcast(chosen), "_id")
+    rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text")).join(F.broadcast(chosen), "_id")
+            .groupBy("_id", "bad").agg(F.min("text").alias("text")))           # one row of a repeated id
     return (statistics(rows).where(~base_failed())
             .select("bad", (F.pmod(F.xxhash64("_id", F.lit("prune")), F.lit(3)) == 0).alias("held"), *FEATURES))
 
@@ -204,5 +205,9 @@ def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int
     replaced. Empty tables: no rows, or no rules when nothing is labelled.
     """
     rules = learn(labelled(docs, labels, label, limit))
-    return (statistics(docs).withColumn("base_failed", base_failed()).withColumn("rule", listed(rules))
-            .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()))
+    added = [*COUNTS, *FEATURES, "base_failed", "rule", "kept"]
+    keep = [c for c in docs.columns if c not in added]
+    rows = statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text")))
+    judged = rows.withColumn("base_failed", base_failed()).withColumn("rule", listed(rules)).withColumn(
+        "kept", ~F.col("base_failed") & F.col("rule").isNull())
+    return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *added)
