@@ -16,11 +16,13 @@ import hashlib
 import hmac
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesguard.session import cut
 
@@ -55,8 +57,31 @@ ENDINGS = {("latin", "m"): "", ("latin", "f"): "", ("latin", "n"): "", ("cyrilli
 
 GENDER = {t: k for k, ts in TITLES.items() for t in ts}
 _TITLE = "|".join(sorted(map(re.escape, GENDER), key=len, reverse=True))
-_CAP = {"latin": "[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+", "cyrillic": "[А-ЯЁ][а-яё]+", "greek": "[Α-ΩΆ-Ώ][α-ωά-ώ]+"}
-_NAME = "|".join(_CAP.values())
+
+
+def _letters(upper: bool) -> str:
+    """The letters of one case in the Latin, Greek and Cyrillic blocks, as ranges of a character class."""
+    out: list[list[int]] = []
+    for block in ((0x41, 0x250), (0x370, 0x530), (0x1E00, 0x2000)):
+        for c in range(*block):
+            if chr(c).isalpha() and (chr(c).isupper() or chr(c).istitle() if upper else chr(c).islower()):
+                if out and out[-1][1] == c - 1:
+                    out[-1][1] = c
+                else:
+                    out.append([c, c])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in out)
+
+
+_MARK = "[\u0300-\u036f]*"
+_UP, _LOW = f"[{_letters(True)}]{_MARK}", f"(?:[{_letters(False)}]{_MARK})"
+#: A name: a capital and small letters, capitals inside (McDonald), one before an apostrophe (O'Brien),
+#: and parts joined by hyphens (Jean-Luc), which are one name.
+_PART = rf"(?:{_UP}['’])?{_UP}{_LOW}+(?:{_UP}{_LOW}+)*"
+_NAME = rf"{_PART}(?:-{_PART})*"
+#: What a name word may be again in capitals or as it was: whole words with apostrophes and hyphens inside.
+_WORD = re.compile(r"\w+(?:['’-]\w+)*")
+#: After these a capitalised word that is also a name begins a question or a date, not a mention.
+_NOT_AFTER = re.compile(r" +(?:\d|(?:[Yy]ou|[Hh]e|[Ss]he|[Ii]t|[Ww]e|[Tt]hey|I)\b)")
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: (type, trigger a text must hold, pattern; group "e" is the entity). Earlier ones win where two overlap.
@@ -73,9 +98,14 @@ PATTERNS = [
     ("phone", re.compile(r"\d{3}"), re.compile(
         r"(?<![\w.])(?P<e>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|"
         r"\d{3}[.-]\d{3}[.-]\d{4})(?!\w)")),
-    ("name", re.compile(_TITLE), re.compile(rf"(?<!\w)(?P<t>{_TITLE})\.? +(?P<e>(?:{_NAME})(?: (?:{_NAME})){{0,2}})(?!\w)")),
+    ("name", re.compile(_TITLE), re.compile(rf"(?<!\w)(?P<t>{_TITLE})\.? +(?P<e>{_NAME}(?: {_NAME}){{0,2}})(?!\w)")),
 ]
 FOUND = "kind string, norm string"
+#: A text without any of these has no entity: an at sign; digits as numbers have them, or a title; a word of
+#: secrets (in any case) in a text with a sign of assignment. Most places fail at the first character.
+WORDS, ASSIGN = ("token", "secret", "passw", "key"), ("=", ":")
+NUMBER_OR_TITLE = (rf"(?=[\p{{Nd}}{''.join(sorted({t[0] for t in GENDER}))}])"
+                   rf"(?:\p{{Nd}}(?:[\p{{Nd}}.-]\p{{Nd}}|(?<=[A-Z]{{2}}\p{{Nd}})\p{{Nd}})|{_TITLE})")
 
 
 def luhn(digits: str) -> bool:
@@ -99,7 +129,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     punctuation. Name words after a title are entities of their own, the last
     one a surname, so ``Mrs Anna Keller`` and ``Ms Keller`` share it. Words that
     a title introduces are found wherever else they stand in the text, as they
-    are or in capitals, with the kind of their first titled place.
+    are or in capitals, with the kind of their first titled place; but not those
+    that the text also has in lower case, as common words are, nor before a
+    number or a pronoun (``May 5``, ``Will you``).
     """
     out: list[tuple[int, int, str, str]] = []
     for kind, trigger, pattern in PATTERNS:
@@ -113,7 +145,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 parts = list(re.finditer(r"\S+", value))
                 for k, w in enumerate(parts):
                     part = "surname" if k == len(parts) - 1 else "given"
-                    out.append((a + w.start(), a + w.end(), f"{part}:{script(w[0])}:{gender}", w[0].lower()))
+                    out.append((a + w.start(), a + w.end(), f"{part}:{script(w[0])}:{gender}", w[0].lower().replace("’", "'")))
             elif kind in ("card", "ssn", "phone"):
                 digits = re.sub(r"\D", "", value)
                 kind_ = f"card:{int(luhn(digits))}" if kind == "card" else kind
@@ -134,18 +166,32 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     names: dict[str, tuple[str, str]] = {}
     for a, b, kind, norm in chosen:
         if kind.startswith(("given:", "surname:")):
-            names.setdefault(text[a:b], (kind, norm))
-            names.setdefault(text[a:b].upper(), (kind, norm))
+            word = text[a:b].replace("’", "'")
+            names.setdefault(word, (kind, norm))
+            names.setdefault(word.upper(), (kind, norm))
     if names:
-        for m in re.finditer(r"\w+", text):
-            if m[0] in names:
-                e = (*m.span(), *names[m[0]])
-                k = bisect.bisect_left(chosen, e)
-                if (k == 0 or chosen[k - 1][1] <= e[0]) and (k == len(chosen) or e[1] <= chosen[k][0]):
-                    chosen.insert(k, e)
+        common = {w for w in {n.lower() for n in names} if re.search(rf"(?<!\w){re.escape(w)}(?!\w)", text)}
+        for m in _WORD.finditer(text):
+            plain = m[0].replace("’", "'")
+            # Of ``Keller's`` or ``O'Brien-Bau`` the longest beginning that is a name.
+            for end in [len(plain), *(k for k in range(len(plain) - 1, 0, -1) if plain[k] in "'-")]:
+                word = plain[:end]
+                if word in names and word.lower() not in common and not _NOT_AFTER.match(text, m.start() + end):
+                    e = (m.start(), m.start() + end, *names[word])
+                    k = bisect.bisect_left(chosen, e)
+                    if (k == 0 or chosen[k - 1][1] <= e[0]) and (k == len(chosen) or e[1] <= chosen[k][0]):
+                        chosen.insert(k, e)
+                        break
     return chosen
 
 
+def may_hold(text: Column) -> Column:
+    """Whether a text can hold an entity at all, told without Python."""
+    either = lambda c, parts: reduce(lambda x, y: x | y, [F.contains(c, F.lit(p)) for p in parts])
+    some = F.contains(text, F.lit("@")) | text.rlike(NUMBER_OR_TITLE) | (either(text, ASSIGN) & either(F.lower(text), WORDS))
+    return F.coalesce(some, F.lit(False))
+
+
 class Stream:
     """Keyed pseudo-random choices for one entity and attempt."""
 
@@ -194,6 +240,8 @@ def propose(key: bytes, kind: str, norm: str, attempt: int) -> str:
                        for c in norm[4:])
         number = int("".join(str(int(c, 36)) for c in body + norm[:2] + "00"))
         return f"{norm[:2]}{98 - number % 97:02d}{body}"
+    if what in ("given", "surname") and "-" in norm:
+        return "-".join(propose(key, kind, f"{part}\0{k}", attempt) for k, part in enumerate(norm.split("-")))
     if what in ("given", "surname"):
         alphabet, gender = more
         if what == "given" and attempt < 8:
@@ -211,7 +259,7 @@ def write(kind: str, norm: str, original: str) -> str:
         it = iter(norm)
         return "".join(next(it) if c.isalnum() else c for c in original)
     if what in ("given", "surname"):
-        return norm.upper() if original.isupper() and len(original) > 1 else norm.capitalize()
+        return norm.upper() if original.isupper() and len(original) > 1 else "-".join(map(str.capitalize, norm.split("-")))
     if kind == "secret:mixed":
         return norm
     return norm.upper() if original.isupper() else norm
@@ -302,7 +350,8 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", id_col: str = "doc_
     """``docs`` with every entity in ``text`` replaced, and ``n_entities``.
 
     Texts without an entity are as they were, byte for byte; null stays null.
-    Entities are the same whatever row they stand in, ties and repeated rows
+    Texts that hold nothing an entity could begin with are told in the JVM and
+    never scanned; the others are scanned once and written with what was found. Entities are the same whatever row they stand in, ties and repeated rows
     included. Extra columns stay; ``n_entities`` and names that start with
     ``pii_`` are replaced. Empty tables give no rows. Only rows with an entity
     are shuffled; the others pass through the scan.
@@ -310,28 +359,23 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", id_col: str = "doc_
     keep = [f for f in docs.schema.fields if f.name != "n_entities" and not f.name.startswith("pii_")]
     docs = docs.select(*[F.col(f"`{f.name}`") for f in keep])
     names, at = docs.columns, docs.columns.index(text)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    spans = "array<struct<a:int,b:int,kind:string,norm:string>>"
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in keep])
+    spans = T._parse_datatype_string("array<struct<a:int,b:int,kind:string,norm:string>>")
+    perhaps = may_hold(F.col(f"`{text}`"))
     spans_pa = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("kind", pa.string()), ("norm", pa.string())]))
 
-    def scan(hold: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part, n = TaskContext.get().partitionId(), 0
-            for b in batches:
-                got = [find(t) if t else [] for t in b.column(at).to_pylist()]
-                rows = [k for k, x in enumerate(got) if bool(x) == hold]
-                out = b.take(pa.array(rows, pa.int64()))
-                if not hold:
-                    yield out
-                    continue
-                ids = pa.array([(part << 33) + n + k for k in range(len(rows))], pa.int64())
-                n += len(rows)
-                found = pa.array([[dict(zip(("a", "b", "kind", "norm"), e, strict=True)) for e in got[k]]
-                                  for k in rows], spans_pa)
-                yield pa.RecordBatch.from_arrays([*out.columns, ids, found], [*names, "pii_row", "pii_found"])
-        return run
-
-    hit = cut(docs.mapInArrow(scan(True), f"{schema}, pii_row long, pii_found {spans}"), "found")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
+        for b in batches:
+            got = [find(t) if t else [] for t in b.column(at).to_pylist()]
+            ids = pa.array([(part << 33) + n + k for k in range(len(got))], pa.int64())
+            n += len(got)
+            found = pa.array([[dict(zip(("a", "b", "kind", "norm"), e, strict=True)) for e in x] for x in got], spans_pa)
+            yield pa.RecordBatch.from_arrays([*b.columns, ids, found], [*names, "pii_row", "pii_found"])
+
+    held = T.StructType([*schema.fields, T.StructField("pii_row", T.LongType()), T.StructField("pii_found", spans)])
+    scanned = cut(docs.where(perhaps).mapInArrow(scan, held), "found")
+    hit = scanned.where(F.size("pii_found") > 0)
     each = hit.select("pii_row", F.posexplode("pii_found").alias("pii_at", "pii_e"))
     each = each.select("pii_row", "pii_at", "pii_e.kind", "pii_e.norm")
     given = (each.join(coreferent(each, key), ["kind", "norm"]).groupBy("pii_row")
@@ -353,6 +397,6 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([*columns, sizes], [*names, "n_entities"])
 
     changed = hit.join(given, "pii_row").select(*[f"`{n}`" for n in names], "pii_found", "pii_new").mapInArrow(
-        put, f"{schema}, n_entities int")
-    clean = docs.mapInArrow(scan(False), schema).withColumn("n_entities", F.lit(0))
-    return changed.unionByName(clean)
+        put, T.StructType([*schema.fields, T.StructField("n_entities", T.IntegerType())]))
+    clean = scanned.where(F.size("pii_found") == 0).select(*[f"`{n}`" for n in names]).unionByName(docs.where(~perhaps))
+    return changed.unionByName(clean.withColumn("n_entities", F.lit(0)))

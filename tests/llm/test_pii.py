@@ -96,3 +96,35 @@ def test_a_name_is_one_entity_under_any_title_and_without_one(spark):
     assert f == bare == m + "а" and m != "Петров" and got[4].text == f"Dr {given} {a}" and got[6].text == "Keller"
     m, f = re.fullmatch(r"κύριος (\w+), κυρία (\w+)", got[5].text).groups()
     assert m.endswith("ίδης") and f == m[:-2] + "ου" and m != "Ιωαννίδης"
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Mr McDonald left. McDonald's hat", ["McDonald", "McDonald"]), ("Mr O'Brien, O’Brien's hat, O'BRIEN", ["O'Brien", "O’Brien", "O'BRIEN"]),
+    ("Mr Wałęsa and Wałęsa", ["Wałęsa", "Wałęsa"]), ("Dr Šimić, dr Šimić", ["Šimić", "Šimić"]),
+    ("Mrs Jean-Luc Picard; Picard, Jean-Luc", ["Jean-Luc", "Picard", "Picard", "Jean-Luc"]),
+    ("Mr Smith-Jones saw Smith-Jones", ["Smith-Jones", "Smith-Jones"]), ("Dr May met us on May 5", ["May"]),
+    ("Mr Will Smith came. Will you? Will they? Smith", ["Will", "Smith", "Smith"]), ("Dr May said it may rain. May nodded", ["May"]),
+    ("Mr D’Angelo, D'Angelo", ["D’Angelo", "D'Angelo"]), ("Señor Núñez", ["Núñez"]), ("Mr Nu\u0301n\u0303ez", ["Nu\u0301n\u0303ez"]),
+    ("Mr Anna Keller Anna", ["Anna", "Keller", "Anna"]), ("Dr May, Mrs May", ["May", "May"])])
+def test_names_of_many_forms(text, want):
+    assert [text[a:b] for a, b, _, _ in pii.find(text)] == want
+    names = {n for _, _, k, n in pii.find(text) if k.startswith(("surname", "given"))}
+    assert len(names) <= len({w.lower().replace("’", "'") for w in want})
+
+
+def test_hyphenated_names_stay_so_and_texts_without_triggers_are_not_scanned(spark):
+    rows = [(1, "Mrs Smith-Jones, SMITH-JONES", 1), (2, "nothing here but words", 2), (3, None, 3), (4, "Mr O'Brien and tokenless", 4),
+            (5, "call ٣٤٥-٣٤٥-٣٤٥٦ now", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `odd name` int").withColumn("s", F.struct("`odd name`", "text"))
+    got = {r.doc_id: r for r in pii.replace(df, b"k").collect()}
+    a, b = re.fullmatch(r"Mrs (\w+-\w+), (\w+-\w+)", got[1].text).groups()
+    assert a.upper() == b and a == "-".join(map(str.capitalize, a.split("-"))) and "Smith" not in a
+    assert got[2].text == rows[1][1] and got[3].text is None and "Brien" not in got[4].text and got[4].s.text == rows[3][1]
+    assert "٣٤٥" not in got[5].text or pii.find(rows[4][1]) == []
+    for i, t, _ in rows:
+        assert bool(t and pii.find(t)) == (got[i].n_entities > 0)
+    every = [t for t in ("a@b.de", "api_key = abcdefghijklmnop", "GB82 WEST 1234 5698 7654 32", "10.0.0.1", "4111 1111 1111 1111", "123-45-6789",
+                         "+49 30 1234567", "Mr Keller", "κυρία Παππά", "г-н Иванов")]
+    assert all(pii.find(t) for t in every)
+    found = pii.replace(spark.createDataFrame(list(enumerate(every)), "doc_id long, text string"), b"k").collect()
+    assert all(r.n_entities for r in found)
