@@ -4,7 +4,9 @@ A fingerprint has a bit set where more than half of the shingle hashes have
 it. Distinct fingerprints go to tiles by the population counts of their
 16-bit quarters. Two fingerprints at most r bits apart have quarter counts at
 most r apart in total, so tile pairs further apart are skipped; the others are
-compared in full with numpy's exclusive-or and bit counts. A tile sends a
+compared in full with numpy's exclusive-or and bit counts. A tile's own
+fingerprints and those that visit it are dealt to blocks of bounded size, and
+two blocks are one task's cell, however many a tile has. A cell sends a
 spanning forest of the links it finds, not the links, and alternating stars
 join the forests.
 """
@@ -25,6 +27,8 @@ from salesguard.llm.components import stars
 
 SHINGLE, RADIUS, SEED, QUARTERS = 3, 2, 42, 4
 CELLS = 1 << 21
+#: Fingerprints of a block, about: of a tile's own, and of its visitors.
+HOME, VISIT = 1 << 16, 1 << 19
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _SPACES = bytes.maketrans(WHITE.encode(), b" " * len(WHITE))
 
@@ -96,14 +100,14 @@ def connect(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             labels[:] = up
 
 
-def tile_forest(home: np.ndarray, visitors: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within ``home`` and from it to ``visitors`` (both distinct), as
+def tile_forest(home: np.ndarray, visitors: np.ndarray, radius: int, inner: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Links within ``home`` (if ``inner``) and from it to ``visitors`` (both distinct), as
     (node, root) pairs of a spanning forest; the root is the first of its tree."""
     every = np.concatenate([home, visitors])
     labels = np.arange(len(every))
     n = len(home)
     wide = max(1, CELLS // max(1, n))
-    for at in range(0, len(every), wide):
+    for at in range(0 if inner else n, len(every), wide):
         part = every[at:at + wide]
         top = min(n, at + len(part))                       # home pairs once
         i, j = np.nonzero(np.bitwise_count(home[:top, None] ^ part[None, :]) <= radius)
@@ -113,6 +117,28 @@ def tile_forest(home: np.ndarray, visitors: np.ndarray, radius: int) -> tuple[np
     return every[tied], every[labels[tied]]
 
 
+def _cells(at: DataFrame) -> DataFrame:
+    """``tile, x, y, late, side, fp``: the cells that each row of ``tile, home, fp`` takes part in.
+
+    Cell (x, x) has the tile's own block x (side 0) and the visitors' first block
+    (side 1); (x, y) two blocks of its own; and, ``late``, block x and the visitors'
+    block y. Sizes of tiles are few (17^4 at most), so they are broadcast."""
+    sizes = at.groupBy("tile").agg(F.ceil(F.sum(F.col("home").cast("long")) / HOME).alias("own"),
+                                   F.greatest(F.ceil(F.sum((~F.col("home")).cast("long")) / VISIT), F.lit(1)).alias("guests"))
+    sizes = sizes.where("own > 0")                         # a tile without fingerprints of its own links nothing
+    rows = at.join(F.broadcast(sizes), "tile").withColumn(
+        "part", F.pmod(F.xxhash64("fp"), F.when(F.col("home"), F.col("own")).otherwise(F.col("guests"))))
+    part = F.col("part")
+    cell = lambda x, y, late, side: F.struct(x.alias("x"), y.alias("y"), late.alias("late"), side.alias("side"))
+    owns, guests = F.sequence(F.lit(0).cast("long"), F.col("own") - 1), F.sequence(F.lit(0).cast("long"), F.col("guests") - 1)
+    no, yes, zero, one = F.lit(False), F.lit(True), F.lit(0), F.lit(1)
+    among = F.transform(owns, lambda k: cell(F.least(part, k), F.greatest(part, k), no, F.when(part > k, one).otherwise(zero)))
+    received = F.transform(F.filter(guests, lambda k: k > 0), lambda k: cell(part, k, yes, zero))
+    visiting = F.transform(owns, lambda k: cell(k, F.when(part == 0, k).otherwise(part), part > 0, one))
+    at = F.when(F.col("home"), F.concat(among, received)).otherwise(visiting)
+    return rows.select("tile", F.explode(at).alias("c"), "fp").select("tile", "c.x", "c.y", "c.late", "c.side", "fp")
+
+
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Forest links ``a, b`` among the distinct, non-null longs of column ``fp``
     whose bits differ in ``radius`` places or fewer; their components are exact."""
@@ -128,30 +154,34 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         tile.cast("int").alias("tile"), F.col("x.home").alias("home"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def forest(tile_home, tile_rest):
-            if not tile_home:
-                return
-            a, b = tile_forest(np.concatenate(tile_home).view(np.uint64),
-                               np.concatenate([*tile_rest, np.empty(0, np.int64)]).view(np.uint64), radius)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
-        now, home, rest = None, [], []
+        def forest(cell, first, second):
+            if first and sum(map(len, first)):
+                x, y, late = cell[1:]
+                a, b = tile_forest(np.concatenate(first).view(np.uint64), np.concatenate([*second, np.empty(0, np.int64)]).view(np.uint64),
+                                   radius, inner=x == y and not late)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+        now, first, second = None, [], []
         for b in batches:
-            tiles, own, fp = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            cuts = np.r_[0, np.flatnonzero(np.diff(tiles)) + 1, len(tiles)]
+            *key, side, fp = (b.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            cuts = np.r_[0, np.flatnonzero(np.any([np.diff(k.astype(np.int64)) != 0 for k in key], axis=0)) + 1, len(fp)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 if lo == hi:
                     continue
-                if tiles[lo] != now:
-                    yield from forest(home, rest)
-                    now, home, rest = tiles[lo], [], []
-                mine = own[lo:hi].astype(bool)
-                home.append(fp[lo:hi][mine])
-                rest.append(fp[lo:hi][~mine])
-        yield from forest(home, rest)
-
-    return at.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
+                cell = tuple(int(k[lo]) for k in key)
+                if cell != now:
+                    yield from forest(now, first, second)
+                    now, first, second = cell, [], []
+                mine = side[lo:hi] == 0
+                first.append(fp[lo:hi][mine])
+                second.append(fp[lo:hi][~mine])
+            first = [np.concatenate(first)] if len(first) > 1 else first
+            second = [np.concatenate(second)] if len(second) > 1 else second
+        yield from forest(now, first, second)
+
+    order = ["tile", "x", "y", "late"]
+    return _cells(at).repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -46,7 +46,11 @@ def test_long_text_votes_over_many_blocks():
     assert simhash.fingerprint(text) == plain(text)
 
 
-def test_groups_equal_brute_force(spark):
+@pytest.mark.parametrize("blocks", [None, (7, 11), (1, 1)])
+def test_groups_equal_brute_force(spark, monkeypatch, blocks):
+    if blocks:                                             # tiles of many cells
+        monkeypatch.setattr(simhash, "HOME", blocks[0])
+        monkeypatch.setattr(simhash, "VISIT", blocks[1])
     rng = random.Random(3)
     vocabulary = [f"w{k}" for k in range(400)]
     texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(40, 300))) for _ in range(40)]
@@ -81,6 +85,31 @@ def test_tiles_find_every_link():
         assert labels.get(x, x) == labels.get(y, y)
 
 
+def test_cells_hold_every_pair_once_and_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOME", 8)
+    monkeypatch.setattr(simhash, "VISIT", 16)
+    rows = [(t, k % 3 == 0, 1000 * t + k) for t, n in ((1, 90), (2, 7), (3, 2)) for k in range(n)] + [(4, False, 4000)]
+    cells = {}
+    for r in simhash._cells(spark.createDataFrame(rows, "tile int, home boolean, fp long")).collect():
+        cells.setdefault((r.tile, r.x, r.y, r.late), ([], []))[r.side].append(r.fp)
+    met = []
+    for (_, x, y, late), (first, second) in cells.items():
+        if x == y and not late:
+            met += [frozenset((a, b)) for k, a in enumerate(first) for b in first[:k]]
+        met += [frozenset((a, b)) for a in first for b in second]
+    want = {frozenset((a, b)) for t, h, a in rows if h for u, _, b in rows if t == u and a != b}
+    assert len(met) == len(set(met)) and set(met) == want
+    assert max(len(x) for c in cells.values() for x in c) < 40
+
+
+def test_repeated_ids_and_other_columns(spark):
+    a, b = " ".join(f"a{k}" for k in range(50)), " ".join(f"b{k}" for k in range(50))
+    rows = [(5, a, 1, 2), (5, b, 1, 2), (5, a, 1, 2), (3, b, 1, 2), (None, a, 1, 2), (None, "lone " * 9, 1, 2), (9, None, 1, 2), (8, "", 1, 2)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, KIND + ", fp long, component_id long")).collect()
+    assert sorted(((r.doc_id, r.component_id, r.fp == 0) for r in got), key=str) == sorted(
+        [(5, 5, False), (5, 3, False), (5, 5, False), (3, 3, False), (None, 5, False), (None, None, False), (9, 8, True), (8, 8, True)], key=str)
+
+
 def test_moves_cover_every_difference():
     moves = set(simhash._moves(2))
     for m in moves:
