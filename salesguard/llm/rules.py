@@ -207,7 +207,8 @@ def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int
     rules = learn(labelled(docs, labels, label, limit))
     added = [*COUNTS, *FEATURES, "base_failed", "rule", "kept"]
     keep = [c for c in docs.columns if c not in added]
-    rows = statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text")))
+    rest = [F.col(f"`{c}`") for c in keep if c != "text"] or [F.lit(0).alias("none")]
+    rows = statistics(docs.select("text", F.struct(*rest).alias("row")))
     judged = rows.withColumn("base_failed", base_failed()).withColumn("rule", listed(rules)).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull())
-    return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *added)
+    return judged.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep], *added)

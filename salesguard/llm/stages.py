@@ -17,13 +17,14 @@ from salesguard.llm import mixing, packing, pii, queries, rules, simhash
 
 
 def packed_row(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns, and ``row``, a struct of all of them."""
-    return docs.select(*names, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """The named columns, and ``row``, a struct of all others."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in names] or [F.lit(0).alias("none")]
+    return docs.select(*names, F.struct(*rest).alias("row"))
 
 
-def unpacked(df: DataFrame, docs: DataFrame, **new) -> DataFrame:
-    """The columns of ``docs`` from ``row``, those in ``new`` replaced."""
-    return df.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+def unpacked(df: DataFrame, docs: DataFrame, *names: str, **new) -> DataFrame:
+    """The columns of ``docs``: the named ones as they are now, those in ``new``, the others from ``row``."""
+    return df.select(*[(new[c] if c in new else F.col(c) if c in names else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labels (an empty table of them, or none that match) only the base decides.
     Long texts are judged whole."""
     judged = rules.judge(packed_row(docs, "doc_id", "text"), queries.table(spark, sf_dir, "labels"))
-    return unpacked(judged.where("kept"), docs)
+    return unpacked(judged.where("kept"), docs, "doc_id", "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +48,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     every = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
     key = {"none": F.col("doc_id").isNull(), "id": F.col("doc_id"), "hash": F.xxhash64("text", F.col("text").isNull()),
            "row": F.xxhash64(*every)}
-    keyed = docs.select("text", F.struct(*[c.alias(k) for k, c in key.items()]).alias("key"),
-                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0).alias("none")]
+    keyed = docs.select("doc_id", "text", F.struct(*rest).alias("row"), F.struct(*[c.alias(k) for k, c in key.items()]).alias("key"))
     groups = simhash.near_duplicates(keyed.select("key", "text"), id_col="key", size=3, radius=2)
     first = groups.select("component_id").distinct()
     same = [F.col(f"key.{k}").eqNullSafe(F.col(f"component_id.{k}")) for k in key]
     kept = keyed.join(first, reduce(lambda x, y: x & y, same), "left_semi")
-    return unpacked(kept.dropDuplicates(["key"]), docs)
+    return unpacked(kept.dropDuplicates(["key"]), docs, "doc_id", "text")
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,8 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars``); an entity has one surrogate in all rows, repeated ones
     included. An empty table gives no rows; long texts are scanned whole."""
     out = pii.replace(packed_row(docs, "doc_id", "text"), queries.KEY)
-    new = {"text": F.col("text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return unpacked(out, docs, **new)
+    new = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(out, docs, "doc_id", "text", **new)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +76,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null sources are one source; null and empty texts count as one token;
     repeated rows are emitted each. An empty table gives no rows."""
     mixed = mixing.mix(packed_row(docs, "doc_id", "source", "text"), max_repeats=2.0)
-    return unpacked(mixed.orderBy("mix_epoch", "mix_block", "mix_order"), docs)
+    return unpacked(mixed.orderBy("mix_epoch", "mix_block", "mix_order"), docs, "doc_id", "source", "text")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
