@@ -142,19 +142,22 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", source: str | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, chunk, queued = Ids(path), TaskContext.get().partitionId(), {}
         end = ids.pack([END_ID])
-        for b in batches:
-            blobs = [x + end for x in ids.encode(b.column(1).to_pylist())]
-            before = []
-            n = [len(x) // len(end) for x in blobs]
-            for *at, k in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), n, strict=True):
-                at = tuple(at)
-                before.append(queued.get(at, 0))
-                queued[at] = before[-1] + k
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), b.column(3), b.column(4), pa.array([chunk] * len(n), pa.int32()),
-                 pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array([len(end) == 4] * len(n)),
-                 pa.array(blobs, pa.binary())],
-                [id_col, "source", "file", "block", "chunk", "before", "n", "wide", "ids"])
+        for whole in batches:
+            texts = whole.column(1).to_pylist()
+            for a, z in units.groups(texts):                # handed on group by group, to hold little
+                b = whole.slice(a, z - a)
+                blobs = [x + end for x in ids.encode(texts[a:z])]
+                before = []
+                n = [len(x) // len(end) for x in blobs]
+                for *at, k in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), n, strict=True):
+                    at = tuple(at)
+                    before.append(queued.get(at, 0))
+                    queued[at] = before[-1] + k
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(2), b.column(3), b.column(4), pa.array([chunk] * len(n), pa.int32()),
+                     pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array([len(end) == 4] * len(n)),
+                     pa.array(blobs, pa.binary())],
+                    [id_col, "source", "file", "block", "chunk", "before", "n", "wide", "ids"])
 
     return rows.mapInArrow(run, f"`{id_col}` {kind}, source string, file string, block long, chunk int, before long, "
                                 "n long, wide boolean, ids binary")

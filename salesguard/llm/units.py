@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts of about so many characters are a group.
-GROUP = 1 << 22
+GROUP = 3 << 20
 
 
 def groups(texts: list[str], size: int | None = None) -> Iterator[tuple[int, int]]:
@@ -47,5 +47,7 @@ def gather(ids: np.ndarray, start: np.ndarray, count: np.ndarray, words: np.ndar
     n = count[words]
     upto = np.cumsum(n)
     total = int(upto[-1]) if len(upto) else 0
-    at = np.arange(total) - np.repeat(upto - n - start[words], n)
+    kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at -= np.repeat((upto - n - start[words]).astype(kind), n)
     return ids[at], np.r_[0, upto][ends]
