@@ -82,13 +82,11 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
     })
 
 
-def suffix_rates(labelled: DataFrame, key: str, name: str, label: str = "label", prior: float = 4.0) -> DataFrame:
-    """Smoothed share of blocked URLs for each value of ``key`` among the labelled.
-    A row of ``labelled`` stands for ``n`` URLs with the sum ``label``."""
-    total = labelled.agg((F.sum(label) / F.sum("n")).alias("_base"))
+def suffix_rates(labelled: DataFrame, key: str, name: str, base: float, label: str = "label", prior: float = 4.0) -> DataFrame:
+    """Share of blocked URLs for each value of ``key`` among the labelled, smoothed
+    towards ``base``, that of all. A row of ``labelled`` stands for ``n`` URLs with the sum ``label``."""
     by = labelled.groupBy(key).agg(F.sum(label).alias("_s"), F.sum("n").alias("_n"))
-    return by.crossJoin(F.broadcast(total)).select(
-        key, ((F.col("_s") + prior * F.col("_base")) / (F.col("_n") + prior)).alias(name))
+    return by.select(key, ((F.col("_s") + F.lit(prior * base)) / (F.col("_n") + prior)).alias(name))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame | None = None, id_col: str = "page_id",
@@ -121,10 +119,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
     known = known.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n")).checkpoint()
     sums = (lexical(known).groupBy("top", "site", "head")
             .agg(F.sum(F.col("label") * F.col("n")).alias("label"), F.sum("n").alias("n")).checkpoint())
-    rates = [(k, n, suffix_rates(sums, k, n)) for k, n in
-             (("top", "top_rate"), ("site", "site_rate"), ("head", "head_rate"))]
     seen = sums.agg((F.sum("label") / F.sum("n")).alias("a")).first()
     share = seen["a"] or 0.0
+    rates = [(k, n, suffix_rates(sums, k, n, share)) for k, n in
+             (("top", "top_rate"), ("site", "site_rate"), ("head", "head_rate"))]
     sample = lexical(known.orderBy(F.xxhash64("url"), "url", "label").limit(fit_rows)).withColumn(
         "_weight", F.col("n").cast("double"))
 

@@ -75,3 +75,30 @@ def test_copies_of_one_url_do_not_fill_the_sample(spark):
     got = {r.page_id: r for r in
            urls.judge(pages, [], spark.createDataFrame(fit, "url string, label int"), fit_rows=100).collect()}
     assert sum((got[k].verdict == "block") == bool(y) for k, (_, y) in enumerate(rows[200:])) >= 98
+
+
+def test_the_expression_is_the_fitted_model(spark):
+    """The CASE expression gives the margin and probability of the model's own transform."""
+    import random
+
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    rng = random.Random(6)
+    rows = [tuple(float(rng.randrange(12)) for _ in urls.FEATURES) for _ in range(400)]
+    rows = [(*r, float(r[0] + r[1] > r[2] + 9 or r[3] > 10)) for r in rows]
+    df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in urls.FEATURES) + ", label double")
+    df = VectorAssembler(inputCols=urls.FEATURES, outputCol="_features").transform(df)
+    model = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=6, maxDepth=4, seed=3).fit(df)
+    got = model.transform(df).withColumn("own", urls.trees_column(model)).select(
+        "own", vector_to_array("rawPrediction")[1].alias("raw"), vector_to_array("probability")[1].alias("p")).collect()
+    assert len({r.raw for r in got}) > 5
+    for r in got:
+        assert abs(r.own - r.raw) < 1e-9 and abs(1 / (1 + 2.718281828459045 ** (-2 * r.own)) - r.p) < 1e-9
+
+
+def test_long_urls_nulls_and_other_columns(spark):
+    rows = [(1, "http://a.org/" + "x" * 100_000, "h"), (2, None, "h"), (3, "", "h"), (4, "no scheme", "h"), (4, "http://b.com/de/", "h"), (None, "://", "h")]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, host string"), RULES).collect()
+    assert len(got) == 6 and {r.page_id: r.path for r in got if r.page_id == 1}[1] == "/" + "x" * 100_000
+    assert all(r.verdict in ("allow", "block") for r in got) and all(r.host == "" for r in got if r.page_id in (2, 3, None))
