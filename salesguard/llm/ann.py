@@ -103,8 +103,9 @@ def block_matrix_join(queries: DataFrame, candidates: DataFrame, k: int = 20, id
                       vec_col: str = "embedding", q_block: int = 8192, c_block: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k nearest of all candidates but itself.
 
-    Both sides have ``id_col`` and ``vec_col``; ids are unique and not null
-    (rows with a null id take no part; of rows that repeat a pair, one counts).
+    Both sides have ``id_col`` and ``vec_col``; ids name a row
+    (rows with a null id take no part; of rows that repeat an id, the one with the
+    least vector of each length counts, component by component).
     Vectors null, empty, all zero or with null or non-finite components take no
     part, on either side; vectors of different lengths never meet. Equal scores
     go to the smaller id. A query with no candidate gives no rows. Cells hold
@@ -135,8 +136,12 @@ def block_matrix_join(queries: DataFrame, candidates: DataFrame, k: int = 20, id
         ids = t.column("id").to_numpy()
         flat = t.column("vec").combine_chunks()
         flat = flat.flatten().to_numpy(zero_copy_only=False)
-        ids, first = np.unique(ids, return_index=True)
-        return ids, flat.reshape(t.num_rows, -1)[first].astype(np.float64)
+        vec = flat.reshape(t.num_rows, -1).astype(np.float64)
+        order = np.argsort(ids, kind="stable")
+        if (np.diff(ids[order]) == 0).any():               # of a repeated id the least vector
+            order = np.lexsort((*vec.T[::-1], ids))
+        first = order[np.diff(ids[order], prepend=ids[order[0]] - 1) != 0]
+        return ids[first], vec[first]
 
     hits = (q.groupBy("dim", "qb", "cb").cogroup(c.groupBy("dim", "qb", "cb")).applyInArrow(meet, HITS))
 

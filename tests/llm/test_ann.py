@@ -55,3 +55,17 @@ def test_empty_and_extra_columns(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.1])], KIND)
     wide = df.withColumns({"id": F.lit(9), "rank": F.lit(0), "score": F.lit(0), "dim": F.lit(1)})
     assert [(r.query_id, r.vec_id) for r in ann.block_matrix_join(wide, wide).orderBy("query_id").collect()] == [(1, 2), (2, 1)]
+
+
+def test_of_a_repeated_id_the_least_vector_counts(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(30)]
+    again = rows + [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(0, 30, 3)] + rows[:5]
+    least = {}
+    for i, v in again:
+        least[i] = min(least.get(i, v), v)
+    want = brute(sorted(least.items()), 5)
+    for seed in (1, 2):
+        df = spark.createDataFrame(again, KIND).orderBy(F.rand(seed)).repartition(3)
+        got = collect(ann.block_matrix_join(df, df, 5, q_block=8, c_block=16))
+        assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
