@@ -91,8 +91,8 @@ class Fit:
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([n])], ["z", "n"])
 
         parts = self.rows.mapInArrow(run, "z array<double>, n long")        # one row for each task
-        r = parts.agg(F.sum("n").alias("n"), *[F.sum(F.col("z")[k]).alias(f"z{k}") for k in range(d)]).first()
-        return np.array([r[f"z{k}"] for k in range(d)]) / r["n"]
+        sums = parts.select("n", F.posexplode("z").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+        return np.array([r["v"] / r["n"] for r in sorted(sums.collect())])
 
     def solve(self, nu: float, tol: float) -> np.ndarray:
         w = self.mean(None, 0.0)
